@@ -189,3 +189,72 @@ def silver(spark: SparkSession, folder: str) -> DataFrame:
         _written[key] = (path, built.schema)
     path, schema = _written[key]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def written(spark: SparkSession, label: str) -> str:
+    """A new scratch folder for one query's files."""
+    return scratch_path(spark, label)
+
+
+# A page with one candidate row, as the source lays it out; one per candidate.
+CANDIDATE_PAGES = f"""
+SELECT election_year, constituency_id, candidate_id AS entry_id,
+       concat('<html><h3>List of Candidates in ', constituency, ' : ',
+              CASE WHEN is_bye_election THEN 'BYE ELECTION ON 04-02-2017 : ' ELSE '' END,
+              state, ' Lok Sabha ', CAST(election_year AS STRING), '</h3>',
+              '<table><tr><td>menu</td></tr></table>',
+              '<table class="w3"><tr><td>Sno</td><td>Candidate</td><td>Party</td><td>Cases</td>',
+              '<td>Education</td><td>Age</td><td>Assets</td><td>Liabilities</td></tr>',
+              '<tr><td>1</td><td><a href="candidate.php',
+              coalesce(concat('?candidate_id=', CAST(candidate_id AS STRING)), ''), '">', name, '</a>', CASE WHEN is_winner THEN ' &nbsp <font>Winner</font>' ELSE '' END,
+              '</td><td>', coalesce(party, ''), '</td><td><b>', coalesce(CAST(criminal_cases AS STRING), ''),
+              '</b></td><td>', coalesce(education, '--'), '</td><td>', CAST(age AS STRING),
+              '</td><td>', coalesce(concat('Rs&nbsp;', CAST(assets AS STRING), ' ~'), 'Not Given'),
+              '</td><td>', CASE WHEN liabilities > 0 THEN concat('Rs ', CAST(liabilities AS STRING)) ELSE 'Nil' END,
+              '</td></tr><tr><td></td><td>Total</td><td></td><td></td><td></td><td></td><td></td><td></td></tr>',
+              '</table></html>') AS html
+FROM {{entries}}
+"""
+
+
+def candidate_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.sql(CANDIDATE_PAGES, entries=candidates(spark, folder))
+
+
+# Two writings of one person's name, or of two people, one pair per customer.
+NAME_PAIRS = f"""
+SELECT c_custkey, a, CASE c_custkey % 9
+         WHEN 0 THEN concat('Shri ', upper(a)) WHEN 1 THEN concat(l, ' ', f)
+         WHEN 2 THEN concat(f, l) WHEN 3 THEN concat(f, ' (', l, ')')
+         WHEN 4 THEN concat('Dr. ', a, ' S/O Ram') WHEN 5 THEN concat(replace(f, 'bel', 'bal'), ' ', l, 'u')
+         WHEN 6 THEN concat(f, ' Alias ', l, ' Kumar') WHEN 7 THEN b ELSE '' END AS b
+FROM (SELECT c_custkey, {FIRST} AS f, {LAST} AS l, concat({FIRST}, ' ', {LAST}) AS a,
+             concat('J P ', {person('(c_custkey + 1)')[0]}, ' ', {person('(c_custkey * 7 + 3)')[1]}) AS b
+      FROM {{customer}}) AS people
+"""
+
+# Rupee figures of every display range, one per order.
+FIGURES = """
+SELECT o_orderkey,
+       CASE o_orderkey % 6 WHEN 0 THEN cents * 1000 WHEN 1 THEN cents
+            WHEN 2 THEN CAST(floor(cents / 100) AS BIGINT) WHEN 3 THEN CAST(floor(cents / 10000) AS BIGINT)
+            WHEN 4 THEN CAST(floor(cents / 100000) AS BIGINT) END AS figure
+FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM {orders}) AS amounts
+"""
+
+# The other source's rows, one per supplier.
+CROSS_CHECK = """
+SELECT CASE WHEN s_suppkey % 4 = 3 THEN 'Rajya Sabha' ELSE 'Lok Sabha' END AS house,
+       CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE CAST(cents AS DOUBLE) END AS allocatedAmount,
+       CAST(open_cents - 1000 AS DOUBLE) AS totalExpenditure,
+       CASE WHEN s_suppkey % 6 = 0 THEN n + 2 ELSE n_returned END AS completedWorksCount,
+       CASE WHEN s_suppkey % 8 = 7 THEN NULL ELSE n END AS recommendedWorksCount
+FROM (SELECT l_suppkey,
+             CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+             CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(round(l_extendedprice * 100) AS BIGINT)
+                           ELSE 0 END) AS BIGINT) AS open_cents,
+             count(*) AS n,
+             CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned
+      FROM {lineitem} GROUP BY l_suppkey) AS works
+     JOIN {supplier} ON l_suppkey = s_suppkey
+"""
