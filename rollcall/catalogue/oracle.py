@@ -462,13 +462,13 @@ SELECT entry_id, constituency,
 FROM pages LEFT JOIN best USING (page_id)""",
     ),
     "page_rows": f"""WITH {RAW} SELECT election_year, constituency_id, candidate_id AS entry_id, {collapse('state')} AS state,
-  {collapse('constituency')} AS constituency, CAST(candidate_id AS INT) AS candidate_id, {collapse('name')} AS name,
+  {collapse('constituency')} AS constituency, candidate_id, {collapse('name')} AS name,
   coalesce({collapse('party')}, 'Unknown') AS party, criminal_cases,
   coalesce({collapse('education')}, 'Not Given') AS education, age, assets,
   CASE WHEN liabilities > 0 THEN liabilities ELSE 0 END AS liabilities, is_winner, is_bye_election FROM raw""",
     "link_ids": r"""WITH found AS (
-  SELECT page_id, CAST(regexp_extract(html, 'track\((\d+)\)', 1) AS INT) AS first_id,
-         list_sort(list_distinct(list_transform(regexp_extract_all(html, '\d+'), lambda x: CAST(x AS INT)))) AS ids
+  SELECT page_id, CAST(regexp_extract(html, 'track\((\d+)\)', 1) AS BIGINT) AS first_id,
+         list_sort(list_distinct(list_transform(regexp_extract_all(html, '\d+'), lambda x: TRY_CAST(x AS BIGINT)))) AS ids
   FROM pages)
 SELECT page_id, first_id, CAST(len(ids) AS INT) AS n_ids, array_to_string(ids, ',') AS ids, len(ids) < 3 AS is_scarce
 FROM found""",

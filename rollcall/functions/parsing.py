@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from .text import clean_html
@@ -11,9 +13,8 @@ def _group(text: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def parse_money(cell: Column) -> Column:
-    """Whole rupees. `Nil` is a declared 0; blank, dashes and `Not Given` are null."""
-    text = clean_html(cell)
+def money_in(text: Column) -> Column:
+    """`parse_money` of text that is already clean."""
     figure = F.replace(
         F.coalesce(
             _group(text, r"(?i)Rs\.?\s*([\d,]+)", 1),
@@ -29,9 +30,33 @@ def parse_money(cell: Column) -> Column:
     )
 
 
+def int_in(text: Column) -> Column:
+    """`parse_int` of text that is already clean."""
+    return F.regexp_extract(text, r"\d+", 0).try_cast("int")
+
+
+def education_in(text: Column) -> Column:
+    """`parse_education` of text that is already clean."""
+    return F.when(text.rlike(r"(?i)^(-+|n/?a)?$"), "Not Given").otherwise(text)
+
+
+def _of_clean(cell: Column, read: Callable[[Column], Column]) -> Column:
+    """`read` of the cleaned cell, cleaned once however often `read` refers to it."""
+    return F.get(F.transform(F.array(clean_html(cell)), read), F.lit(0))
+
+
+def parse_money(cell: Column) -> Column:
+    """Whole rupees. `Nil` is a declared 0; blank, dashes and `Not Given` are null."""
+    return _of_clean(cell, money_in)
+
+
 def parse_int(cell: Column) -> Column:
     """First run of digits, or null."""
-    return F.regexp_extract(clean_html(cell), r"\d+", 0).try_cast("int")
+    return int_in(clean_html(cell))
+
+
+def parse_education(cell: Column) -> Column:
+    return _of_clean(cell, education_in)
 
 
 def parse_amount(text: Column) -> Column:
@@ -39,17 +64,13 @@ def parse_amount(text: Column) -> Column:
     return F.regexp_replace(text.cast("string"), r"[^0-9.]", "").try_cast("double").try_cast("bigint")
 
 
-def parse_education(cell: Column) -> Column:
-    text = clean_html(cell)
-    return F.when(text.rlike(r"(?i)^(-+|n/?a)?$"), "Not Given").otherwise(text)
-
-
 def parse_link_id(cell: Column, pattern: str) -> Column:
     """Id in the first matching link, or null."""
-    return F.regexp_extract(cell, pattern, 1).try_cast("int")
+    return F.regexp_extract(cell, pattern, 1).try_cast("bigint")
 
 
 def parse_link_ids(page: Column, pattern: str) -> Column:
     """Distinct linked ids in ascending order."""
     found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda i: i.try_cast("int"))))
+    ids = F.transform(found, lambda i: i.try_cast("bigint"))
+    return F.array_sort(F.array_distinct(F.filter(ids, lambda i: i.isNotNull())))

@@ -56,41 +56,55 @@ def best_block(
         )
 
     ranked = F.transform(
-        F.regexp_extract_all(page, F.lit(block), F.lit(0)),
-        lambda text, i: F.struct(
-            F.size(rows_of(text)).alias("n"), (-i).alias("first"), rows_of(text).alias("rows")
-        ),
+        F.transform(F.regexp_extract_all(page, F.lit(block), F.lit(0)), rows_of),
+        lambda rows, i: F.struct(F.size(rows).alias("n"), (-i).alias("first"), rows.alias("rows")),
     )
     return F.coalesce(F.array_max(ranked)["rows"], F.array().cast("array<string>"))
 
 
 def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
-    """One record per candidate row of every page; other columns of `pages` are kept."""
-    header = page_header(F.col(page))
+    """One record per candidate row of every page; other columns of `pages` are kept.
+
+    Header and cells are read once per page; the page text does not go through the explode. The
+    explode is an outer one because Catalyst guards an inner one with a filter that reads the
+    cells a second time; pages without rows drop out with the rows that have no name.
+    """
     kept = [c for c in pages.columns if c != page]
-    contest = special_contest(F.col("_header.state"))
-    cells = F.regexp_extract_all(F.col("_row"), F.lit(lookups.TABLE_CELL), F.lit(1))
+
+    def split_cells(row: Column) -> Column:
+        return F.regexp_extract_all(row, F.lit(lookups.TABLE_CELL), F.lit(1))
+
+    def read_cells(cells: Column) -> Column:
+        return F.struct(
+            F.get(cells, F.lit(1)).alias("name_cell"), F.transform(cells, clean_html).alias("text")
+        )
 
     def cell(position: int) -> Column:
-        return F.get(F.col("_cells"), F.lit(position))
+        return F.get(F.col("_row.text"), F.lit(position))
 
-    name = F.trim(F.regexp_replace(clean_html(cell(1)), r"(?i)\s*Winner\s*$", ""))
+    name_cell = F.col("_row.name_cell")
+    name = F.trim(F.regexp_replace(cell(1), r"(?i)\s*Winner\s*$", ""))
     return (
-        pages.select(*kept, header.alias("_header"), F.explode(best_block(F.col(page))).alias("_row"))
-        .select(*kept, "_header", contest.alias("_contest"), cells.alias("_cells"))
+        pages.select(
+            *kept,
+            page_header(F.col(page)).alias("_header"),
+            F.transform(F.transform(best_block(F.col(page)), split_cells), read_cells).alias("_rows"),
+        )
+        .withColumn("_contest", special_contest(F.col("_header.state")))
+        .select(*kept, "_header", "_contest", F.explode_outer("_rows").alias("_row"))
         .select(
             *kept,
             F.col("_contest.state").alias("state"),
             F.col("_header.constituency").alias("constituency"),
-            parsing.parse_link_id(cell(1), lookups.CANDIDATE_LINK).alias("candidate_id"),
+            parsing.parse_link_id(name_cell, lookups.CANDIDATE_LINK).alias("candidate_id"),
             name.alias("name"),
-            F.coalesce(F.nullif(clean_html(cell(2)), F.lit("")), F.lit("Unknown")).alias("party"),
-            parsing.parse_int(cell(3)).alias("criminal_cases"),
-            parsing.parse_education(cell(4)).alias("education"),
-            parsing.parse_int(cell(5)).alias("age"),
-            parsing.parse_money(cell(6)).alias("assets"),
-            parsing.parse_money(cell(7)).alias("liabilities"),
-            cell(1).rlike("(?i)winner").alias("is_winner"),
+            F.coalesce(F.nullif(cell(2), F.lit("")), F.lit("Unknown")).alias("party"),
+            parsing.int_in(cell(3)).alias("criminal_cases"),
+            parsing.education_in(cell(4)).alias("education"),
+            parsing.int_in(cell(5)).alias("age"),
+            parsing.money_in(cell(6)).alias("assets"),
+            parsing.money_in(cell(7)).alias("liabilities"),
+            name_cell.rlike("(?i)winner").alias("is_winner"),
             F.col("_contest.is_bye_election").alias("is_bye_election"),
         )
         .filter(~F.lower("name").isin("", "candidate", "sno", "total"))

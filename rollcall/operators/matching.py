@@ -85,7 +85,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
     places away. So right keys are cut into pieces, left keys into the substrings that could be
     one, and the two are joined on block, both lengths, piece number and piece text: the pairs
     formed are those that share a piece, not all pairs of a block. A bounded edit distance then
-    drops most of the rest before anything is scored.
+    drops most of the rest before anything is scored. The join is always shuffled: pieces are many
+    times larger than the keys they are cut from, which a size estimate does not see.
     """
     def with_pieces(keys: DataFrame, mine: str, other: str) -> DataFrame:
         reach = _lengths_in_reach(metric, floor, F.col(mine))
@@ -115,7 +116,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
         .select("block", "lkey", "rlen", "llen", "i", "k", F.explode(F.array_distinct(places)).alias("piece"))
     )
     return (
-        probes.join(pieces, ["block", "llen", "rlen", "i", "piece"])
+        probes.join(pieces.hint("merge"), ["block", "llen", "rlen", "i", "piece"])
         .filter(F.expr("levenshtein(lkey, rkey, k) >= 0"))
         .select("block", "lkey", "rkey")
         .distinct()

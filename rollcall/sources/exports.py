@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.slices import SLICE_COLUMNS
 
@@ -104,7 +104,7 @@ def flat_export(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
-    """CSV with a header; quotes are doubled, empty text and null are empty fields.
+    """CSV with a header; quotes are doubled, null is an empty field and empty text is "".
 
     With `bom` every file starts with a byte order mark, for spreadsheet programs.
     """
@@ -116,15 +116,16 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .option("emptyValue", "")
         .csv(path)
     )
 
 
-def read_csv(spark, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Reads what `write_csv` wrote, empty text and null kept apart."""
     return (
         spark.read.option("header", True)
         .option("enforceSchema", True)
+        .option("nullValue", "\u0000")
         .option("escape", '"')
         .option("multiLine", True)
         .schema(schema)
