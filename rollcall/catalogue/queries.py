@@ -15,7 +15,7 @@ from ..session import stage
 from ..sources import exports, files, tables
 from ..streaming import ingest, merge
 from . import samples
-from .samples import candidates, silver, table
+from .samples import candidates, silver, table, wide_table
 
 LATEST = 2001
 STATE = "Goa"
@@ -33,7 +33,7 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_pages(spark: SparkSession, folder: str) -> DataFrame:
     path = samples.written(spark, "pages")
-    pages = table(spark, folder, "pages").select("page_id", "html")
+    pages = wide_table(spark, folder, "pages").select("page_id", "html")
     pages.write.partitionBy("page_id").text(path)
     read = files.read_pages(spark, path, r"()page_id=(\d+)/")
     body = F.regexp_replace("html", r"\n$", "")
@@ -140,7 +140,7 @@ def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
 # ---- extraction
 
 def html_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", text.clean_html(F.col("html")).alias("text"))
+    return wide_table(spark, folder, "pages").select("page_id", text.clean_html(F.col("html")).alias("text"))
 
 
 def page_header(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,7 +169,7 @@ SCARCE_BLOCK = {
 
 def best_block(spark: SparkSession, folder: str) -> DataFrame:
     rows = extract.best_block(F.col("html"), **LIST_BLOCK)
-    return table(spark, folder, "pages").select(
+    return wide_table(spark, folder, "pages").select(
         "page_id", F.size(rows).alias("n_rows"), F.array_join(rows, "|").alias("rows")
     )
 
@@ -180,7 +180,7 @@ def page_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def link_ids(spark: SparkSession, folder: str) -> DataFrame:
     ids = parsing.parse_link_ids(F.col("html"), r"(\d+)")
-    pages = table(spark, folder, "pages").select("page_id", ids.alias("ids"), parsing.parse_link_id(F.col("html"), r"track\((\d+)\)").alias("first_id"))
+    pages = wide_table(spark, folder, "pages").select("page_id", ids.alias("ids"), parsing.parse_link_id(F.col("html"), r"track\((\d+)\)").alias("first_id"))
     scarce = quality.scarce_links(pages, "ids", 3).select("page_id", F.lit(True).alias("is_scarce"))
     return pages.join(scarce, "page_id", "left").select(
         "page_id", "first_id", F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"),
@@ -244,13 +244,13 @@ def general_only(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tidy_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return wide_table(spark, folder, "documents").select(
         "doc_id", text.tidy(F.col("text")).alias("text"), text.label(F.col("source")).alias("label")
     )
 
 
 def title_case(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", text.title_case(F.col("text")).alias("text"))
+    return wide_table(spark, folder, "documents").select("doc_id", text.title_case(F.col("text")).alias("text"))
 
 
 def conform_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -473,7 +473,8 @@ def measures_two_pass(spark: SparkSession, folder: str) -> DataFrame:
 
 def format_money(spark: SparkSession, folder: str) -> DataFrame:
     figure = F.col("figure")
-    return samples.run_sql(spark, folder, samples.FIGURES).select(
+    figures = samples.run_sql(spark, folder, samples.FIGURES, orders=wide_table(spark, folder, "orders"))
+    return figures.select(
         "o_orderkey",
         values.format_inr(figure).alias("short"),
         values.group_indian(figure).alias("grouped"),
@@ -485,10 +486,9 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Orders taken in as a file stream, twice; the second run finds nothing new."""
     target = samples.written(spark, "ingested")
     checkpoint = samples.written(spark, "ingest-checkpoint")
-    others = {name: table(spark, folder, name) for name in ("customer", "nation")}
 
     def prepare(orders: DataFrame) -> DataFrame:
-        return spark.sql(samples.for_spark(samples.CANDIDATES), orders=orders, **others)
+        return samples.run_sql(spark, folder, samples.CANDIDATES, orders=orders)
 
     schema = table(spark, folder, "orders").schema
     for _ in range(2):
@@ -597,7 +597,7 @@ QUERIES = {
         candidates(spark, folder), ["election_year", "constituency_id"]
     ),
     "rejected_pages": lambda spark, folder: extract.split_pages(
-        table(spark, folder, "pages"), **SCARCE_BLOCK
+        wide_table(spark, folder, "pages"), **SCARCE_BLOCK
     )[1].select("page_id", "n_rows", "reason"),
     "kpi_delta": lambda spark, folder: slices.kpi_delta(_state_trends(spark, folder), ["state", "cohort"]),
     "trend_insights": lambda spark, folder: slices.trend_insights(_state_trends(spark, folder), ["state", "cohort"]),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import medallion
-from ..session import scratch_path
+from ..session import scratch_path, spread
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -44,12 +44,12 @@ def person(custkey: str) -> tuple[str, str]:
     return f"substr({text}, 1, 6)", f"substr({text}, 7)"
 
 
-FIRST, LAST = person("c_custkey")
+FIRST, LAST = "substr(person, 1, 6)", "substr(person, 7)"
 
 CANDIDATES = f"""
 SELECT CAST(year(o_orderdate) AS INT) AS election_year,
        {raw_state('n_nationkey')} AS state,
-       concat({spelled('(seat + 100)')},
+       concat(place,
               CASE seat % 5 WHEN 0 THEN ' (SC)' WHEN 1 THEN '  (st)' ELSE '' END) AS constituency,
        CAST(seat AS INT) AS constituency_id,
        CAST(CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderkey END AS BIGINT) AS candidate_id,
@@ -69,15 +69,18 @@ SELECT CAST(year(o_orderdate) AS INT) AS election_year,
        CAST(round(c_acctbal * 100) AS BIGINT) AS liabilities,
        c_custkey % 15 = year(o_orderdate) % 2 AS is_winner,
        o_orderkey % 71 = 0 AS is_bye_election
-FROM (SELECT *, CAST(floor(c_custkey / 15) AS BIGINT) AS seat,
-             {{copies:CASE WHEN o_orderkey % 23 = 0 THEN 2 ELSE 1 END}} AS copy
-      FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
-           JOIN {{nation}} ON n_nationkey = CAST(floor(c_custkey / 15) AS BIGINT) % 25) AS entries
+FROM (SELECT *, {{copies:CASE WHEN o_orderkey % 23 = 0 THEN 2 ELSE 1 END}} AS copy
+      FROM {{orders}} JOIN (
+             SELECT *, CAST(floor(c_custkey / 15) AS BIGINT) AS seat,
+                    {spelled('(c_custkey + 1000)')} AS person,
+                    {spelled('(CAST(floor(c_custkey / 15) AS BIGINT) + 100)')} AS place
+             FROM {{customer}}) AS people ON o_custkey = c_custkey
+           JOIN {{nation}} ON n_nationkey = seat % 25) AS entries
 """
 
 _HOLDER = "(15 * s_suppkey + CASE WHEN s_suppkey % 5 = 4 THEN 2 ELSE 1 END)"
-MP_FIRST, MP_LAST = person(_HOLDER)
-_SEAT = spelled("(s_suppkey + 100)")
+MP_FIRST, MP_LAST = FIRST, LAST
+_SEAT = "place"
 
 FUNDS = f"""
 SELECT s_suppkey AS mp_id,
@@ -105,7 +108,8 @@ FROM (SELECT *, {{copies:CASE WHEN s_suppkey % 13 = 0 THEN 2 ELSE 1 END}} AS cop
                    CAST(sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_shipped,
                    CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned
             FROM {{lineitem}} GROUP BY l_suppkey) AS works
-           JOIN {{supplier}} ON l_suppkey = s_suppkey
+           JOIN (SELECT *, {spelled(f"({_HOLDER} + 1000)")} AS person, {spelled("(s_suppkey + 100)")} AS place
+                 FROM {{supplier}}) AS holders ON l_suppkey = s_suppkey
            JOIN {{nation}} ON n_nationkey = s_suppkey % 25) AS seats
 """
 
@@ -150,13 +154,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def run_sql(spark: SparkSession, folder: str, sql: str) -> DataFrame:
-    used = {t: table(spark, folder, t) for t in TABLES if f"{{{t}}}" in sql}
-    return spark.sql(for_spark(sql), **used)
+def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows need much work each."""
+    return spread(table(spark, folder, name))
+
+
+def run_sql(spark: SparkSession, folder: str, sql: str, **given: DataFrame) -> DataFrame:
+    used = {t: table(spark, folder, t) for t in TABLES if f"{{{t}}}" in sql and t not in given}
+    return spark.sql(for_spark(sql), **used, **given)
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return run_sql(spark, folder, CANDIDATES)
+    return run_sql(spark, folder, CANDIDATES, orders=wide_table(spark, folder, "orders"))
 
 
 def funds(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,7 +173,7 @@ def funds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def money_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return run_sql(spark, folder, MONEY_CELLS)
+    return run_sql(spark, folder, MONEY_CELLS, orders=wide_table(spark, folder, "orders"))
 
 
 _written: dict[tuple, tuple[str, object]] = {}
@@ -230,7 +239,7 @@ SELECT c_custkey, a, CASE c_custkey % 9
          WHEN 6 THEN concat(f, ' Alias ', l, ' Kumar') WHEN 7 THEN b ELSE '' END AS b
 FROM (SELECT c_custkey, {FIRST} AS f, {LAST} AS l, concat({FIRST}, ' ', {LAST}) AS a,
              concat('J P ', {person('(c_custkey + 1)')[0]}, ' ', {person('(c_custkey * 7 + 3)')[1]}) AS b
-      FROM {{customer}}) AS people
+      FROM (SELECT *, {spelled('(c_custkey + 1000)')} AS person FROM {{customer}}) AS named) AS people
 """
 
 # Rupee figures of every display range, one per order.

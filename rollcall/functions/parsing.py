@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
-from .text import clean_html
+from .text import clean_html, let
 
 
 def _group(text: Column, pattern: str, group: int) -> Column:
@@ -40,14 +38,9 @@ def education_in(text: Column) -> Column:
     return F.when(text.rlike(r"(?i)^(-+|n/?a)?$"), "Not Given").otherwise(text)
 
 
-def _of_clean(cell: Column, read: Callable[[Column], Column]) -> Column:
-    """`read` of the cleaned cell, cleaned once however often `read` refers to it."""
-    return F.get(F.transform(F.array(clean_html(cell)), read), F.lit(0))
-
-
 def parse_money(cell: Column) -> Column:
     """Whole rupees. `Nil` is a declared 0; blank, dashes and `Not Given` are null."""
-    return _of_clean(cell, money_in)
+    return let(clean_html(cell), money_in)
 
 
 def parse_int(cell: Column) -> Column:
@@ -56,7 +49,7 @@ def parse_int(cell: Column) -> Column:
 
 
 def parse_education(cell: Column) -> Column:
-    return _of_clean(cell, education_in)
+    return let(clean_html(cell), education_in)
 
 
 def parse_amount(text: Column) -> Column:

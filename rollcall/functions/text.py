@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -11,6 +12,11 @@ from . import lookups
 SPACES = r"[\s\p{Z}\x{85}]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def collapse(text: Column) -> Column:
     """Runs of white space, no-break spaces included, become one space; ends trimmed."""
     return F.trim(F.regexp_replace(text, SPACES, " "))
@@ -55,7 +61,8 @@ def alias(text: Column, names: dict[str, str]) -> Column:
 
 
 def conform_state(text: Column) -> Column:
-    return alias(and_to_ampersand(title_case(collapse(text))), lookups.STATE_ALIASES)
+    name = and_to_ampersand(title_case(collapse(text)))
+    return let(name, lambda n: alias(n, lookups.STATE_ALIASES))
 
 
 def seat_category(seat: Column) -> Column:

@@ -15,45 +15,47 @@ def general_only(df: DataFrame, flag: str = "is_bye_election") -> DataFrame:
 
 def conform_text(df: DataFrame) -> DataFrame:
     """State, seat, seat category, name and party in one spelling."""
-    seat = text.tidy(F.col("constituency"))
+    seat = F.col("constituency")
     return df.withColumns(
         {
             "state": text.conform_state(F.coalesce(F.col("state"), F.lit(""))),
-            "seat_category": text.seat_category(F.coalesce(seat, F.lit(""))),
-            "constituency": text.title_case(text.strip_seat_tag(seat)),
+            "constituency": text.tidy(seat),
             "name": text.tidy(F.col("name")),
             "party": text.label(F.col("party")),
         }
+    ).withColumns(
+        {
+            "seat_category": text.seat_category(F.coalesce(seat, F.lit(""))),
+            "constituency": text.title_case(text.strip_seat_tag(seat)),
+        }
     )
 
 
 def rank_education(df: DataFrame) -> DataFrame:
     label = text.title_case(text.collapse(F.coalesce(F.col("education"), F.lit("Not Given"))))
-    rank = values.ordinal_rank(label, lookups.EDUCATION_RANKS)
-    return df.withColumns(
-        {
-            "education": label,
-            "education_rank": rank,
-            "education_group": values.education_group(rank),
-        }
+    rank = values.ordinal_rank(F.col("education"), lookups.EDUCATION_RANKS)
+    return (
+        df.withColumn("education", label)
+        .withColumn("education_rank", rank)
+        .withColumn("education_group", values.education_group(F.col("education_rank")))
     )
 
 
 def derive_measures(df: DataFrame) -> DataFrame:
     """Amounts, flags and the age band. Missing stays missing, except cases and liabilities."""
-    assets = values.non_negative(F.col("assets"))
-    liabilities = values.non_negative(F.col("liabilities"))
-    cases = F.coalesce(F.col("criminal_cases"), F.lit(0))
-    age = values.null_outside(F.col("age"), 21, 100)
+    assets, cases, age = F.col("assets"), F.col("criminal_cases"), F.col("age")
     return df.withColumns(
         {
-            "assets": assets,
-            "liabilities": liabilities,
-            "net_worth": assets - F.coalesce(liabilities, F.lit(0)),
+            "assets": values.non_negative(assets),
+            "liabilities": values.non_negative(F.col("liabilities")),
+            "criminal_cases": F.coalesce(cases, F.lit(0)),
+            "age": values.null_outside(age, 21, 100),
+        }
+    ).withColumns(
+        {
+            "net_worth": assets - F.coalesce(F.col("liabilities"), F.lit(0)),
             "is_crorepati": values.threshold_flag(assets, lookups.CRORE),
-            "criminal_cases": cases,
             "has_criminal_case": cases > 0,
-            "age": age,
             "age_band": values.band(age, lookups.AGE_EDGES, lookups.AGE_BANDS),
         }
     )

@@ -235,18 +235,16 @@ def fuzzy_matches(joined: DataFrame) -> DataFrame:
 
 
 def match_report(joined: DataFrame, copies_dropped: DataFrame) -> DataFrame:
-    """Seats joined, unmatched and matched approximately, the match rate, rows with money and
-    duplicates dropped (one row with `rows_dropped`)."""
-    counts = joined.agg(
-        F.count(F.lit(1)).alias("seats"),
-        F.count_if(F.col("match_kind").isNull()).alias("unmatched"),
-        F.count_if(F.col("match_kind") == "fuzzy").alias("fuzzy"),
-        F.count_if(F.coalesce(F.col("allocated"), F.lit(0)) != 0).alias("with_allocation"),
+    """Seats joined, unmatched and matched approximately, rows with money, duplicates dropped
+    (out of the one-row `dedupe_report`) and the match rate."""
+    seats = joined.select(
+        F.lit(1).alias("seats"),
+        F.col("match_kind").isNull().cast("int").alias("unmatched"),
+        F.coalesce(F.col("match_kind") == "fuzzy", F.lit(False)).cast("int").alias("fuzzy"),
+        (F.coalesce(F.col("allocated"), F.lit(0)) != 0).cast("int").alias("with_allocation"),
     )
+    both = seats.unionByName(copies_dropped.select("rows_dropped"), allowMissingColumns=True)
+    names = ["seats", "unmatched", "fuzzy", "with_allocation", "rows_dropped"]
+    counts = both.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     rate = ratio((F.col("seats") - F.col("unmatched")) * 100, F.col("seats"), 1)
-    return (
-        counts.withColumn("one", F.lit(1))
-        .join(copies_dropped.select("rows_dropped").withColumn("one", F.lit(1)), "one")
-        .drop("one")
-        .withColumn("match_rate_pct", rate)
-    )
+    return counts.withColumn("match_rate_pct", rate)

@@ -62,3 +62,13 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table read in fewer splits than there are cores, dealt out to all of them.
+
+    For row-level work that costs more than moving the rows. Large tables have enough splits and
+    are returned as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)

@@ -65,21 +65,28 @@ def document(sections: dict[str, Section], meta: DataFrame) -> DataFrame:
     Meant for marts whose size does not grow with the data. A section above
     `MAX_DOCUMENT_ROWS` is refused; `write_payload` takes any size.
     """
-    arrays = []
-    for name, (df, order) in sections.items():
+    options = {"ignoreNullFields": "false"}
+    parts = [
+        meta.select(
+            F.lit(0).alias("i"), F.lit("meta").alias("name"), F.to_json(F.struct(*meta.columns), options).alias("text")
+        )
+    ]
+    for i, (name, (df, order)) in enumerate(sections.items(), start=1):
         if df.limit(MAX_DOCUMENT_ROWS + 1).count() > MAX_DOCUMENT_ROWS:
             raise ValueError(f"{name} is too large for one document; use write_payload")
-        top = df.orderBy(*order).limit(MAX_DOCUMENT_ROWS)
-        safe = json_safe(top)
+        safe = json_safe(df.orderBy(*order).limit(MAX_DOCUMENT_ROWS))
         placed = safe.select(
-            F.struct(F.monotonically_increasing_id().alias("i"), F.struct(*safe.columns).alias("r")).alias("row")
+            F.struct(F.monotonically_increasing_id().alias("i"), F.struct(*safe.columns).alias("row")).alias("at")
+        )
+        rows = F.transform(F.array_sort(F.collect_list("at")), lambda at: at["row"])
+        parts.append(
+            placed.agg(F.to_json(rows, options).alias("text")).select(F.lit(i).alias("i"), F.lit(name).alias("name"), "text")
         )
-        rows = F.transform(F.array_sort(F.collect_list("row")), lambda row: row["r"])
-        arrays.append(placed.agg(rows.alias(name)).withColumn("_one", F.lit(1)))
-    head = meta.select(F.struct(*meta.columns).alias("meta")).withColumn("_one", F.lit(1))
-    joined = reduce(lambda a, b: a.join(b, "_one"), arrays, head)
-    return joined.select(
-        F.to_json(F.struct("meta", *sections), {"ignoreNullFields": "false"}).alias("body")
+    field = F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("text"))
+    fields = F.array_sort(F.collect_list(F.struct("i", field.alias("text"))))
+    body = F.array_join(F.transform(fields, lambda f: f["text"]), ",")
+    return reduce(DataFrame.unionByName, parts).agg(
+        F.concat(F.lit("{"), body, F.lit("}")).alias("body")
     )
 
 
