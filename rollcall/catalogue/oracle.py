@@ -313,7 +313,7 @@ joined AS (
          party, party_group, criminal_cases, assets, candidate_id, winner_name, match_kind, similarity,
          CASE WHEN match_kind IS NOT NULL THEN coalesce(score, 0.0) END AS name_similarity,
          CASE WHEN match_kind IS NOT NULL THEN coalesce(score, 0.0) < {lookups.SAME_PERSON} END AS holder_differs,
-         constituency AS mplads_name
+         constituency AS fund_seat
   FROM linked LEFT JOIN names ON id = mp_id)"""
 
 FUND_SEARCH = contains_any(["mp_name", "winner_name", "constituency", "party", "state"])

@@ -2,16 +2,16 @@
 
 # State spellings that differ between sources -> the conformed name.
 STATE_ALIASES = {
-    "Andaman And Nicobar Islands": "Andaman & Nicobar Islands",
     "Andaman & Nicobar Islands": "Andaman & Nicobar Islands",
+    "Andaman And Nicobar Islands": "Andaman & Nicobar Islands",
     "Nct Of Delhi": "Delhi",
     "Delhi Nct": "Delhi",
-    "Nct": "Delhi",
-    "Delhi (Nct)": "Delhi",
     "National Capital Territory Of Delhi": "Delhi",
+    "Nct": "Delhi",
     "Dadra & Nagar Haveli": "Dadra & Nagar Haveli and Daman & Diu",
     "Daman & Diu": "Dadra & Nagar Haveli and Daman & Diu",
     "Dadra & Nagar Haveli & Daman & Diu": "Dadra & Nagar Haveli and Daman & Diu",
+    "Delhi (Nct)": "Delhi",
     "Orissa": "Odisha",
     "Pondicherry": "Puducherry",
     "Uttaranchal": "Uttarakhand",

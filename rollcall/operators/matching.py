@@ -81,8 +81,9 @@ def _piece_bounds(length: Column, pieces: Column, i: Column) -> tuple[Column, Co
 def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str) -> DataFrame:
     """Distinct pairs (block, lkey, rkey) that can reach a ratio of `floor`; none is missed.
 
-    Two keys within k edits share at least one of any k + 1 pieces of the right key, at most k
-    places away. So right keys are cut into pieces, left keys into the substrings that could be
+    Two keys within k edits share at least one of any k + 1 pieces of the right key. Letters added
+    less letters dropped is the difference in length, which bounds how far a shared piece can have
+    moved. So right keys are cut into pieces, left keys into the substrings that could be
     one, and the two are joined on block, both lengths, piece number and piece text: the pairs
     formed are those that share a piece, not all pairs of a block. A bounded edit distance then
     drops most of the rest before anything is scored. The join is always shuffled: pieces are many
@@ -104,8 +105,11 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
     pieces = with_pieces(rights, "rlen", "llen").select(
         "block", "rkey", "rlen", "llen", "i", F.substr("rkey", F.col("first"), F.col("size")).alias("piece")
     )
-    low = F.greatest(F.col("first") - F.col("k"), F.lit(1))
-    high = F.least(F.col("first") + F.col("k"), F.col("llen") - F.col("size") + 1)
+    longer = F.col("llen") - F.col("rlen")
+    back = F.floor((F.col("k") - longer) / 2).cast("int")
+    ahead = F.floor((F.col("k") + longer) / 2).cast("int")
+    low = F.greatest(F.col("first") - back, F.lit(1))
+    high = F.least(F.col("first") + ahead, F.col("llen") - F.col("size") + 1)
     places = F.transform(
         F.sequence("low", "high"), lambda at: F.substr(F.col("lkey"), at, F.col("size"))
     )
@@ -197,7 +201,7 @@ def join_holders(
             "match_kind",
             F.when(F.col("matched_key").isNotNull(), "fuzzy").when(F.col("_found"), "exact"),
         )
-        .withColumn("mplads_name", F.col("constituency"))
+        .withColumn("fund_seat", F.col("constituency"))
         .withColumns(
             {
                 "state": F.coalesce("_state", text.title_case(F.col("state"))),
@@ -230,7 +234,7 @@ def holder_changes(joined: DataFrame) -> DataFrame:
 def fuzzy_matches(joined: DataFrame) -> DataFrame:
     """Every approximate match, for audit."""
     return joined.filter("match_kind = 'fuzzy'").select(
-        "state", "mplads_name", F.col("constituency").alias("matched_to"), "similarity"
+        "state", "fund_seat", F.col("constituency").alias("matched_to"), "similarity"
     )
 
 

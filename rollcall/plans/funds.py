@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators import dedupe, extract, matching
+from ..operators import dedupe, extract, matching, reconcile
 from ..session import stage
+from ..sources import exports
 
 FUND_COLUMNS = [
     "state", "constituency", "mp_id", "mp_name", "allocated", "expenditure", "pct_spent",
     "works_recommended", "works_sanctioned", "works_completed", "party", "party_group",
     "criminal_cases", "assets", "candidate_id", "winner_name", "match_kind", "similarity",
-    "name_similarity", "holder_differs", "mplads_name",
+    "name_similarity", "holder_differs", "fund_seat",
 ]
 
 
@@ -30,5 +31,37 @@ def joined_funds(raw: DataFrame, silver: DataFrame, metric: str = "ratcliff") ->
     ).select(*FUND_COLUMNS)
 
 
-def order_funds() -> list[Column]:
-    return [F.coalesce(F.col("pct_spent"), F.lit(0.0)).desc(), F.asc("state"), F.asc("constituency"), F.asc("mp_id")]
+def unmatched(joined: DataFrame) -> DataFrame:
+    """Seats for which no holder was found."""
+    return joined.filter("match_kind IS NULL").select("state", "constituency", "mp_name")
+
+
+def fund_sections(joined: DataFrame, compared: DataFrame) -> dict[str, exports.Section]:
+    """Published sections: every seat, state shares, and all that needs a reader's eye."""
+    share = F.coalesce(F.col("pct_spent"), F.lit(0.0)).desc()
+    seat = [F.asc("state"), F.asc("constituency")]
+    return {
+        "mps": (joined, [share, *seat, F.asc("mp_id")]),
+        "state_utilization": (reconcile.state_utilisation(joined), [F.desc("pct_spent"), F.asc("state")]),
+        "mp_changed": (matching.holder_changes(joined), seat),
+        "unmatched": (unmatched(joined), [*seat, F.asc("mp_name")]),
+        "fuzzy_joins": (matching.fuzzy_matches(joined), [F.asc("state"), F.asc("fund_seat")]),
+        "comparisons": (compared, [F.asc("metric")]),
+    }
+
+
+def publish_funds(
+    raw: DataFrame,
+    silver: DataFrame,
+    theirs: DataFrame,
+    metrics: dict[str, tuple[str, str]],
+    folder: str,
+) -> None:
+    """The fund payload, the match report and the other source's audit as JSON rows."""
+    funds = conform_funds(raw)
+    joined = stage(joined_funds(raw, silver), "joined-funds")
+    compared = reconcile.reconcile(joined, theirs, metrics)
+    exports.write_payload(fund_sections(joined, compared), folder)
+    report = matching.match_report(joined, dedupe.dedupe_report(funds, dedupe.SEAT_KEY))
+    report.write.mode("overwrite").json(f"{folder}/meta")
+    reconcile.consistency_audit(theirs).write.mode("overwrite").json(f"{folder}/audit")

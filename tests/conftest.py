@@ -12,7 +12,11 @@ from rollcall.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "rollcall-tests", "local[8]", spark_ui_enabled="false", spark_driver_memory="6g"
+        "rollcall-tests",
+        "local[8]",
+        spark_ui_enabled="false",
+        spark_driver_memory="6g",
+        spark_sql_warehouse_dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.conf.set("spark.sql.shuffle.partitions", "8")
     session.sparkContext.setLogLevel("ERROR")

@@ -135,7 +135,7 @@ def test_matched_and_unmatched_make_the_left_side(spark, tables):
     assert sum(kinds.values()) == queries._keyed_funds(spark, tables).count()
     assert joined.filter("match_kind IS NULL AND holder_differs IS NOT NULL").count() == 0
     audit = matching.fuzzy_matches(joined)
-    assert audit.columns == ["state", "mplads_name", "matched_to", "similarity"]
+    assert audit.columns == ["state", "fund_seat", "matched_to", "similarity"]
     assert audit.count() == kinds.get("fuzzy", 0)
 
 
@@ -148,3 +148,17 @@ def test_fuzzy_matches_stay_in_their_block(spark):
 def test_fund_states(spark):
     rows = spark.createDataFrame([(" orissa ",), ("Goa",)], "s string")
     assert [r[0] for r in rows.select(matching.conform_fund_state(F.col("s"))).collect()] == ["Odisha", "Goa"]
+
+
+def test_published_funds(spark, tables, tmp_path):
+    from rollcall.catalogue import queries, samples
+    from rollcall.plans import funds
+
+    theirs = samples.run_sql(spark, tables, samples.CROSS_CHECK)
+    raw, silver = samples.funds(spark, tables), samples.silver(spark, tables)
+    funds.publish_funds(raw, silver, theirs, queries.RECONCILED, str(tmp_path))
+    meta = spark.read.json(f"{tmp_path}/meta").first()
+    count = lambda name: spark.read.text(f"{tmp_path}/{name}").count()
+    assert count("mps") == meta.seats and count("unmatched") == meta.unmatched and count("fuzzy_joins") == meta.fuzzy
+    assert count("comparisons") == 4
+    assert spark.read.json(f"{tmp_path}/audit").first().records_total == 10
