@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import lookups
 from . import samples
-from .queries import LATEST, LIST_BLOCK, NEEDLE, RECONCILED, SCARCE_BLOCK, STATE
+from .queries import FIRST, LATEST, LIST_BLOCK, NEEDLE, RECONCILED, SCARCE_BLOCK, STATE
 
 SPACE = r"[\s\p{Z}\x{85}]+"
 
@@ -186,8 +186,8 @@ WINNERS = """SELECT election_year, state, constituency, seat_category, name, par
 
 def board(label: str, by: str) -> str:
     return f"""SELECT '{label}' AS board,
-  row_number() OVER (PARTITION BY election_year ORDER BY {by} DESC, candidate_id NULLS LAST, name NULLS LAST,
-                     constituency NULLS LAST) AS rank,
+  CAST(row_number() OVER (PARTITION BY election_year ORDER BY {by} DESC, candidate_id NULLS LAST, name NULLS LAST,
+                          constituency NULLS LAST) AS INT) AS rank,
   election_year, name, party, state, constituency, assets, liabilities, criminal_cases, education, age,
   is_winner, candidate_id
 FROM silver WHERE {by} IS NOT NULL QUALIFY rank <= 50"""
@@ -419,7 +419,7 @@ _PAGE_FIELDS = f"""candidate_id AS entry_id, {collapse('state')} AS state, {coll
 
 ORACLES = {
     "jsonl_roundtrip": f"WITH {RAW} SELECT * EXCLUDE (is_bye_election) FROM raw",
-    "scan_pages": "SELECT page_id, length(html) AS n_chars, md5(html) AS digest FROM pages",
+    "scan_pages": "SELECT page_id, CAST(length(html) AS INT) AS n_chars, md5(html) AS digest FROM pages",
     "lineage_columns": "SELECT o_orderkey, 'orders feed' AS _source, '2024-08-01 10:30:00' AS _ingested_at FROM orders",
     "table_roundtrip": f"WITH {RAW} SELECT * FROM raw",
     "partitioned_roundtrip": f"WITH {RAW} SELECT * FROM raw WHERE election_year = {LATEST}",
@@ -443,14 +443,14 @@ FROM events""",
   count(*) FILTER (WHERE NOT is_bye_election) AS total_candidates,
   count(*) FILTER (WHERE NOT is_bye_election AND is_winner) AS total_winners,
   count(*) FILTER (WHERE is_bye_election) AS bye_election_rows_excluded FROM raw""",
-    "snapshot_diff": """WITH now AS (
-  SELECT o_custkey, count(*) AS n_new FROM orders WHERE o_custkey % 10 <> 1 GROUP BY o_custkey),
+    "snapshot_diff": f"""WITH o AS (SELECT *, CAST(year(o_orderdate) AS INT) AS order_year FROM orders),
+now AS (SELECT o_custkey, order_year, count(*) AS n_new FROM o WHERE order_year > {FIRST} GROUP BY ALL),
 was AS (
-  SELECT o_custkey, count(*) AS n_old, bool_or(o_orderpriority = '1-URGENT') AS changed
-  FROM orders WHERE o_custkey % 10 <> 0 GROUP BY o_custkey)
-SELECT o_custkey, CASE WHEN n_old IS NULL THEN 'new' WHEN n_new IS NULL THEN 'removed'
+  SELECT o_custkey, order_year, count(*) AS n_old, bool_or(o_orderpriority = '1-URGENT') AS changed
+  FROM o WHERE order_year < {LATEST} GROUP BY ALL)
+SELECT o_custkey, order_year, CASE WHEN n_old IS NULL THEN 'new' WHEN n_new IS NULL THEN 'removed'
        WHEN changed THEN 'updated' ELSE 'unchanged' END AS status, n_old, n_new
-FROM now FULL JOIN was USING (o_custkey)""",
+FROM now FULL JOIN was USING (o_custkey, order_year)""",
     "html_clean": f"SELECT page_id, {clean_html('html')} AS text FROM pages",
     "page_header": f"""WITH {RAW}, p AS (SELECT is_bye_election AS bye, {_PAGE_FIELDS} FROM raw)
 SELECT entry_id, constituency,

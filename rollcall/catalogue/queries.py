@@ -17,7 +17,7 @@ from ..streaming import ingest, merge
 from . import samples
 from .samples import candidates, silver, table, wide_table
 
-LATEST = 2001
+FIRST, LATEST = 1995, 2001
 STATE = "Goa"
 NEEDLE = "chi"
 
@@ -129,12 +129,12 @@ def run_meta(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    customer = F.col("o_custkey")
-    new = orders.filter(customer % 10 != 1)
+    """Two snapshots of a window that moved on by a year, urgent orders priced anew."""
+    orders = table(spark, folder, "orders").withColumn("order_year", F.year("o_orderdate"))
     raised = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    old = orders.filter(customer % 10 != 0).withColumn("o_totalprice", raised)
-    return changes.snapshot_diff(new, old, ["o_custkey"])
+    old = orders.filter(F.col("order_year") < LATEST).withColumn("o_totalprice", raised)
+    new = orders.filter(F.col("order_year") > FIRST)
+    return changes.snapshot_diff(new, old, ["o_custkey", "order_year"])
 
 
 # ---- extraction

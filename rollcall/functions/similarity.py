@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -16,26 +17,34 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longest)
 
 
-@F.pandas_udf(DoubleType())
-def _ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if x is None or y is None else SequenceMatcher(None, x, y).ratio()
-            for x, y in zip(a, b)
-        ],
-        dtype="float64",
-    )
+def _scorers() -> tuple[Callable[..., Column], Callable[..., Column]]:
+    """UDFs for one pair and for the best of several pairs per row.
 
+    Being local functions they travel to the executors whole; the package need not be there.
+    """
 
-@F.pandas_udf(DoubleType())
-def _ratcliff_best(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if x is None else max(SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y))
-            for x, y in zip(a, b)
-        ],
-        dtype="float64",
-    )
+    def one(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                None if x is None or y is None else SequenceMatcher(None, x, y).ratio()
+                for x, y in zip(a, b)
+            ],
+            dtype="float64",
+        )
+
+    def best(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                None if x is None else max(SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y))
+                for x, y in zip(a, b)
+            ],
+            dtype="float64",
+        )
+
+    return F.pandas_udf(one, DoubleType()), F.pandas_udf(best, DoubleType())
+
+
+_ratcliff, _ratcliff_best = _scorers()
 
 
 def ratcliff_ratio(a: Column, b: Column) -> Column:

@@ -123,6 +123,8 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -37,7 +37,7 @@ def read_pages(spark: SparkSession, folder: str, name_pattern: str = lookups.PAG
     path = F.col("_metadata.file_path")
     return spark.read.text(folder, wholetext=True).select(
         F.regexp_extract(path, name_pattern, 1).try_cast("int").alias("election_year"),
-        F.regexp_extract(path, name_pattern, 2).try_cast("int").alias("constituency_id"),
+        F.regexp_extract(path, name_pattern, 2).try_cast("bigint").alias("constituency_id"),
         path.alias("source_url"),
         F.col("value").alias("html"),
     )

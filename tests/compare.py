@@ -18,7 +18,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     for name in TABLES:
         path = Path(folder) / f"{name}.parquet"
         if path.exists():
-            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+            files = path / "*.parquet" if path.is_dir() else path
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
