@@ -23,7 +23,7 @@ HEADLINE = [
     "national_trends", "state_trends", "party_summary", "state_summary", "party_by_state", "education_dist",
     "age_by_state", "leaderboards", "repeat_entities", "winners_slice", "kpi_delta", "run_meta", "ingest_profile",
     "dedupe_report", "snapshot_diff", "parse_money", "html_clean", "title_case", "page_rows", "norm_key_join",
-    "fuzzy_join", "fuzzy_join_ratcliff", "name_match", "joined_funds", "state_utilisation", "reconcile",
+    "fuzzy_join", "fuzzy_join_levenshtein", "name_match", "joined_funds", "state_utilisation", "reconcile",
     "measures", "measures_two_pass", "stream_merge",
 ]
 

@@ -245,13 +245,51 @@ def similar(a: str, b: str) -> str:
     return f"(CASE WHEN {longest} = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein({a}, {b}) / {longest} END)"
 
 
-FUZZY = f"""{HOLDERS},
+def matched_letters(name: str, pairs: str) -> str:
+    """CTEs ending in {name}(a, b, score): the Ratcliff/Obershelp ratio of distinct pairs.
+
+    Each node is a range of both texts; its longest common run, the first in a and then in b,
+    splits it in two. The ratio is twice the letters in all runs over all letters.
+    """
+
+    def longest_run(nodes: str) -> str:
+        return f"""
+  SELECT a, b, al, ah, bl, bh, arg_max({{'i': i, 'j': j, 'n': n}}, (n, -i, -j)) AS run
+  FROM (SELECT *, len(list_filter(range(1, least(ah - i, bh - j) + 1),
+                                  lambda l: substr(a, i + 1, l) = substr(b, j + 1, l))) AS n
+        FROM (SELECT *, unnest(range(bl, bh)) AS j FROM (SELECT *, unnest(range(al, ah)) AS i FROM {nodes})))
+  GROUP BY a, b, al, ah, bl, bh HAVING max(n) > 0"""
+
+    return f"""
+{name}_nodes AS (
+  SELECT a, b, CAST(0 AS BIGINT) AS al, CAST(length(a) AS BIGINT) AS ah, CAST(0 AS BIGINT) AS bl,
+         CAST(length(b) AS BIGINT) AS bh FROM ({pairs}) WHERE a <> '' AND b <> ''
+  UNION ALL
+  SELECT a, b, part.al, part.ah, part.bl, part.bh FROM (
+    SELECT a, b, unnest([{{'al': al, 'ah': run.i, 'bl': bl, 'bh': run.j}},
+                         {{'al': run.i + run.n, 'ah': ah, 'bl': run.j + run.n, 'bh': bh}}]) AS part
+    FROM ({longest_run(f"{name}_nodes")}))
+  WHERE part.al < part.ah AND part.bl < part.bh),
+{name} AS (
+  SELECT a, b, 2.0::DOUBLE * sum(run.n) / (length(a) + length(b)) AS score
+  FROM ({longest_run(f"{name}_nodes")}) GROUP BY a, b)"""
+
+
+def fuzzy(metric: str) -> str:
+    """CTEs ending in fuzzy(block, key, matched_key, similarity), scored over all pairs of a block."""
+    pairs = "SELECT o.block, o.key, h.key AS matched_key FROM open_keys o JOIN holders h ON o.block = h.block"
+    if metric == "levenshtein":
+        scores = f"scores AS (SELECT *, {similar('key', 'matched_key')} AS score FROM ({pairs}))"
+    else:
+        distinct = f"SELECT DISTINCT key AS a, matched_key AS b FROM ({pairs})"
+        scores = f"""{matched_letters('place_ratio', distinct)},
+scores AS (
+  SELECT p.*, coalesce(r.score, 0.0) AS score FROM ({pairs}) p LEFT JOIN place_ratio r ON key = a AND matched_key = b)"""
+    return f"""{HOLDERS},
 open_keys AS (
   SELECT DISTINCT block, key FROM keyed k
   WHERE key <> '' AND NOT EXISTS (SELECT 1 FROM holders h WHERE h.block = k.block AND h.key = k.key)),
-scores AS (
-  SELECT o.block, o.key, h.key AS matched_key, {similar('o.key', 'h.key')} AS score
-  FROM open_keys o JOIN holders h ON o.block = h.block),
+{scores},
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY block, key ORDER BY score DESC, matched_key) AS place,
          lead(score) OVER (PARTITION BY block, key ORDER BY score DESC, matched_key) AS second
@@ -260,6 +298,7 @@ fuzzy AS (
   SELECT block, key, matched_key, round(score, 3) AS similarity FROM placed
   WHERE place = 1 AND score >= 0.88 AND (second IS NULL OR score - second >= 0.04))"""
 
+
 _TITLES = r"\b(" + "|".join(lookups.HONORIFICS) + r")\b\.?"
 
 
@@ -271,15 +310,22 @@ def clean_person(name: str, keep: bool) -> str:
     return f"array_to_string(list_filter(string_split({out}, ' '), lambda w: length(w) > 1), ' ')"
 
 
-def name_scores(source: str, key: str, a: str, b: str) -> str:
+def name_scores(source: str, key: str, a: str, b: str, metric: str) -> str:
     """CTEs ending in names(key, score) over the pairs (a, b) of a relation."""
     combos = " UNION ALL ".join(
         f"SELECT {key} AS id, {clean_person(a, x)} AS x, {clean_person(b, y)} AS y FROM {source}"
         for x in (False, True)
         for y in (False, True)
     )
-    jx, jy = "replace(x, ' ', '')", "replace(y, ' ', '')"
-    sx, sy = "array_to_string(list_sort(wx), ' ')", "array_to_string(list_sort(wy), ' ')"
+    forms = [("x", "y"), ("sx", "sy"), ("jx", "jy")]
+    if metric == "levenshtein":
+        best = f"greatest({', '.join(similar(p, q) for p, q in forms)})"
+        scored = f"scored AS (SELECT id, certain, {best} AS score FROM judged)"
+    else:
+        open_forms = " UNION ".join(f"SELECT {p} AS a, {q} AS b FROM judged WHERE NOT certain" for p, q in forms)
+        each = " UNION ALL ".join(f"SELECT id, certain, {p} AS p, {q} AS q FROM judged" for p, q in forms)
+        scored = f"""{matched_letters('name_ratio', open_forms)},
+scored AS (SELECT id, certain, coalesce(score, 0.0) AS score FROM ({each}) LEFT JOIN name_ratio ON p = a AND q = b)"""
     return f"""
 forms AS ({combos}),
 words AS (
@@ -287,18 +333,21 @@ words AS (
   FROM forms WHERE x <> '' AND y <> ''),
 sided AS (
   SELECT *, CASE WHEN len(wx) <= len(wy) THEN wx ELSE wy END AS small,
-         CASE WHEN len(wx) <= len(wy) THEN wy ELSE wx END AS large FROM words),
+         CASE WHEN len(wx) <= len(wy) THEN wy ELSE wx END AS large,
+         array_to_string(list_sort(wx), ' ') AS sx, array_to_string(list_sort(wy), ' ') AS sy,
+         replace(x, ' ', '') AS jx, replace(y, ' ', '') AS jy FROM words),
 judged AS (
-  SELECT id, x = y
+  SELECT *, x = y
          OR (list_has_all(large, small)
              AND (len(small) >= 2 OR len(list_filter(small, lambda w: length(w) >= 6)) > 0))
-         OR (length({jx}) >= 8 AND length({jy}) >= 8 AND (contains({jx}, {jy}) OR contains({jy}, {jx}))) AS certain,
-         greatest({similar('x', 'y')}, {similar(sx, sy)}, {similar(jx, jy)}) AS score
+         OR (length(jx) >= 8 AND length(jy) >= 8 AND (contains(jx, jy) OR contains(jy, jx))) AS certain
   FROM sided),
-names AS (SELECT id, CASE WHEN bool_or(certain) THEN 1.0::DOUBLE ELSE max(score) END AS score FROM judged GROUP BY id)"""
+{scored},
+names AS (SELECT id, CASE WHEN bool_or(certain) THEN 1.0::DOUBLE ELSE max(score) END AS score FROM scored GROUP BY id)"""
 
 
-JOINED = f"""{FUZZY},
+def joined(metric: str) -> str:
+    return f"""{fuzzy(metric)},
 linked AS (
   SELECT k.*, f.similarity, f.matched_key, h.state AS h_state, h.constituency AS h_seat, h.name AS winner_name,
          h.party, h.party_group, h.criminal_cases, h.assets, h.candidate_id,
@@ -306,7 +355,7 @@ linked AS (
   FROM keyed k LEFT JOIN fuzzy f ON k.block = f.block AND k.key = f.key
        LEFT JOIN holders h ON h.block = k.block AND h.key = coalesce(f.matched_key, k.key)),
 known AS (SELECT * FROM linked WHERE match_kind IS NOT NULL),
-{name_scores('known', 'mp_id', 'winner_name', 'mp_name')},
+{name_scores('known', 'mp_id', 'winner_name', 'mp_name', metric)},
 joined AS (
   SELECT coalesce(h_state, {title('state')}) AS state, coalesce(h_seat, {title('constituency')}) AS constituency,
          mp_id, mp_name, allocated, expenditure, pct_spent, works_recommended, works_sanctioned, works_completed,
@@ -316,6 +365,21 @@ joined AS (
          constituency AS fund_seat
   FROM linked LEFT JOIN names ON id = mp_id)"""
 
+
+JOINED = joined("ratcliff")
+
+NAME_PAIRS = f"pairs AS ({samples.for_duckdb(samples.NAME_PAIRS)})"
+
+
+def name_match(metric: str) -> str:
+    return f"""WITH RECURSIVE {NAME_PAIRS},
+{name_scores('pairs', 'c_custkey', 'pairs.a', 'pairs.b', metric)}
+SELECT c_custkey, a, b, coalesce(score, 0.0) AS similarity FROM pairs LEFT JOIN names ON id = c_custkey"""
+
+
+HOLDER_CHANGED = """SELECT constituency, state, winner_name, mp_name AS current_mp,
+  round(name_similarity, 2) AS name_similarity FROM joined WHERE holder_differs"""
+
 FUND_SEARCH = contains_any(["mp_name", "winner_name", "constituency", "party", "state"])
 
 CROSS = f"theirs AS ({samples.for_duckdb(samples.CROSS_CHECK)})"
@@ -503,14 +567,14 @@ SELECT {AGE_BAND} AS age_band, count(*) AS n, min(age) AS youngest, max(age) AS
   h.key IS NOT NULL AS matched FROM keyed k LEFT JOIN holders h ON k.block = h.block AND k.key = h.key""",
     "unmatched_rows": f"""WITH {HOLDERS} SELECT mp_id, state, constituency, mp_name FROM keyed k
 WHERE NOT EXISTS (SELECT 1 FROM holders h WHERE k.block = h.block AND k.key = h.key)""",
-    "fuzzy_join": f"WITH {FUZZY} SELECT * FROM fuzzy",
-    "name_match_levenshtein": f"""WITH pairs AS ({samples.for_duckdb(samples.NAME_PAIRS)}),
-{name_scores('pairs', 'c_custkey', 'a', 'b')}
-SELECT c_custkey, a, b, coalesce(score, 0.0) AS similarity FROM pairs LEFT JOIN names ON id = c_custkey""",
-    "joined_funds": f"WITH {JOINED} SELECT * FROM joined",
-    "holder_changed": f"""WITH {JOINED} SELECT constituency, state, winner_name, mp_name AS current_mp,
-  round(name_similarity, 2) AS name_similarity FROM joined WHERE holder_differs""",
-    "match_report": f"""WITH {JOINED} SELECT count(*) AS seats, count(*) FILTER (WHERE match_kind IS NULL) AS unmatched,
+    "fuzzy_join": f"WITH RECURSIVE {fuzzy('ratcliff')} SELECT * FROM fuzzy",
+    "fuzzy_join_levenshtein": f"WITH {fuzzy('levenshtein')} SELECT * FROM fuzzy",
+    "name_match": name_match("ratcliff"),
+    "name_match_levenshtein": name_match("levenshtein"),
+    "joined_funds": f"WITH RECURSIVE {JOINED} SELECT * FROM joined",
+    "holder_changed": f"WITH RECURSIVE {JOINED} {HOLDER_CHANGED}",
+    "holder_changed_levenshtein": f"WITH {joined('levenshtein')} {HOLDER_CHANGED}",
+    "match_report": f"""WITH RECURSIVE {JOINED} SELECT count(*) AS seats, count(*) FILTER (WHERE match_kind IS NULL) AS unmatched,
   count(*) FILTER (WHERE match_kind = 'fuzzy') AS fuzzy, count(*) FILTER (WHERE allocated <> 0) AS with_allocation,
   (SELECT count(*) FROM funds_raw) - count(*) AS rows_dropped,
   {ratio('100 * count(match_kind)', 'count(*)', 1)} AS match_rate_pct FROM joined""",
@@ -525,17 +589,17 @@ SELECT count(*) AS records_total, count(*) FILTER (WHERE mine) AS records_subset
   CAST(round(sum("totalExpenditure") FILTER (WHERE mine)) AS BIGINT) AS subset_expenditure,
   CAST(sum("completedWorksCount") FILTER (WHERE mine) AS BIGINT) AS subset_works_completed,
   CAST(sum("recommendedWorksCount") FILTER (WHERE mine) AS BIGINT) AS subset_works_recommended FROM t""",
-    "state_utilisation": f"""WITH {JOINED} SELECT state, count(*) AS seats, CAST(sum(allocated) AS BIGINT) AS allocated,
+    "state_utilisation": f"""WITH RECURSIVE {JOINED} SELECT state, count(*) AS seats, CAST(sum(allocated) AS BIGINT) AS allocated,
   CAST(sum(expenditure) AS BIGINT) AS expenditure, CAST(sum(works_completed) AS BIGINT) AS works_completed,
   {ratio('100 * sum(expenditure)', 'sum(allocated)', 1)} AS pct_spent FROM joined WHERE allocated <> 0 GROUP BY state""",
-    "funds_kpis": f"""WITH {JOINED}, s AS (
+    "funds_kpis": f"""WITH RECURSIVE {JOINED}, s AS (
   SELECT coalesce(CAST(sum(allocated) AS BIGINT), 0) AS allocated,
          coalesce(CAST(sum(expenditure) FILTER (WHERE allocated <> 0) AS BIGINT), 0) AS expenditure,
          coalesce(CAST(sum(works_completed) AS BIGINT), 0) AS works_completed,
          coalesce(CAST(sum(works_recommended) AS BIGINT), 0) AS works_recommended
   FROM joined WHERE {FUND_SEARCH})
 SELECT *, {ratio('100 * expenditure', 'allocated', 1)} AS pct_spent FROM s""",
-    "funds_slice": f"WITH {JOINED} SELECT * FROM joined WHERE {FUND_SEARCH}",
+    "funds_slice": f"WITH RECURSIVE {JOINED} SELECT * FROM joined WHERE {FUND_SEARCH}",
     "measures": f"""WITH l AS (
   SELECT l_returnflag, l_linestatus, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
          CAST(l_quantity AS INT) AS quantity, CASE WHEN l_tax > 0 THEN l_discount > 0.05 END AS deep FROM lineitem)

@@ -342,14 +342,14 @@ def unmatched_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def fuzzy_join(spark: SparkSession, folder: str, metric: str = "levenshtein") -> DataFrame:
+def fuzzy_join(spark: SparkSession, folder: str, metric: str = "ratcliff") -> DataFrame:
     return matching.fuzzy_join(
         stage(_keyed_funds(spark, folder), "funds"), stage(_holders(spark, folder), "holders"), metric=metric
     )
 
 
-def fuzzy_join_ratcliff(spark: SparkSession, folder: str) -> DataFrame:
-    return fuzzy_join(spark, folder, "ratcliff")
+def fuzzy_join_levenshtein(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy_join(spark, folder, "levenshtein")
 
 
 def name_match(spark: SparkSession, folder: str, metric: str = "ratcliff") -> DataFrame:
@@ -361,7 +361,7 @@ def name_match_levenshtein(spark: SparkSession, folder: str) -> DataFrame:
     return name_match(spark, folder, "levenshtein")
 
 
-def joined_funds(spark: SparkSession, folder: str, metric: str = "levenshtein") -> DataFrame:
+def joined_funds(spark: SparkSession, folder: str, metric: str = "ratcliff") -> DataFrame:
     return fund_plan.joined_funds(samples.funds(spark, folder), silver(spark, folder), metric)
 
 
@@ -369,8 +369,8 @@ def holder_changed(spark: SparkSession, folder: str) -> DataFrame:
     return matching.holder_changes(joined_funds(spark, folder))
 
 
-def holder_changed_ratcliff(spark: SparkSession, folder: str) -> DataFrame:
-    return matching.holder_changes(joined_funds(spark, folder, "ratcliff"))
+def holder_changed_levenshtein(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.holder_changes(joined_funds(spark, folder, "levenshtein"))
 
 
 def match_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -554,12 +554,12 @@ QUERIES = {
     "norm_key_join": norm_key_join,
     "unmatched_rows": unmatched_rows,
     "fuzzy_join": fuzzy_join,
-    "fuzzy_join_ratcliff": fuzzy_join_ratcliff,
+    "fuzzy_join_levenshtein": fuzzy_join_levenshtein,
     "name_match": name_match,
     "name_match_levenshtein": name_match_levenshtein,
     "joined_funds": joined_funds,
     "holder_changed": holder_changed,
-    "holder_changed_ratcliff": holder_changed_ratcliff,
+    "holder_changed_levenshtein": holder_changed_levenshtein,
     "match_report": match_report,
     "reconcile": reconciliation,
     "consistency_audit": lambda spark, folder: reconcile.consistency_audit(
