@@ -157,13 +157,12 @@ def page_special_flag(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-LIST_BLOCK = {"block": r"(?is)<ul.*?</ul>", "row": r"(?is)<li>(.*?)</li>", "width": None}
+LIST_BLOCK = {"block": r"(?is)<ul.*?</ul>", "row": r"(?is)<li>(.*?)</li>"}
 
 
 SCARCE_BLOCK = {
     "block": r"(?is)<ul.*?</ul>",
     "row": r'(?is)<li><a href="/[a-z]{11,}">(.*?)</a>',
-    "width": None,
 }
 
 
@@ -597,7 +596,7 @@ QUERIES = {
         candidates(spark, folder), ["election_year", "constituency_id"]
     ),
     "rejected_pages": lambda spark, folder: extract.split_pages(
-        wide_table(spark, folder, "pages"), **SCARCE_BLOCK
+        wide_table(spark, folder, "pages"), rows=extract.best_block(F.col("html"), **SCARCE_BLOCK)
     )[1].select("page_id", "n_rows", "reason"),
     "kpi_delta": lambda spark, folder: slices.kpi_delta(_state_trends(spark, folder), ["state", "cohort"]),
     "trend_insights": lambda spark, folder: slices.trend_insights(_state_trends(spark, folder), ["state", "cohort"]),

@@ -35,31 +35,36 @@ def special_contest(state: Column) -> Column:
     )
 
 
-def best_block(
-    page: Column,
-    block: str = lookups.TABLE,
-    row: str = lookups.TABLE_ROW,
-    cell: str = lookups.TABLE_CELL,
-    width: int | None = 8,
-) -> Column:
-    """Rows of the block with the most rows of `width` cells, the first one on a tie.
-
-    `width=None` counts every row.
-    """
+def _largest(lists: Column, empty: str) -> Column:
+    """The longest of several arrays, the first one on a tie; an empty array if there is none."""
+    ranked = F.transform(
+        lists,
+        lambda held, i: F.struct(F.size(held).alias("n"), (-i).alias("first"), held.alias("held")),
+    )
+    return F.coalesce(F.array_max(ranked)["held"], F.array().cast(empty))
 
-    def rows_of(text: Column) -> Column:
-        found = F.regexp_extract_all(text, F.lit(row), F.lit(1))
-        if width is None:
-            return found
-        return F.filter(
-            found, lambda r: F.size(F.regexp_extract_all(r, F.lit(cell), F.lit(1))) == width
-        )
 
-    ranked = F.transform(
-        F.transform(F.regexp_extract_all(page, F.lit(block), F.lit(0)), rows_of),
-        lambda rows, i: F.struct(F.size(rows).alias("n"), (-i).alias("first"), rows.alias("rows")),
+def best_block(page: Column, block: str, row: str) -> Column:
+    """Rows of the block with the most rows, the first one on a tie."""
+    rows = F.transform(
+        F.regexp_extract_all(page, F.lit(block), F.lit(0)),
+        lambda text: F.regexp_extract_all(text, F.lit(row), F.lit(1)),
     )
-    return F.coalesce(F.array_max(ranked)["rows"], F.array().cast("array<string>"))
+    return _largest(rows, "array<string>")
+
+
+def best_table(page: Column, width: int = 8) -> Column:
+    """Rows, as arrays of cells, of the table with the most rows of `width` cells."""
+
+    def cells_of(row: Column) -> Column:
+        return F.regexp_extract_all(row, F.lit(lookups.TABLE_CELL), F.lit(1))
+
+    def rows_of(table: Column) -> Column:
+        rows = F.regexp_extract_all(table, F.lit(lookups.TABLE_ROW), F.lit(1))
+        return F.filter(F.transform(rows, cells_of), lambda cells: F.size(cells) == width)
+
+    tables = F.regexp_extract_all(page, F.lit(lookups.TABLE), F.lit(0))
+    return _largest(F.transform(tables, rows_of), "array<array<string>>")
 
 
 def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -71,9 +76,6 @@ def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
     """
     kept = [c for c in pages.columns if c != page]
 
-    def split_cells(row: Column) -> Column:
-        return F.regexp_extract_all(row, F.lit(lookups.TABLE_CELL), F.lit(1))
-
     def read_cells(cells: Column) -> Column:
         return F.struct(
             F.get(cells, F.lit(1)).alias("name_cell"), F.transform(cells, clean_html).alias("text")
@@ -88,7 +90,7 @@ def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
         pages.select(
             *kept,
             page_header(F.col(page)).alias("_header"),
-            F.transform(F.transform(best_block(F.col(page)), split_cells), read_cells).alias("_rows"),
+            F.transform(best_table(F.col(page)), read_cells).alias("_rows"),
         )
         .withColumn("_contest", special_contest(F.col("_header.state")))
         .select(*kept, "_header", "_contest", F.explode_outer("_rows").alias("_row"))
@@ -111,9 +113,15 @@ def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
     )
 
 
-def split_pages(pages: DataFrame, page: str = "html", **layout) -> tuple[DataFrame, DataFrame]:
-    """Pages with rows, and rejected pages with the reason; a bad page never stops the others."""
-    counted = pages.withColumn("n_rows", F.size(best_block(F.col(page), **layout)))
+def split_pages(
+    pages: DataFrame, page: str = "html", rows: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Pages with rows, and rejected pages with the reason; a bad page never stops the others.
+
+    `rows` is the array a page is judged by, the candidate table unless given.
+    """
+    found = best_table(F.col(page)) if rows is None else rows
+    counted = pages.withColumn("n_rows", F.size(found))
     reason = F.when(F.coalesce(F.trim(page), F.lit("")) == "", "empty page").otherwise("no rows")
     return (
         counted.filter("n_rows > 0"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups
@@ -138,28 +136,39 @@ BOARD_COLUMNS = [
 ]
 
 
-def top_n(df: DataFrame, by: str, label: str, n: int = 50) -> DataFrame:
-    """Leading `n` rows per year. Each map task forwards at most `n` rows per year."""
+def leaderboards(df: DataFrame, boards: dict[str, str] | None = None, n: int = 50) -> DataFrame:
+    """Leading `n` rows per board and year, one scan for all boards.
+
+    Rows without the board's measure are left out. Each map task forwards at most `n` rows per
+    board and year.
+    """
+    boards = boards or {lookups.RICHEST: "assets", lookups.MOST_CASES: "criminal_cases"}
+    entries = F.array(
+        *[
+            F.struct(F.lit(label).alias("board"), F.col(by).cast("bigint").alias("measure"))
+            for label, by in boards.items()
+        ]
+    )
     order = [
-        F.col(by).desc(),
+        F.col("_entry.measure").desc(),
         F.col("candidate_id").asc_nulls_last(),
         F.col("name").asc_nulls_last(),
         F.col("constituency").asc_nulls_last(),
     ]
-    place = F.row_number().over(Window.partitionBy("election_year").orderBy(*order))
+    place = F.row_number().over(Window.partitionBy("board", "election_year").orderBy(*order))
     return (
-        df.filter(F.col(by).isNotNull())
+        df.withColumn("_entry", F.explode(entries))
+        .filter(F.col("_entry.measure").isNotNull())
+        .withColumn("board", F.col("_entry.board"))
         .withColumn("rank", place)
         .filter(F.col("rank") <= n)
-        .withColumn("board", F.lit(label))
         .select(*BOARD_COLUMNS)
     )
 
 
-def leaderboards(df: DataFrame, boards: dict[str, str] | None = None, n: int = 50) -> DataFrame:
-    boards = boards or {lookups.RICHEST: "assets", lookups.MOST_CASES: "criminal_cases"}
-    parts = [top_n(df, by, label, n) for label, by in boards.items()]
-    return reduce(DataFrame.unionByName, parts)
+def top_n(df: DataFrame, by: str, label: str, n: int = 50) -> DataFrame:
+    """One board."""
+    return leaderboards(df, {label: by}, n)
 
 
 def person_key(name: str = "name") -> Column:

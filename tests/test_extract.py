@@ -48,8 +48,8 @@ def test_rows(spark):
 
 def test_first_table_wins_a_tie(spark):
     page = "<table>" + row(1, "first") + "</table><table>" + row(2, "second") + "</table>"
-    rows = spark.createDataFrame([(page,)], "html string").select(F.explode(extract.best_block(F.col("html")))).collect()
-    assert len(rows) == 1 and "first" in rows[0][0]
+    rows = spark.createDataFrame([(page,)], "html string").select(F.explode(extract.best_table(F.col("html")))).collect()
+    assert len(rows) == 1 and "first" in rows[0][0][1]
 
 
 def test_rejected_pages(spark):
