@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups, similarity, text
@@ -15,10 +13,6 @@ MIN_MARGIN = 0.04
 _SLACK = 1e-9
 
 
-def _same(left: str, right: str, columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in columns])
-
-
 def conform_fund_state(state: Column) -> Column:
     """The conformed state name of the funds source, matched on trimmed upper case."""
     table = F.create_map(*[F.lit(p) for pair in lookups.FUND_STATE_ALIASES.items() for p in pair])
@@ -89,6 +83,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
     drops most of the rest before anything is scored. The join is always shuffled: pieces are many
     times larger than the keys they are cut from, which a size estimate does not see.
     """
+
     def with_pieces(keys: DataFrame, mine: str, other: str) -> DataFrame:
         reach = _lengths_in_reach(metric, floor, F.col(mine))
         first, size = _piece_bounds(F.col("rlen"), F.col("k") + 1, F.col("i"))

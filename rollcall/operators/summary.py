@@ -1,7 +1,7 @@
 """Grouped measures with an exact median.
 
 A median needs the values of a group in order, and a group may hold a third of all rows. Up to
-`ONE_PASS_ROWS` input rows (a checked count) Spark's own percentile holds them in one pass. Beyond
+`ONE_PASS_ROWS` input rows (a checked count) one aggregation sorts the values of each group. Beyond
 that it is found in two passes that never bring a group's rows together:
 
 1. One aggregation gives, per group, the measures and a histogram of the value over buckets whose
@@ -9,8 +9,9 @@ that it is found in two passes that never bring a group's rows together:
    rows are combined before the shuffle. The histogram tells which bucket holds the middle row.
 2. Only rows of that bucket are counted, per distinct value, again combined before the shuffle.
 
-What one task sees of a group is bounded by the number of buckets, and then by the number of
-distinct whole numbers in one bucket, not by the number of rows.
+What one task sees of a group is bounded by the number of buckets, and then by the distinct whole
+numbers in one bucket. Should a middle bucket have room for more than `MAX_VALUES` of them, further
+passes cut it into finer buckets first.
 """
 
 from __future__ import annotations
@@ -19,77 +20,116 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.text import let
 from ..functions.values import whole_div
 from ..session import stage
 
-BUCKETS_PER_E = 256
 ONE_PASS_ROWS = 1_000_000
+MAX_VALUES = 5_000_000
+# Buckets per factor of e. Powers of two, so that a finer bucket lies inside one coarser bucket.
+RESOLUTIONS = [2**8, 2**16, 2**24]
 
 
-def _bucket(value: Column) -> Column:
+def _bucket(value: Column, resolution: int) -> Column:
     """Never falls as `value` rises; null for null."""
-    size = F.floor(F.ln(F.abs(value.cast("double")) + 1) * BUCKETS_PER_E)
+    size = F.floor(F.ln(F.abs(value.cast("double")) + 1) * resolution)
     return (F.signum(value.cast("double")) * size).cast("int")
 
 
+def _room(resolution: int) -> Column:
+    """Distinct whole numbers a bucket can hold: no more than its rows, nor than its width."""
+    width = F.exp(F.abs("_bucket") / resolution) / resolution + 1
+    return F.least(F.col("_held").cast("double"), width)
+
+
 def _same(left: str, right: str, keys: list[str]) -> Column:
     tests = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
     return reduce(lambda a, b: a & b, tests)
 
 
+def _halfway(a: Column, b: Column) -> Column:
+    """Mean of two whole numbers, truncated; their sum may be beyond a bigint."""
+    return whole_div(a.cast("decimal(20,0)") + b.cast("decimal(20,0)"), F.lit(2).cast("decimal(1,0)"))
+
+
 def _middle_ranks(held: Column, kind: str) -> Column:
     lower = whole_div(held + 1, F.lit(2))
     if kind == "lower":
         return F.array(lower)
-    if kind == "interp":
-        return F.array_distinct(F.array(lower, whole_div(held, F.lit(2)) + 1))
-    raise ValueError(f"unknown median kind {kind!r}")
-
-
-def _middle_buckets(histogram: DataFrame, keys: list[str], kind: str) -> DataFrame:
-    """Per group: the bucket(s) with the middle row(s) and the rank(s) inside the bucket."""
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = histogram.select(
-        *keys,
-        "_bucket",
-        (F.sum("_held").over(upto) - F.col("_held")).alias("_before"),
-        "_held",
-        _middle_ranks(F.sum("_held").over(group), kind).alias("_ranks"),
-    )
+    return F.array_distinct(F.array(lower, whole_div(held, F.lit(2)) + 1))
+
+
+def _locate(histogram: DataFrame, group: list[str], ranks: Column) -> DataFrame:
+    """Per group: the bucket(s) that hold the asked ranks, and those ranks inside the bucket."""
+    upto = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     inside = F.filter(
         F.transform("_ranks", lambda r: r - F.col("_before")),
         lambda r: (r >= 1) & (r <= F.col("_held")),
     )
     return (
-        ranked.select(*keys, "_bucket", inside.alias("_ranks"))
+        histogram.withColumn("_ranks", ranks)
+        .withColumn("_before", F.sum("_held").over(upto) - F.col("_held"))
+        .withColumn("_ranks", inside)
         .filter(F.size("_ranks") > 0)
+        .drop("_before")
     )
 
 
-def _refine(df: DataFrame, keys: list[str], value: str, targets: DataFrame, name: str) -> DataFrame:
-    rows = df.select(*keys, F.col(value).alias("_value"), _bucket(F.col(value)).alias("_bucket"))
+def _in_targets(
+    df: DataFrame, keys: list[str], value: str, targets: DataFrame, resolution: int
+) -> DataFrame:
+    """Values of the rows that fall into a middle bucket, with the bucket and its ranks."""
+    rows = df.select(
+        *keys, F.col(value).alias("_value"), _bucket(F.col(value), resolution).alias("_bucket")
+    )
     at = [*keys, "_bucket"]
-    counted = (
+    return (
         rows.alias("r")
         .join(targets.alias("t"), _same("r", "t", at))
-        .groupBy(*[F.col(f"r.{k}").alias(k) for k in at], F.col("t._ranks").alias("_ranks"), "_value")
+        .select("r.*", "t._ranks")
+    )
+
+
+def _narrow(
+    df: DataFrame, keys: list[str], value: str, targets: DataFrame, coarse: int, fine: int
+) -> DataFrame:
+    """The middle buckets at a finer resolution."""
+    within = [*keys, "_coarse"]
+    histogram = (
+        _in_targets(df, keys, value, targets, coarse)
+        .withColumnRenamed("_bucket", "_coarse")
+        .withColumn("_bucket", _bucket(F.col("_value"), fine))
+        .groupBy(*within, "_bucket", "_ranks")
+        .agg(F.count(F.lit(1)).alias("_held"))
+    )
+    return _locate(histogram, within, F.col("_ranks")).drop("_coarse")
+
+
+def _medians(
+    df: DataFrame, keys: list[str], value: str, targets: DataFrame, resolution: int, name: str
+) -> DataFrame:
+    at = [*keys, "_bucket"]
+    counted = (
+        _in_targets(df, keys, value, targets, resolution)
+        .groupBy(*at, "_ranks", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     upto = Window.partitionBy(*at).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("_upto", F.sum("_n").over(upto)).filter(
         F.exists("_ranks", lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n")))
     )
-    middle = whole_div(F.min("_value") + F.max("_value"), F.lit(2))
-    return placed.groupBy(*keys).agg(middle.cast("bigint").alias(name))
+    return placed.groupBy(*keys).agg(
+        _halfway(F.min("_value"), F.max("_value")).cast("bigint").alias(name)
+    )
 
 
 def _one_pass_median(value: str, kind: str) -> Column:
-    if kind == "lower":
-        return F.percentile_approx(value, 0.5, 1_000 * ONE_PASS_ROWS)
-    if kind == "interp":
-        return F.percentile(value, 0.5).cast("bigint")
-    raise ValueError(f"unknown median kind {kind!r}")
+    def middle(held: Column) -> Column:
+        low = F.get(held, whole_div(F.size(held) - 1, F.lit(2)).cast("int"))
+        high = F.get(held, whole_div(F.size(held), F.lit(2)).cast("int"))
+        return low if kind == "lower" else _halfway(low, high)
+
+    return let(F.sort_array(F.collect_list(value)), middle).cast("bigint")
 
 
 def summarise(
@@ -109,10 +149,13 @@ def summarise(
     named = [m.alias(name) for name, m in measures.items()]
     if median_of is None:
         return df.groupBy(*keys).agg(*named)
+    if kind not in ("lower", "interp"):
+        raise ValueError(f"unknown median kind {kind!r}")
     median_name = median_name or f"median_{median_of}"
     if one_pass_rows and df.count() <= min(one_pass_rows, ONE_PASS_ROWS):
         return df.groupBy(*keys).agg(*named, _one_pass_median(median_of, kind).alias(median_name))
-    bucketed = df.withColumn("_bucket", _bucket(F.col(median_of)))
+    resolution, *finer = RESOLUTIONS
+    bucketed = df.withColumn("_bucket", _bucket(F.col(median_of), resolution))
     both = stage(
         bucketed.groupingSets([keys, [*keys, "_bucket"]], *keys, "_bucket").agg(
             F.grouping("_bucket").alias("_whole"),
@@ -123,8 +166,14 @@ def summarise(
     )
     totals = both.filter("_whole = 1").select(*keys, *measures)
     histogram = both.filter("_whole = 0 AND _held > 0").select(*keys, "_bucket", "_held")
-    targets = stage(_middle_buckets(histogram, keys, kind), "middle")
-    medians = _refine(df, keys, median_of, targets, median_name)
+    held = F.sum("_held").over(Window.partitionBy(*keys))
+    targets = stage(_locate(histogram, keys, _middle_ranks(held, kind)), "middle")
+    for fine in finer:
+        if targets.filter(_room(resolution) > MAX_VALUES).isEmpty():
+            break
+        targets = stage(_narrow(df, keys, median_of, targets, resolution, fine), "middle")
+        resolution = fine
+    medians = _medians(df, keys, median_of, targets, resolution, median_name)
     return (
         totals.alias("a")
         .join(medians.alias("m"), _same("a", "m", keys), "left")

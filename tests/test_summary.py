@@ -5,6 +5,7 @@ import statistics
 
 import pytest
 
+from rollcall.operators import summary
 from rollcall.operators.summary import exact_median
 
 
@@ -16,8 +17,9 @@ def wanted(values, kind):
 
 
 @pytest.mark.parametrize("kind", ["lower", "interp"])
-@pytest.mark.parametrize("one_pass_rows", [0, 1_000_000])
-def test_median(spark, kind, one_pass_rows):
+@pytest.mark.parametrize("one_pass_rows,max_values", [(0, 5_000_000), (0, 3), (1_000_000, 5_000_000)])
+def test_median(spark, monkeypatch, kind, one_pass_rows, max_values):
+    monkeypatch.setattr(summary, "MAX_VALUES", max_values)
     rng = random.Random(7)
     groups = {
         "hot": [rng.choice([0, 0, 0, 5, 7 * 10**6, rng.randrange(10**9)]) for _ in range(4000)],
@@ -26,6 +28,7 @@ def test_median(spark, kind, one_pass_rows):
         "one": [42],
         "none": [None, None],
         "near": [10**8 + i for i in range(1001)],
+        "huge": [9 * 10**18 - i for i in range(501)] + [10**15 + 7 * i for i in range(500)],
         None: [9, 8, 7],
     }
     rows = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v long")
