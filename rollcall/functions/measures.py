@@ -22,7 +22,7 @@ def total(col: Column) -> Column:
 def share(flag: Column, digits: int = 1, null_as_false: bool = False) -> Column:
     """Percent of true. Null leaves the denominator unless `null_as_false`."""
     seen = rows() if null_as_false else F.count(flag)
-    return ratio(F.count_if(flag) * 100, seen, digits)
+    return ratio(F.count_if(flag), seen, digits, times=100)
 
 
 def share_ge(col: Column, threshold: int, digits: int = 1, null_as_false: bool = False) -> Column:

@@ -12,15 +12,18 @@ def whole_div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def ratio(num: Column, den: Column, digits: int) -> Column:
-    """`num / den` rounded half up (away from zero) on the exact value; null unless den > 0.
+def ratio(num: Column, den: Column, digits: int, times: int = 1) -> Column:
+    """`times * num / den` rounded half up (away from zero) on the exact value; null unless den > 0.
 
-    Whole-number arithmetic keeps the result independent of the order rows are added in.
+    Whole-number arithmetic keeps the result independent of the order rows are added in, and
+    decimals leave room for sums near the end of the bigint range.
     """
-    scaled = F.abs(num.cast("bigint")) * F.lit(2 * 10**digits)
-    den = den.cast("bigint")
-    rounded = whole_div(scaled + den, den * 2) * F.signum(num.cast("double")).cast("bigint")
-    return F.when(den > 0, rounded / F.lit(float(10**digits)))
+    wide = "decimal(38,0)"
+    scaled = F.abs(num.cast(wide)) * F.lit(2 * times * 10**digits).cast("decimal(10,0)")
+    den = den.cast(wide)
+    rounded = whole_div(scaled + den, den * F.lit(2).cast("decimal(1,0)"))
+    sign = F.signum(num.cast("double")).cast("bigint")
+    return F.when(den > 0, rounded * sign / F.lit(float(10**digits)))
 
 
 def non_negative(col: Column) -> Column:

@@ -165,4 +165,4 @@ def flatten_hierarchy(states: DataFrame) -> DataFrame:
 
 
 def pct_spent(spent: str = "expenditure", allocated: str = "allocated") -> Column:
-    return ratio(F.col(spent) * 100, F.col(allocated), 1)
+    return ratio(F.col(spent), F.col(allocated), 1, times=100)

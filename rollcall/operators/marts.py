@@ -63,7 +63,7 @@ def party_summary(df: DataFrame, min_n: int = 5, kind: str = "lower") -> DataFra
     grouped = summarise(
         df, ["election_year", "party_group"], measures, "assets", "median_assets", kind
     )
-    strike = ratio(F.col("seats_won") * 100, F.col("candidates"), 1)
+    strike = ratio(F.col("seats_won"), F.col("candidates"), 1, times=100)
     return grouped.withColumn("strike_rate", strike).filter(F.col("candidates") >= min_n)
 
 
@@ -205,7 +205,7 @@ def repeat_entities(df: DataFrame, key: Column | None = None, limit: int | None
         .filter(F.col("elections_contested") >= 2)
         .withColumn(
             "asset_growth_pct",
-            ratio((F.col("max_assets") - F.col("min_assets")) * 100, F.col("min_assets"), 0),
+            ratio(F.col("max_assets") - F.col("min_assets"), F.col("min_assets"), 0, times=100),
         )
         .drop("_key")
     )

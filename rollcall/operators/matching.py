@@ -245,5 +245,5 @@ def match_report(joined: DataFrame, copies_dropped: DataFrame) -> DataFrame:
     both = seats.unionByName(copies_dropped.select("rows_dropped"), allowMissingColumns=True)
     names = ["seats", "unmatched", "fuzzy", "with_allocation", "rows_dropped"]
     counts = both.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-    rate = ratio((F.col("seats") - F.col("unmatched")) * 100, F.col("seats"), 1)
+    rate = ratio(F.col("seats") - F.col("unmatched"), F.col("seats"), 1, times=100)
     return counts.withColumn("match_rate_pct", rate)

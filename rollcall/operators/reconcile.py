@@ -24,7 +24,7 @@ def state_utilisation(df: DataFrame) -> DataFrame:
             _sum("works_completed").alias("works_completed"),
         )
         .filter("allocated > 0")
-        .withColumn("pct_spent", ratio(F.col("expenditure") * 100, F.col("allocated"), 1))
+        .withColumn("pct_spent", ratio(F.col("expenditure"), F.col("allocated"), 1, times=100))
         .orderBy(F.col("pct_spent").desc(), "state")
     )
 
@@ -48,7 +48,7 @@ def reconcile(ours: DataFrame, theirs: DataFrame, metrics: dict[str, tuple[str,
         .join(long_form(theirs, 1, "theirs"), "metric")
         .filter("ours <> 0 AND theirs <> 0")
         .withColumn("delta", F.col("ours") - F.col("theirs"))
-        .withColumn("pct_delta", ratio(F.col("delta") * 100, F.col("theirs"), 2))
+        .withColumn("pct_delta", ratio(F.col("delta"), F.col("theirs"), 2, times=100))
     )
 
 
@@ -68,7 +68,7 @@ def consistency_audit(df: DataFrame, house: str = "Lok Sabha") -> DataFrame:
         F.count_if(subset).alias("records_subset"),
         (rows() - F.count_if(subset)).alias("records_other"),
         wrong.alias("records_completed_exceeds_recommended"),
-        ratio(wrong * 100, rows(), 1).alias("pct_inconsistent"),
+        ratio(wrong, rows(), 1, times=100).alias("pct_inconsistent"),
         F.round(subset_sum("allocatedAmount")).cast("bigint").alias("subset_allocated"),
         F.round(subset_sum("totalExpenditure")).cast("bigint").alias("subset_expenditure"),
         subset_sum("completedWorksCount").alias("subset_works_completed"),
@@ -85,4 +85,4 @@ def funds_kpis(df: DataFrame) -> DataFrame:
         _sum("works_completed").alias("works_completed"),
         _sum("works_recommended").alias("works_recommended"),
     )
-    return sums.withColumn("pct_spent", ratio(F.col("expenditure") * 100, F.col("allocated"), 1))
+    return sums.withColumn("pct_spent", ratio(F.col("expenditure"), F.col("allocated"), 1, times=100))

@@ -138,6 +138,12 @@ def test_ratio_is_exact(spark):
             assert got == (whole if n >= 0 else -whole) / 100
 
 
+def test_ratio_of_large_sums(spark):
+    rows = spark.createDataFrame([(9 * 10**18, 9 * 10**18), (-(9 * 10**18), 8 * 10**18)], "n long, d long")
+    got = [r[0] for r in rows.select(values.ratio(F.col("n"), F.col("d"), 2, times=100)).collect()]
+    assert got == [100.0, -112.5]
+
+
 def test_money_display(spark):
     figures = [None, 0, 999, 1_000, 99_499, 150_000, 100_000, 1_500_000, 12_345_678, 20_000_000, 309_168_330, 1_000_000_000]
     assert apply(spark, values.format_inr, figures, "bigint") == [
