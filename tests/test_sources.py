@@ -123,3 +123,10 @@ def test_whole_run(spark, tables, tmp_path):
     assert repeats.count() == min(500, marts.repeat_entities(silver).count())
     flat = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/candidates")
     assert flat.columns == exports.FLAT_COLUMNS and flat.count() == meta.total_candidates + meta.bye_election_rows_excluded
+
+
+def test_typed_rows(spark):
+    row = {"tenure": "18", "state": "Goa", "allocated": 5}
+    rows = named.from_rows(spark, [row], schemas.FUND)
+    assert rows.schema == schemas.FUND
+    assert (rows.first().allocated, rows.first().expenditure) == (5, None)
