@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
@@ -36,6 +36,8 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=1)
         self._pairs: dict[int, bool] = {}
         self._spines: dict[int, tuple[list[int], list[int]] | None] = {}
+        #: Every ending of every token, with the token that it is itself or -1.
+        self._endings = {token[i:]: -1 for token in ranks for i in range(len(token))} | ranks
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -114,11 +116,14 @@ class PrefixTable:
         self.append(data)
 
     def _solve(self, end: int, last: list[int]) -> int:
+        """Tries the tokens that end here, shortest first; no longer one can once the bytes end none."""
         v, data = self.vocabulary, self.data
-        ranks, spines, pairs = v.ranks, v._spines, v._pairs
-        for start in range(max(0, end - v.longest), end):
-            token = ranks.get(data[start:end])
-            if token is None or (spines[token] if token in spines else v.spines(token)) is None:
+        endings, spines, pairs = v._endings, v._spines, v._pairs
+        for start in range(end - 1, -1, -1):
+            token = endings.get(data[start:end])
+            if token is None:
+                break
+            if token < 0 or (spines[token] if token in spines else v.spines(token)) is None:
                 continue
             if start == 0:
                 return token
@@ -127,6 +132,15 @@ class PrefixTable:
                 return token
         raise ValueError("the vocabulary lacks a single byte")
 
+    def become(self, data: bytes) -> None:
+        """Makes this the table of `data`, keeping the rows of the prefix that both share."""
+        same, least = 0, min(len(data), len(self.data))
+        while same < least and data[same] == self.data[same]:
+            same += 1
+        del self.last[same:]
+        self.data = data[:same]
+        self.append(data[same:])
+
     def append(self, more: bytes) -> None:
         at = len(self.data)
         self.data += more
@@ -166,26 +180,23 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.solved: dict[str, list[int]] = {}
 
-    def pieces(self, text: str) -> list[list[int]]:
-        solved = self.solved
-        if len(solved) >= REMEMBERED:
-            solved.clear()
-        out = []
-        for piece in self.split(text):
-            ids = solved.get(piece)
-            if ids is None:
-                ids = self.one(piece.encode())
-                if len(piece) <= 64:
-                    solved[piece] = ids
-            out.append(ids)
-        return out
-
-    def one(self, data: bytes) -> list[int]:
-        whole = self.vocabulary.ranks.get(data)
-        return [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
+    def solve(self, pieces: set[str]) -> Iterator[tuple[str, list[int]]]:
+        """The ids of each piece; in sorted order, so that each keeps the rows of the prefix it shares with the last."""
+        table, ranks = PrefixTable(self.vocabulary), self.vocabulary.ranks
+        for data, piece in sorted((p.encode(), p) for p in pieces):
+            whole = ranks.get(data)
+            if whole is not None:
+                yield piece, [whole]
+            else:
+                table.become(data)
+                yield piece, table.ids()
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in self.pieces(text) for i in ids]
+        if len(self.solved) >= REMEMBERED:
+            self.solved.clear()
+        pieces = self.split(text)
+        self.solved.update(self.solve(set(pieces).difference(self.solved)))
+        return [i for p in pieces for i in self.solved[p]]
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -216,16 +227,15 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(ids: list, bodies: list[str]) -> dict:
         e = encoder(path, pattern)
         store: dict = worker_store().setdefault(("bpe digests", path, pattern), {})
+        if len(store) >= REMEMBERED:
+            store.clear()
+        split = [e.split(t) for t in bodies]
+        for piece, found in e.solve(set().union(*split).difference(store)):
+            store[piece] = (",".join(map(str, found)).encode(), len(found), e.vocabulary.decode(found))
         n, hashes, decoded = [], [], []
-        for text in bodies:
-            if len(store) >= REMEMBERED:
-                store.clear()
-            pieces = e.split(text)
-            for piece in set(pieces).difference(store):
-                found = e.one(piece.encode())
-                store[piece] = (",".join(map(str, found)).encode(), len(found), e.vocabulary.decode(found))
+        for pieces in split:
             known = [store[p] for p in pieces]
-            n.append(sum(x[1] for x in known))
+            n.append(sum([x[1] for x in known]))
             hashes.append(hashlib.sha256(b",".join([x[0] for x in known])).hexdigest())
             decoded.append(hashlib.sha256(b"".join([x[2] for x in known])).hexdigest())
         return {"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": hashes, "decoded_sha256": decoded}
