@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, simhash
+from . import bpe, compression, packing, rules, simhash, toxicity
 from .inputs import read
 
 
@@ -18,12 +18,32 @@ def op3_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest_documents(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return compression.score(docs, compression.fit(docs, read(spark, folder, "labels")))
+
+
+def op6_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.quality_rules(read(spark, folder, "documents"))
+
+
+def op7_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
+
+
 def op8_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_prefix_bpe, op8_simhash_pigeonring)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op3_prefix_bpe, op4_compression_quality, op6_divergence_rules, op7_string_kernel_toxicity,
+        op8_simhash_pigeonring,
+    )
+}
 
 #: SQL for the queries that it can express.
 ORACLES: dict[str, str] = {}
