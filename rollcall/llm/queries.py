@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, compression, packing, rules, simhash, toxicity
+from . import bpe, compression, knn, linededup, packing, rules, simhash, toxicity
 from .inputs import read
 
 
@@ -23,6 +23,10 @@ def op4_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return compression.score(docs, compression.fit(docs, read(spark, folder, "labels")))
 
 
+def op5_voronoi_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.top_k(knn.whole_vectors(read(spark, folder, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
 def op6_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(read(spark, folder, "documents"))
 
@@ -37,13 +41,32 @@ def op8_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.line_dedup(read(spark, folder, "documents"))
+    kept = F.coalesce("kept_text", F.lit(""))
+    return found.select(
+        "doc_id", "n_chunks", "n_removed", F.length(kept).alias("n_chars_kept"), F.md5(kept.cast("binary")).alias("kept_md5")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op3_prefix_bpe, op4_compression_quality, op6_divergence_rules, op7_string_kernel_toxicity,
-        op8_simhash_pigeonring,
+        op1_best_fit_packing, op3_prefix_bpe, op4_compression_quality, op5_voronoi_top_k, op6_divergence_rules,
+        op7_string_kernel_toxicity, op8_simhash_pigeonring, op9_line_chunks,
     )
 }
 
 #: SQL for the queries that it can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_voronoi_top_k": """
+        WITH ints AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM ints q JOIN ints c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op9_line_chunks": linededup.SQL,
+}
