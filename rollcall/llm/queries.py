@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, compression, knn, linededup, packing, rules, simhash, toxicity
+from . import bpe, compression, knn, licenses, linededup, packing, rules, simhash, toxicity
 from .inputs import read
 
 
@@ -13,6 +13,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_license_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read(spark, folder, "documents"))
+
+
 def op3_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digest_documents(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -52,15 +56,15 @@ def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op3_prefix_bpe, op4_compression_quality, op5_voronoi_top_k, op6_divergence_rules,
-        op7_string_kernel_toxicity, op8_simhash_pigeonring, op9_line_chunks,
+        op1_best_fit_packing, op2_license_paragraphs, op3_prefix_bpe, op4_compression_quality, op5_voronoi_top_k,
+        op6_divergence_rules, op7_string_kernel_toxicity, op8_simhash_pigeonring, op9_line_chunks,
     )
 }
 
 #: SQL for the queries that it can express.
 ORACLES: dict[str, str] = {
     "op5_voronoi_top_k": """
-        WITH ints AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings),
+        WITH ints AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings),
         pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
             FROM ints q JOIN ints c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
