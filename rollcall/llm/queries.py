@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, compression, knn, licenses, linededup, packing, rules, simhash, toxicity
+from . import bpe, compression, knn, licenses, linededup, lm, packing, rules, simhash, toxicity
 from .inputs import read
 
 
@@ -53,11 +53,16 @@ def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_license_paragraphs, op3_prefix_bpe, op4_compression_quality, op5_voronoi_top_k,
         op6_divergence_rules, op7_string_kernel_toxicity, op8_simhash_pigeonring, op9_line_chunks,
+        op10_elias_fano_lm,
     )
 }
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -110,13 +111,19 @@ def measure(text: str, class_of_byte: np.ndarray, common: dict[bytes, list[int]]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _common_index() -> tuple[dict[bytes, list[int]], int]:
+    """The places of each common word among all languages' words, and how many places there are."""
+    words = [w for x in COMMON_WORDS.values() for w in x.split(" ")]
+    found: dict[bytes, list[int]] = {}
+    for k, word in enumerate(words):
+        found.setdefault(word.encode(), []).append(k)
+    return found, len(words)
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """The base counts of every (doc_id, text), with `classes` (by class) and `common` (by word of each language)."""
-    lists = [x.split(" ") for x in COMMON_WORDS.values()]
-    common: dict[bytes, list[int]] = {}
-    for k, word in enumerate(w for x in lists for w in x):
-        common.setdefault(word.encode(), []).append(k)
-    n_common, class_of_byte = sum(map(len, lists)), _class_of_byte()
+    common, n_common = _common_index()
+    class_of_byte = _class_of_byte()
 
     def run(ids: list, bodies: list[str]) -> dict:
         rows = list(zip(*(measure(t, class_of_byte, common, n_common) for t in bodies), strict=True)) or [[]] * 7
@@ -194,38 +201,42 @@ def references(measured: DataFrame) -> list[tuple[np.ndarray, np.ndarray] | None
     return found
 
 
-def judge(measured: DataFrame, max_classes: float = 0.3, max_common: float = 0.29, min_words: int = 20, min_common: int = 100) -> DataFrame:
-    """Adds base_failed, language, class_distance, common_distance and kept to `measures`."""
-    refs = references(measured)
-    known = [k for k, r in enumerate(refs) if r is not None]
-    names = list(COMMON_WORDS)
-    columns = ["doc_id", *BASE]
+class Judge:
+    """The rules with their references and limits, for arrays of measures."""
+
+    def __init__(self, refs: list, max_classes: float = 0.3, max_common: float = 0.29, min_words: int = 20, min_common: int = 100):
+        self.refs, self.max_classes, self.max_common = refs, max_classes, max_common
+        self.min_words, self.min_common = min_words, min_common
+
+    def __call__(self, n_words: np.ndarray, classes: np.ndarray, common: np.ndarray, repeats: np.ndarray) -> tuple[np.ndarray, ...]:
+        """base_failed, kept, language (-1: none), class distance, common-word distance."""
+        class_shares, shares, language = _histograms(n_words, classes, common)
+        by_class = np.full(len(n_words), np.inf)
+        by_word = by_class.copy()
+        for k, ref in enumerate(self.refs):
+            if ref is not None:
+                held = (language == k) | (language == -1)
+                by_class[held] = np.minimum(by_class[held], js_distance(class_shares[held], ref[0]))
+                by_word[held] = np.minimum(by_word[held], js_distance(shares[k][held], ref[1]))
+        by_class, by_word = (np.where(np.isfinite(x), x, 0.0) for x in (by_class, by_word))
+        failed = (n_words < 20) | (100 * repeats > 30 * n_words)
+        far = (n_words >= self.min_words) & (by_class > self.max_classes) | (n_words >= self.min_common) & (by_word > self.max_common)
+        return failed, ~failed & ~far, language, by_class, by_word
+
+
+def judge(measured: DataFrame, **limits) -> DataFrame:
+    """Adds base_failed, kept, language, class_distance and common_distance to `measures`."""
+    verdicts = Judge(references(measured), **limits)
+    names, columns = list(COMMON_WORDS), ["doc_id", *BASE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, classes, common = _arrays(batch)
-            if not len(n_words):
+            if not batch.num_rows:
                 continue
-            class_shares, shares, language = _histograms(n_words, classes, common)
-            by_class = np.zeros(len(n_words)) + np.inf
-            by_word = by_class.copy()
-            for k in known:
-                held = (language == k) | (language == -1)
-                by_class[held] = np.minimum(by_class[held], js_distance(class_shares[held], refs[k][0]))
-                by_word[held] = np.minimum(by_word[held], js_distance(shares[k][held], refs[k][1]))
-            by_class, by_word = (np.where(np.isfinite(x), x, 0.0) for x in (by_class, by_word))
-            repeats = batch.column("n_repeat_words").to_numpy()
-            failed = (n_words < 20) | (100 * repeats > 30 * n_words)
-            far = (n_words >= min_words) & (by_class > max_classes) | (n_words >= min_common) & (by_word > max_common)
+            failed, kept, language, by_class, by_word = verdicts(*_arrays(batch), batch.column("n_repeat_words").to_numpy())
+            named = pa.array([names[k] if k >= 0 else None for k in language], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(n) for n in columns),
-                    pa.array(failed),
-                    pa.array(~failed & ~far),
-                    pa.array([names[k] if k >= 0 else None for k in language], pa.string()),
-                    pa.array(by_class),
-                    pa.array(by_word),
-                ],
+                [*(batch.column(n) for n in columns), *map(pa.array, (failed, kept)), named, *map(pa.array, (by_class, by_word))],
                 names=[*columns, "base_failed", "kept", "language", "class_distance", "common_distance"],
             )
 
@@ -233,5 +244,24 @@ def judge(measured: DataFrame, max_classes: float = 0.3, max_common: float = 0.2
     return measured.mapInArrow(run, schema + ", base_failed boolean, kept boolean, language string, class_distance double, common_distance double")
 
 
+def kept(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """The rows of `docs` whose text the rules keep, with all columns. The verdict is made anew beside each row, so no text
+    is moved for it."""
+    measured = stage(measures(docs.select(F.lit(None).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))), "measures")
+    verdicts = Judge(references(measured), **limits)
+    common, n_common = _common_index()
+    class_of_byte = _class_of_byte()
+
+    @F.pandas_udf("boolean")
+    def passes(bodies: pd.Series) -> pd.Series:
+        rows = [measure(t or "", class_of_byte, common, n_common) for t in bodies]
+        if not rows:
+            return pd.Series([], dtype=bool)
+        n_words, _, _, _, repeats, classes, hits = (np.array(x) for x in zip(*rows, strict=True))
+        return pd.Series(verdicts(n_words, classes, hits, repeats)[1])
+
+    return docs.filter(passes(F.col(text_col)))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     return judge(stage(measures(texts(docs, id_col, text_col)), "measures"), **limits)

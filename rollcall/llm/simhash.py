@@ -50,6 +50,16 @@ def fingerprint(words: list[bytes], shingle: int = 3) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
+def fingerprint_udf(shingle: int = 3):
+    """The fingerprint of a text, as a column."""
+
+    @F.pandas_udf("long")
+    def of(bodies: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(words_of(t), shingle) for t in bodies], dtype="int64")
+
+    return of
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and `fp` (signed 64 bits) of every row of (doc_id, text)."""
 
