@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks (op 9); DataFrame functions only.
 
 A text is cut at line breaks. A rolling hash (polynomial modulo a prime) over the hashes of two neighbouring lines chooses
-where a chunk begins, so inserted or removed lines move no boundary but their own. A line of 50 words or more is a chunk
+where a chunk begins: where it is lowest among its neighbours, so no chunk between two boundaries has fewer than two lines,
+and inserted or removed lines move no boundary but those next to them. A line of 50 words or more is a chunk
 by itself. Of the chunks that occur more than once in all documents, those of two lines or more, or of one such long
 line, are removed everywhere but at their first place (smallest doc_id, then position; null ids last). Chunks without any
 visible character stay.
@@ -20,8 +21,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
 
-#: Prime and base of the rolling hash, one chunk in MODULUS lines begins by it; spaces in a line of 50 words.
-PRIME, BASE, MODULUS, LONG = 2_147_483_647, 1_000_003, 3, 49
+#: Prime and base of the rolling hash; spaces in a line of 50 words.
+PRIME, BASE, LONG = 2_147_483_647, 1_000_003, 49
 
 
 def _hash(line: Column) -> Column:
@@ -38,18 +39,24 @@ def chunked(docs: DataFrame, text: str) -> DataFrame:
     lines = docs.withColumn("__lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
     hashed = lines.withColumn("__marks", F.transform("__lines", lambda x: F.struct(_hash(x).alias("h"), _long(x).alias("long"))))
 
+    def roll(mark: Column, i: Column) -> Column:
+        before = F.get("__marks", i - 1)
+        return F.when(i > 0, (before["h"] * BASE + mark["h"]) % PRIME).otherwise(-1)
+
+    rolled = hashed.withColumn("__rolls", F.transform("__marks", roll))
+
     def begins(i: Column) -> Column:
-        here, before = F.get("__marks", i), F.get("__marks", i - 1)
-        rolled = (before["h"] * BASE + here["h"]) % PRIME
-        return (i == 0) | here["long"] | before["long"] | (rolled % MODULUS == 0)
+        here, before, after = (F.coalesce(F.get("__rolls", k), F.lit(-1)) for k in (i, i - 1, i + 1))
+        long = F.get("__marks", i)["long"] | F.coalesce(F.get("__marks", i - 1)["long"], F.lit(False))
+        return (i == 0) | long | ((here < before) & (here <= after))
 
-    starts = hashed.withColumn("__starts", F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), begins))
+    starts = rolled.withColumn("__starts", F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), begins))
 
     def piece(start: Column, k: Column) -> Column:
         n = F.coalesce(F.get("__starts", k + 1), F.size("__lines")) - start
         return F.struct(k.alias("idx"), n.alias("n_lines"), F.array_join(F.slice("__lines", start + 1, n), "\n").alias("body"))
 
-    return starts.withColumn("chunks", F.transform("__starts", piece)).drop("__lines", "__marks", "__starts")
+    return starts.withColumn("chunks", F.transform("__starts", piece)).drop("__lines", "__marks", "__rolls", "__starts")
 
 
 def _places(docs: DataFrame) -> DataFrame:
@@ -118,10 +125,14 @@ lines AS (
 marks AS (
     SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h, length(line) - length(replace(line, ' ', '')) >= {LONG} AS long FROM lines
 ),
-cuts AS (
-    SELECT *, CASE WHEN pos = 1 OR long OR lag(long) OVER w OR (lag(h) OVER w * {BASE} + h) % {PRIME} % {MODULUS} = 0 THEN 1 ELSE 0 END AS cut
+rolls AS (
+    SELECT *, CASE WHEN pos = 1 THEN -1 ELSE (lag(h) OVER w * {BASE} + h) % {PRIME} END AS roll, coalesce(lag(long) OVER w, false) AS after_long
     FROM marks WINDOW w AS (PARTITION BY doc_id, text ORDER BY pos)
 ),
+cuts AS (
+    SELECT *, CASE WHEN pos = 1 OR long OR after_long OR (roll < lag(roll, 1, -1) OVER w AND roll <= lead(roll, 1, -1) OVER w) THEN 1 ELSE 0 END AS cut
+    FROM rolls WINDOW w AS (PARTITION BY doc_id, text ORDER BY pos)
+),
 placed AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, text ORDER BY pos) AS idx FROM cuts),
 chunks AS (
     SELECT doc_id, text, idx, string_agg(line, chr(10) ORDER BY pos) AS body,
