@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import stage
@@ -35,58 +37,61 @@ REMEMBERED = 400_000
 
 #: Where this matches, words between spaces cannot be encoded one by one, and the whole text is.
 _ODD = re.compile(r" \s|<\|")
+#: Fixed value: the pattern of byte-level BPE.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class WordTokens:
     """Ids of a text by the `tokenizers` library, as little-endian unsigned 32-bit numbers, remembering words.
 
     The byte-level pattern always begins a new match at a space that stands before a visible character, so the words of a
-    text, each with its space, are encoded apart. New words are encoded in one call, a line each.
+    text, each with its space, are encoded apart. A new word is split by the same pattern, and each match is encoded by the
+    tokenizer's model, which takes bytes as the characters that stand for them.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.newline = self._ids("\n")
+        self.split = regex.compile(PATTERN).findall
+        # the library gives the characters that stand for bytes in ascending order of the printable ones, then the others
+        stand = sorted(pre_tokenizers.ByteLevel.alphabet(), key=ord)
+        kept = [ord(c) for c in stand if ord(c) < 256]
+        others = iter(c for c in stand if ord(c) >= 256)
+        self.stand_in = {b: chr(b) if b in kept else next(others) for b in range(256)}
         self.words: dict[str, bytes] = {}
+        self.matches: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def learn(self, new: list[str]) -> None:
-        plain = [w for w in new if "\n" not in w and not w.endswith((" ", "\r", "\t")) and w.isprintable()]
-        for w in set(new).difference(plain):
-            self.words[w] = np.array(self._ids(" " + w), "<u4").tobytes()
-        if plain and len(self.newline) == 1:
-            ids = np.array(self._ids("\n".join(" " + w for w in plain) + "\n"), "<u4")
-            ends = np.flatnonzero(ids == self.newline[0])
-            if len(ends) == len(plain):
-                start = 0
-                for w, end in zip(plain, ends.tolist(), strict=True):
-                    self.words[w] = ids[start:end].tobytes()
-                    start = end + 1
-                return
-        for w in plain:
-            self.words[w] = np.array(self._ids(" " + w), "<u4").tobytes()
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, new: set[str]) -> None:
+        matches, tokenize, stand_in = self.matches, self.tokenizer.model.tokenize, self.stand_in
+        for word in new:
+            found = self.split(" " + word)
+            for match in found:
+                if match not in matches:
+                    tokens = tokenize(match.encode().decode("latin-1").translate(stand_in))
+                    matches[match] = array("I", [t.id for t in tokens]).tobytes()
+            self.words[word] = b"".join([matches[m] for m in found])
 
     def encode(self, bodies: list[str]) -> list[bytes]:
         if len(self.words) >= REMEMBERED:
             self.words.clear()
+            self.matches.clear()
         split = [None if _ODD.search(t) else t.split(" ") for t in bodies]
-        new = set().union(*(x[1:] for x in split if x)).difference(self.words)
-        self.learn(sorted(new))
         words = self.words
+        self.learn(set().union(*[p[1:] for p in split if p]).difference(words))
         out = []
         for text, parts in zip(bodies, split, strict=True):
             if parts is None:
-                out.append(np.array(self._ids(text), "<u4").tobytes())
+                out.append(self._whole(text))
             else:
-                first = np.array(self._ids(parts[0]), "<u4").tobytes() if parts[0] else b""
-                out.append(first + b"".join([words[w] for w in parts[1:]]))
+                first, *rest = parts
+                out.append((self._whole(first) if first else b"") + b"".join([words[w] for w in rest]))
         return out
 
 
