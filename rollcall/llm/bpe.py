@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from .inputs import map_texts, texts, worker_store
 
 #: Bound of the table of solved pre-tokens in one worker; it is emptied when full. Results do not depend on it.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 
 
 class Vocabulary:
