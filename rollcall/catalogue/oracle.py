@@ -38,7 +38,8 @@ def title(text: str) -> str:
 
 
 def conform_state(text: str) -> str:
-    conformed = sub(title(collapse(text)), r"\bAnd\b", "&")
+    spaced = sub(collapse(text), r"\s*&\s*", " & ")
+    conformed = sub(title(spaced), r"\bAnd\b", "&")
     return case_map(conformed, lookups.STATE_ALIASES, conformed)
 
 
@@ -390,7 +391,7 @@ def reconcile_sql() -> str:
     for label, (mine, yours) in RECONCILED.items():
         parts.append(
             f"SELECT {quoted(label)} AS metric, (SELECT CAST(sum({mine}) AS BIGINT) FROM funds) AS ours, "
-            f"(SELECT CAST(sum(CAST(\"{yours}\" AS BIGINT)) AS BIGINT) FROM theirs WHERE house = 'Lok Sabha') AS theirs"
+            f"(SELECT CAST(round(sum(CAST(\"{yours}\" AS DECIMAL(28, 4))), 0) AS BIGINT) FROM theirs WHERE house = 'Lok Sabha') AS theirs"
         )
     return (
         f"WITH {KEYED}, {CROSS}, totals AS ({' UNION ALL '.join(parts)}) "
@@ -431,7 +432,8 @@ def short_money(v: str) -> str:
 
 def matrix() -> str:
     columns = ", ".join(
-        f"CAST(coalesce(sum(winners) FILTER (WHERE age_band = '{b}'), 0) AS BIGINT) AS \"{b}\"" for b in lookups.AGE_BANDS
+        f"CAST(coalesce(sum(winners) FILTER (WHERE age_band = '{b}' AND election_year <> 1998), 0) AS BIGINT) AS \"{b}\""
+        for b in lookups.AGE_BANDS
     )
     return on_silver(f"SELECT election_year, {columns} FROM ({dist('age_band')}) GROUP BY election_year")
 
@@ -459,6 +461,9 @@ _FUND_AMOUNT = {
 _TILES = ", ".join(f"{sql} AS {name}" for name, sql in _FUND_AMOUNT.items())
 
 
+_MEMBERS = "(VALUES (0, 0), (1000000, 0), (2000000, 10000000)) AS m(more, seat)"
+
+
 def json_object(columns: dict[str, str]) -> str:
     """JSON text with the given SQL types: s text, n number."""
     parts = []
@@ -468,33 +473,151 @@ def json_object(columns: dict[str, str]) -> str:
     return "'{' || " + " || ',' || ".join(parts) + " || '}'"
 
 
-PAYLOAD = f"""SELECT 'age_by_state' AS section,
-  {json_object({'election_year': 'n', 'state': 's', 'age_band': 's', 'candidates': 'n', 'winners': 'n'})} AS body
-FROM ({dist('age_band', True)})
-UNION ALL SELECT 'education_dist',
-  {json_object({'election_year': 'n', 'education_group': 's', 'candidates': 'n', 'winners': 'n'})}
-FROM ({dist('education_group')})
-UNION ALL SELECT 'party_by_state',
-  {json_object({'election_year': 'n', 'state': 's', 'party_group': 's', 'candidates': 'n', 'seats_won': 'n',
-                'pct_criminal': 'n', 'median_assets': 'n'})}
-FROM ({PARTY_STATE})"""
+_MART_MEASURES = {"pct_criminal": "n", "pct_crorepati": "n", "avg_age": "n", "median_assets": "n"}
+_TREND_FIELDS = {
+    "n": "n", "pct_criminal": "n", "pct_multi_case": "n", "pct_crorepati": "n", "avg_age": "n", "pct_graduate_plus": "n",
+    "avg_cases": "n", "median_assets": "n",
+}
+_DIST = {"candidates": "n", "winners": "n"}
+_ALL_LAST = "NULLS LAST"
+
+# Section -> rows, their fields in order, and the published order.
+SECTIONS = {
+    "summary/national_trends": ("SELECT * FROM national", {"election_year": "n", "cohort": "s"} | _TREND_FIELDS, "cohort, election_year"),
+    "summary/party_summary": (
+        PARTY,
+        {"election_year": "n", "party_group": "s", "candidates": "n", "seats_won": "n"} | _MART_MEASURES | {"strike_rate": "n"},
+        "election_year, seats_won DESC, party_group",
+    ),
+    "summary/state_summary": (
+        STATES,
+        {"election_year": "n", "state": "s", "seats": "n", "pct_criminal": "n", "pct_crorepati": "n", "avg_age": "n", "total_cases": "n",
+         "median_assets": "n"},
+        "election_year, seats DESC, state",
+    ),
+    "summary/education_dist": (
+        dist("education_group"), {"election_year": "n", "education_group": "s"} | _DIST, "election_year, education_group",
+    ),
+    "summary/age_dist": (dist("age_band"), {"election_year": "n", "age_band": "s"} | _DIST, "election_year, age_band"),
+    "winners/winners": (
+        WINNERS,
+        {"election_year": "n", "state": "s", "constituency": "s", "seat_category": "s", "name": "s", "party": "s", "party_group": "s",
+         "criminal_cases": "n", "education": "s", "education_group": "s", "age": "n", "assets": "n", "liabilities": "n", "net_worth": "n",
+         "is_crorepati": "n", "candidate_id": "n"},
+        f"election_year, state, constituency, candidate_id {_ALL_LAST}, name",
+    ),
+    "leaderboards/entries": (
+        BOARDS,
+        {"board": "s", "rank": "n", "election_year": "n", "name": "s", "party": "s", "state": "s", "constituency": "s", "assets": "n",
+         "liabilities": "n", "criminal_cases": "n", "education": "s", "age": "n", "is_winner": "n", "candidate_id": "n"},
+        "board, election_year, rank",
+    ),
+    "repeat_candidates/candidates": (
+        f"SELECT * FROM repeats ORDER BY asset_growth_pct DESC {_ALL_LAST}, name, state LIMIT 500",
+        {"state": "s", "name": "s", "elections_contested": "n", "elections_won": "n", "first_year": "n", "last_year": "n", "min_assets": "n",
+         "max_assets": "n", "peak_cases": "n", "asset_growth_pct": "n"},
+        f"asset_growth_pct DESC {_ALL_LAST}, name, state",
+    ),
+    "states/state_trends": (
+        "SELECT * FROM by_state", {"state": "s", "election_year": "n", "cohort": "s"} | _TREND_FIELDS, "state, cohort, election_year",
+    ),
+    "states/party_by_state": (
+        PARTY_STATE,
+        {"election_year": "n", "state": "s", "party_group": "s", "candidates": "n", "seats_won": "n", "pct_criminal": "n", "median_assets": "n"},
+        "state, election_year, seats_won DESC, party_group",
+    ),
+    "states/education_by_state": (
+        dist("education_group", True), {"election_year": "n", "state": "s", "education_group": "s"} | _DIST, "state, election_year, education_group",
+    ),
+    "states/age_by_state": (
+        dist("age_band", True), {"election_year": "n", "state": "s", "age_band": "s"} | _DIST, "state, election_year, age_band",
+    ),
+}
+
+
+def payload() -> str:
+    parts = [
+        f"SELECT {quoted(name)} AS section, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS position, "
+        f"{json_object(fields)} AS body FROM ({rows})"
+        for name, (rows, fields, order) in SECTIONS.items()
+    ]
+    return f"WITH {TRENDS}, {REPEATS.removeprefix(SILVER + ',')} {' UNION ALL '.join(parts)}"
+
+
+def changes_sql() -> str:
+    """Sections whose rows differ once the latest winners have no cases; parties go by a flag that stays as it was."""
+    same = {
+        "summary/education_dist", "summary/age_dist", "summary/party_summary", "states/education_by_state", "states/age_by_state",
+        "states/party_by_state",
+    }
+    rows = ", ".join(f"({quoted(n)}, 'new', {quoted('unchanged' if n in same else 'updated')})" for n in SECTIONS)
+    return f"SELECT * FROM (VALUES {rows}) AS v(section, first_run, second_run)"
+
+
+CROSSCHECK = f"""WITH {KEYED}, {CROSS},
+t AS (SELECT *, house = 'Lok Sabha' AS mine, coalesce("completedWorksCount", 0) > coalesce("recommendedWorksCount", 0) AS wrong FROM theirs),
+a AS (
+  SELECT count(*) FILTER (WHERE wrong) AS records, {ratio('100 * count(*) FILTER (WHERE wrong)', 'count(*)', 1)} AS pct,
+         CAST(round(sum("allocatedAmount") FILTER (WHERE mine)) AS BIGINT) AS m0,
+         CAST(round(sum("totalExpenditure") FILTER (WHERE mine)) AS BIGINT) AS m1,
+         CAST(sum("completedWorksCount") FILTER (WHERE mine) AS BIGINT) AS m2,
+         CAST(sum("recommendedWorksCount") FILTER (WHERE mine) AS BIGINT) AS m3 FROM t),
+o AS (
+  SELECT CAST(sum(allocated) AS BIGINT) AS m0, CAST(sum(expenditure) AS BIGINT) AS m1, CAST(sum(works_completed) AS BIGINT) AS m2,
+         CAST(sum(works_recommended) AS BIGINT) AS m3 FROM funds),
+both_ AS (
+  SELECT 'Allocated to Lok Sabha MPs' AS metric, (SELECT m0 FROM o) AS ours, (SELECT m0 FROM a) AS theirs
+  UNION ALL SELECT 'Expenditure', (SELECT m1 FROM o), (SELECT m1 FROM a)
+  UNION ALL SELECT 'Works completed', (SELECT m2 FROM o), (SELECT m2 FROM a)
+  UNION ALL SELECT 'Works recommended', (SELECT m3 FROM o), (SELECT m3 FROM a))
+SELECT metric, ours, theirs, '2024-08-01' AS their_last_updated, 'daily' AS their_update_frequency,
+       (SELECT records FROM a) AS inconsistent_records, (SELECT pct FROM a) AS inconsistent_pct,
+       ours - theirs AS delta, {ratio('100 * (ours - theirs)', 'theirs', 2)} AS pct_delta
+FROM both_ WHERE ours <> 0 AND theirs <> 0"""
+
+_SEAT = "(constituency_id + CASE WHEN is_bye_election THEN 0 ELSE 1 END)"
+_READABLE = f"{_SEAT} % 9 <> 0 AND {_SEAT} % 11 <> 0"
+_SEAT_NAME = f"CASE WHEN {_SEAT} % 7 = 0 THEN 'ELSEWHERE' ELSE upper(regexp_replace(constituency, ' .*$', '')) END"
+_SOURCE = f"'page ' || CAST({_SEAT} AS VARCHAR) || '#' || {_SEAT_NAME}"
 
 _PAGE_FIELDS = f"""candidate_id AS entry_id, {collapse('state')} AS state, {collapse('constituency')} AS constituency"""
 
 ORACLES = {
-    "jsonl_roundtrip": f"WITH {RAW} SELECT * EXCLUDE (is_bye_election) FROM raw",
-    "scan_pages": "SELECT page_id, CAST(length(html) AS INT) AS n_chars, md5(html) AS digest FROM pages",
+    "bronze_from_pages": f"""WITH {RAW} SELECT election_year, {collapse('state')} AS state, {collapse('constituency')} AS constituency,
+  CAST(constituency_id AS INT) AS constituency_id, CAST(candidate_id AS INT) AS candidate_id, {collapse('name')} AS name,
+  coalesce({collapse('party')}, 'Unknown') AS party, criminal_cases, coalesce({collapse('education')}, 'Not Given') AS education, age, assets,
+  CASE WHEN liabilities > 0 THEN liabilities ELSE 0 END AS liabilities, is_winner, is_bye_election, {_SOURCE} AS source_url
+FROM raw WHERE {_READABLE}""",
+    "bronze_rejects": f"""WITH {RAW} SELECT DISTINCT {_SOURCE} AS source_url, election_year, constituency_id,
+  CASE WHEN {_SEAT} % 9 = 0 THEN 'empty page' ELSE 'no rows' END AS reason
+FROM (SELECT DISTINCT election_year, constituency_id, state, constituency, is_bye_election FROM raw) WHERE NOT ({_READABLE})""",
+    "seats_not_named": f"""WITH {RAW} SELECT {_SOURCE} AS source_url, {collapse('constituency')} AS constituency, {collapse('name')} AS name
+FROM raw WHERE {_READABLE} AND {_SEAT} % 7 = 0""",
+    "schema_tables": "SELECT * FROM (VALUES ('gold_years', false), ('gold_states', false)) AS v(mart, temporary)",
+    "publish_changes": changes_sql(),
+    "published_comparisons": reconcile_sql(),
+    "crosscheck_payload": CROSSCHECK,
+    "crosscheck_plain": CROSSCHECK,
+    "ordered_marts": f"""WITH {REPEATS}, party AS ({PARTY})
+SELECT 'party' AS mart, CAST(row_number() OVER (ORDER BY election_year, seats_won DESC, party_group) - 1 AS INTEGER) AS position,
+  party_group AS label, CAST(election_year AS VARCHAR) AS scope FROM party
+UNION ALL SELECT 'repeat', CAST(row_number() OVER (ORDER BY asset_growth_pct DESC NULLS LAST, name, state) - 1 AS INTEGER), name, state FROM repeats""",
+    "jsonl_roundtrip": f"WITH {RAW} SELECT * FROM raw",
+    "scan_pages": "SELECT CAST(page_id % 5 + 2000 AS INT) AS election_year, CAST(length(html) AS INT) AS n_chars, md5(html) AS digest FROM pages",
     "lineage_columns": "SELECT o_orderkey, 'orders feed' AS _source, '2024-08-01 10:30:00' AS _ingested_at FROM orders",
     "table_roundtrip": f"WITH {RAW} SELECT * FROM raw",
-    "partitioned_roundtrip": f"WITH {RAW} SELECT * FROM raw WHERE election_year = {LATEST}",
-    "document_read": on_silver(dist("age_band")),
+    "partitioned_roundtrip": f"WITH {RAW} SELECT * FROM raw",
+    "document_read": on_silver(
+        f"""SELECT CAST(row_number() OVER (ORDER BY election_year, age_band) - 1 AS INTEGER) AS position, *, 'orders' AS source
+FROM ({dist("age_band")})"""
+    ),
     "envelope_unwrap": """SELECT event_id,
   CASE WHEN event_id % 4 IN (0, 3) THEN CAST(json_extract_string(props, '$.k') AS INT) END AS k,
   CASE event_id % 4 WHEN 1 THEN 'other,data' WHEN 2 THEN '' ELSE array_to_string(json_keys(props), ',') END AS keys
 FROM events""",
     "export_json_safe": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts,
   CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN round(value / 3, 2) END AS value, event_type FROM events""",
-    "export_payload": on_silver(PAYLOAD),
+    "export_payload": payload(),
     "export_flat": f"""WITH {CONFORMED} SELECT election_year, state, constituency, seat_category, name, party, party_group,
   criminal_cases, education, age, assets, liabilities, net_worth, is_winner, is_bye_election FROM conformed QUALIFY {_BEST}""",
     "slice_csv": on_silver(
@@ -507,14 +630,16 @@ FROM events""",
   count(*) FILTER (WHERE NOT is_bye_election) AS total_candidates,
   count(*) FILTER (WHERE NOT is_bye_election AND is_winner) AS total_winners,
   count(*) FILTER (WHERE is_bye_election) AS bye_election_rows_excluded FROM raw""",
-    "snapshot_diff": f"""WITH o AS (SELECT *, CAST(year(o_orderdate) AS INT) AS order_year FROM orders),
+    "snapshot_diff": f"""WITH o AS (SELECT * REPLACE (CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS o_custkey),
+  CAST(year(o_orderdate) AS INT) AS order_year FROM orders),
 now AS (SELECT o_custkey, order_year, count(*) AS n_new FROM o WHERE order_year > {FIRST} GROUP BY ALL),
 was AS (
   SELECT o_custkey, order_year, count(*) AS n_old, bool_or(o_orderpriority = '1-URGENT') AS changed
   FROM o WHERE order_year < {LATEST} GROUP BY ALL)
-SELECT o_custkey, order_year, CASE WHEN n_old IS NULL THEN 'new' WHEN n_new IS NULL THEN 'removed'
+SELECT coalesce(now.o_custkey, was.o_custkey) AS o_custkey, coalesce(now.order_year, was.order_year) AS order_year,
+       CASE WHEN n_old IS NULL THEN 'new' WHEN n_new IS NULL THEN 'removed'
        WHEN changed THEN 'updated' ELSE 'unchanged' END AS status, n_old, n_new
-FROM now FULL JOIN was USING (o_custkey, order_year)""",
+FROM now FULL JOIN was ON coalesce(now.o_custkey, -1) = coalesce(was.o_custkey, -1) AND now.order_year = was.order_year""",
     "html_clean": f"SELECT page_id, {clean_html('html')} AS text FROM pages",
     "page_header": f"""WITH {RAW}, p AS (SELECT is_bye_election AS bye, {_PAGE_FIELDS} FROM raw)
 SELECT entry_id, constituency,
@@ -530,12 +655,9 @@ FROM pages LEFT JOIN best USING (page_id)""",
   coalesce({collapse('party')}, 'Unknown') AS party, criminal_cases,
   coalesce({collapse('education')}, 'Not Given') AS education, age, assets,
   CASE WHEN liabilities > 0 THEN liabilities ELSE 0 END AS liabilities, is_winner, is_bye_election FROM raw""",
-    "link_ids": r"""WITH found AS (
-  SELECT page_id, CAST(regexp_extract(html, 'track\((\d+)\)', 1) AS BIGINT) AS first_id,
-         list_sort(list_distinct(list_transform(regexp_extract_all(html, '\d+'), lambda x: TRY_CAST(x AS BIGINT)))) AS ids
-  FROM pages)
-SELECT page_id, first_id, CAST(len(ids) AS INT) AS n_ids, array_to_string(ids, ',') AS ids, len(ids) < 3 AS is_scarce
-FROM found""",
+    "link_ids": f"""WITH {RAW}, p AS (SELECT state, election_year, list_sort(list_distinct(list(constituency_id))) AS ids FROM raw GROUP BY ALL)
+SELECT state, election_year, true AS has_first, CAST(len(ids) AS INT) AS n_ids, array_to_string(ids, ',') AS ids, len(ids) < 3 AS is_scarce
+FROM p""",
     "parse_money": samples.for_duckdb(samples.MONEY_CELLS),
     "parse_int": r"SELECT event_id, CAST(regexp_extract(props, '\d+') AS INT) AS k FROM events",
     "parse_amount": "SELECT event_id, CAST(trunc(abs(value)) AS BIGINT) AS amount FROM events",
@@ -543,10 +665,10 @@ FROM found""",
 ranked AS (SELECT *, {RANK} AS education_rank FROM named)
 SELECT raw, education, education_rank, {education_group('education_rank')} AS education_group, count(*) AS n
 FROM ranked GROUP BY ALL""",
-    "tile_columns": f"WITH {FUNDS_RAW} SELECT mp_id, {_TILES} FROM funds_raw",
+    "tile_columns": f"WITH {FUNDS_RAW} SELECT mp_id + more AS mp_id, {_TILES} FROM funds_raw, {_MEMBERS}",
     "flatten_hierarchy": f"""WITH {FUNDS_RAW} SELECT '18th term' AS tenure, trim(state) AS state, mp_id % 25 AS state_id,
-  trim(constituency) AS constituency, mp_id + 1 AS constituency_id, trim(mp_name) AS mp_name, mp_id, {_TILES},
-  {ratio('100 * expenditure', 'allocated', 1)} AS pct_spent FROM funds_raw""",
+  trim(constituency) AS constituency, mp_id + 1 + seat AS constituency_id, trim(mp_name) AS mp_name, mp_id + more AS mp_id, {_TILES},
+  {ratio('100 * expenditure', 'allocated', 1)} AS pct_spent FROM funds_raw, {_MEMBERS}""",
     "general_only": f"WITH {RAW} SELECT * FROM raw WHERE NOT is_bye_election",
     "tidy_text": f"SELECT doc_id, {tidy('text')} AS text, upper({tidy('source')}) AS label FROM documents",
     "title_case": f"SELECT doc_id, {title('text')} AS text FROM documents",
@@ -674,13 +796,22 @@ SELECT f.state, f.cohort, f.election_year AS first_election_year, f.pct_criminal
          ELSE {ratio('l.median_assets', 'f.median_assets', 1)} END END AS asset_multiple
 FROM placed f JOIN placed l ON f.state = l.state AND f.cohort = l.cohort AND f.i = 1 AND l.i = l.k AND f.k >= 2""",
     "cohort_premium": f"""WITH {TRENDS},
-won AS (SELECT * FROM by_state WHERE cohort = '{lookups.WINNERS}' AND median_assets <> 0
-        QUALIFY row_number() OVER (PARTITION BY state ORDER BY election_year DESC) = 1)
-SELECT w.state, w.election_year, w.median_assets AS winner_median, w.pct_crorepati AS winner_pct_crorepati,
-  a.median_assets AS field_median, a.pct_crorepati AS field_pct_crorepati,
-  {ratio('w.median_assets', 'a.median_assets', 1)} AS premium
-FROM won w JOIN by_state a ON a.state = w.state AND a.election_year = w.election_year
-     AND a.cohort = '{lookups.ALL_CANDIDATES}' AND a.median_assets <> 0""",
+series AS (
+  SELECT state, election_year, cohort = '{lookups.WINNERS}' AS won,
+         CASE WHEN election_year = {LATEST} AND length(state) % 2 = 0 AND cohort = '{lookups.WINNERS}' THEN NULL ELSE median_assets END AS median_assets,
+         CASE WHEN election_year = {LATEST} AND length(state) % 2 = 1 AND cohort <> '{lookups.WINNERS}' THEN NULL ELSE pct_crorepati END AS pct_crorepati
+  FROM by_state),
+med AS (
+  SELECT w.state, w.election_year AS median_year, w.median_assets AS winner_median, f.median_assets AS field_median
+  FROM (SELECT * FROM series WHERE won AND median_assets <> 0 QUALIFY row_number() OVER (PARTITION BY state ORDER BY election_year DESC) = 1) w
+  JOIN series f ON f.state = w.state AND f.election_year = w.election_year AND NOT f.won AND f.median_assets <> 0),
+cr AS (
+  SELECT w.state, w.election_year AS pct_crorepati_year, w.pct_crorepati AS winner_pct_crorepati, f.pct_crorepati AS field_pct_crorepati
+  FROM (SELECT * FROM series WHERE won AND pct_crorepati IS NOT NULL QUALIFY row_number() OVER (PARTITION BY state ORDER BY election_year DESC) = 1) w
+  JOIN series f ON f.state = w.state AND f.election_year = w.election_year AND NOT f.won AND f.pct_crorepati IS NOT NULL)
+SELECT state, median_year, winner_median, field_median, pct_crorepati_year, winner_pct_crorepati, field_pct_crorepati,
+  {ratio('winner_median', 'field_median', 1)} AS premium
+FROM med FULL JOIN cr USING (state)""",
     "state_vs_all": f"""WITH {TRENDS},
 mine AS (SELECT * FROM by_state WHERE cohort = '{lookups.WINNERS}'),
 years AS (SELECT DISTINCT election_year FROM silver), states AS (SELECT DISTINCT state FROM mine)
@@ -713,7 +844,8 @@ ORDER BY seats_won DESC, party_group LIMIT 12"""
     "repeat_slice": f"""WITH {REPEATS} SELECT * FROM repeats WHERE {contains_any(['name', 'state'])}
 ORDER BY asset_growth_pct DESC NULLS LAST, name, state LIMIT 200""",
     "missing_slices": on_silver(
-        """, present AS (SELECT DISTINCT state, election_year FROM winners WHERE seat_category = 'SC' AND state <> ''),
+        """, present AS (SELECT DISTINCT state, election_year FROM winners
+  WHERE state <> '' AND (election_year + length(state)) % 3 <> 0),
 years AS (SELECT DISTINCT election_year FROM silver)
 SELECT state, election_year FROM (SELECT DISTINCT state FROM present) CROSS JOIN years
 EXCEPT SELECT state, election_year FROM present"""
@@ -730,6 +862,9 @@ SELECT o_orderkey, {short_money('figure')} AS short, {grouped('figure')} AS grou
   CASE WHEN figure IS NULL THEN '—' ELSE CAST((figure % 1000) // 10 AS VARCHAR) || '.' ||
        CAST(figure % 10 AS VARCHAR) || '%' END AS percent FROM f""",
     "stream_ingest": f"WITH {RAW} SELECT * FROM raw",
-    "stream_merge": """SELECT user_id, event_type, event_id, value FROM events
+    "stream_merge": """WITH all_ AS (
+  SELECT user_id, event_type, event_id, value FROM events
+  UNION ALL SELECT user_id, event_type, event_id, value + 5 FROM events WHERE event_id % 10 = 3)
+SELECT user_id, event_type, event_id, value FROM all_
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC NULLS LAST, event_id) = 1""",
 }

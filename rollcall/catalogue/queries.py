@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import lookups, parsing, similarity, text, values
@@ -10,7 +12,7 @@ from ..operators import (
     changes, conform, dedupe, extract, marts, matching, quality, reconcile, slices,
 )
 from ..operators.summary import exact_median, summarise
-from ..plans import funds as fund_plan, medallion
+from ..plans import funds as fund_plan, medallion, pages as pages_plan
 from ..session import stage
 from ..sources import exports, files, tables
 from ..streaming import ingest, merge
@@ -26,19 +28,20 @@ NEEDLE = "chi"
 
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = samples.written(spark, "jsonl")
-    rows = candidates(spark, folder).drop("is_bye_election")
+    rows = candidates(spark, folder)
     files.write_jsonl(rows, path, by="election_year")
     return files.read_jsonl(spark, path, rows.schema).select(*rows.columns)
 
 
 def scan_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """One file per page, many to a folder; the year and a number out of the file's path."""
     path = samples.written(spark, "pages")
-    pages = wide_table(spark, folder, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(path)
-    read = files.read_pages(spark, path, r"()page_id=(\d+)/")
+    pages = table(spark, folder, "pages").select((F.col("page_id") % 5 + 2000).alias("year"), "html")
+    pages.write.partitionBy("year").option("maxRecordsPerFile", 1).text(path)
+    read = files.read_pages(spark, path, r"year=(\d+)/part-(\d+)-")
     body = F.regexp_replace("html", r"\n$", "")
-    return read.select(
-        F.col("constituency_id").alias("page_id"), F.length(body).alias("n_chars"), F.md5(body).alias("digest")
+    return read.filter(F.col("constituency_id").isNotNull()).select(
+        "election_year", F.length(body).alias("n_chars"), F.md5(body).alias("digest")
     )
 
 
@@ -55,18 +58,32 @@ def table_roundtrip(spark: SparkSession, folder: str, partition_by: str | None =
 
 
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    return table_roundtrip(spark, folder, "election_year").filter(F.col("election_year") == LATEST)
+    return table_roundtrip(spark, folder, "election_year")
+
+
+def schema_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts of a schema of its own, by name."""
+    before = spark.catalog.currentDatabase()
+    schema = "rollcall_" + samples.written(spark, "schema").rsplit("-", 1)[1]
+    tables.ensure_schema(spark, schema)
+    for name in ("gold_years", "gold_states", "silver_rows"):
+        tables.save_table(table(spark, folder, "region"), name)
+    found = tables.list_marts(spark, schema=schema).select(F.col("tableName").alias("mart"), F.col("isTemporary").alias("temporary"))
+    spark.sql(f"USE {before}")
+    return found
 
 
 def document_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A section read back in published order, and the run's meta document beside it."""
     path = samples.written(spark, "document")
     dist = marts.age_dist(silver(spark, folder))
-    order = [F.col("election_year"), F.col("age_band")]
+    exports.write_payload({"age_dist": (dist, [F.col("election_year"), F.col("age_band")])}, path)
     meta = exports.run_meta(candidates(spark, folder), "2024-08-01T00:00:00Z", "orders")
-    exports.document({"age_dist": (dist, order)}, meta).write.text(path)
-    row = F.explode("age_dist").alias("row")
-    return files.read_document(spark, path).select(row).select(
-        F.col("row.election_year").cast("int").alias("election_year"), "row.age_band", "row.candidates", "row.winners"
+    meta.write.json(f"{path}/meta")
+    source = files.read_document(spark, f"{path}/meta").select("source")
+    row = F.from_json("body", "election_year int, age_band string, candidates long, winners long").alias("row")
+    return exports.read_section(spark, f"{path}/age_dist").select(F.col("position").cast("int").alias("position"), row).select(
+        "position", "row.*", source.scalar().alias("source")
     )
 
 
@@ -98,16 +115,34 @@ def export_json_safe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def export_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """All published sections, read back with the place of every row."""
+    path = samples.written(spark, "payload")
+    built = medallion.build_marts(silver(spark, folder))
+    sections = {f"{p}/{n}": x for p in medallion.PAYLOADS for n, x in medallion.payload_sections(p, built).items()}
+    exports.write_payload(sections, path)
+    parts = [
+        exports.read_section(spark, f"{path}/{name}").select(F.lit(name).alias("section"), F.col("position").cast("int").alias("position"), "body")
+        for name in sections
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def publish_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs of the publishing plan; between them one year's winners lose their cases."""
+    path = samples.written(spark, "published")
     rows = silver(spark, folder)
-    order = medallion.mart_order()
-    return exports.payload_rows(
-        {
-            "age_by_state": (marts.age_by_state(rows), order["gold_age_state"]),
-            "education_dist": (marts.education_dist(rows), order["gold_education_dist"]),
-            "party_by_state": (marts.party_by_state(rows), order["gold_party_state"]),
-        }
+    fewer = rows.withColumn(
+        "criminal_cases", F.when((F.col("election_year") == LATEST) & F.col("is_winner"), 0).otherwise(F.col("criminal_cases"))
     )
 
+    def publish(silver_rows: DataFrame) -> DataFrame:
+        built = medallion.build_marts(silver_rows)
+        sections = {f"{p}/{n}": x for p in medallion.PAYLOADS for n, x in medallion.payload_sections(p, built).items()}
+        return exports.publish_changed(sections, path)
+
+    first = publish(rows).withColumnRenamed("status", "first_run")
+    return first.join(publish(fewer).withColumnRenamed("status", "second_run"), "section")
+
 
 def export_flat(spark: SparkSession, folder: str) -> DataFrame:
     path = samples.written(spark, "flat")
@@ -129,8 +164,9 @@ def run_meta(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
-    """Two snapshots of a window that moved on by a year, urgent orders priced anew."""
-    orders = table(spark, folder, "orders").withColumn("order_year", F.year("o_orderdate"))
+    """Two snapshots of a window that moved on by a year, urgent orders priced anew; some keys are null."""
+    key = F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey"))
+    orders = table(spark, folder, "orders").withColumns({"order_year": F.year("o_orderdate"), "o_custkey": key})
     raised = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     old = orders.filter(F.col("order_year") < LATEST).withColumn("o_totalprice", raised)
     new = orders.filter(F.col("order_year") > FIRST)
@@ -178,15 +214,32 @@ def page_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def link_ids(spark: SparkSession, folder: str) -> DataFrame:
-    ids = parsing.parse_link_ids(F.col("html"), r"(\d+)")
-    pages = wide_table(spark, folder, "pages").select("page_id", ids.alias("ids"), parsing.parse_link_id(F.col("html"), r"track\((\d+)\)").alias("first_id"))
-    scarce = quality.scarce_links(pages, "ids", 3).select("page_id", F.lit(True).alias("is_scarce"))
-    return pages.join(scarce, "page_id", "left").select(
-        "page_id", "first_id", F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"),
-        F.coalesce("is_scarce", F.lit(False)).alias("is_scarce"),
+    """Seat links of index pages, one page per state and year."""
+    link = F.concat(F.lit('<a href="index.php?action=show&constituency_id='), F.col("constituency_id").cast("string"), F.lit('">seat 7</a>'))
+    pages = candidates(spark, folder).groupBy("state", "election_year").agg(F.array_join(F.collect_set(link), " 12 ").alias("html"))
+    found = pages.select("state", "election_year", "html", parsing.parse_link_ids(F.col("html"), lookups.SEAT_LINK).alias("ids"))
+    return found.select(
+        "state", "election_year", (parsing.parse_link_id(F.col("html"), lookups.SEAT_LINK).isNotNull()).alias("has_first"),
+        F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"), quality.is_scarce("ids", 3).alias("is_scarce"),
     )
 
 
+def bronze_from_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of a whole seat to typed rows in the landing schema."""
+    return pages_plan.rows_of_pages(samples.seat_pages(spark, folder))[0]
+
+
+def bronze_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return pages_plan.rows_of_pages(samples.seat_pages(spark, folder))[1]
+
+
+def seats_not_named(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of pages whose seat is not the one that the page's link names."""
+    rows = bronze_from_pages(spark, folder)
+    named = F.regexp_replace("source_url", r"^.*#", "")
+    return quality.seats_not_named(rows, named).select("source_url", "constituency", "name")
+
+
 def parse_money(spark: SparkSession, folder: str) -> DataFrame:
     cells = samples.money_cells(spark, folder)
     return cells.select("o_orderkey", "cell", parsing.parse_money(F.col("cell")).alias("figure"))
@@ -218,10 +271,15 @@ def _fund_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.array(F.array(money("allocated")), F.array(money("expenditure")), *works),
     )
     tiles = F.map_filter(known, lambda c, _: (c != captions[3]) | (F.col("mp_id") % 7 != 0))
-    member = F.struct(F.col("mp_id").alias("id"), F.concat(F.col("mp_name"), F.lit(" ")).alias("name"), tiles.alias("tiles"))
-    seat = F.struct((F.col("mp_id") + 1).alias("id"), F.col("constituency").alias("name"), F.array(member).alias("members"))
+    def member(more: int) -> Column:
+        return F.struct((F.col("mp_id") + more).alias("id"), F.concat(F.col("mp_name"), F.lit(" ")).alias("name"), tiles.alias("tiles"))
+
+    def seat(more: int, *members: Column) -> Column:
+        return F.struct((F.col("mp_id") + 1 + more).alias("id"), F.col("constituency").alias("name"), F.array(*members).alias("members"))
+
+    seats = F.array(seat(0, member(0), member(10**6)), seat(10**7, member(2 * 10**6)))
     return samples.funds(spark, folder).select(
-        F.lit("18th term").alias("tenure"), "state", (F.col("mp_id") % 25).alias("state_id"), F.array(seat).alias("seats")
+        F.lit("18th term").alias("tenure"), "state", (F.col("mp_id") % 25).alias("state_id"), seats.alias("seats")
     )
 
 
@@ -230,10 +288,9 @@ def flatten_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tile_columns(spark: SparkSession, folder: str) -> DataFrame:
-    member = F.col("seats")[0]["members"][0]
-    return _fund_documents(spark, folder).select(
-        member["id"].alias("mp_id"), *extract.pivot_tiles(member["tiles"])
-    )
+    members = F.flatten(F.transform("seats", lambda s: s["members"]))
+    each = _fund_documents(spark, folder).select(F.explode(members).alias("member"))
+    return each.select(F.col("member.id").alias("mp_id"), *extract.pivot_tiles(F.col("member.tiles")))
 
 
 # ---- conformed rows
@@ -387,10 +444,36 @@ RECONCILED = {
 
 def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     ours = dedupe.dedupe_funded(fund_plan.conform_funds(samples.funds(spark, folder)))
-    theirs = samples.run_sql(spark, folder, samples.CROSS_CHECK).filter("house = 'Lok Sabha'")
+    theirs = reconcile.comparable(samples.run_sql(spark, folder, samples.CROSS_CHECK))
     return reconcile.reconcile(ours, theirs, RECONCILED)
 
 
+def published_comparisons(spark: SparkSession, folder: str) -> DataFrame:
+    """What the fund plan wrote, given both houses."""
+    path = samples.written(spark, "funds")
+    theirs = samples.run_sql(spark, folder, samples.CROSS_CHECK)
+    fund_plan.publish_funds(samples.funds(spark, folder), silver(spark, folder), theirs, RECONCILED, path)
+    schema = "metric string, ours long, theirs long, delta long, pct_delta double"
+    return exports.read_section(spark, f"{path}/comparisons").select(F.from_json("body", schema).alias("c")).select("c.*")
+
+
+def crosscheck_payload(spark: SparkSession, folder: str, wrapped: bool = True) -> DataFrame:
+    """Our totals against a document of the other source, its parts in envelopes or plain."""
+    ours = dedupe.dedupe_funded(fund_plan.conform_funds(samples.funds(spark, folder)))
+    audit = reconcile.consistency_audit(samples.run_sql(spark, folder, samples.CROSS_CHECK))
+    renamed = audit.withColumnsRenamed(
+        {f"subset_{n}": f"ls_{n}" for n in ("allocated", "expenditure", "works_completed", "works_recommended")}
+    )
+    body = exports.json_rows(renamed)
+    sync = F.lit('{"lastUpdated":"2024-08-01","updateFrequency":"daily"}')
+    if wrapped:
+        body = F.concat(F.lit('{"success":true,"data":'), body, F.lit(',"cached":false}'))
+        sync = F.concat(F.lit('{"data":'), sync, F.lit("}"))
+    path = samples.written(spark, "crosscheck")
+    renamed.select(F.concat(F.lit('{"audit":'), body, F.lit(',"sync":'), sync, F.lit("}")).alias("value")).write.text(path)
+    return fund_plan.crosscheck(ours, spark.read.text(path, wholetext=True))
+
+
 # ---- slices
 
 def _trends(spark: SparkSession, folder: str) -> DataFrame:
@@ -402,9 +485,23 @@ def _state_trends(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trend_slice(spark: SparkSession, folder: str) -> DataFrame:
+    mine = silver(spark, folder).filter(F.col("state") == STATE)
+    return slices.trend_slice(marts.state_trends(mine), lookups.WINNERS, STATE)
+
+
+def ordered_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of two marts in published order: mixed directions, and falling with nulls last."""
     rows = silver(spark, folder)
-    mine = rows.filter(F.col("state") == STATE)
-    return slices.trend_slice(marts.national_trends(rows), marts.state_trends(mine), lookups.WINNERS, STATE)
+    order = medallion.mart_order()
+    path = samples.written(spark, "ordered")
+    parts = {"party": (marts.party_summary(rows), order["gold_party_summary"]), "repeat": (marts.repeat_entities(rows), order["gold_repeat_candidates"])}
+    exports.write_payload(parts, path)
+    read = [exports.read_section(spark, f"{path}/{n}").select(F.lit(n).alias("mart"), F.col("position").cast("int").alias("position"), "body") for n in parts]
+    return functools.reduce(DataFrame.unionByName, read).select(
+        "mart", "position",
+        F.coalesce(F.get_json_object("body", "$.party_group"), F.get_json_object("body", "$.name")).alias("label"),
+        F.coalesce(F.get_json_object("body", "$.election_year"), F.get_json_object("body", "$.state")).alias("scope"),
+    )
 
 
 def _winners(spark: SparkSession, folder: str) -> DataFrame:
@@ -431,9 +528,29 @@ def trend_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missing_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that lacks some states in some years."""
+    rows = silver(spark, folder).filter((F.col("election_year") + F.length("state")) % 3 != 0)
+    return slices.missing_slices(rows.filter("is_winner"), quality.election_years(silver(spark, folder)))
+
+
+def dist_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """A year without rows has a row of zeros."""
     rows = silver(spark, folder)
-    major = rows.filter("is_winner AND seat_category = 'SC'")
-    return slices.missing_slices(major, quality.election_years(rows))
+    dist = marts.age_dist(rows.filter(F.col("election_year") != 1998))
+    return slices.dist_matrix(dist, "age_band", lookups.AGE_BANDS, "winners", quality.election_years(rows))
+
+
+def cohort_premium(spark: SparkSession, folder: str) -> DataFrame:
+    """In the latest year, winners of some states have no median, and the field of others no crorepati share."""
+    latest, odd = F.col("election_year") == LATEST, F.length("state") % 2 == 0
+    won = F.col("cohort") == lookups.WINNERS
+    series = _state_trends(spark, folder).withColumns(
+        {
+            "median_assets": F.when(~(latest & odd & won), F.col("median_assets")),
+            "pct_crorepati": F.when(~(latest & ~odd & ~won), F.col("pct_crorepati")),
+        }
+    )
+    return slices.cohort_premium(series, ["state"])
 
 
 def measures(spark: SparkSession, folder: str) -> DataFrame:
@@ -446,7 +563,7 @@ def measures(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_tax") > 0, F.col("l_discount") > 0.05).alias("deep"),
     )
     return summarise(
-        stage(lines, "lines"),
+        lines,
         ["l_returnflag", "l_linestatus"],
         {
             "n": rows(),
@@ -463,11 +580,11 @@ def measures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def measures_two_pass(spark: SparkSession, folder: str) -> DataFrame:
-    """The median as it is found on tables of any size."""
+    """The mean of the two middle values."""
     lines = table(spark, folder, "lineitem").select(
         "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
     )
-    return exact_median(lines, ["l_returnflag"], "cents", "interp", one_pass_rows=0)
+    return exact_median(lines, ["l_returnflag"], "cents", "interp")
 
 
 def format_money(spark: SparkSession, folder: str) -> DataFrame:
@@ -498,17 +615,19 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """The highest event per user and type, merged from a file stream."""
-    target = samples.written(spark, "merged")
-    checkpoint = samples.written(spark, "merge-checkpoint")
+    """The highest event per user and type, merged from files that arrive one by one; the last restates old rows."""
+    source, target, checkpoint = (samples.written(spark, n) for n in ("arriving", "merged", "merge-checkpoint"))
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    restated = events.filter("event_id % 10 = 3").withColumn("value", F.col("value") + 5)
 
     def best(rows: DataFrame) -> DataFrame:
         order = [F.col("value").desc_nulls_last(), F.col("event_id").asc()]
         return dedupe.keep_best(rows, ["user_id", "event_type"], order)
 
-    schema = table(spark, folder, "events").schema
-    merge.stream_best(spark, f"{folder}/events.parque[t]", schema, target, checkpoint, best, "parquet")
-    return merge.read_best(spark, target, schema, best).select("user_id", "event_type", "event_id", "value")
+    for k, wave in enumerate([*(events.filter(F.col("event_id") % 3 == k) for k in range(3)), restated]):
+        wave.coalesce(1).write.mode("append").parquet(f"{source}/wave={k}")
+        merge.stream_best(spark, f"{source}/wave=*", events.schema, target, checkpoint, best, ["user_id", "event_type"], "parquet", max_files=1)
+    return merge.read_best(spark, target, events.schema).select("user_id", "event_type", "event_id", "value")
 
 
 def _on_silver(build):
@@ -516,6 +635,15 @@ def _on_silver(build):
 
 
 QUERIES = {
+    "bronze_from_pages": bronze_from_pages,
+    "bronze_rejects": bronze_rejects,
+    "seats_not_named": seats_not_named,
+    "schema_tables": schema_tables,
+    "publish_changes": publish_changes,
+    "published_comparisons": published_comparisons,
+    "crosscheck_payload": crosscheck_payload,
+    "crosscheck_plain": lambda spark, folder: crosscheck_payload(spark, folder, wrapped=False),
+    "ordered_marts": ordered_marts,
     "jsonl_roundtrip": jsonl_roundtrip,
     "scan_pages": scan_pages,
     "lineage_columns": lineage_columns,
@@ -600,11 +728,9 @@ QUERIES = {
     )[1].select("page_id", "n_rows", "reason"),
     "kpi_delta": lambda spark, folder: slices.kpi_delta(_state_trends(spark, folder), ["state", "cohort"]),
     "trend_insights": lambda spark, folder: slices.trend_insights(_state_trends(spark, folder), ["state", "cohort"]),
-    "cohort_premium": lambda spark, folder: slices.cohort_premium(_state_trends(spark, folder), ["state"]),
+    "cohort_premium": cohort_premium,
     "state_vs_all": state_vs_all,
-    "dist_matrix": _on_silver(
-        lambda rows: slices.dist_matrix(marts.age_dist(rows), "age_band", lookups.AGE_BANDS, "winners")
-    ),
+    "dist_matrix": dist_matrix,
     "trend_slice": trend_slice,
     "winners_slice": lambda spark, folder: slices.winners_slice(
         _winners(spark, folder), LATEST, party_group="Independent", needle=NEEDLE
@@ -614,15 +740,15 @@ QUERIES = {
     "sorted_view": lambda spark, folder: slices.sort_view(
         slices.winners_slice(_winners(spark, folder), LATEST), "assets", True, ["constituency", "candidate_id", "name"]
     ),
-    "party_chart": _on_silver(lambda rows: slices.party_chart(marts.party_summary(rows), LATEST)),
+    "party_chart": _on_silver(lambda rows: slices.party_chart(marts.party_summary(rows), LATEST, n=12)),
     "party_chart_state": _on_silver(
-        lambda rows: slices.party_chart(marts.party_by_state(rows), LATEST, STATE)
+        lambda rows: slices.party_chart(marts.party_by_state(rows), LATEST, STATE, n=12)
     ),
-    "state_ranking": _on_silver(lambda rows: slices.state_ranking(marts.state_summary(rows), LATEST)),
+    "state_ranking": _on_silver(lambda rows: slices.state_ranking(marts.state_summary(rows), LATEST, n=36)),
     "leaderboard_slice": _on_silver(
         lambda rows: slices.leaderboard_slice(marts.leaderboards(rows), lookups.MOST_CASES, LATEST)
     ),
-    "repeat_slice": _on_silver(lambda rows: slices.repeat_slice(marts.repeat_entities(rows), needle=NEEDLE)),
+    "repeat_slice": _on_silver(lambda rows: slices.repeat_slice(marts.repeat_entities(rows), needle=NEEDLE, n=200)),
     "missing_slices": missing_slices,
     "trend_spine": trend_spine,
     "filter_options": lambda spark, folder: slices.filter_options(_winners(spark, folder)),

@@ -78,6 +78,39 @@ HONORIFICS = [
     "KUMARI", "SARDAR", "COL", "CAPT", "CAPTAIN", "MAJ", "GEN", "JUSTICE",
 ]
 
+# Patterns of text cleaning.
+SPACES = r"[\s\p{Z}\x{85}]+"
+HTML_TAG = "<[^>]+>"
+NUMERIC_ENTITY = r"&#\d+;"
+AMPERSAND = r"\s*&\s*"
+FULL_STOP = r"\s*\.\s*"
+WORD_AND = r"\bAnd\b"
+SEAT_IS_SC = r"(?i)\(\s*SC\s*\)"
+SEAT_IS_ST = r"(?i)\(\s*ST\s*\)"
+SEAT_TAG_AT_END = r"(?i)\s*\((sc|st)\)\s*$"
+SEAT_TAG_IN_KEY = r"\(\s*(SC|ST)\s*\)"
+WINNER_MARK = r"(?i)\s*Winner\s*$"
+
+# Patterns of money, labels and person names.
+RUPEES = r"(?i)Rs\.?\s*([\d,]+)"
+PLAIN_FIGURE = r"([\d,]{2,})"
+NIL = r"(?i)^nil$"
+NO_FIGURE = r"(?i)^(none|n/?a|-+|not given)?$"
+NO_EDUCATION = r"(?i)^(-+|n/?a)?$"
+PATRONYMIC = r"\bS\s*/\s*O\b.*$"
+OTHER_NAME = r"\b(ALIAS|URF|@)\b"
+
+# Published columns of winners and boards, in order.
+WINNER_COLUMNS = [
+    "election_year", "state", "constituency", "seat_category", "name", "party", "party_group",
+    "criminal_cases", "education", "education_group", "age", "assets", "liabilities", "net_worth",
+    "is_crorepati", "candidate_id",
+]
+BOARD_COLUMNS = [
+    "board", "rank", "election_year", "name", "party", "state", "constituency", "assets",
+    "liabilities", "criminal_cases", "education", "age", "is_winner", "candidate_id",
+]
+
 # Patterns of the page layout.
 HEADER = r"(?i)List of Candidates\s+in\s+(.+?)\s*:\s*(.+?)\s+Lok\s*Sabha\s*(\d{4})"
 HEADER_ALTERNATE = r"(?i)List of Candidates\s*[-in]*\s*([^:<]+?)\s*:\s*([^(<]+)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from . import lookups
 from .text import clean_html, let
 
 
@@ -15,15 +16,15 @@ def money_in(text: Column) -> Column:
     """`parse_money` of text that is already clean."""
     figure = F.replace(
         F.coalesce(
-            _group(text, r"(?i)Rs\.?\s*([\d,]+)", 1),
-            _group(text, r"([\d,]{2,})", 1),
+            _group(text, lookups.RUPEES, 1),
+            _group(text, lookups.PLAIN_FIGURE, 1),
         ),
         F.lit(","),
         F.lit(""),
     )
     return (
-        F.when(text.rlike(r"(?i)^nil$"), F.lit(0).cast("bigint"))
-        .when(text.rlike(r"(?i)^(none|n/?a|-+|not given)?$"), F.lit(None).cast("bigint"))
+        F.when(text.rlike(lookups.NIL), F.lit(0).cast("bigint"))
+        .when(text.rlike(lookups.NO_FIGURE), F.lit(None).cast("bigint"))
         .otherwise(figure.try_cast("bigint"))
     )
 
@@ -35,7 +36,7 @@ def int_in(text: Column) -> Column:
 
 def education_in(text: Column) -> Column:
     """`parse_education` of text that is already clean."""
-    return F.when(text.rlike(r"(?i)^(-+|n/?a)?$"), "Not Given").otherwise(text)
+    return F.when(text.rlike(lookups.NO_EDUCATION), "Not Given").otherwise(text)
 
 
 def parse_money(cell: Column) -> Column:

@@ -24,13 +24,18 @@ def _scorers() -> tuple[Callable[..., Column], Callable[..., Column]]:
     """
 
     def one(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if x is None or y is None else SequenceMatcher(None, x, y).ratio()
-                for x, y in zip(a, b)
-            ],
-            dtype="float64",
-        )
+        # what a matcher learns of its second text is kept while that stays the same
+        matcher, last, scores = SequenceMatcher(None, "", ""), "", []
+        for x, y in zip(a, b):
+            if x is None or y is None:
+                scores.append(None)
+                continue
+            if y != last:
+                matcher.set_seq2(y)
+                last = y
+            matcher.set_seq1(x)
+            scores.append(matcher.ratio())
+        return pd.Series(scores, dtype="float64")
 
     def best(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(
@@ -62,8 +67,8 @@ def clean_person(name: Column, keep_bracketed: bool) -> Column:
 
     Text in brackets may be a nickname or part of the name, so callers try both.
     """
-    text = F.regexp_replace(F.upper(F.coalesce(name, F.lit(""))), r"\bS\s*/\s*O\b.*$", " ")
-    text = F.regexp_replace(text, r"\b(ALIAS|URF|@)\b", " ")
+    text = F.regexp_replace(F.upper(F.coalesce(name, F.lit(""))), lookups.PATRONYMIC, " ")
+    text = F.regexp_replace(text, lookups.OTHER_NAME, " ")
     text = F.regexp_replace(text, r"[()]" if keep_bracketed else r"\([^)]*\)", " ")
     text = F.regexp_replace(text, _HONORIFIC, " ")
     words = F.split(F.regexp_replace(text, "[^A-Z ]", " "), " +")

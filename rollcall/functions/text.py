@@ -9,8 +9,6 @@ from pyspark.sql import Column, functions as F
 
 from . import lookups
 
-SPACES = r"[\s\p{Z}\x{85}]+"
-
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)` with `value` computed once, however often `use` refers to it."""
@@ -19,21 +17,24 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def collapse(text: Column) -> Column:
     """Runs of white space, no-break spaces included, become one space; ends trimmed."""
-    return F.trim(F.regexp_replace(text, SPACES, " "))
+    return F.trim(F.regexp_replace(text, lookups.SPACES, " "))
 
 
 def clean_html(fragment: Column) -> Column:
     """Text of an HTML fragment; null gives ''."""
-    text = F.regexp_replace(F.coalesce(fragment, F.lit("")), "<[^>]+>", " ")
+    text = F.regexp_replace(F.coalesce(fragment, F.lit("")), lookups.HTML_TAG, " ")
     for entity, plain in lookups.ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(plain))
-    return collapse(F.regexp_replace(text, r"&#\d+;", " "))
+    return collapse(F.regexp_replace(text, lookups.NUMERIC_ENTITY, " "))
+
+
+def spaced_ampersand(text: Column) -> Column:
+    return F.regexp_replace(text, lookups.AMPERSAND, " & ")
 
 
 def tidy(text: Column) -> Column:
     """Single spaces, ` & ` and `. ` spacing."""
-    text = F.regexp_replace(collapse(text), r"\s*&\s*", " & ")
-    return F.trim(F.regexp_replace(text, r"\s*\.\s*", ". "))
+    return F.trim(F.regexp_replace(spaced_ampersand(collapse(text)), lookups.FULL_STOP, ". "))
 
 
 def title_case(text: Column) -> Column:
@@ -51,7 +52,7 @@ def title_case(text: Column) -> Column:
 
 def and_to_ampersand(text: Column) -> Column:
     """The whole word `And` becomes `&`; `Andhra` is left alone."""
-    return F.regexp_replace(text, r"\bAnd\b", "&")
+    return F.regexp_replace(text, lookups.WORD_AND, "&")
 
 
 def alias(text: Column, names: dict[str, str]) -> Column:
@@ -61,21 +62,22 @@ def alias(text: Column, names: dict[str, str]) -> Column:
 
 
 def conform_state(text: Column) -> Column:
-    name = and_to_ampersand(title_case(collapse(text)))
+    """One spelling of a state; `Jammu&Kashmir` and `Jammu And Kashmir` are one."""
+    name = and_to_ampersand(title_case(spaced_ampersand(collapse(text))))
     return let(name, lambda n: alias(n, lookups.STATE_ALIASES))
 
 
 def seat_category(seat: Column) -> Column:
     """SC, ST or GEN from the tag in a seat name."""
     return (
-        F.when(seat.rlike(r"(?i)\(\s*SC\s*\)"), "SC")
-        .when(seat.rlike(r"(?i)\(\s*ST\s*\)"), "ST")
+        F.when(seat.rlike(lookups.SEAT_IS_SC), "SC")
+        .when(seat.rlike(lookups.SEAT_IS_ST), "ST")
         .otherwise("GEN")
     )
 
 
 def strip_seat_tag(seat: Column) -> Column:
-    return F.trim(F.regexp_replace(seat, r"(?i)\s*\((sc|st)\)\s*$", ""))
+    return F.trim(F.regexp_replace(seat, lookups.SEAT_TAG_AT_END, ""))
 
 
 def label(text: Column, default: str = "UNKNOWN") -> Column:
@@ -85,7 +87,7 @@ def label(text: Column, default: str = "UNKNOWN") -> Column:
 
 def key_part(text: Column) -> Column:
     """Letters A-Z only, seat tags dropped and `&` read as AND."""
-    text = F.regexp_replace(F.upper(F.coalesce(text, F.lit(""))), r"\(\s*(SC|ST)\s*\)", "")
+    text = F.regexp_replace(F.upper(F.coalesce(text, F.lit(""))), lookups.SEAT_TAG_IN_KEY, "")
     return F.regexp_replace(F.replace(text, F.lit("&"), F.lit(" AND ")), "[^A-Z]", "")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -25,8 +27,11 @@ def snapshot_diff(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     """keys, status (unchanged, updated, new, removed), rows before and after."""
     now = content_hash(new, keys).withColumnsRenamed({"n": "n_new", "h1": "a1", "h2": "a2"})
     was = content_hash(old.select(*new.columns), keys).withColumnsRenamed(
-        {"n": "n_old", "h1": "b1", "h2": "b2"}
+        {"n": "n_old", "h1": "b1", "h2": "b2"} | {k: f"_old_{k}" for k in keys}
     )
+    met = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys])
+    # a missing side is told by its count; its key columns are null, as a key itself may be
+    named = [F.when(F.col("n_new").isNull(), F.col(f"_old_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
     same = (F.col("n_new") == F.col("n_old")) & (F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))
     status = (
         F.when(F.col("n_old").isNull(), "new")
@@ -34,7 +39,7 @@ def snapshot_diff(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
         .when(same, "unchanged")
         .otherwise("updated")
     )
-    return now.join(was, keys, "full").select(*keys, status.alias("status"), "n_old", "n_new")
+    return now.join(was, met, "full").select(*named, status.alias("status"), "n_old", "n_new")
 
 
 def changed_partitions(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:

@@ -85,7 +85,7 @@ def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
         return F.get(F.col("_row.text"), F.lit(position))
 
     name_cell = F.col("_row.name_cell")
-    name = F.trim(F.regexp_replace(cell(1), r"(?i)\s*Winner\s*$", ""))
+    name = F.trim(F.regexp_replace(cell(1), lookups.WINNER_MARK, ""))
     return (
         pages.select(
             *kept,

@@ -115,27 +115,14 @@ def party_by_state(df: DataFrame, min_n: int = 5, kind: str = "lower") -> DataFr
     return grouped.filter((F.col("candidates") >= min_n) | (F.col("seats_won") > 0))
 
 
-WINNER_COLUMNS = [
-    "election_year", "state", "constituency", "seat_category", "name", "party", "party_group",
-    "criminal_cases", "education", "education_group", "age", "assets", "liabilities", "net_worth",
-    "is_crorepati", "candidate_id",
-]
-
-
 def winners_view(df: DataFrame) -> DataFrame:
     return (
         df.filter("is_winner")
-        .select(*WINNER_COLUMNS)
+        .select(*lookups.WINNER_COLUMNS)
         .orderBy("election_year", "state", "constituency", "candidate_id", "name")
     )
 
 
-BOARD_COLUMNS = [
-    "board", "rank", "election_year", "name", "party", "state", "constituency", "assets",
-    "liabilities", "criminal_cases", "education", "age", "is_winner", "candidate_id",
-]
-
-
 def leaderboards(df: DataFrame, boards: dict[str, str] | None = None, n: int = 50) -> DataFrame:
     """Leading `n` rows per board and year, one scan for all boards.
 
@@ -162,7 +149,7 @@ def leaderboards(df: DataFrame, boards: dict[str, str] | None = None, n: int = 5
         .withColumn("board", F.col("_entry.board"))
         .withColumn("rank", place)
         .filter(F.col("rank") <= n)
-        .select(*BOARD_COLUMNS)
+        .select(*lookups.BOARD_COLUMNS)
     )
 
 

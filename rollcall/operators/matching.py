@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from string import ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups, similarity, text
@@ -72,6 +75,16 @@ def _piece_bounds(length: Column, pieces: Column, i: Column) -> tuple[Column, Co
     return start + 1, end - start
 
 
+def _letters_shared(a: Column, b: Column) -> Column:
+    """Twice the letters two keys share, whatever their order, over all letters; no Ratcliff ratio is higher."""
+
+    def count(text: Column, letter: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+
+    shared = reduce(lambda x, y: x + y, [F.least(count(a, c), count(b, c)) for c in ascii_uppercase])
+    return 2 * shared / (F.length(a) + F.length(b))
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str) -> DataFrame:
     """Distinct pairs (block, lkey, rkey) that can reach a ratio of `floor`; none is missed.
 
@@ -84,12 +97,14 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
     times larger than the keys they are cut from, which a size estimate does not see.
     """
 
-    def with_pieces(keys: DataFrame, mine: str, other: str) -> DataFrame:
+    def with_pieces(keys: DataFrame, mine: str, other: str, others: DataFrame) -> DataFrame:
         reach = _lengths_in_reach(metric, floor, F.col(mine))
         first, size = _piece_bounds(F.col("rlen"), F.col("k") + 1, F.col("i"))
+        present = others.select("block", other).distinct()  # only lengths that the block has
         return (
             keys.filter(F.col(mine) > 0)
             .withColumn(other, F.explode(reach))
+            .join(present, ["block", other], "left_semi")
             .withColumn("k", _edits(metric, floor, F.col("llen"), F.col("rlen")))
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
             .withColumns({"first": first, "size": size})
@@ -97,7 +112,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
 
     lefts = left.select("block", F.col("key").alias("lkey")).withColumn("llen", F.length("lkey"))
     rights = right.select("block", F.col("key").alias("rkey")).withColumn("rlen", F.length("rkey"))
-    pieces = with_pieces(rights, "rlen", "llen").select(
+    pieces = with_pieces(rights, "rlen", "llen", lefts).select(
         "block", "rkey", "rlen", "llen", "i", F.substr("rkey", F.col("first"), F.col("size")).alias("piece")
     )
     longer = F.col("llen") - F.col("rlen")
@@ -109,16 +124,18 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
         F.sequence("low", "high"), lambda at: F.substr(F.col("lkey"), at, F.col("size"))
     )
     probes = (
-        with_pieces(lefts, "llen", "rlen")
+        with_pieces(lefts, "llen", "rlen", rights)
         .withColumns({"low": low, "high": high})
         .filter("low <= high")
         .select("block", "lkey", "rlen", "llen", "i", "k", F.explode(F.array_distinct(places)).alias("piece"))
     )
     return (
         probes.join(pieces.hint("merge"), ["block", "llen", "rlen", "i", "piece"])
+        .select("block", "lkey", "rkey", "k")
+        .distinct()
         .filter(F.expr("levenshtein(lkey, rkey, k) >= 0"))
+        .filter(_letters_shared(F.col("lkey"), F.col("rkey")) >= floor - _SLACK if metric == "ratcliff" else F.lit(True))
         .select("block", "lkey", "rkey")
-        .distinct()
     )
 
 
@@ -134,6 +151,9 @@ def fuzzy_join(
     A match must reach `min_ratio` and lead the runner-up by `min_margin`. The runner-up may be
     below `min_ratio`, so candidates are generated down to `min_ratio - min_margin`. Keys are made
     distinct first: copies of a key cost nothing more. Nothing is capped.
+
+    A limit of the operator: `min_ratio - min_margin` must be above 2/3. Below that, keys need share no
+    piece of useful length, and candidates would be whole blocks.
     """
     floor = min_ratio - min_margin
     if not 2 / 3 < floor <= 1:
@@ -141,7 +161,8 @@ def fuzzy_join(
     right_keys = right.select("block", "key").distinct()
     left_keys = left.select("block", "key").distinct().join(right_keys, ["block", "key"], "left_anti")
     pairs = candidate_pairs(left_keys, right_keys, floor, metric)
-    scored = pairs.withColumn(
+    # pairs of one right key follow each other, so that its matcher is set up once
+    scored = pairs.sortWithinPartitions("rkey").withColumn(
         "score", similarity.RATIOS[metric](F.col("lkey"), F.col("rkey"))
     )
     by_score = Window.partitionBy("block", "lkey").orderBy(F.col("score").desc(), "rkey")

@@ -75,9 +75,13 @@ def seats_not_named(records: DataFrame, expected: Column) -> DataFrame:
     return records.filter(~F.contains(F.upper(F.col("constituency")), F.upper(expected)))
 
 
+def is_scarce(ids: str, minimum: int = 500) -> Column:
+    """Whether an index page lists fewer ids than expected."""
+    return F.size(ids) < minimum
+
+
 def scarce_links(pages: DataFrame, ids: str, minimum: int = 500) -> DataFrame:
-    """Index pages that list fewer ids than expected."""
-    return pages.filter(F.size(ids) < minimum)
+    return pages.filter(is_scarce(ids, minimum))
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -93,12 +97,6 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-MAX_YEARS = 1000
-
-
-def election_years(df: DataFrame) -> list[int]:
-    """The election years in ascending order; fails if the column cannot be years."""
-    found = df.select("election_year").distinct().limit(MAX_YEARS + 1).collect()
-    if len(found) > MAX_YEARS:
-        raise ValueError("more election years than calendar years in use")
-    return sorted(row[0] for row in found if row[0] is not None)
+def election_years(df: DataFrame) -> DataFrame:
+    """One row: the election years in ascending order, as an array."""
+    return df.agg(F.sort_array(F.collect_set("election_year")).alias("years"))

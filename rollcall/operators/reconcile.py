@@ -33,13 +33,14 @@ def reconcile(ours: DataFrame, theirs: DataFrame, metrics: dict[str, tuple[str,
     """Totals side by side: metric, ours, theirs, delta, pct_delta.
 
     `metrics` maps a label to the summed column on each side. A metric is left out when either
-    total is 0 or missing.
+    total is 0 or missing. Amounts are added exactly, as decimals, and the sum is rounded once.
     """
 
     def long_form(df: DataFrame, side: int, name: str) -> DataFrame:
-        sums = df.agg(
-            *[total(F.col(pair[side])).alias(f"m{i}") for i, pair in enumerate(metrics.values())]
-        )
+        def whole(column: str) -> Column:
+            return F.round(F.sum(F.col(column).cast("decimal(28,4)")), 0).cast("bigint")
+
+        sums = df.agg(*[whole(pair[side]).alias(f"m{i}") for i, pair in enumerate(metrics.values())])
         pairs = [part for i, label in enumerate(metrics) for part in (F.lit(label), F.col(f"m{i}"))]
         return sums.select(F.stack(F.lit(len(metrics)), *pairs).alias("metric", name))
 
@@ -52,7 +53,15 @@ def reconcile(ours: DataFrame, theirs: DataFrame, metrics: dict[str, tuple[str,
     )
 
 
-def consistency_audit(df: DataFrame, house: str = "Lok Sabha") -> DataFrame:
+HOUSE = "Lok Sabha"
+
+
+def comparable(theirs: DataFrame, house: str = HOUSE) -> DataFrame:
+    """The rows of the other source that are of our house."""
+    return theirs.filter(F.col("house") == house)
+
+
+def consistency_audit(df: DataFrame, house: str = HOUSE) -> DataFrame:
     """Totals of the other source, its comparable subset, and rows that contradict themselves."""
     subset = F.col("house") == house
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups
@@ -18,10 +20,10 @@ SLICE_COLUMNS = [
 ]
 
 
-def trend_slice(national: DataFrame, by_state: DataFrame, cohort: str, state: str | None = None) -> DataFrame:
-    """One cohort's series: the state's rows if a state is set, else the national ones."""
-    source = by_state.filter(F.col("state") == state).drop("state") if state else national
-    return source.filter(F.col("cohort") == cohort).orderBy("election_year")
+def trend_slice(series: DataFrame, cohort: str, state: str | None = None) -> DataFrame:
+    """One cohort's series, out of the national mart, or with a state set out of the mart by state."""
+    rows = series.filter(F.col("state") == state).drop("state") if state else series
+    return rows.filter(F.col("cohort") == cohort).orderBy("election_year")
 
 
 def search(df: DataFrame, needle: str | None, columns: list[str]) -> DataFrame:
@@ -54,21 +56,22 @@ def slice_counts(df: DataFrame, shown: Column) -> DataFrame:
     return df.agg(F.count_if(shown).alias("shown"), F.count(F.lit(1)).alias("total"))
 
 
-def party_chart(parties: DataFrame, year: int, state: str | None = None, n: int = 12) -> DataFrame:
-    """Parties with seats, most seats first; `parties` is the national or the by-state mart."""
+def _top(df: DataFrame, n: int | None) -> DataFrame:
+    return df if n is None else df.limit(n)
+
+
+def party_chart(parties: DataFrame, year: int, state: str | None = None, n: int | None = None) -> DataFrame:
+    """Parties with seats, most seats first, the top `n` if given; `parties` is the national or the by-state mart."""
     rows = parties.filter((F.col("election_year") == year) & (F.col("seats_won") > 0))
     if state:
         rows = rows.filter(F.col("state") == state)
-    return rows.orderBy(F.col("seats_won").desc(), "party_group").limit(n)
+    return _top(rows.orderBy(F.col("seats_won").desc(), "party_group"), n)
 
 
-def state_ranking(states: DataFrame, year: int, min_seats: int = 3, n: int = 36) -> DataFrame:
+def state_ranking(states: DataFrame, year: int, min_seats: int = 3, n: int | None = None) -> DataFrame:
     """States by share of winners with cases; small delegations are left out."""
-    return (
-        states.filter((F.col("election_year") == year) & (F.col("seats") >= min_seats))
-        .orderBy(F.coalesce(F.col("pct_criminal"), F.lit(0.0)).desc(), "state")
-        .limit(n)
-    )
+    rows = states.filter((F.col("election_year") == year) & (F.col("seats") >= min_seats))
+    return _top(rows.orderBy(F.coalesce(F.col("pct_criminal"), F.lit(0.0)).desc(), "state"), n)
 
 
 def leaderboard_slice(boards: DataFrame, board: str, year: int) -> DataFrame:
@@ -76,11 +79,11 @@ def leaderboard_slice(boards: DataFrame, board: str, year: int) -> DataFrame:
 
 
 def repeat_slice(
-    repeats: DataFrame, state: str | None = None, needle: str | None = None, n: int = 200
+    repeats: DataFrame, state: str | None = None, needle: str | None = None, n: int | None = None
 ) -> DataFrame:
     rows = repeats.filter(F.col("state") == state) if state else repeats
     rows = search(rows, needle, ["name", "state"])
-    return rows.orderBy(F.col("asset_growth_pct").desc_nulls_last(), "name", "state").limit(n)
+    return _top(rows.orderBy(F.col("asset_growth_pct").desc_nulls_last(), "name", "state"), n)
 
 
 def funds_slice(funds: DataFrame, state: str | None = None, needle: str | None = None) -> DataFrame:
@@ -90,26 +93,25 @@ def funds_slice(funds: DataFrame, state: str | None = None, needle: str | None =
     return rows.orderBy(share.desc(), "state", "constituency", "mp_id")
 
 
-def year_spine(df: DataFrame, years: list[int], keys: list[str]) -> DataFrame:
-    """Every distinct `keys` with every year of the list."""
-    every_year = F.explode(F.array(*[F.lit(y) for y in years]).cast("array<int>"))
-    return df.select(*keys).distinct().withColumn("election_year", every_year)
+def year_spine(df: DataFrame, years: DataFrame, keys: list[str]) -> DataFrame:
+    """Every distinct `keys` with every year of the one-row table `years`."""
+    return df.select(*keys).distinct().withColumn("election_year", F.explode(years.scalar()))
 
 
-def trend_spine(series: DataFrame, years: list[int], keys: list[str], field: str) -> DataFrame:
+def trend_spine(series: DataFrame, years: DataFrame, keys: list[str], field: str) -> DataFrame:
     """A series on the full list of years, null where there is no figure."""
     points = series.select(*keys, "election_year", field)
     return year_spine(series, years, keys).join(points, [*keys, "election_year"], "left")
 
 
-def missing_slices(df: DataFrame, years: list[int]) -> DataFrame:
+def missing_slices(df: DataFrame, years: DataFrame) -> DataFrame:
     """(state, year) without any row, although the state has rows in other years."""
     present = named_states(df).select("state", "election_year").distinct()
     return year_spine(present, years, ["state"]).join(present, ["state", "election_year"], "left_anti")
 
 
 def state_vs_all(
-    national: DataFrame, by_state: DataFrame, years: list[int], cohort: str, field: str
+    national: DataFrame, by_state: DataFrame, years: DataFrame, cohort: str, field: str
 ) -> DataFrame:
     """Every state's series beside the national one, on the full list of years."""
     mine = by_state.filter(F.col("cohort") == cohort).select(
@@ -181,35 +183,45 @@ def trend_insights(series: DataFrame, keys: list[str]) -> DataFrame:
     ).drop("years")
 
 
-def cohort_premium(series: DataFrame, keys: list[str]) -> DataFrame:
-    """Winners beside the whole field in the winners' latest year with a median."""
-    won, field = (
-        series.filter(F.col("cohort") == cohort).select(
+def _latest_pair(series: DataFrame, keys: list[str], measure: str, prefix: str, told: Callable[[Column], Column]) -> DataFrame:
+    """Winners in their latest year whose figure is told, beside the whole field in that year if its figure is."""
+    sides = [
+        F.max(F.when(F.col("cohort") == cohort, F.col(measure))).alias(side)
+        for cohort, side in ((lookups.WINNERS, "won"), (lookups.ALL_CANDIDATES, "field"))
+    ]
+    held = series.groupBy(*keys, "election_year").agg(*sides).filter(told(F.col("won")))
+    latest = F.max_by(F.struct("election_year", "won", "field"), "election_year")
+    return (
+        held.groupBy(*keys)
+        .agg(latest.alias("p"))
+        .filter(told(F.col("p.field")))
+        .select(
             *keys,
-            "election_year",
-            F.col("median_assets").alias(f"{name}_median"),
-            F.col("pct_crorepati").alias(f"{name}_pct_crorepati"),
+            F.col("p.election_year").alias(f"{prefix}_year"),
+            F.col("p.won").alias(f"winner_{prefix}"),
+            F.col("p.field").alias(f"field_{prefix}"),
         )
-        for cohort, name in ((lookups.WINNERS, "winner"), (lookups.ALL_CANDIDATES, "field"))
-    )
-    recent = Window.partitionBy(*keys).orderBy(F.col("election_year").desc())
-    latest = (
-        won.filter("winner_median <> 0")
-        .withColumn("_place", F.row_number().over(recent))
-        .filter("_place = 1")
-        .drop("_place")
-    )
-    return (
-        latest.join(field.filter("field_median <> 0"), [*keys, "election_year"])
-        .withColumn("premium", ratio(F.col("winner_median"), F.col("field_median"), 1))
     )
 
 
-def dist_matrix(dist: DataFrame, label: str, labels: list[str], measure: str = "candidates") -> DataFrame:
-    """Year by label, 0 where there are no rows."""
-    return (
-        dist.groupBy("election_year").pivot(label, labels).agg(F.sum(measure)).fillna(0, labels)
-    )
+def cohort_premium(series: DataFrame, keys: list[str]) -> DataFrame:
+    """Winners beside the whole field: medians with their ratio, and crorepati shares, each in its own latest year."""
+    medians = _latest_pair(series, keys, "median_assets", "median", lambda m: F.coalesce(m, F.lit(0)) != 0)
+    shares = _latest_pair(series, keys, "pct_crorepati", "pct_crorepati", lambda p: p.isNotNull())
+    both = medians.unionByName(shares, allowMissingColumns=True)
+    figures = [c for c in both.columns if c not in keys]
+    held = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in figures]).filter("median_year IS NOT NULL OR pct_crorepati_year IS NOT NULL")
+    return held.withColumn("premium", ratio(F.col("winner_median"), F.col("field_median"), 1))
+
+
+def dist_matrix(
+    dist: DataFrame, label: str, labels: list[str], measure: str = "candidates", years: DataFrame | None = None
+) -> DataFrame:
+    """Year by label, 0 where there are no rows; with `years`, every year of that one-row table has a row."""
+    cells = dist.groupBy("election_year").pivot(label, labels).agg(F.sum(measure))
+    if years is not None:
+        cells = years.select(F.explode(years.columns[0]).alias("election_year")).join(cells, "election_year", "left")
+    return cells.fillna(0, labels)
 
 
 def filter_options(winners: DataFrame) -> DataFrame:

@@ -1,17 +1,16 @@
 """Grouped measures with an exact median.
 
-A median needs the values of a group in order, and a group may hold a third of all rows. Up to
-`ONE_PASS_ROWS` input rows (a checked count) one aggregation sorts the values of each group. Beyond
-that it is found in two passes that never bring a group's rows together:
-
-1. One aggregation gives, per group, the measures and a histogram of the value over buckets whose
-   width grows with the value (about 0.4 %). Both come from the same scan, as grouping sets, and
-   rows are combined before the shuffle. The histogram tells which bucket holds the middle row.
-2. Only rows of that bucket are counted, per distinct value, again combined before the shuffle.
-
-What one task sees of a group is bounded by the number of buckets, and then by the distinct whole
-numbers in one bucket. Should a middle bucket have room for more than `MAX_VALUES` of them, further
-passes cut it into finer buckets first.
+A median needs the values of a group in order, and a group may hold a third of all rows, so a group's rows are never
+brought together. Every table goes the same way:
+
+1. One scan gives, per group, the measures and a histogram of the value over buckets whose width grows with the value
+   (about 0.4 %). Both come from the same scan, as grouping sets, and rows are combined before the shuffle. The
+   histogram tells which bucket holds the middle row, and the lowest and highest value in it.
+2. A second scan counts the distinct values of that bucket, again combined before the shuffle, and writes them down.
+3. The bucket is cut into equal parts of its range twice (2**PART_BITS parts each time), on the written counts.
+
+What one task sees of a group is bounded by the number of buckets, then of parts, then by the whole numbers in one part
+of a part: one, for values below 2**56.
 """
 
 from __future__ import annotations
@@ -20,26 +19,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import let
 from ..functions.values import whole_div
 from ..session import stage
 
-ONE_PASS_ROWS = 1_000_000
-MAX_VALUES = 5_000_000
-# Buckets per factor of e. Powers of two, so that a finer bucket lies inside one coarser bucket.
-RESOLUTIONS = [2**8, 2**16, 2**24]
+# Buckets per factor of e, and bits of the number of equal parts that a bucket is cut into.
+RESOLUTION = 2**8
+PART_BITS = 24
 
 
-def _bucket(value: Column, resolution: int) -> Column:
+def _bucket(value: Column) -> Column:
     """Never falls as `value` rises; null for null."""
-    size = F.floor(F.ln(F.abs(value.cast("double")) + 1) * resolution)
+    size = F.floor(F.ln(F.abs(value.cast("double")) + 1) * RESOLUTION)
     return (F.signum(value.cast("double")) * size).cast("int")
 
 
-def _room(resolution: int) -> Column:
-    """Distinct whole numbers a bucket can hold: no more than its rows, nor than its width."""
-    width = F.exp(F.abs("_bucket") / resolution) / resolution + 1
-    return F.least(F.col("_held").cast("double"), width)
+def _part(value: Column, lowest: Column, highest: Column) -> Column:
+    """The equal part of lowest .. highest that the value is in; parts are a power of two wide."""
+    wide = (highest.cast("decimal(20,0)") - lowest).cast("double")
+    shift = F.greatest(F.ceil(F.log2(wide + 1)) - PART_BITS, F.lit(0))
+    size = F.pow(F.lit(2.0), shift).cast("decimal(20,0)")
+    return whole_div(value.cast("decimal(20,0)") - lowest, size).cast("bigint")
 
 
 def _same(left: str, right: str, keys: list[str]) -> Column:
@@ -75,45 +74,23 @@ def _locate(histogram: DataFrame, group: list[str], ranks: Column) -> DataFrame:
     )
 
 
-def _in_targets(
-    df: DataFrame, keys: list[str], value: str, targets: DataFrame, resolution: int
-) -> DataFrame:
-    """Values of the rows that fall into a middle bucket, with the bucket and its ranks."""
-    rows = df.select(
-        *keys, F.col(value).alias("_value"), _bucket(F.col(value), resolution).alias("_bucket")
-    )
-    at = [*keys, "_bucket"]
-    return (
-        rows.alias("r")
-        .join(targets.alias("t"), _same("r", "t", at))
-        .select("r.*", "t._ranks")
-    )
-
-
-def _narrow(
-    df: DataFrame, keys: list[str], value: str, targets: DataFrame, coarse: int, fine: int
-) -> DataFrame:
-    """The middle buckets at a finer resolution."""
-    within = [*keys, "_coarse"]
-    histogram = (
-        _in_targets(df, keys, value, targets, coarse)
-        .withColumnRenamed("_bucket", "_coarse")
-        .withColumn("_bucket", _bucket(F.col("_value"), fine))
-        .groupBy(*within, "_bucket", "_ranks")
-        .agg(F.count(F.lit(1)).alias("_held"))
+def _cut(counted: DataFrame, within: list[str]) -> DataFrame:
+    """Distinct values (`_value`, `_n`, `_ranks`, range) of the part that holds the middle; ranks are of that part."""
+    at = F.col("_value")
+    parted = counted.withColumn("_bucket", _part(at, F.col("_lowest"), F.col("_highest")))
+    held = parted.groupBy(*within, "_bucket", "_ranks").agg(
+        F.sum("_n").alias("_held"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
     )
-    return _locate(histogram, within, F.col("_ranks")).drop("_coarse")
+    found = _locate(held, within, F.col("_ranks")).withColumnRenamed("_ranks", "_inner")
+    both = parted.alias("r").join(found.alias("t"), _same("r", "t", [*within, "_bucket"]))
+    ranges = [F.col("t._low").alias("_lowest"), F.col("t._high").alias("_highest")]
+    kept = both.select(*[f"r.{k}" for k in within], "r._value", "r._n", F.col("t._inner").alias("_ranks"), "r._bucket", *ranges)
+    # parts that both hold a middle row go on apart
+    return kept.withColumn("_place", F.concat_ws("/", "_place", "_bucket")).drop("_bucket")
 
 
-def _medians(
-    df: DataFrame, keys: list[str], value: str, targets: DataFrame, resolution: int, name: str
-) -> DataFrame:
-    at = [*keys, "_bucket"]
-    counted = (
-        _in_targets(df, keys, value, targets, resolution)
-        .groupBy(*at, "_ranks", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+def _medians(counted: DataFrame, keys: list[str], name: str) -> DataFrame:
+    at = [*keys, "_place"]
     upto = Window.partitionBy(*at).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("_upto", F.sum("_n").over(upto)).filter(
         F.exists("_ranks", lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n")))
@@ -123,15 +100,6 @@ def _medians(
     )
 
 
-def _one_pass_median(value: str, kind: str) -> Column:
-    def middle(held: Column) -> Column:
-        low = F.get(held, whole_div(F.size(held) - 1, F.lit(2)).cast("int"))
-        high = F.get(held, whole_div(F.size(held), F.lit(2)).cast("int"))
-        return low if kind == "lower" else _halfway(low, high)
-
-    return let(F.sort_array(F.collect_list(value)), middle).cast("bigint")
-
-
 def summarise(
     df: DataFrame,
     keys: list[str],
@@ -139,12 +107,11 @@ def summarise(
     median_of: str | None = None,
     median_name: str | None = None,
     kind: str = "lower",
-    one_pass_rows: int = ONE_PASS_ROWS,
 ) -> DataFrame:
     """One row per group: keys, measures and, if asked, the exact median of a whole-number column.
 
     `kind="lower"` takes the lower of two middle values, `"interp"` their mean, truncated. `df`
-    should be a table: it is counted, then read once or twice.
+    should be a table: it is read twice.
     """
     named = [m.alias(name) for name, m in measures.items()]
     if median_of is None:
@@ -152,28 +119,35 @@ def summarise(
     if kind not in ("lower", "interp"):
         raise ValueError(f"unknown median kind {kind!r}")
     median_name = median_name or f"median_{median_of}"
-    if one_pass_rows and df.count() <= min(one_pass_rows, ONE_PASS_ROWS):
-        return df.groupBy(*keys).agg(*named, _one_pass_median(median_of, kind).alias(median_name))
-    resolution, *finer = RESOLUTIONS
-    bucketed = df.withColumn("_bucket", _bucket(F.col(median_of), resolution))
+    value = F.col(median_of)
     both = stage(
-        bucketed.groupingSets([keys, [*keys, "_bucket"]], *keys, "_bucket").agg(
+        df.withColumn("_bucket", _bucket(value))
+        .groupingSets([keys, [*keys, "_bucket"]], *keys, "_bucket")
+        .agg(
             F.grouping("_bucket").alias("_whole"),
             F.count(median_of).alias("_held"),
+            F.min(median_of).alias("_lowest"),
+            F.max(median_of).alias("_highest"),
             *named,
         ),
         "summary",
     )
     totals = both.filter("_whole = 1").select(*keys, *measures)
-    histogram = both.filter("_whole = 0 AND _held > 0").select(*keys, "_bucket", "_held")
+    histogram = both.filter("_whole = 0 AND _held > 0").select(*keys, "_bucket", "_held", "_lowest", "_highest")
     held = F.sum("_held").over(Window.partitionBy(*keys))
-    targets = stage(_locate(histogram, keys, _middle_ranks(held, kind)), "middle")
-    for fine in finer:
-        if targets.filter(_room(resolution) > MAX_VALUES).isEmpty():
-            break
-        targets = stage(_narrow(df, keys, median_of, targets, resolution, fine), "middle")
-        resolution = fine
-    medians = _medians(df, keys, median_of, targets, resolution, median_name)
+    targets = _locate(histogram, keys, _middle_ranks(held, kind))
+    rows = df.select(*keys, value.alias("_value"), _bucket(value).alias("_bucket"))
+    inside = rows.alias("r").join(targets.alias("t"), _same("r", "t", [*keys, "_bucket"]))
+    kept = [f"r.{k}" for k in keys]
+    counted = (
+        inside.select(*kept, F.col("r._bucket").cast("string").alias("_place"), "r._value", "t._ranks", "t._lowest", "t._highest")
+        .groupBy(*keys, "_place", "_value", "_ranks", "_lowest", "_highest")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    counted = stage(counted, "middle-values")
+    for _ in range(2):
+        counted = _cut(counted, [*keys, "_place"])
+    medians = _medians(counted, keys, median_name)
     return (
         totals.alias("a")
         .join(medians.alias("m"), _same("a", "m", keys), "left")
@@ -182,7 +156,7 @@ def summarise(
 
 
 def exact_median(
-    df: DataFrame, keys: list[str], value: str, kind: str = "lower", **options: int
+    df: DataFrame, keys: list[str], value: str, kind: str = "lower"
 ) -> DataFrame:
     counted = {"n": F.count(F.lit(1))}
-    return summarise(df, keys, counted, value, "median", kind, **options).select(*keys, "median")
+    return summarise(df, keys, counted, value, "median", kind).select(*keys, "median")

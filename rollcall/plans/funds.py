@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.values import ratio
 from ..operators import dedupe, extract, matching, reconcile
-from ..session import stage
-from ..sources import exports
+from ..session import scratch_scope, stage
+from ..sources import exports, files
 
 FUND_COLUMNS = [
     "state", "constituency", "mp_id", "mp_name", "allocated", "expenditure", "pct_spent",
@@ -56,12 +57,71 @@ def publish_funds(
     theirs: DataFrame,
     metrics: dict[str, tuple[str, str]],
     folder: str,
-) -> None:
-    """The fund payload, the match report and the other source's audit as JSON rows."""
+) -> DataFrame:
+    """The fund payload, the match report and the other source's audit as JSON rows; (section, status) of this run.
+
+    Sections that did not change since the last run are left as they are.
+    """
+    with scratch_scope(raw.sparkSession):
+        return _publish_funds(raw, silver, theirs, metrics, folder)
+
+
+def _publish_funds(
+    raw: DataFrame, silver: DataFrame, theirs: DataFrame, metrics: dict[str, tuple[str, str]], folder: str
+) -> DataFrame:
     funds = conform_funds(raw)
     joined = stage(joined_funds(raw, silver), "joined-funds")
-    compared = reconcile.reconcile(joined, theirs, metrics)
-    exports.write_payload(fund_sections(joined, compared), folder)
+    compared = reconcile.reconcile(joined, reconcile.comparable(theirs), metrics)
     report = matching.match_report(joined, dedupe.dedupe_report(funds, dedupe.SEAT_KEY))
-    report.write.mode("overwrite").json(f"{folder}/meta")
-    reconcile.consistency_audit(theirs).write.mode("overwrite").json(f"{folder}/audit")
+    if "tenure" in raw.columns:
+        report = report.withColumn("tenure", raw.agg(F.min("tenure").alias("tenure")).scalar())
+    sections = fund_sections(joined, compared) | {
+        "meta": (report, [F.asc("seats")]),
+        "national": (national_totals(joined), [F.asc("allocated")]),
+        "audit": (reconcile.consistency_audit(theirs), [F.asc("records_total")]),
+    }
+    return exports.publish_changed(sections, folder)
+
+
+def national_totals(joined: DataFrame) -> DataFrame:
+    """One row: sums over all seats."""
+    names = ["allocated", "expenditure", "works_recommended", "works_sanctioned", "works_completed"]
+    sums = joined.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return sums.withColumn("pct_spent", extract.pct_spent())
+
+
+# Compared totals -> (our column, name in the other source's audit).
+AUDIT_TOTALS = {
+    "Allocated to Lok Sabha MPs": ("allocated", "ls_allocated"),
+    "Expenditure": ("expenditure", "ls_expenditure"),
+    "Works completed": ("works_completed", "ls_works_completed"),
+    "Works recommended": ("works_recommended", "ls_works_recommended"),
+}
+
+
+def crosscheck(joined: DataFrame, documents: DataFrame, text: str = "value") -> DataFrame:
+    """Our totals beside those of the other source's document (one row, JSON text with the keys audit and sync).
+
+    Both parts may stand in an envelope. One row per total that both sides have and that is not 0: metric, ours, theirs,
+    delta, pct_delta, and what the document says about itself: its update time and frequency and how many of its rows
+    contradict themselves.
+    """
+    audit = files.unwrap(F.get_json_object(text, "$.audit"))
+    sync = files.unwrap(F.get_json_object(text, "$.sync"))
+
+    def number(name: str, kind: str = "decimal(28,4)"):
+        return F.get_json_object(audit, f"$.{name}").try_cast(kind)
+
+    totals = [F.lit(p) if k == 0 else F.round(number(p), 0).cast("bigint") for m, (_, t) in AUDIT_TOTALS.items() for k, p in enumerate((m, t))]
+    about = [
+        F.get_json_object(sync, "$.lastUpdated").alias("their_last_updated"),
+        F.get_json_object(sync, "$.updateFrequency").alias("their_update_frequency"),
+        number("records_completed_exceeds_recommended", "bigint").alias("inconsistent_records"),
+        number("pct_inconsistent", "double").alias("inconsistent_pct"),
+    ]
+    theirs = documents.select(*about, F.stack(F.lit(len(AUDIT_TOTALS)), *totals).alias("metric", "theirs"))
+    sums = joined.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"m{i}") for i, (c, _) in enumerate(AUDIT_TOTALS.values())])
+    pairs = [p for i, m in enumerate(AUDIT_TOTALS) for p in (F.lit(m), F.col(f"m{i}"))]
+    ours = sums.select(F.stack(F.lit(len(AUDIT_TOTALS)), *pairs).alias("metric", "ours"))
+    both = ours.join(theirs, "metric").filter("ours <> 0 AND theirs <> 0").withColumn("delta", F.col("ours") - F.col("theirs"))
+    return both.withColumn("pct_delta", ratio(F.col("delta"), F.col("theirs"), 2, times=100))

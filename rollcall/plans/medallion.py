@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import conform, dedupe, marts, quality
+from ..session import scratch_scope, stage
 from ..sources import exports, tables
 
 
@@ -108,18 +109,30 @@ def ingest(raw: DataFrame, source: str, at: str, full_run: bool = True) -> None:
 def refresh(spark: SparkSession, schema: str) -> None:
     """Silver and marts out of the landed rows, as tables of `schema`."""
     tables.ensure_schema(spark, schema)
-    silver = build_silver(tables.read_table(spark, "bronze_candidates"))
-    tables.save_table(tables.with_processed_at(silver), "silver_candidates", "election_year")
-    for name, df in build_marts(tables.read_table(spark, "silver_candidates")).items():
-        tables.save_table(df, name)
+    with scratch_scope(spark):
+        silver = build_silver(tables.read_table(spark, "bronze_candidates"))
+        tables.save_table(tables.with_processed_at(silver), "silver_candidates", "election_year")
+        for name, df in build_marts(tables.read_table(spark, "silver_candidates")).items():
+            tables.save_table(df, name)
 
 
-def publish(spark: SparkSession, folder: str, generated_at: str, source: str) -> None:
-    """JSON rows per section, the meta row and the flat CSV out of the tables."""
+def publish(spark: SparkSession, folder: str, generated_at: str, source: str) -> DataFrame:
+    """JSON rows per section, the meta row and the flat CSV out of the tables; (section, status) of this run.
+
+    Only what changed since the last run is written. The meta row is part of the payload; its time of generation does not
+    count as a change, as it stands beside the sections.
+    """
     built = {name: tables.read_table(spark, name) for name in MARTS}
-    for payload in PAYLOADS:
-        exports.write_payload(payload_sections(payload, built), f"{folder}/{payload}")
-    everything = build_silver(tables.read_table(spark, "bronze_candidates"), keep_special=True)
-    meta = exports.run_meta(everything, generated_at, source)
-    meta.write.mode("overwrite").json(f"{folder}/meta")
-    exports.write_csv(exports.flat_export(everything), f"{folder}/candidates")
+    sections = {f"{payload}/{name}": section for payload in PAYLOADS for name, section in payload_sections(payload, built).items()}
+    with scratch_scope(spark):
+        everything = stage(build_silver(tables.read_table(spark, "bronze_candidates"), keep_special=True), "everything")
+        flat = {"candidates": (exports.flat_export(everything), [F.lit(1)])}
+
+        def write(changed: dict[str, exports.Section], path: str) -> None:
+            for name, (df, _) in changed.items():
+                exports.write_csv(df, f"{path}/{name}")
+
+        status = exports.publish_changed(sections, folder).union(exports.publish_changed(flat, f"{folder}/flat", write))
+        if not status.filter("status <> 'unchanged'").isEmpty():
+            exports.run_meta(everything, generated_at, source).write.mode("overwrite").json(f"{folder}/meta")
+    return status

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_scratch: dict[str, str] = {}
+_open_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "rollcall", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,7 +48,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/rollcall/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/rollcall/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes the scratch folders that were begun inside, once the plan that reads them has run."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -62,13 +82,3 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """A table read in fewer splits than there are cores, dealt out to all of them.
-
-    For row-level work that costs more than moving the rows. Large tables have enough splits and
-    are returned as they are.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)

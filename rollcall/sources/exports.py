@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..operators.slices import SLICE_COLUMNS
 
@@ -40,15 +41,6 @@ def json_rows(df: DataFrame) -> Column:
 Section = tuple[DataFrame, list[Column]]
 
 
-def payload_rows(sections: dict[str, Section]) -> DataFrame:
-    """(section, body): every row of every section as JSON text. Rows are not yet ordered."""
-    parts = []
-    for name, (df, _) in sections.items():
-        safe = json_safe(df)
-        parts.append(safe.select(F.lit(name).alias("section"), json_rows(safe).alias("body")))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def write_payload(sections: dict[str, Section], path: str) -> None:
     """One folder of ordered JSON lines per section; the sort is distributed."""
     for name, (df, order) in sections.items():
@@ -56,37 +48,61 @@ def write_payload(sections: dict[str, Section], path: str) -> None:
         safe.select(json_rows(safe).alias("body")).write.mode("overwrite").text(f"{path}/{name}")
 
 
-MAX_DOCUMENT_ROWS = 100_000
+DIGESTS = "section string, n long, h1 decimal(38,0), h2 decimal(38,0)"
+
+
+def digests(sections: dict[str, Section]) -> DataFrame:
+    """One row per section: its rows counted and hashed, without regard to order, which follows from the content."""
+    found = []
+    for name, (df, _) in sections.items():
+        safe = json_safe(df)
+        body = safe.select(json_rows(safe).alias("body"))
+        found.append(
+            body.agg(
+                F.count("body").alias("n"),
+                F.coalesce(F.sum(F.xxhash64(F.lit(1), "body").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h1"),
+                F.coalesce(F.sum(F.xxhash64(F.lit(2), "body").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h2"),
+            ).select(F.lit(name).alias("section"), "n", "h1", "h2")
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
-def document(sections: dict[str, Section], meta: DataFrame) -> DataFrame:
-    """One JSON document: `meta` and an ordered array per section.
+def publish_changed(
+    sections: dict[str, Section], path: str, write: Callable[[dict[str, Section], str], None] = write_payload
+) -> DataFrame:
+    """Writes the sections that differ from the last run's and returns (section, status): new, updated, unchanged, removed.
 
-    Meant for marts whose size does not grow with the data. A section above
-    `MAX_DOCUMENT_ROWS` is refused; `write_payload` takes any size.
+    Each run leaves the digests of its sections beside them; the next run compares with those. A run that stops half-way
+    leaves the old digests, so what it wrote is written again.
     """
-    options = {"ignoreNullFields": "false"}
-    parts = [
-        meta.select(
-            F.lit(0).alias("i"), F.lit("meta").alias("name"), F.to_json(F.struct(*meta.columns), options).alias("text")
-        )
-    ]
-    for i, (name, (df, order)) in enumerate(sections.items(), start=1):
-        if df.limit(MAX_DOCUMENT_ROWS + 1).count() > MAX_DOCUMENT_ROWS:
-            raise ValueError(f"{name} is too large for one document; use write_payload")
-        safe = json_safe(df.orderBy(*order).limit(MAX_DOCUMENT_ROWS))
-        placed = safe.select(
-            F.struct(F.monotonically_increasing_id().alias("i"), F.struct(*safe.columns).alias("row")).alias("at")
-        )
-        rows = F.transform(F.array_sort(F.collect_list("at")), lambda at: at["row"])
-        parts.append(
-            placed.agg(F.to_json(rows, options).alias("text")).select(F.lit(i).alias("i"), F.lit(name).alias("name"), "text")
-        )
-    field = F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("text"))
-    fields = F.array_sort(F.collect_list(F.struct("i", field.alias("text"))))
-    body = F.array_join(F.transform(fields, lambda f: f["text"]), ",")
-    return reduce(DataFrame.unionByName, parts).agg(
-        F.concat(F.lit("{"), body, F.lit("}")).alias("body")
+    spark = next(iter(sections.values()))[0].sparkSession
+    spark.createDataFrame([], DIGESTS).write.mode("append").json(f"{path}/_digests")
+    before = spark.read.schema(DIGESTS).json(f"{path}/_digests").collect()  # one row per section
+    now = digests(sections).collect()
+    old = {r["section"]: tuple(r)[1:] for r in before}
+    status = {
+        r["section"]: "new" if r["section"] not in old else "unchanged" if old[r["section"]] == tuple(r)[1:] else "updated" for r in now
+    }
+    write({name: sections[name] for name, what in status.items() if what != "unchanged"}, path)
+    spark.createDataFrame(now, DIGESTS).coalesce(1).write.mode("overwrite").json(f"{path}/_digests")
+    status |= {name: "removed" for name in old if name not in status}
+    return spark.createDataFrame(sorted(status.items()), "section string, status string")
+
+
+def read_section(spark: SparkSession, path: str) -> DataFrame:
+    """(position, body) of one published section; positions count from 0 in published order.
+
+    Each split numbers its rows; a count per split (a few rows) tells where it begins.
+    """
+    number = F.monotonically_increasing_id()
+    rows = spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), number.alias("number")
+    )
+    splits = rows.groupBy("file", "block").agg(F.min("number").alias("first"), F.count("value").alias("n"))
+    upto = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    return rows.join(begins, ["file", "block"]).select(
+        (F.col("number") - F.col("first") + F.col("before")).alias("position"), F.col("value").alias("body")
     )
 
 

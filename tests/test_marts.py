@@ -27,26 +27,6 @@ def test_groups_add_up(silver):
     assert marts.age_by_state(silver).agg(F.sum("candidates")).first()[0] == named
 
 
-def test_two_pass_marts_agree(silver, monkeypatch):
-    from rollcall.operators import summary
-
-    one = {name: build(silver).collect() for name, build in BUILDS.items()}
-    monkeypatch.setattr(summary, "ONE_PASS_ROWS", -1)
-    for name, build in BUILDS.items():
-        two = build(silver)
-        assert sorted(map(repr, (sorted(r.asDict().items()) for r in two.collect()))) == sorted(
-            map(repr, (sorted(r.asDict().items()) for r in one[name]))
-        ), name
-
-
-BUILDS = {
-    "national": marts.national_trends,
-    "state": marts.state_summary,
-    "party": marts.party_summary,
-    "party_state": marts.party_by_state,
-}
-
-
 def test_leaderboards_are_limited_before_the_shuffle(silver):
     text = marts.top_n(silver, "assets", "x")._jdf.queryExecution().executedPlan().toString()
     assert text.count("WindowGroupLimit") == 2
@@ -113,8 +93,9 @@ def test_gate(spark):
 
 def test_missing_slices(spark):
     rows = spark.createDataFrame([("A", 2004), ("A", 2009), ("B", 2009), ("", 2004)], "state string, election_year int")
-    assert [tuple(r) for r in slices.missing_slices(rows, [2004, 2009]).collect()] == [("B", 2004)]
-    assert quality.election_years(rows) == [2004, 2009]
+    years = quality.election_years(rows)
+    assert [tuple(r) for r in slices.missing_slices(rows, years).collect()] == [("B", 2004)]
+    assert years.first().years == [2004, 2009]
 
 
 def test_sort_puts_nulls_last_both_ways(spark):
@@ -142,4 +123,10 @@ def test_series_queries(spark):
     assert (insight[won].direction, insight[won].asset_multiple) == ("down from", None)
     assert (insight[every].direction, insight[every].asset_multiple) == ("down from", 20.0)
     premium = slices.cohort_premium(rows, []).first()
-    assert (premium.election_year, premium.premium) == (2014, 2.5)
+    assert (premium.median_year, premium.premium) == (2014, 2.5)
+    # the winners' latest share is of 2019, where the field has none
+    assert premium.pct_crorepati_year is None
+    later = rows.union(spark.createDataFrame([(every, 2019, 9, 10.0, 3.0, 1000, 46.0, 1.0)], TREND))
+    premium = slices.cohort_premium(later, []).first()
+    assert (premium.pct_crorepati_year, premium.winner_pct_crorepati, premium.field_pct_crorepati) == (2019, 12.0, 3.0)
+    assert (premium.median_year, premium.winner_median) == (2014, 2500)

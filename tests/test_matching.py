@@ -158,6 +158,9 @@ def test_published_funds(spark, tables, tmp_path):
     raw, silver = samples.funds(spark, tables), samples.silver(spark, tables)
     funds.publish_funds(raw, silver, theirs, queries.RECONCILED, str(tmp_path))
     meta = spark.read.json(f"{tmp_path}/meta").first()
+    first = {r.metric: r for r in spark.read.json(f"{tmp_path}/comparisons").collect()}
+    mine = theirs.filter("house = 'Lok Sabha'").agg({"totalExpenditure": "sum"}).first()[0]
+    assert first["Expenditure"].theirs == round(mine)
     count = lambda name: spark.read.text(f"{tmp_path}/{name}").count()
     assert count("mps") == meta.seats and count("unmatched") == meta.unmatched and count("fuzzy_joins") == meta.fuzzy
     assert count("comparisons") == 4

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 from rollcall.operators import marts
 from rollcall.plans import medallion
 from rollcall.catalogue import samples
-from rollcall.session import scratch_root, stage
+from rollcall.session import scratch_root, scratch_scope, stage
 from rollcall.sources import exports, files, schemas, tables as named
 
 
@@ -79,17 +79,18 @@ def test_csv_keeps_quotes_and_nulls(spark, tmp_path):
     assert '"say ""hi"", x"' in "".join(p.read_text() for p in (tmp_path / "csvFalse").glob("*.csv"))
 
 
-def test_document_payload(spark):
+def test_only_changed_sections_are_written(spark, tmp_path):
     rows = spark.createDataFrame([(2, "b", 0.123), (1, "a", None)], "k int, s string, v double")
-    meta = spark.createDataFrame([("now", [2004, 2009])], "generated_at string, years array<int>")
-    text = exports.document({"rows": (rows, [F.col("k")]), "none": (rows.limit(0), [F.col("k")])}, meta).first()[0]
-    assert json.loads(text) == {
-        "meta": {"generated_at": "now", "years": [2004, 2009]},
-        "rows": [{"k": 1, "s": "a", "v": None}, {"k": 2, "s": "b", "v": 0.12}],
-        "none": [],
-    }
-    with pytest.raises(ValueError, match="write_payload"):
-        exports.document({"rows": (spark.range(exports.MAX_DOCUMENT_ROWS + 1), [F.col("id")])}, meta)
+    path, order = str(tmp_path), [F.col("k")]
+    run = lambda **sections: dict(map(tuple, exports.publish_changed({n: (d, order) for n, d in sections.items()}, path).collect()))
+    assert run(rows=rows, none=rows.limit(0)) == {"rows": "new", "none": "new"}
+    assert [r.body for r in exports.read_section(spark, f"{path}/rows").orderBy("position").collect()] == [
+        '{"k":1,"s":"a","v":null}', '{"k":2,"s":"b","v":0.12}',
+    ]
+    before = sorted(p.name for p in (tmp_path / "rows").iterdir())
+    assert run(rows=rows.orderBy("k"), none=rows.limit(1)) == {"rows": "unchanged", "none": "updated"}
+    assert sorted(p.name for p in (tmp_path / "rows").iterdir()) == before
+    assert run(rows=rows) == {"rows": "unchanged", "none": "removed"}
 
 
 def test_payload_files_are_ordered(spark, tmp_path):
@@ -97,6 +98,8 @@ def test_payload_files_are_ordered(spark, tmp_path):
     exports.write_payload({"rows": (rows, [F.col("k").desc()])}, str(tmp_path))
     lines = [line for p in sorted((tmp_path / "rows").glob("part-*")) for line in p.read_text().splitlines()]
     assert [json.loads(line)["k"] for line in lines] == list(range(999, -1, -1))
+    read = exports.read_section(spark, f"{tmp_path}/rows").collect()
+    assert {r.position: json.loads(r.body)["k"] for r in read} == {i: 999 - i for i in range(1000)}
 
 
 def test_stage_uses_the_named_folder(spark):
@@ -105,6 +108,14 @@ def test_stage_uses_the_named_folder(spark):
     assert scratch_root(spark) in rows.inputFiles()[0]
 
 
+def test_scratch_is_deleted_once_a_plan_has_run(spark):
+    from pathlib import Path
+
+    with scratch_scope(spark) as paths:
+        assert stage(spark.range(3), "check").count() == 3
+    assert len(paths) == 1 and not Path(paths[0].removeprefix("file:")).exists()
+
+
 def test_whole_run(spark, tables, tmp_path):
     named.ensure_schema(spark, "rollcall_test")
     raw = samples.candidates(spark, tables)
@@ -116,12 +127,15 @@ def test_whole_run(spark, tables, tmp_path):
     silver = named.read_table(spark, "silver_candidates")
     assert silver.count() == samples.silver(spark, tables).count()
     assert "_processed_at" in silver.columns
-    medallion.publish(spark, str(tmp_path), "2024-08-01T00:00:00Z", "orders")
+    first = medallion.publish(spark, str(tmp_path), "2024-08-01T00:00:00Z", "orders")
+    assert {r.status for r in first.collect()} == {"new"}
+    again = medallion.publish(spark, str(tmp_path), "2024-08-02T00:00:00Z", "orders")
+    assert {r.status for r in again.collect()} == {"unchanged"} and again.count() == 13
     meta = spark.read.json(f"{tmp_path}/meta").first()
     assert meta.total_candidates == silver.count() and meta.election_years == sorted(meta.election_years)
     repeats = spark.read.text(f"{tmp_path}/repeat_candidates/candidates")
     assert repeats.count() == min(500, marts.repeat_entities(silver).count())
-    flat = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/candidates")
+    flat = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/flat/candidates")
     assert flat.columns == exports.FLAT_COLUMNS and flat.count() == meta.total_candidates + meta.bye_election_rows_excluded
 
 

@@ -40,14 +40,15 @@ def test_merge_keeps_the_best_and_survives_a_replay(spark, tmp_path):
     waves = [[(1, 5, "a"), (1, 4, "b"), (2, None, "c")], [(1, 9, "d"), (2, 1, "e")], [(3, 1, "f"), (1, 9, "z")]]
     for i, wave in enumerate(waves):
         drop(source, f"{i}.jsonl", wave)
-        merge.stream_best(spark, str(source), SCHEMA, target, checkpoint, best)
+        merge.stream_best(spark, str(source), SCHEMA, target, checkpoint, best, ["k"])
     want = {(1, 9, "d"), (2, 1, "e"), (3, 1, "f")}
-    read = lambda where: {tuple(r) for r in merge.read_best(spark, where, SCHEMA, best).collect()}
+    read = lambda where: {tuple(r) for r in merge.read_best(spark, where, SCHEMA).collect()}
     assert read(target) == want
-    replay = spark.createDataFrame(waves[1], SCHEMA)
-    merge.merge_best(replay, 1, target, best)
+    plan = merge.read_best(spark, target, SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    merge.merge_best(spark.createDataFrame(waves[2], SCHEMA), 2, target, best, ["k"])  # the last batch once more
     assert read(target) == want
-    packed = str(tmp_path / "packed")
-    merge.compact(spark, target, SCHEMA, best, packed)
-    assert read(packed) == want
-    assert {tuple(r) for r in best(spark.createDataFrame(sum(waves, []), SCHEMA)).collect()} == want
+    merge.merge_best(spark.createDataFrame([(2, 7, "late")], SCHEMA), 3, target, best, ["k"])
+    assert read(target) == {(1, 9, "d"), (2, 7, "late"), (3, 1, "f")}
+    merge.merge_best(spark.createDataFrame([], SCHEMA), 4, target, best, ["k"])
+    assert read(target) == {(1, 9, "d"), (2, 7, "late"), (3, 1, "f")}

@@ -1,4 +1,4 @@
-"""The exact median against Python's, on both paths."""
+"""The exact median against Python's."""
 
 import random
 import statistics
@@ -17,9 +17,9 @@ def wanted(values, kind):
 
 
 @pytest.mark.parametrize("kind", ["lower", "interp"])
-@pytest.mark.parametrize("one_pass_rows,max_values", [(0, 5_000_000), (0, 3), (1_000_000, 5_000_000)])
-def test_median(spark, monkeypatch, kind, one_pass_rows, max_values):
-    monkeypatch.setattr(summary, "MAX_VALUES", max_values)
+@pytest.mark.parametrize("part_bits", [24, 3])
+def test_median(spark, monkeypatch, kind, part_bits):
+    monkeypatch.setattr(summary, "PART_BITS", part_bits)
     rng = random.Random(7)
     groups = {
         "hot": [rng.choice([0, 0, 0, 5, 7 * 10**6, rng.randrange(10**9)]) for _ in range(4000)],
@@ -32,12 +32,11 @@ def test_median(spark, monkeypatch, kind, one_pass_rows, max_values):
         None: [9, 8, 7],
     }
     rows = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v long")
-    got = dict(exact_median(rows.repartition(8), ["k"], "v", kind, one_pass_rows=one_pass_rows).collect())
+    got = dict(exact_median(rows.repartition(8), ["k"], "v", kind).collect())
     assert got == {k: wanted(vs, kind) for k, vs in groups.items()}
 
 
 def test_bad_kind(spark):
     rows = spark.createDataFrame([(1, 2)], "k int, v long")
-    for one_pass_rows in (0, 1_000_000):
-        with pytest.raises(ValueError):
-            exact_median(rows, ["k"], "v", "upper", one_pass_rows=one_pass_rows)
+    with pytest.raises(ValueError):
+        exact_median(rows, ["k"], "v", "upper")
