@@ -9,10 +9,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Words are runs of anything but these characters (space, and tab to carriage return).
-WORD = r"[^\x20\x09-\x0D]+"
-
-
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -35,12 +31,8 @@ def fold(id_col: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def words_of(text: str) -> list[bytes]:
-    """Words of a text with A-Z in lower case, as UTF-8. bytes.split() splits at exactly the characters WORD leaves out."""
+    """Words of a text with A-Z in lower case, as UTF-8. bytes.split() splits at space and tab to carriage return."""
     return text.encode().lower().split()
 
 

@@ -85,9 +85,9 @@ def removals(docs: DataFrame) -> DataFrame:
         .select("chunk", "first"),
         "repeated-chunks",
     )
-    # byte comparison: one group per text, combined before the shuffle
-    held = places.join(repeated.select("chunk"), "chunk", "left_semi")
-    texts = stage(held.groupBy("chunk", "body").agg(F.count(F.lit(1)).alias("n")).withColumn("body", F.col("body")), "chunk-texts")
+    # byte comparison: one group per text, combined before the shuffle; joins of texts go one way at every size
+    held = places.join(repeated.select("chunk").hint("merge"), "chunk", "left_semi")
+    texts = stage(held.groupBy("chunk", "body").agg(F.count(F.lit(1)).alias("n")), "chunk-texts")
     mixed = stage(texts.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk"), "mixed-chunks")
     plain = narrow.join(repeated.join(mixed, "chunk", "left_anti"), "chunk").filter(~F.col("first").eqNullSafe(_place()))
     among = places.join(mixed, "chunk", "left_semi")
@@ -97,25 +97,31 @@ def removals(docs: DataFrame) -> DataFrame:
     return both.groupBy("doc_id", "digest").agg(F.collect_set("idx").alias("removed"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Adds `kept_text`, `n_chunks` and `n_removed` to every row of `docs`, whose other columns stay."""
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, kept_text, n_chunks, n_removed): every row of `docs` as a struct, so that no column name can clash."""
     digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), F.col(text_col).alias("text"))
-    gone = stage(removals(chunked(narrow, "text").select("doc_id", "digest", "chunks")), "removed-chunks")
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("removed").alias("__removed"))
-    rows = docs.withColumn("__own", digest)
-    rows = rows.join(gone, rows[id_col].cast("long").eqNullSafe(gone["__id"]) & (rows["__own"] == gone["__digest"]), "left")
-    rows = chunked(rows.drop("__id", "__digest", "__own"), text_col).withColumnRenamed("chunks", "__chunks")
-    stays = F.filter("__chunks", lambda c: ~F.array_contains("__removed", c["idx"]))
-    kept = F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stays, lambda c: c["body"]), "\n"))
-    return rows.select(
-        *docs.columns,
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), F.col(text_col).alias("text"))
+    gone = stage(removals(chunked(rows.drop("row"), "text").select("doc_id", "digest", "chunks")), "removed-chunks")
+    gone = gone.select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest"), "removed")
+    met = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    both = chunked(rows.join(gone.hint("merge"), met, "left").select("row", "text", "removed"), "text")
+    stays = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["body"]), "\n"))
+    return both.select(
+        "row",
         kept.alias("kept_text"),
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size("__chunks")).alias("n_chunks"),
-        F.coalesce(F.size("__removed"), F.lit(0)).alias("n_removed"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("chunks")).alias("n_chunks"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
     )
 
 
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Adds `kept_text`, `n_chunks` and `n_removed` to every row of `docs`, in place of columns of these names."""
+    found = without_repeats(docs, id_col, text_col)
+    added = ["kept_text", "n_chunks", "n_removed"]
+    return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in added), *added)
+
+
 #: The same result in SQL, grouping whole chunks by their text.
 SQL = rf"""
 WITH docs AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),

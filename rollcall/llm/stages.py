@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import compression, linededup, packing, rules, simhash
 from .inputs import read, texts
@@ -32,18 +32,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str, thresh
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without repeated chunks; n_chars follows the text."""
-    found = linededup.line_dedup(docs)
+    found = linededup.without_repeats(docs)
     changed = F.col("n_removed") > 0
-    return found.select(
-        *(
-            F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias("text")
-            if c == "text"
-            else F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col(c)).alias(c)
-            if c == "n_chars"
-            else F.col(c)
-            for c in docs.columns
-        )
-    )
+
+    def column(name: str) -> Column:
+        own = F.col(f"row.`{name}`")
+        if name == "text":
+            return F.when(changed, F.col("kept_text")).otherwise(own).alias(name)
+        if name == "n_chars":
+            return F.when(changed, F.length("kept_text").cast("long")).otherwise(own).alias(name)
+        return own
+
+    return found.select(*map(column, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fps = simhash.fingerprints(texts(several)).distinct()
     place = fps.join(found.select("fp", "root").distinct(), "fp").join(groups, "root").filter(F.col("kept_id").eqNullSafe(F.col("doc_id")))
     chosen = place.groupBy("root").agg(F.min("doc_id").alias("id"), F.min("fp").alias("fp"))
-    named = several.withColumn("__fp", simhash.fingerprint_udf()(F.coalesce("text", F.lit(""))))
-    fit = named.join(chosen, named.doc_id.eqNullSafe(chosen.id) & (named["__fp"] == chosen.fp), "left_semi")
-    return once.unionByName(fit.dropDuplicates(["doc_id", "__fp"]).select(*docs.columns))
+    fp = simhash.fingerprint_udf()(F.coalesce("text", F.lit("")))
+    named = several.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), fp.alias("own_fp"))
+    met = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_fp") == F.col("fp"))
+    fit = named.join(chosen, met, "left_semi").dropDuplicates(["own_id", "own_fp"])
+    return once.unionByName(fit.select("row.*"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
