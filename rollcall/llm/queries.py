@@ -32,7 +32,7 @@ def op5_voronoi_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.quality_rules(read(spark, folder, "documents"))
+    return rules.quality_rules(read(spark, folder, "documents")).select("doc_id", *rules.BASE, "base_failed", "kept")
 
 
 def op7_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,5 +77,6 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op6_divergence_rules": rules.SQL,
     "op9_line_chunks": linededup.SQL,
 }

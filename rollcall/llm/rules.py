@@ -265,3 +265,84 @@ def kept(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     return judge(stage(measures(texts(docs, id_col, text_col)), "measures"), **limits)
+
+
+def _sql() -> str:
+    """The base counts and verdicts in SQL, with the limits of `Judge`."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def held(pattern: str) -> str:
+        return f"length(regexp_replace(text, {quoted(pattern)}, '', 'g'))"
+
+    def escaped(members: str) -> str:
+        return "".join(f"\\x{ord(c):02X}" for c in members)
+
+    limits = Judge([])
+    total = "length(text)"
+    counts = {k: f"{total} - {held(f'[{escaped(members)}]')}" for k, members in CLASSES.items()}
+    counts["beyond"] = f"{total} - {held('[^\\x00-\\x7F]')}"
+    known = " + ".join(f"({c})" for c in counts.values())
+    classes = ", ".join(f"struct_pack(bin := {quoted(k)}, n := {c})" for k, c in [*counts.items(), ("other", f"{total} - ({known})")])
+    common = ", ".join(f"({quoted(lang)}, {k}, {quoted(w)})" for k, (lang, ws) in enumerate(COMMON_WORDS.items()) for w in ws.split(" "))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def distance(mine: str, theirs: str) -> str:
+        return f"""SELECT r, lang, sqrt(greatest(sum(
+      CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS far
+    FROM (SELECT m.r, m.lang, m.bin, m.share AS p, t.share AS q FROM {mine} m JOIN {theirs} t ON t.lang = m.lang AND t.bin = m.bin)
+    GROUP BY r, lang"""
+
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT r, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM docs),
+tokens AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+  SELECT r, i, word, CASE WHEN count(*) OVER w = {WINDOW} THEN string_agg(word, ' ') OVER w END AS shingle
+  FROM tokens WINDOW w AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+twice AS (SELECT r, i, word, shingle IS NOT NULL AND count(*) OVER (PARTITION BY r, shingle) > 1 AS twice FROM windows),
+covered AS (
+  SELECT r, word, bool_or(twice) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS covered FROM twice),
+by_word AS (SELECT r, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars, count(*) FILTER (covered) AS n_repeat_words FROM covered GROUP BY r),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+by_line AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+base AS (
+  SELECT docs.r, doc_id, text, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         {total} - {held(f'[{escaped(SYMBOLS)}]')} AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs LEFT JOIN by_word USING (r) LEFT JOIN by_line USING (r)),
+common(lang, nth, word) AS (VALUES {common}),
+hits AS (
+  SELECT r, lang, nth, c.word AS bin, count(*) AS n FROM tokens t
+  JOIN common c ON c.word = translate(trim(t.word, '.,;:!?''"()'), '{upper}', '{lower}') GROUP BY ALL),
+by_lang AS (SELECT r, lang, nth, sum(n) AS n FROM hits GROUP BY ALL),
+language AS (SELECT r, arg_max(lang, (n, -nth)) AS lang FROM by_lang GROUP BY r),
+langs AS (SELECT DISTINCT lang FROM common),
+held AS (
+  SELECT base.r, langs.lang FROM base CROSS JOIN langs LEFT JOIN language USING (r)
+  WHERE n_words > 0 AND (language.lang IS NULL OR language.lang = langs.lang)),
+class_counts AS (SELECT r, unnest([{classes}]) AS c FROM base WHERE n_words > 0),
+class_shares AS (
+  SELECT r, lang, c.bin AS bin, c.n / greatest(sum(c.n) OVER (PARTITION BY r, lang), 1) AS share FROM class_counts JOIN held USING (r)),
+word_counts AS (
+  SELECT h.r, h.lang, c.word AS bin, coalesce(hits.n, 0) AS n FROM held h JOIN common c ON c.lang = h.lang
+  LEFT JOIN hits ON hits.r = h.r AND hits.lang = h.lang AND hits.bin = c.word
+  UNION ALL
+  SELECT h.r, h.lang, ' ', n_words - coalesce(by_lang.n, 0) FROM held h JOIN base USING (r) LEFT JOIN by_lang ON by_lang.r = h.r AND by_lang.lang = h.lang),
+word_shares AS (SELECT r, lang, bin, n / sum(n) OVER (PARTITION BY r, lang) AS share FROM word_counts),
+class_sums AS (SELECT lang, bin, sum(CAST(round_even(share * {UNIT}, 0) AS HUGEINT)) AS n FROM class_shares JOIN language USING (r, lang) GROUP BY ALL),
+word_sums AS (SELECT lang, bin, sum(CAST(round_even(share * {UNIT}, 0) AS HUGEINT)) AS n FROM word_shares JOIN language USING (r, lang) GROUP BY ALL),
+class_refs AS (SELECT lang, bin, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY lang) AS share FROM class_sums),
+word_refs AS (SELECT lang, bin, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY lang) AS share FROM word_sums),
+class_far AS (SELECT r, round(min(far), 9) AS by_class FROM ({distance('class_shares', 'class_refs')}) GROUP BY r),
+word_far AS (SELECT r, round(min(far), 9) AS by_word FROM ({distance('word_shares', 'word_refs')}) GROUP BY r),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         n_words >= {limits.min_words} AND coalesce(by_class, 0) > {limits.max_classes}
+         OR n_words >= {limits.min_common} AND coalesce(by_word, 0) > {limits.max_common} AS far
+  FROM base LEFT JOIN class_far USING (r) LEFT JOIN word_far USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM judged
+"""
+
+
+SQL = _sql()
