@@ -1,17 +1,19 @@
 """Quality by compression with class dictionaries (op 4).
 
 One zstandard dictionary is trained on blocks of good and one on blocks of bad labelled texts. A text is cut into blocks;
-each is compressed with both, and the text's feature is the difference of the two sizes (bad minus good), divided by its
-bytes. Blocks keep the feature alike for short and long texts, where a text would else become its own dictionary. A
-logistic regression on other labelled texts turns the feature into a probability. The whole text counts.
+each is compressed with both, and the difference of the two sizes (bad minus good) is taken per byte and per root of the
+bytes: the second tells how sure the first is. Blocks keep them alike for short and long texts, where a text would else
+become its own dictionary. A logistic regression on other labelled texts turns both, with the logarithm of the length,
+into a probability. The whole text counts.
 
 The dictionaries are fitted on at most `per_class` documents of a class, eight blocks of each, and calibrated on as many
 others. With labels of one class only, or none, every text gets the smoothed share of good labels.
-Null and empty texts have feature 0. Null ids and repeated rows each get a row. Empty table: no rows.
+Null and empty texts count as one byte without a difference. Null ids and repeated rows each get a row. Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,21 +49,23 @@ def compressor(data: bytes) -> zstandard.ZstdCompressor:
 class Model:
     good: bytes | None
     bad: bytes | None
-    slope: float
+    weights: tuple[float, float, float]
     intercept: float
 
-    def feature(self, text: str) -> float:
+    def features(self, text: str) -> tuple[float, float, float]:
+        """The difference per byte and per root of the bytes, and the logarithm of the bytes."""
         store = worker_store()
         if store.get("compression model") is not self.good:
             store["compression model"] = self.good
             store["compressors"] = (compressor(self.good), compressor(self.bad))
         good, bad = (c.compress for c in store["compressors"])
         data = text.encode()
-        return sum([len(bad(b)) - len(good(b)) for b in blocks(data)]) / max(1, len(data))
+        difference, size = sum([len(bad(b)) - len(good(b)) for b in blocks(data)]), max(1, len(data))
+        return difference / size, difference / size**0.5, math.log(size)
 
     def score(self, text: str) -> float:
-        x = self.feature(text) if self.good is not None else 0.0
-        return float(sigmoid(np.float64(self.slope * x + self.intercept)))
+        x = self.features(text) if self.good is not None else (0.0, 0.0, 0.0)
+        return float(sigmoid(np.float64(sum(w * f for w, f in zip(self.weights, x, strict=True)) + self.intercept)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 2000) -> Model:
@@ -82,19 +86,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     counts = [sum(r["doc_id"] // 2 == k for r in rows) for k in (0, 1)]
     if not all(samples):
         share = (counts[1] + 1) / (sum(counts) + 2)
-        return Model(None, None, 0.0, float(np.log(share / (1 - share))))
-    model = Model(dictionary(samples[1]), dictionary(samples[0]), 0.0, 0.0)
+        return Model(None, None, (0.0, 0.0, 0.0), float(np.log(share / (1 - share))))
+    model = Model(dictionary(samples[1]), dictionary(samples[0]), (20.0, 0.0, 0.0), 0.0)
 
     def measure(ids: list, bodies: list[str]) -> dict:
-        return {"doc_id": pa.array(ids, pa.int64()), "x": pa.array([model.feature(t) for t in bodies], pa.float64())}
+        return {"doc_id": pa.array(ids, pa.int64()), "x": pa.array([list(model.features(t)) for t in bodies], pa.list_(pa.float64()))}
 
     other = half.filter("half = 1").select(F.col("label").cast("long").alias("doc_id"), "text")
-    rows = map_texts(other, measure, "doc_id long, x double").collect()
-    pairs = np.array(sorted((r["doc_id"], r["x"]) for r in rows), float).reshape(-1, 2)
-    if len(set(pairs[:, 0])) < 2:
-        return Model(model.good, model.bad, 20.0, 0.0)
-    slope, intercept = logistic(pairs[:, 1:], pairs[:, 0])
-    return Model(model.good, model.bad, float(slope[0]), intercept)
+    rows = sorted((r["doc_id"], *r["x"]) for r in map_texts(other, measure, "doc_id long, x array<double>").collect())
+    table = np.array(rows, float).reshape(-1, 4)
+    if len(set(table[:, 0])) < 2:
+        return model
+    weights, intercept = logistic(table[:, 1:], table[:, 0])
+    return Model(model.good, model.bad, tuple(weights.tolist()), intercept)
 
 
 def score(docs: DataFrame, model: Model, folds: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:

@@ -92,9 +92,9 @@ def test_classifiers_on_odd_documents(module, odd_docs, no_docs, odd_labels):
 
 def test_compression_prefers_the_like():
     good, bad = [b"the cat sat on the mat and the dog ran by "] * 50, [b"$$$ ### %%% buy now !!! "] * 50
-    model = compression.Model(compression.dictionary(good), compression.dictionary(bad), 10.0, 0.0)
-    assert model.feature("the dog sat on the mat and the cat ran by") > 0 > model.feature("buy now !!! $$$ ### %%%")
-    assert model.feature("") == 0
+    model = compression.Model(compression.dictionary(good), compression.dictionary(bad), (10.0, 0.0, 0.0), 0.0)
+    assert model.features("the dog sat on the mat and the cat ran by")[0] > 0 > model.features("buy now !!! $$$ ### %%%")[0]
+    assert model.features("") == (0, 0, 0)
 
 
 def plain_kernel(s, t, order=toxicity.ORDER, decay=toxicity.DECAY):
