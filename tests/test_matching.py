@@ -57,6 +57,7 @@ def bend(rng, word):
 def test_fuzzy_join_misses_nothing(spark, metric, min_ratio, min_margin):
     rng = random.Random(f"{metric}{min_ratio}")
     right_words = names(rng, 120, ["PUR", "NAG", "A", "BAD", "GANJ", "E"], (1, 8)) + names(rng, 60, list("AB"), (1, 12))
+    right_words += names(rng, 40, ["PUR", "NAG", "BAD", "GANJ"], (3, 12))  # 9 to 40 letters
     left_words = [bend(rng, w) for w in right_words] + names(rng, 40, list("AB"), (1, 30))
     # a hot block holds most keys, and one key a third of the rows
     block = lambda: rng.choice(["HOT"] * 4 + ["B", "C"])
