@@ -8,7 +8,7 @@ All counts are over all training documents, and both the counts and the tries ar
 1. Tasks read documents into chunks of about `chunk_tokens` tokens (a longer text is one chunk): each token as a number,
    the distinct words, and their counts in training texts. The chunks are a written table.
 2. The distinct words of each chunk go to shards by hash. A shard adds up their counts, numbers the words that training
-   texts have, and answers each chunk with numbers and counts.
+   texts have, and answers each chunk with numbers and counts. The chunks' table is bucketed, so that only answers move.
 3. Each chunk sends its distinct bigrams of known words, with their training counts and c(v), to shards by hash of the
    bigram, so that a frequent word's bigrams are spread over all shards.
 4. A shard adds up the counts, writes its trie to files of its own, maps them, and answers each chunk with codes.
@@ -32,7 +32,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import stage
+from ..session import scratch_path, stage
 from .eliasfano import Trie
 from .inputs import fold, texts, words_of
 
@@ -101,6 +101,15 @@ def _table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.Table:
     return pa.Table.from_batches([_rows(columns)])
 
 
+def _bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """Writes `df` as a table bucketed by a column, in the shared folder; what groups it by that column need not move it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "chunks")
+    name = "rollcall_" + path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def count_words(staged: DataFrame, shards: int) -> DataFrame:
     """Answers (chunk, shard, numbers, counts) in the order of the chunk's words of that shard.
 
@@ -191,7 +200,7 @@ def score(docs: DataFrame, train: Column, smoothing: float = 100.0, chunk_tokens
     """doc_id, n_tokens, n_known, train_tokens, base_score, score; `train`, a condition on doc_id, tells what to learn from."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs, id_col, text_col).withColumn("train", F.coalesce(train, F.lit(False)))
-    staged = stage(chunks(rows, chunk_tokens), "chunks")
+    staged = _bucketed(chunks(rows, chunk_tokens), "chunk", shards)
     words = stage(count_words(staged, shards), "word-counts")
     v = Vocabulary(words, shards)
     answers = words.filter("chunk >= 0").select(F.col("chunk").alias("of"), "shard", "numbers", "counts")
