@@ -7,9 +7,9 @@ by itself. Of the chunks that occur more than once in all documents, those of tw
 line, are removed everywhere but at their first place (smallest doc_id, then position; null ids last). Chunks without any
 visible character stay.
 
-Chunks meet by a 64-bit hash first, in narrow rows that are aggregated before the shuffle; only chunks whose hash occurs at
-two places are then fetched and compared byte by byte (grouped by their text). Should texts of one hash differ, each text
-is decided on its own.
+Chunks meet by a 64-bit hash, in narrow rows that are aggregated before the shuffle. Beside that, all chunks are compared byte
+by byte (grouped by their text, once per task before the shuffle): should texts of one hash differ, each of them is
+decided on its own text. No join brings the places of a chunk that a third of all documents have to one task.
 
 A null text stays null, with no chunks. Rows repeated with id and text count once and get the same result; rows with one
 id and other texts are other documents, ordered by the hash of their text. Texts are never cut short. Empty table: no rows.
@@ -85,10 +85,9 @@ def removals(docs: DataFrame) -> DataFrame:
         .select("chunk", "first"),
         "repeated-chunks",
     )
-    # byte comparison: one group per text, combined before the shuffle; joins of texts go one way at every size
-    held = places.join(repeated.select("chunk").hint("merge"), "chunk", "left_semi")
-    texts = stage(held.groupBy("chunk", "body").agg(F.count(F.lit(1)).alias("n")), "chunk-texts")
-    mixed = stage(texts.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk"), "mixed-chunks")
+    # byte comparison: texts grouped by all their bytes, combined before the shuffle
+    bodies = places.select("chunk", "body").distinct()
+    mixed = stage(bodies.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk"), "mixed-chunks")
     plain = narrow.join(repeated.join(mixed, "chunk", "left_anti"), "chunk").filter(~F.col("first").eqNullSafe(_place()))
     among = places.join(mixed, "chunk", "left_semi")
     firsts = among.groupBy("chunk", "body").agg(F.min(_place()).alias("first"))
