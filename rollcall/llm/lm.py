@@ -14,7 +14,7 @@ All counts are over all training documents, and both the counts and the tries ar
 4. A shard adds up the counts, writes its trie to files of its own, maps them, and answers each chunk with codes.
 5. Each chunk scores its texts.
 What is exchanged is one entry per distinct word or bigram of a chunk, packed; it grows with the input, as do the tries.
-The shards are as many as `spark.sql.shuffle.partitions`. Lost tasks are run again from the written tables.
+The shards are as many as `spark.sql.shuffle.partitions`, or as asked for. Lost tasks are run again from the written tables.
 
 Null text: empty, which is the end token alone. Null ids are in fold 0 and keep their row, as do repeated rows. Without
 training documents N and V are 0. Empty table: no rows.
@@ -196,9 +196,12 @@ class Chunk:
         self.shard = ((mixed >> np.uint64(33)) % np.uint64(v.shards)).astype(np.int64)
 
 
-def score(docs: DataFrame, train: Column, smoothing: float = 100.0, chunk_tokens: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score; `train`, a condition on doc_id, tells what to learn from."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def score(docs: DataFrame, train: Column, smoothing: float = 100.0, chunk_tokens: int = 1_000_000, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score; `train`, a condition on doc_id, tells what to learn from.
+
+    A shard is one task's work: about 30 bytes of memory for each of its share of the chunks' distinct bigrams.
+    """
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs, id_col, text_col).withColumn("train", F.coalesce(train, F.lit(False)))
     staged = _bucketed(chunks(rows, chunk_tokens), "chunk", shards)
     words = stage(count_words(staged, shards), "word-counts")
