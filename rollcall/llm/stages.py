@@ -10,6 +10,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import stage
 from . import compression, linededup, packing, rules, simhash
 from .inputs import read, texts
 
@@ -51,11 +52,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     groups = found.groupBy("root").agg(F.min("component_id").alias("kept_id"))
     kept = groups.filter("kept_id IS NOT NULL").select("kept_id").distinct()
-    odd = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_id"))
+    # ids that are null or not one row's alone; written down, so that their number decides how they are joined
+    odd = stage(docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_id")), "odd-ids")
     once = docs.join(odd, docs.doc_id.eqNullSafe(odd.odd_id), "left_anti")
     once = once.join(kept, once.doc_id == kept.kept_id, "left_semi")
-    # rows whose id is null or not theirs alone are told apart by fingerprint; one of each group that has no other stays
-    several = docs.join(odd, docs.doc_id.eqNullSafe(odd.odd_id), "left_semi")
+    # their rows are told apart by fingerprint; one of each group that has no other stays
+    several = stage(docs.join(odd, docs.doc_id.eqNullSafe(odd.odd_id), "left_semi"), "rows-of-odd-ids")
     fps = simhash.fingerprints(texts(several)).distinct()
     place = fps.join(found.select("fp", "root").distinct(), "fp").join(groups, "root").filter(F.col("kept_id").eqNullSafe(F.col("doc_id")))
     chosen = place.groupBy("root").agg(F.min("doc_id").alias("id"), F.min("fp").alias("fp"))
