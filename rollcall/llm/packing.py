@@ -19,14 +19,12 @@ rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import stage
@@ -35,63 +33,71 @@ from .inputs import map_texts, texts, worker_store
 #: Bound of the table of encoded words in one worker; it is emptied when full. Results do not depend on it.
 REMEMBERED = 400_000
 
-#: Where this matches, words between spaces cannot be encoded one by one, and the whole text is.
-_ODD = re.compile(r" \s|<\|")
 #: Fixed value: the pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-class WordTokens:
-    """Ids of a text by the `tokenizers` library, as little-endian unsigned 32-bit numbers, remembering words.
+class _Words(dict):
+    """Ids of a word with the space before it, encoded when first asked for; None if it cannot be encoded apart.
 
-    The byte-level pattern always begins a new match at a space that stands before a visible character, so the words of a
-    text, each with its space, are encoded apart. A new word is split by the same pattern, and each match is encoded by the
-    tokenizer's model, which takes bytes as the characters that stand for them.
+    The file numbers its merges in their order, so its own vocabulary serves as ranks to the `tiktoken` library, which is
+    quicker on single words and gives the same ids; `tests/llm` compares them.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(PATTERN).findall
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the library gives the characters that stand for bytes in ascending order of the printable ones, then the others
         stand = sorted(pre_tokenizers.ByteLevel.alphabet(), key=ord)
         kept = [ord(c) for c in stand if ord(c) < 256]
         others = iter(c for c in stand if ord(c) >= 256)
-        self.stand_in = {b: chr(b) if b in kept else next(others) for b in range(256)}
-        self.words: dict[str, bytes] = {}
-        self.matches: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, new: set[str]) -> None:
-        matches, tokenize, stand_in = self.matches, self.tokenizer.model.tokenize, self.stand_in
-        for word in new:
-            found = self.split(" " + word)
-            for match in found:
-                if match not in matches:
-                    tokens = tokenize(match.encode().decode("latin-1").translate(stand_in))
-                    matches[match] = array("I", [t.id for t in tokens]).tobytes()
-            self.words[word] = b"".join([matches[m] for m in found])
+        byte_of = {chr(b) if b in kept else next(others): b for b in range(256)}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False).items()
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary if t not in self.special}
+        self.encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes | None:
+        apart = word and not word[0].isspace() and not any(s in word for s in self.special)
+        found = self[word] = array("I", self.encode(" " + word)).tobytes() if apart else None
+        return found
+
+
+class WordTokens:
+    """Ids of a text by the `tokenizers` library, as little-endian unsigned 32-bit numbers, remembering words.
+
+    The byte-level pattern always begins a new match at a space that stands before a visible character, so the words of a
+    text, each with its space, are encoded apart. A text in which a space stands before another white-space character, or
+    that holds a special token, is encoded as a whole.
+    """
+
+    def __init__(self, path: str):
+        self.words = _Words(path)
+        self.firsts: dict[str, bytes] = {"": b""}
 
     def encode(self, bodies: list[str]) -> list[bytes]:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-            self.matches.clear()
-        split = [None if _ODD.search(t) else t.split(" ") for t in bodies]
-        words = self.words
-        self.learn(set().union(*[p[1:] for p in split if p]).difference(words))
-        out = []
-        for text, parts in zip(bodies, split, strict=True):
-            if parts is None:
-                out.append(self._whole(text))
-            else:
-                first, *rest = parts
-                out.append((self._whole(first) if first else b"") + b"".join([words[w] for w in rest]))
+        words, firsts = self.words, self.firsts
+        if len(words) >= REMEMBERED or len(firsts) >= REMEMBERED:
+            words.clear()
+            self.firsts = firsts = {"": b""}
+        ids, out = words.__getitem__, []
+        for text in bodies:
+            first, *rest = text.split(" ")
+            if first not in firsts:
+                firsts[first] = words.whole(first)
+            try:
+                out.append(firsts[first] + b"".join(map(ids, rest)))
+            except TypeError:  # a word that cannot be encoded apart
+                out.append(words.whole(text))
         return out
 
 
