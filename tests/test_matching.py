@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from decimal import ROUND_HALF_UP, Decimal
 from difflib import SequenceMatcher
 
 import pytest
@@ -32,12 +33,13 @@ def brute_force(left, right, metric, min_ratio, min_margin):
     found = {}
     exact = set(right)
     for block, key in set(left) - exact:
-        scores = sorted(((BRUTE[metric](key, k), k) for b, k in exact if b == block and k), reverse=True)
+        scores = sorted(((BRUTE[metric](key, k), k) for b, k in exact if b == block and k), key=lambda s: (-s[0], s[1]))
         if not key or not scores or scores[0][0] < min_ratio:
             continue
         if len(scores) > 1 and scores[0][0] - scores[1][0] < min_margin:
             continue
-        found[block, key] = (scores[0][1], round(scores[0][0], 3))
+        half_up = Decimal(repr(scores[0][0])).quantize(Decimal("0.001"), ROUND_HALF_UP)
+        found[block, key] = (scores[0][1], float(half_up))
     return found
 
 
