@@ -11,6 +11,12 @@ Chunks meet by a 64-bit hash, in narrow rows that are aggregated before the shuf
 by byte (grouped by their text, once per task before the shuffle): should texts of one hash differ, each of them is
 decided on its own text. No join brings the places of a chunk that a third of all documents have to one task.
 
+A chunk's first and last lines can depend on the lines around a passage, so chunks alone miss parts of repeated passages. With
+`windows`, every run of neighbouring lines that just reaches 50 words, from each line on and back from each line, is compared
+over all documents too, by hash and then byte by byte. All lines that a repeated run covers are removed but at its first
+place; any repeated passage of 50 words or more is covered by such runs from its first visible line to its last. The query
+op9_line_chunks alone goes without them, as `SQL` fixes its result.
+
 A null text stays null, with no chunks. Rows repeated with id and text count once and get the same result; rows with one
 id and other texts are other documents, ordered by the hash of their text. Texts are never cut short. Empty table: no rows.
 """
@@ -23,6 +29,8 @@ from ..session import stage
 
 #: Prime and base of the rolling hash; spaces in a line of 50 words.
 PRIME, BASE, LONG = 2_147_483_647, 1_000_003, 49
+#: What a visible line has.
+VISIBLE = r"[^\x20\x09-\x0D]"
 
 
 def _hash(line: Column) -> Column:
@@ -35,7 +43,7 @@ def _long(line: Column) -> Column:
 
 
 def chunked(docs: DataFrame, text: str) -> DataFrame:
-    """Adds `chunks`, an array of (idx, n_lines, body), to every row; the rows are otherwise as they were."""
+    """Adds `chunks`, an array of (idx, start, n_lines, body), to every row; the rows are otherwise as they were."""
     lines = docs.withColumn("__lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
     hashed = lines.withColumn("__marks", F.transform("__lines", lambda x: F.struct(_hash(x).alias("h"), _long(x).alias("long"))))
 
@@ -54,7 +62,7 @@ def chunked(docs: DataFrame, text: str) -> DataFrame:
 
     def piece(start: Column, k: Column) -> Column:
         n = F.coalesce(F.get("__starts", k + 1), F.size("__lines")) - start
-        return F.struct(k.alias("idx"), n.alias("n_lines"), F.array_join(F.slice("__lines", start + 1, n), "\n").alias("body"))
+        return F.struct(k.alias("idx"), start.alias("start"), n.alias("n_lines"), F.array_join(F.slice("__lines", start + 1, n), "\n").alias("body"))
 
     return starts.withColumn("chunks", F.transform("__starts", piece)).drop("__lines", "__marks", "__rolls", "__starts")
 
@@ -66,7 +74,7 @@ def _places(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", "digest", F.explode_outer("chunks").alias("c")).select("doc_id", "digest", "c.idx", "c.n_lines", "c.body")
     body = F.col("body")
-    rows = rows.filter(((F.col("n_lines") > 1) | _long(body)) & body.rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.filter(((F.col("n_lines") > 1) | _long(body)) & body.rlike(VISIBLE))
     return rows.select("doc_id", "digest", "idx", F.xxhash64("body").alias("chunk"), "body")
 
 
@@ -96,27 +104,110 @@ def removals(docs: DataFrame) -> DataFrame:
     return both.groupBy("doc_id", "digest").agg(F.collect_set("idx").alias("removed"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, kept_text, n_chunks, n_removed): every row of `docs` as a struct, so that no column name can clash."""
+def windowed(docs: DataFrame, text: str) -> DataFrame:
+    """Adds `windows`, an array of (start, end, window), the lines and the hash of each run that just reaches 50 words.
+
+    Runs begin and end with visible lines, so each has at most 50 of them.
+    """
+    lines = docs.withColumn("__lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))
+    marks = F.transform("__lines", lambda x, i: F.struct(i.alias("at"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words"), x.rlike(VISIBLE).alias("seen")))
+    marked = lines.withColumn("__hashes", F.transform("__lines", lambda x: F.xxhash64(x))).withColumn("__seen", F.filter(marks, lambda m: m["seen"]))
+
+    def reach(some: Column) -> Column:
+        """The line where the words of `some` reach the limit, or null."""
+        nothing = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("at"))
+        more = lambda sofar, m: F.when(sofar["words"] > LONG, sofar).otherwise(F.struct((sofar["words"] + m["words"]).alias("words"), m["at"].alias("at")))
+        return F.aggregate(some, nothing, more, lambda sofar: F.when(sofar["words"] > LONG, sofar["at"]))
+
+    # start and end in one number, as arrays of numbers are made distinct by hash
+    both = lambda start, end: F.shiftleft(start.cast("long"), 32) + end
+    onward = F.transform("__seen", lambda m, k: both(m["at"], reach(F.slice("__seen", k + 1, F.lit(LONG + 1)))))
+    first = lambda k: F.greatest(k - LONG, F.lit(0))
+    back = F.transform("__seen", lambda m, k: both(reach(F.reverse(F.slice("__seen", first(k) + 1, k - first(k) + 1))), m["at"]))
+    runs = marked.withColumn("__runs", F.array_union(F.filter(onward, lambda x: x.isNotNull()), F.filter(back, lambda x: x.isNotNull())))
+
+    def run(x: Column) -> Column:
+        start, end = F.shiftright(x, 32).cast("int"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+        return F.struct(start.alias("start"), end.alias("end"), F.xxhash64(F.slice("__hashes", start + 1, end - start + 1)).alias("window"))
+
+    return runs.withColumn("windows", F.transform("__runs", run)).drop("__lines", "__hashes", "__seen", "__runs")
+
+
+def covered_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, from, to): lines to leave out of texts, as a repeated run covers them; `docs` has doc_id, digest, text."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "start", "end")
+    rows = windowed(docs, "text").select("doc_id", "digest", F.explode_outer("windows").alias("w")).select("doc_id", "digest", "w.*")
+    narrow = stage(rows.filter("window IS NOT NULL"), "window-places")
+    repeated = stage(
+        narrow.groupBy("window")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .filter(~F.col("first").eqNullSafe(F.col("last")))
+        .select("window", "first"),
+        "repeated-windows",
+    )
+    # byte comparison of the repeated runs only: each text is met by its own
+    hits = stage(narrow.join(repeated, "window").select("doc_id", "digest", "start", "end", "window", "first"), "window-hits")
+    own = hits.groupBy(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")).agg(F.collect_set(F.struct("start", "end", "window")).alias("own"))
+    met = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    lines = docs.join(own.hint("merge"), met).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    # cut out before they are dealt out, so that no row of them carries the whole text
+    body = lambda w: F.array_join(F.slice("lines", w["start"] + 1, w["end"] - w["start"] + 1), "\n")
+    cut = F.transform("own", lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["window"].alias("window"), body(w).alias("body")))
+    bodies = lines.select("doc_id", "digest", F.explode_outer(cut).alias("w")).select("doc_id", "digest", "w.*")
+    differ = bodies.select("window", "body").distinct().groupBy("window").agg(F.count(F.lit(1)).alias("n"))
+    mixed = stage(differ.filter("n > 1").select("window"), "mixed-windows")
+    among = bodies.join(mixed, "window", "left_semi")
+    firsts = among.groupBy("window", "body").agg(F.min(place).alias("first"))
+    apart = among.join(firsts, ["window", "body"]).select("doc_id", "digest", "start", "end", "first")
+    plain = hits.join(mixed, "window", "left_anti").select("doc_id", "digest", "start", "end", "first")
+    both = plain.union(apart).filter(~F.col("first").eqNullSafe(place))
+    # a run that overlaps its own first place leaves that whole
+    same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.digest") == F.col("digest"))
+    begin = F.when(same, F.greatest("start", F.col("first.end") + 1)).otherwise(F.col("start"))
+    return both.select("doc_id", "digest", begin.alias("from"), F.col("end").alias("to")).filter(F.col("from") <= F.col("to"))
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windows: bool = True) -> DataFrame:
+    """(row, kept_text, n_chunks, n_removed): every row of `docs` as a struct, so that no column name can clash.
+
+    With `windows`, n_removed also counts the chunks that lost some lines only.
+    """
     digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), F.col(text_col).alias("text"))
-    gone = stage(removals(chunked(rows.drop("row"), "text").select("doc_id", "digest", "chunks")), "removed-chunks")
-    gone = gone.select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest"), "removed")
+    gone = removals(chunked(rows.drop("row"), "text").select("doc_id", "digest", "chunks"))
+    if windows:
+        covered = covered_lines(rows.drop("row")).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("from", "to")).alias("covered"))
+        none = F.array().cast("array<int>")
+        gone = gone.withColumn("covered", F.lit(None).cast("array<struct<from:int,to:int>>"))
+        gone = gone.unionByName(covered.withColumn("removed", F.lit(None).cast("array<int>")))
+        gone = gone.groupBy("doc_id", "digest").agg(F.coalesce(F.max("removed"), none).alias("removed"), F.max("covered").alias("covered"))
+    gone = stage(gone, "removed-chunks")
+    gone = gone.withColumnsRenamed({"doc_id": "its_id", "digest": "its_digest"})
     met = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
-    both = chunked(rows.join(gone.hint("merge"), met, "left").select("row", "text", "removed"), "text")
+    both = chunked(rows.join(gone.hint("merge"), met, "left").drop("doc_id", "digest", "its_id", "its_digest"), "text")
     stays = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["body"]), "\n"))
+    kept, n_removed = F.array_join(F.transform(stays, lambda c: c["body"]), "\n"), F.size("removed")
+    if windows:
+        lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+        left = F.flatten(F.transform(stays, lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
+        out = F.flatten(F.transform("covered", lambda x: F.sequence(x["from"], x["to"])))
+        both = both.withColumn("lines", lines).withColumn("left", F.array_except(left, out))
+        chunk_of = F.flatten(F.transform("chunks", lambda c: F.array_repeat(c["idx"], c["n_lines"])))
+        both = both.withColumn("chunk_of", chunk_of).withColumn("out", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "left"))
+        n_removed = F.when(F.col("covered").isNull(), n_removed).otherwise(F.size(F.array_distinct(F.transform("out", lambda i: F.get("chunk_of", i)))))
+        kept = F.when(F.col("covered").isNull(), kept).otherwise(F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n"))
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
     return both.select(
         "row",
         kept.alias("kept_text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("chunks")).alias("n_chunks"),
-        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.when(F.col("removed").isNull(), 0).otherwise(n_removed).alias("n_removed"),
     )
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windows: bool = True) -> DataFrame:
     """Adds `kept_text`, `n_chunks` and `n_removed` to every row of `docs`, in place of columns of these names."""
-    found = without_repeats(docs, id_col, text_col)
+    found = without_repeats(docs, id_col, text_col, windows)
     added = ["kept_text", "n_chunks", "n_removed"]
     return found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in added), *added)
 

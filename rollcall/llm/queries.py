@@ -46,7 +46,7 @@ def op8_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    found = linededup.line_dedup(read(spark, folder, "documents"))
+    found = linededup.line_dedup(read(spark, folder, "documents"), windows=False)  # as its SQL has it
     kept = F.coalesce("kept_text", F.lit(""))
     return found.select(
         "doc_id", "n_chunks", "n_removed", F.length(kept).alias("n_chars_kept"), F.md5(kept.cast("binary")).alias("kept_md5")

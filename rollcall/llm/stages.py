@@ -32,7 +32,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str, thresh
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without repeated chunks; n_chars follows the text."""
+    """All documents, without repeated chunks and passages; n_chars follows the text."""
     found = linededup.without_repeats(docs)
     changed = F.col("n_removed") > 0
 

@@ -9,7 +9,7 @@ from compare import connect, duck_rows, spark_rows
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rollcall.llm import linededup, queries, simhash
+from rollcall.llm import linededup, queries, simhash, stages
 
 
 def plain_fingerprint(text, size=3):
@@ -121,3 +121,37 @@ def test_line_odd_documents(odd_docs, no_docs):
     assert all(r.kept_text is None and r.n_chunks == 0 for r in rows if r.text is None)
     assert all(r.kept_text == r.text for r in rows if r.n_removed == 0)
     assert linededup.line_dedup(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("n", range(2, 11))
+def test_short_passages_are_removed_whole(spark, n):
+    """Lines under 50 words each, amid unlike lines; each passage holds 50 words or more."""
+    rng = np.random.default_rng(n)
+    line = lambda size: " ".join(f"w{x}" for x in rng.integers(0, 10**9, size))
+    sizes = [[49, 1, *[3] * (n - 2)] if k % 3 == 0 else [-(-50 // n)] * n if k % 3 == 1 else [1, *[2] * (n - 2), 49] for k in range(12)]
+    passages = ["\n".join(map(line, s)) for s in sizes]
+    rows, want = [], {}
+    for i in range(36):
+        before, after = "\n".join(line(9) for _ in range(i % 4 + 1)), "\n".join(line(9) for _ in range(i % 3 + 1))
+        rows.append((i, f"{before}\n{passages[i % 12]}\n{after}"))
+        want[i] = rows[i][1] if i < 12 else f"{before}\n{after}"
+    found = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.kept_text for r in found} == want
+
+
+def test_runs_that_repeat_in_one_text(spark):
+    """Each document keeps the first place of a run whole, also where the next one overlaps it; blank lines go with a run."""
+    same, long = "ten words " * 5, " ".join(f"v{i}" for i in range(30))
+    rows = [(1, "\n".join(["a", *[same.strip()] * 9, "b"])), (2, f"c\n{long}\n\n{long} x\nd"), (None, f"e\n{long}\n\n{long} x\nf"), (3, "g\nh")]
+    found = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = {r.doc_id: r.kept_text for r in found}
+    assert kept == {1: "\n".join(["a", *[same.strip()] * 5, "b"]), 2: rows[1][1], None: "e\nf", 3: "g\nh"}
+
+
+def test_pipeline_stage_removes_short_passages(spark):
+    from rollcall.llm import stages
+
+    passage = "\n".join(" ".join(f"p{i}w{j}" for j in range(18)) for i in range(3))
+    docs = spark.createDataFrame([(i, f"first {i}\n{passage}\nlast {i}", 7) for i in range(9)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in stages.line_dedup(spark, docs, "").collect()}
+    assert got[0][0].count("\n") == 4 and all(got[i] == (f"first {i}\nlast {i}", len(f"first {i}\nlast {i}")) for i in range(1, 9))
