@@ -7,7 +7,7 @@ become its own dictionary. A logistic regression on other labelled texts turns b
 into a probability. The whole text counts.
 
 The dictionaries are fitted on at most `per_class` documents of a class, eight blocks of each, and calibrated on as many
-others. With labels of one class only, or none, every text gets the smoothed share of good labels.
+others, each counted as the number of labels it stands for, so that scores do not depend on the cap. With labels of one class only, or none, every text gets the smoothed share of good labels.
 Null and empty texts count as one byte without a difference. Null ids and repeated rows each get a row. Empty table: no rows.
 """
 
@@ -70,7 +70,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 2000) -> Model:
     """Fits on documents outside the held-out fold; half of the sample, by hash, trains and the other half calibrates."""
-    sample = labelled_sample(docs, labels, label, folds, held_out, 2 * per_class)
+    sample, stands_for = labelled_sample(docs, labels, label, folds, held_out, 2 * per_class)
     half = sample.withColumn("half", F.pmod(F.xxhash64("doc_id", "label"), F.lit(2)))
 
     def cut(ids: list, bodies: list[str]) -> dict:
@@ -83,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     chosen = half.select(F.expr("label * 2 + half").alias("doc_id"), "text")  # at most 4 * per_class rows
     rows = map_texts(chosen, cut, "doc_id long, blocks array<binary>").collect()
     samples = [sorted(bytes(b) for r in rows if r["doc_id"] == 2 * k for b in r["blocks"]) for k in (0, 1)]
-    counts = [sum(r["doc_id"] // 2 == k for r in rows) for k in (0, 1)]
+    counts = [sum(r["doc_id"] // 2 == k for r in rows) * stands_for[k] for k in (0, 1)]
     if not all(samples):
         share = (counts[1] + 1) / (sum(counts) + 2)
         return Model(None, None, (0.0, 0.0, 0.0), float(np.log(share / (1 - share))))
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     table = np.array(rows, float).reshape(-1, 4)
     if len(set(table[:, 0])) < 2:
         return model
-    weights, intercept = logistic(table[:, 1:], table[:, 0])
+    weights, intercept = logistic(table[:, 1:], table[:, 0], rows=stands_for[table[:, 0].astype(int)])
     return Model(model.good, model.bad, tuple(weights.tolist()), intercept)
 
 

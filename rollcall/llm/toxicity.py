@@ -10,7 +10,8 @@ Nyström matrix (inverse root of the landmarks' kernel). A linear support vector
 text's margin is that of its worst sentence, and a logistic regression on other training documents makes it a probability.
 
 Single characters in a row ("i d i o t") are also read as one word. Words longer than 48 characters are read in
-overlapping windows. The whole text counts. Fitted on at most `per_class` documents of each class. With labels of one
+overlapping windows. The whole text counts. Fitted on at most `per_class` documents of each class; the logistic
+regression counts each as the number of labels it stands for, so that the probability does not depend on the cap. With labels of one
 class only, or none, every text gets the smoothed share of toxic labels. Null and empty texts have the margin of a
 sentence without matches. Null ids and repeated rows each get a row. Empty table: no rows.
 """
@@ -189,11 +190,12 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, per_class: int = 2000, landmarks: int = 48) -> Model:
     """Fits on documents outside the held-out fold; half of the sample trains and the other half calibrates."""
-    sample = labelled_sample(docs, labels, label, folds, held_out, 2 * per_class)
+    sample, stands_for = labelled_sample(docs, labels, label, folds, held_out, 2 * per_class)
     half = F.pmod(F.xxhash64("doc_id", "label"), F.lit(2))
     rows = sorted((r["half"], r["label"], r["doc_id"], r["text"]) for r in sample.select("doc_id", "label", "text", half.alias("half")).filter("half = 0").collect())
     sides = [[r[3] for r in rows if r[1] == k] for k in (0, 1)]
-    share = (len(sides[1]) + 1) / (len(rows) + 2)
+    counts = [len(side) * stands_for[k] for k, side in enumerate(sides)]
+    share = (counts[1] + 1) / (sum(counts) + 2)
     constant = Model((), (), 0.0, 0.0, float(np.log(share / (1 - share))))
     if not all(sides):
         return constant
@@ -225,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
     pairs = np.array(sorted((r["doc_id"], r["x"]) for r in map_texts(other, measure, "doc_id long, x double").collect()), float).reshape(-1, 2)
     if len(set(pairs[:, 0])) < 2:
         return Model(model.strings, model.weights, bias, 2.0, 0.0)
-    slope, intercept = logistic(pairs[:, 1:], pairs[:, 0], ridge=0.1)
+    slope, intercept = logistic(pairs[:, 1:], pairs[:, 0], ridge=0.1, rows=stands_for[pairs[:, 0].astype(int)])
     return Model(model.strings, model.weights, bias, float(slope[0]), intercept)
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 from .inputs import fold, texts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> DataFrame:
-    """(doc_id, text, label) of at most `per_class` training documents of each class, picked by hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, text, label) of at most `per_class` training documents of each class, picked by hash of the id; and, for
+    each class, how many training labels one that is picked stands for.
 
     Labels of other values and null ids are left out; a document labelled more than once has its smallest label, and one
     that occurs more than once its smallest text.
@@ -20,22 +21,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
     )
+    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows at most
+    stands_for = np.array([max(1.0, total.get(k, 0) / per_class) for k in (0, 1)])
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.filter(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     ids = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * per_class rows
-    return texts(docs).join(ids, "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+    sample = texts(docs).join(ids, "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+    return sample, stands_for
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, balanced: bool = False) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a ridge logistic regression, by Newton steps; `x` is (rows, features)."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, balanced: bool = False, rows: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression, by Newton steps; `x` is (rows, features), and each row counts
+    as `rows` of its kind (1 by default)."""
     n, k = x.shape
-    centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    rows = np.ones(n) if rows is None else rows
+    centre = np.average(x, axis=0, weights=rows)
+    scale = np.maximum(np.sqrt(np.average((x - centre) ** 2, axis=0, weights=rows)), 1e-9)
+    mean = np.average(y, weights=rows)
     z = np.column_stack([(x - centre) / scale, np.ones(n)])
-    share = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) if balanced else np.ones(n)
+    share = rows * np.where(y == 1, 0.5 / max(mean, 1e-9), 0.5 / max(1 - mean, 1e-9)) if balanced else rows
     w, penalty = np.zeros(k + 1), np.append(np.full(k, ridge), 1e-6)
     for _ in range(50):
         p = sigmoid(z @ w)

@@ -90,6 +90,26 @@ def test_classifiers_on_odd_documents(module, odd_docs, no_docs, odd_labels):
     assert {r.score for r in module.score(odd_docs, empty).collect()} == {0.5}
 
 
+@pytest.mark.parametrize(("module", "label", "share"), [(compression, "quality", 0.85), (toxicity, "toxic", 0.12)])
+def test_scores_do_not_depend_on_the_cap(spark, module, label, share):
+    """Both classes overlap, so the probability hangs on their shares; the cap takes as many of each."""
+    rng = np.random.default_rng(5)
+    plain, telling = [f"word{i}" for i in range(300)], ["grimble", "snortle", "wexford", "plunket"]
+    rows = []
+    for i in range(1600):
+        y = int(rng.random() < share)
+        words = rng.choice(plain, 40).tolist() + rng.choice(telling, 3).tolist() * (rng.random() < (0.6 if y else 0.2))
+        rows.append((i, " ".join(rng.permutation(words)) + ".", y))
+    table = spark.createDataFrame(rows, f"doc_id long, text string, {label} int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", label)
+    found = []
+    for per_class in (2000, 40):
+        scores = {r.doc_id: (r.score, r.predicted) for r in module.score(docs, module.fit(docs, labels, per_class=per_class)).collect()}
+        found.append(np.array([scores[i] for i in range(1600)]))
+    assert abs(found[0][:, 0].mean() - share) < 0.06 and abs(found[1][:, 0].mean() - share) < 0.1
+    assert (found[0][:, 1] == found[1][:, 1]).mean() > 0.9
+
+
 def test_compression_prefers_the_like():
     good, bad = [b"the cat sat on the mat and the dog ran by "] * 50, [b"$$$ ### %%% buy now !!! "] * 50
     model = compression.Model(compression.dictionary(good), compression.dictionary(bad), (10.0, 0.0, 0.0), 0.0)
