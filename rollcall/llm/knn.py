@@ -2,8 +2,8 @@
 
 Vectors become whole numbers and go to their nearest pivot. A summary holds, for each pivot, how many vectors it has and the
 radius of its cell. For a query q and the cell of pivot p, every inner product lies within |q| * radius of q.p (Cauchy-
-Schwarz). The cells with the highest lower bounds that hold k + 1 vectors together give a score that the k-th best
-result cannot fall below; only cells whose upper bound reaches it can hold results, and only those are sent to the
+Schwarz). The cells with the highest lower bounds that hold k vectors together beside as many as carry the query's own id
+give a score that the k-th best result cannot fall below; only cells whose upper bound reaches it can hold results, and only those are sent to the
 group of queries. Groups of queries are cells put together, or parts of a cell, of about `group_rows` queries, and cells
 are dealt out in blocks of about `block_rows` vectors by hash, so a crowded cell is many tasks. Each pair of a group and a
 block is solved by one matrix product in whole numbers, and gives at most k rows for each query.
@@ -90,6 +90,8 @@ def top_k(
     radius = np.array([summary[c]["radius"] if c in summary else 0.0 for c in range(len(centre))])
     blocks = np.maximum(1, -(-size // block_rows))
     queries = placed.filter("is_query").select("vec_id", "v", "cell").distinct()
+    # how many rows carry a query's id: these are not among its results
+    own_rows = stage(placed.filter("is_query").groupBy(F.col("vec_id").alias("its_id")).agg(F.count(F.lit(1)).alias("own_rows")), "rows-of-query-ids")
     asked = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
     group_of, parts_of, group, held = [0] * len(centre), [1] * len(centre), 0, 0
     # neighbouring cells share a group: in the order of their distance from the first pivot
@@ -112,7 +114,7 @@ def top_k(
                 reach = np.sqrt((q**2).sum(axis=1))[:, None] * radius[None, :] + 1e-9 * np.abs(middle) + 1
                 low, high = middle - reach, middle + reach
                 order = np.argsort(-low, axis=1, kind="stable")
-                enough = np.cumsum(size[order], axis=1) >= k + 1
+                enough = np.cumsum(size[order], axis=1) >= k + part.column("own_rows").to_numpy()[:, None]
                 at_least = np.where(enough.any(axis=1), np.take_along_axis(low, order, 1)[np.arange(len(q)), enough.argmax(axis=1)], -np.inf)
                 needed = (high >= at_least[:, None]) & (size > 0)[None, :]
                 ids = part.column("vec_id").to_numpy()
@@ -124,7 +126,7 @@ def top_k(
                 )
 
     bounded = stage(
-        queries.mapInArrow(bound, "query_id long, v binary, part int, at_least double, cells array<int>"), "bounded-queries"
+        queries.join(own_rows, F.col("vec_id") == F.col("its_id")).drop("its_id").mapInArrow(bound, "query_id long, v binary, part int, at_least double, cells array<int>"), "bounded-queries"
     )
     n_blocks = F.element_at(F.array(*(F.lit(int(b)) for b in blocks)), F.col("cell") + 1)
     wanted = bounded.select("part", F.explode("cells").alias("cell")).distinct()

@@ -36,6 +36,15 @@ def test_top_k_blocks_ties_and_clusters(spark, how, scale):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain_top_k(rows, 7)
 
 
+@pytest.mark.parametrize("own", [2, 10, 11, 40, 300])
+def test_ids_that_repeat(spark, own):
+    """One query's id is on many rows of a tight cell, as others are in cells of their own."""
+    rows = [(0, [1000 + i % 2, 0, 0]) for i in range(own)] + [(i, [10 * (i % 7) - 30, 5 * (i % 3), i % 2]) for i in range(1, 31)]
+    rows += [(10, [0, 0, 900])] * 12
+    got = knn.top_k(spark.createDataFrame(rows, "vec_id long, v array<long>"), F.col("vec_id") % 10 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(plain_top_k(rows, 10))
+
+
 def test_far_cells_are_not_sent(spark):
     """Two clusters far apart: the bounds leave each query's own cell only."""
     rows = [(i, [1000 + i % 3, 0, 0] if i % 2 else [-1000 - i % 3, 0, 0]) for i in range(60)]
