@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, compression, knn, licenses, linededup, lm, packing, rules, simhash, toxicity
+from . import alignment, bpe, centroids, compression, knn, licenses, linededup, lm, multiset, packing, rules, simhash, toxicity
 from .inputs import read
 
 
@@ -57,12 +57,25 @@ def op10_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(read(spark, folder, "documents"))
 
 
+def op11_multiset_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset.edited_documents(read(spark, folder, "documents"))
+
+
+def op12_vantage_point_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, folder, "embeddings"))
+
+
+def op13_spill_counted_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(read(spark, folder, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_license_paragraphs, op3_prefix_bpe, op4_compression_quality, op5_voronoi_top_k,
         op6_divergence_rules, op7_string_kernel_toxicity, op8_simhash_pigeonring, op9_line_chunks,
-        op10_elias_fano_lm,
+        op10_elias_fano_lm, op11_multiset_fingerprints, op12_vantage_point_clusters, op13_spill_counted_alignment,
     )
 }
 
@@ -79,4 +92,6 @@ ORACLES: dict[str, str] = {
     """,
     "op6_divergence_rules": rules.SQL,
     "op9_line_chunks": linededup.SQL,
+    "op11_multiset_fingerprints": multiset.SQL,
+    "op12_vantage_point_clusters": centroids.SQL,
 }
