@@ -615,18 +615,25 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """The highest event per user and type, merged from files that arrive one by one; the last restates old rows."""
-    source, target, checkpoint = (samples.written(spark, n) for n in ("arriving", "merged", "merge-checkpoint"))
+    """The highest event per user and type, merged from files that arrive in waves, the last of which restates old rows.
+
+    The third wave is taken in by a stream with a new checkpoint, which begins with batch 0 again and reads all waves so far;
+    then the first batch of rows comes once more by hand.
+    """
+    source, target, first, second = (samples.written(spark, n) for n in ("arriving", "merged", "merge-checkpoint", "merge-restart"))
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     restated = events.filter("event_id % 10 = 3").withColumn("value", F.col("value") + 5)
+    keys = ["user_id", "event_type"]
 
     def best(rows: DataFrame) -> DataFrame:
         order = [F.col("value").desc_nulls_last(), F.col("event_id").asc()]
-        return dedupe.keep_best(rows, ["user_id", "event_type"], order)
+        return dedupe.keep_best(rows, keys, order)
 
     for k, wave in enumerate([*(events.filter(F.col("event_id") % 3 == k) for k in range(3)), restated]):
-        wave.coalesce(1).write.mode("append").parquet(f"{source}/wave={k}")
-        merge.stream_best(spark, f"{source}/wave=*", events.schema, target, checkpoint, best, ["user_id", "event_type"], "parquet", max_files=1)
+        wave.write.parquet(f"{source}/wave={k}")
+        checkpoint = first if k < 2 else second
+        merge.stream_best(spark, f"{source}/wave=*", events.schema, target, checkpoint, best, keys, "parquet", max_files=64)
+    merge.merge_best(events.filter(F.col("event_id") % 3 == 0), 0, target, best, keys)
     return merge.read_best(spark, target, events.schema).select("user_id", "event_type", "event_id", "value")
 
 

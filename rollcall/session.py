@@ -6,11 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_scratch: dict[str, str] = {}
-_open_scopes: list[list[str]] = []
+#: The innermost open scope of this thread or task.
+_scope: ContextVar[list[str] | None] = ContextVar("rollcall_scope", default=None)
 
 
 def build_session(app: str = "rollcall", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,8 +51,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/rollcall/{label}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -58,11 +61,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
     """Deletes the scratch folders that were begun inside, once the plan that reads them has run."""
     paths: list[str] = []
-    _open_scopes.append(paths)
+    before = _scope.set(paths)
     try:
         yield paths
     finally:
-        _open_scopes.remove(paths)
+        _scope.reset(before)
         for path in paths:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
