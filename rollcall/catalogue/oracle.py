@@ -730,6 +730,10 @@ SELECT l_returnflag, l_linestatus, count(*) AS n, {share('deep')} AS pct_deep,
   {share('(quantity >= 25)')} AS pct_large, count(*) FILTER (WHERE deep) AS n_deep,
   {mean('quantity', 2)} AS avg_quantity, CAST(sum(cents) AS BIGINT) AS cents, quantile_disc(cents, 0.5) AS median_cents
 FROM l GROUP BY ALL""",
+    "quantiles": """SELECT l_returnflag, l_linestatus, count(*) AS n,
+  quantile_disc(cents, 0.01) AS p01, quantile_disc(cents, 0.25) AS p25, quantile_disc(cents, 0.5) AS p50,
+  quantile_disc(cents, 0.75) AS p75, quantile_disc(cents, 0.99) AS p99
+FROM (SELECT l_returnflag, l_linestatus, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem) GROUP BY ALL""",
     "measures_two_pass": """SELECT l_returnflag,
   CAST(trunc(quantile_cont(CAST(round(l_extendedprice * 100) AS BIGINT), 0.5)) AS BIGINT) AS median
 FROM lineitem GROUP BY ALL""",

@@ -11,6 +11,7 @@ from ..functions.measures import count_true, mean, rows, share, share_ge, total
 from ..operators import (
     changes, conform, dedupe, extract, marts, matching, quality, reconcile, slices,
 )
+from ..operators.ranks import exact_quantiles
 from ..operators.summary import exact_median, summarise
 from ..plans import funds as fund_plan, medallion, pages as pages_plan
 from ..session import stage
@@ -587,6 +588,16 @@ def measures_two_pass(spark: SparkSession, folder: str) -> DataFrame:
     return exact_median(lines, ["l_returnflag"], "cents", "interp")
 
 
+def quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quartiles and the first and last percent of order lines' prices."""
+    shares = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+    lines = table(spark, folder, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents")
+    )
+    found = exact_quantiles(lines, ["l_returnflag", "l_linestatus"], "cents", list(shares.values()))
+    return found.select("l_returnflag", "l_linestatus", "n", *(F.col("quantiles")[i].alias(n) for i, n in enumerate(shares)))
+
+
 def format_money(spark: SparkSession, folder: str) -> DataFrame:
     figure = F.col("figure")
     figures = samples.run_sql(spark, folder, samples.FIGURES, orders=wide_table(spark, folder, "orders"))
@@ -706,6 +717,7 @@ QUERIES = {
     "funds_slice": lambda spark, folder: slices.funds_slice(joined_funds(spark, folder), needle=NEEDLE),
     "measures": measures,
     "measures_two_pass": measures_two_pass,
+    "quantiles": quantiles,
     "national_trends": _on_silver(marts.national_trends),
     "party_summary": _on_silver(marts.party_summary),
     "state_summary": _on_silver(marts.state_summary),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups
-from ..functions.measures import count_true, mean, rows, share, share_ge, total
+from ..functions.measures import count_true, rows, total
 from ..functions.values import ratio
-from .summary import summarise
+from .summary import Mart, lattice
 
 
 def with_cohorts(df: DataFrame) -> DataFrame:
@@ -21,27 +21,99 @@ def named_states(df: DataFrame) -> DataFrame:
     return df.filter(F.coalesce(F.col("state"), F.lit("")) != "")
 
 
-def trend_measures(null_as_false: bool = False) -> dict[str, Column]:
+def mart_sums() -> dict[str, Column]:
+    """What every measure of the marts is made of; all of it adds up over rows."""
     cases, rank = F.col("criminal_cases"), F.col("education_rank")
-    return {
-        "n": rows(),
-        "pct_criminal": share(F.col("has_criminal_case")),
-        "pct_multi_case": share_ge(cases, 2),
-        "pct_crorepati": share(F.col("is_crorepati")),
-        "avg_age": mean(F.col("age")),
-        "pct_graduate_plus": share_ge(rank, 6, null_as_false=null_as_false),
-        "avg_cases": mean(cases, 2),
-    }
+    flags = {"_case": F.col("has_criminal_case"), "_multi": cases >= 2, "_crore": F.col("is_crorepati"), "_graduate": rank >= 6}
+    sums = {"_n": rows(), "_won": count_true(F.col("is_winner")), "_cases": total(cases), "_cases_seen": F.count(cases)}
+    sums |= {"_age": total(F.col("age")), "_age_seen": F.count("age")}
+    for name, flag in flags.items():
+        sums |= {name: F.count_if(flag), f"{name}_seen": F.count(flag)}
+    return sums
+
+
+def _share(name: str, seen: str | None = None) -> Column:
+    return ratio(F.sum(name), F.sum(seen or f"{name}_seen"), 1, times=100)
 
 
-def trend(
-    df: DataFrame, scope: list[str] | None = None, kind: str = "lower", null_as_false: bool = False
-) -> DataFrame:
+def _mean(name: str, digits: int = 1) -> Column:
+    return ratio(F.sum(name), F.sum(f"{name}_seen"), digits)
+
+
+def trend_mart(scope: list[str] | None = None, null_as_false: bool = False) -> Mart:
     """Year series of both cohorts, national or per `scope`."""
-    keys = [*(scope or []), "election_year", "cohort"]
-    return summarise(
-        with_cohorts(df), keys, trend_measures(null_as_false), "assets", "median_assets", kind
-    )
+    measures = {
+        "n": F.sum("_n"),
+        "pct_criminal": _share("_case"),
+        "pct_multi_case": _share("_multi"),
+        "pct_crorepati": _share("_crore"),
+        "avg_age": _mean("_age"),
+        "pct_graduate_plus": _share("_graduate", "_n" if null_as_false else None),
+        "avg_cases": _mean("_cases", 2),
+    }
+    view = with_cohorts if not scope else lambda cells: with_cohorts(named_states(cells))
+    return Mart([*(scope or []), "election_year", "cohort"], view, measures, "median_assets")
+
+
+def party_mart(min_n: int = 5) -> Mart:
+    measures = {
+        "candidates": F.sum("_n"),
+        "seats_won": F.sum("_won"),
+        "pct_criminal": _share("_case"),
+        "pct_crorepati": _share("_crore"),
+        "avg_age": _mean("_age"),
+    }
+    strike = ratio(F.col("seats_won"), F.col("candidates"), 1, times=100)
+
+    def then(grouped: DataFrame) -> DataFrame:
+        return grouped.withColumn("strike_rate", strike).filter(F.col("candidates") >= min_n)
+
+    return Mart(["election_year", "party_group"], measures=measures, median_name="median_assets", then=then)
+
+
+def state_mart() -> Mart:
+    """Winners only."""
+    measures = {
+        "seats": F.sum("_n"),
+        "pct_criminal": _share("_case"),
+        "pct_crorepati": _share("_crore"),
+        "avg_age": _mean("_age"),
+        "total_cases": F.sum("_cases"),
+    }
+    return Mart(["election_year", "state"], lambda cells: named_states(cells.filter("is_winner")), measures, "median_assets")
+
+
+def party_state_mart(min_n: int = 5) -> Mart:
+    """Kept if there are enough candidates or any seat was won."""
+    measures = {"candidates": F.sum("_n"), "seats_won": F.sum("_won"), "pct_criminal": _share("_case")}
+
+    def then(grouped: DataFrame) -> DataFrame:
+        return grouped.filter((F.col("candidates") >= min_n) | (F.col("seats_won") > 0))
+
+    return Mart(["election_year", "state", "party_group"], named_states, measures, "median_assets", then)
+
+
+def median_marts(df: DataFrame, marts: dict[str, Mart] | None = None, kind: str = "lower") -> dict[str, DataFrame]:
+    """The marts with a median, from two scans of `df` in all; the five of the published payload by default."""
+    marts = marts or {
+        "gold_national_trends": trend_mart(),
+        "gold_party_summary": party_mart(),
+        "gold_state_summary": state_mart(),
+        "gold_state_trends": trend_mart(["state"]),
+        "gold_party_state": party_state_mart(),
+    }
+    needed = {"cohort": "is_winner"} | {k: k for m in marts.values() for k in m.keys if k != "cohort"}
+    used = {needed[k] for m in marts.values() for k in m.keys} | ({"is_winner"} if any("seats" in (m.measures or {}) for m in marts.values()) else set())
+    base = [k for k in ("election_year", "state", "party_group", "is_winner") if k in used] + sorted(used - {"election_year", "state", "party_group", "is_winner"})
+    return lattice(df, base, mart_sums(), marts, "assets", kind)
+
+
+def _one(df: DataFrame, mart: Mart, kind: str) -> DataFrame:
+    return median_marts(df, {"one": mart}, kind)["one"]
+
+
+def trend(df: DataFrame, scope: list[str] | None = None, kind: str = "lower", null_as_false: bool = False) -> DataFrame:
+    return _one(df, trend_mart(scope, null_as_false), kind)
 
 
 def national_trends(df: DataFrame, **options) -> DataFrame:
@@ -49,35 +121,20 @@ def national_trends(df: DataFrame, **options) -> DataFrame:
 
 
 def state_trends(df: DataFrame, **options) -> DataFrame:
-    return trend(named_states(df), ["state"], **options)
+    return trend(df, ["state"], **options)
 
 
 def party_summary(df: DataFrame, min_n: int = 5, kind: str = "lower") -> DataFrame:
-    measures = {
-        "candidates": rows(),
-        "seats_won": count_true(F.col("is_winner")),
-        "pct_criminal": share(F.col("has_criminal_case")),
-        "pct_crorepati": share(F.col("is_crorepati")),
-        "avg_age": mean(F.col("age")),
-    }
-    grouped = summarise(
-        df, ["election_year", "party_group"], measures, "assets", "median_assets", kind
-    )
-    strike = ratio(F.col("seats_won"), F.col("candidates"), 1, times=100)
-    return grouped.withColumn("strike_rate", strike).filter(F.col("candidates") >= min_n)
+    return _one(df, party_mart(min_n), kind)
 
 
 def state_summary(df: DataFrame, kind: str = "lower") -> DataFrame:
     """Winners only."""
-    measures = {
-        "seats": rows(),
-        "pct_criminal": share(F.col("has_criminal_case")),
-        "pct_crorepati": share(F.col("is_crorepati")),
-        "avg_age": mean(F.col("age")),
-        "total_cases": total(F.col("criminal_cases")),
-    }
-    winners = named_states(df.filter("is_winner"))
-    return summarise(winners, ["election_year", "state"], measures, "assets", "median_assets", kind)
+    return _one(df, state_mart(), kind)
+
+
+def party_by_state(df: DataFrame, min_n: int = 5, kind: str = "lower") -> DataFrame:
+    return _one(df, party_state_mart(min_n), kind)
 
 
 def distribution(df: DataFrame, label: str, scope: list[str] | None = None) -> DataFrame:
@@ -103,18 +160,6 @@ def age_by_state(df: DataFrame) -> DataFrame:
     return distribution(named_states(df), "age_band", ["state"])
 
 
-def party_by_state(df: DataFrame, min_n: int = 5, kind: str = "lower") -> DataFrame:
-    """Kept if there are enough candidates or any seat was won."""
-    measures = {
-        "candidates": rows(),
-        "seats_won": count_true(F.col("is_winner")),
-        "pct_criminal": share(F.col("has_criminal_case")),
-    }
-    keys = ["election_year", "state", "party_group"]
-    grouped = summarise(named_states(df), keys, measures, "assets", "median_assets", kind)
-    return grouped.filter((F.col("candidates") >= min_n) | (F.col("seats_won") > 0))
-
-
 def winners_view(df: DataFrame) -> DataFrame:
     return (
         df.filter("is_winner")

@@ -1,104 +1,47 @@
-"""Grouped measures with an exact median.
-
-A median needs the values of a group in order, and a group may hold a third of all rows, so a group's rows are never
-brought together. Every table goes the same way:
-
-1. One scan gives, per group, the measures and a histogram of the value over buckets whose width grows with the value
-   (about 0.4 %). Both come from the same scan, as grouping sets, and rows are combined before the shuffle. The
-   histogram tells which bucket holds the middle row, and the lowest and highest value in it.
-2. A second scan counts the distinct values of that bucket, again combined before the shuffle, and writes them down.
-3. The bucket is cut into 2**PART_BITS equal parts of its range, on the written counts, and the part that holds the middle
-   is counted through.
-
-What one task sees of a group is bounded by the number of buckets (22,000), then by the whole numbers in one part: one for
-values below 2**32, 2**21 for values below 2**53.
-"""
+"""Grouped measures with an exact median: of one grouping, or of many from the same two scans."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.values import whole_div
 from ..session import stage
-
-# Buckets per factor of e, and bits of the number of equal parts that a bucket is cut into.
-RESOLUTION = 2**8
-PART_BITS = 24
-
-
-def _bucket(value: Column) -> Column:
-    """Never falls as `value` rises; null for null."""
-    size = F.floor(F.ln(F.abs(value.cast("double")) + 1) * RESOLUTION)
-    return (F.signum(value.cast("double")) * size).cast("int")
-
-
-def _part(value: Column, lowest: Column, highest: Column) -> Column:
-    """The equal part of lowest .. highest that the value is in; parts are a power of two wide."""
-    wide = (highest.cast("decimal(20,0)") - lowest).cast("double")
-    shift = F.greatest(F.ceil(F.log2(wide + 1)) - PART_BITS, F.lit(0))
-    size = F.pow(F.lit(2.0), shift).cast("decimal(20,0)")
-    return whole_div(value.cast("decimal(20,0)") - lowest, size).cast("bigint")
+from .ranks import View, cells, halfway, middle_ranks, ranked, same
 
 
-def _same(left: str, right: str, keys: list[str]) -> Column:
-    tests = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
+@dataclass
+class Mart(View):
+    """A grouping with measures over the sums of its cells, its median's name, and what is done with the result."""
 
+    measures: dict[str, Column] | None = None
+    median_name: str = "median"
+    then: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
-def _halfway(a: Column, b: Column) -> Column:
-    """Mean of two whole numbers, truncated; their sum may be beyond a bigint."""
-    return whole_div(a.cast("decimal(20,0)") + b.cast("decimal(20,0)"), F.lit(2).cast("decimal(1,0)"))
 
+def _with_median(totals: DataFrame, found: DataFrame, keys: list[str], name: str) -> DataFrame:
+    medians = found.groupBy(*keys).agg(halfway(F.min("_value"), F.max("_value")).cast("bigint").alias(name))
+    return totals.alias("a").join(medians.alias("m"), same("a", "m", keys), "left").select("a.*", f"m.{name}")
 
-def _middle_ranks(held: Column, kind: str) -> Column:
-    lower = whole_div(held + 1, F.lit(2))
-    if kind == "lower":
-        return F.array(lower)
-    return F.array_distinct(F.array(lower, whole_div(held, F.lit(2)) + 1))
 
+def lattice(
+    df: DataFrame, base: list[str], sums: dict[str, Column], marts: dict[str, Mart], value: str, kind: str = "lower"
+) -> dict[str, DataFrame]:
+    """Every mart, from two scans of `df` in all.
 
-def _locate(histogram: DataFrame, group: list[str], ranks: Column) -> DataFrame:
-    """Per group: the bucket(s) that hold the asked ranks, and those ranks inside the bucket."""
-    upto = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    inside = F.filter(
-        F.transform("_ranks", lambda r: r - F.col("_before")),
-        lambda r: (r >= 1) & (r <= F.col("_held")),
-    )
-    return (
-        histogram.withColumn("_ranks", ranks)
-        .withColumn("_before", F.sum("_held").over(upto) - F.col("_held"))
-        .withColumn("_ranks", inside)
-        .filter(F.size("_ranks") > 0)
-        .drop("_before")
-    )
-
-
-def _cut(counted: DataFrame, within: list[str]) -> DataFrame:
-    """Distinct values (`_value`, `_n`, `_ranks`, range) of the part that holds the middle; ranks are of that part."""
-    at = F.col("_value")
-    parted = counted.withColumn("_bucket", _part(at, F.col("_lowest"), F.col("_highest")))
-    held = parted.groupBy(*within, "_bucket", "_ranks").agg(
-        F.sum("_n").alias("_held"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
-    )
-    found = _locate(held, within, F.col("_ranks")).withColumnRenamed("_ranks", "_inner")
-    both = parted.alias("r").join(found.alias("t"), _same("r", "t", [*within, "_bucket"]))
-    ranges = [F.col("t._low").alias("_lowest"), F.col("t._high").alias("_highest")]
-    kept = both.select(*[f"r.{k}" for k in within], "r._value", "r._n", F.col("t._inner").alias("_ranks"), "r._bucket", *ranges)
-    # parts that both hold a middle row go on apart
-    return kept.withColumn("_place", F.concat_ws("/", "_place", "_bucket")).drop("_bucket")
-
-
-def _medians(counted: DataFrame, keys: list[str], name: str) -> DataFrame:
-    at = [*keys, "_place"]
-    upto = Window.partitionBy(*at).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("_upto", F.sum("_n").over(upto)).filter(
-        F.exists("_ranks", lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n")))
-    )
-    return placed.groupBy(*keys).agg(
-        _halfway(F.min("_value"), F.max("_value")).cast("bigint").alias(name)
-    )
+    `sums` are aggregates that add up (counts, sums) over rows with one set of base keys; a mart's measures are aggregates over
+    those. Marts are one table each, and share what is written down: the cells and the values at the middle ranks.
+    """
+    made = cells(df, base, value, sums)
+    found = ranked(df, made, base, {n: View(m.keys, m.of) for n, m in marts.items()}, value, middle_ranks(kind))
+    if len(marts) > 1:
+        found = stage(found, "middles")
+    out = {}
+    for name, mart in marts.items():
+        totals = mart.of(made).groupBy(*mart.keys).agg(*(c.alias(n) for n, c in (mart.measures or {}).items()))
+        out[name] = mart.then(_with_median(totals, found.filter(F.col("_view") == name), mart.keys, mart.median_name))
+    return out
 
 
 def summarise(
@@ -111,51 +54,19 @@ def summarise(
 ) -> DataFrame:
     """One row per group: keys, measures and, if asked, the exact median of a whole-number column.
 
-    `kind="lower"` takes the lower of two middle values, `"interp"` their mean, truncated. `df`
-    should be a table: it is read twice.
+    `kind="lower"` takes the lower of two middle values, `"interp"` their mean, truncated. `df` should be a table: it is
+    read for the measures, which may be any aggregates, and for the median.
     """
-    named = [m.alias(name) for name, m in measures.items()]
+    totals = df.groupBy(*keys).agg(*(m.alias(name) for name, m in measures.items()))
     if median_of is None:
-        return df.groupBy(*keys).agg(*named)
-    if kind not in ("lower", "interp"):
-        raise ValueError(f"unknown median kind {kind!r}")
-    median_name = median_name or f"median_{median_of}"
-    value = F.col(median_of)
-    both = stage(
-        df.withColumn("_bucket", _bucket(value))
-        .groupingSets([keys, [*keys, "_bucket"]], *keys, "_bucket")
-        .agg(
-            F.grouping("_bucket").alias("_whole"),
-            F.count(median_of).alias("_held"),
-            F.min(median_of).alias("_lowest"),
-            F.max(median_of).alias("_highest"),
-            *named,
-        ),
-        "summary",
-    )
-    totals = both.filter("_whole = 1").select(*keys, *measures)
-    histogram = both.filter("_whole = 0 AND _held > 0").select(*keys, "_bucket", "_held", "_lowest", "_highest")
-    held = F.sum("_held").over(Window.partitionBy(*keys))
-    targets = _locate(histogram, keys, _middle_ranks(held, kind))
-    rows = df.select(*keys, value.alias("_value"), _bucket(value).alias("_bucket"))
-    inside = rows.alias("r").join(targets.alias("t"), _same("r", "t", [*keys, "_bucket"]))
-    kept = [f"r.{k}" for k in keys]
-    counted = (
-        inside.select(*kept, F.col("r._bucket").cast("string").alias("_place"), "r._value", "t._ranks", "t._lowest", "t._highest")
-        .groupBy(*keys, "_place", "_value", "_ranks", "_lowest", "_highest")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    counted = stage(counted, "middle-values")
-    medians = _medians(_cut(counted, [*keys, "_place"]), keys, median_name)
-    return (
-        totals.alias("a")
-        .join(medians.alias("m"), _same("a", "m", keys), "left")
-        .select("a.*", f"m.{median_name}")
-    )
-
-
-def exact_median(
-    df: DataFrame, keys: list[str], value: str, kind: str = "lower"
-) -> DataFrame:
-    counted = {"n": F.count(F.lit(1))}
-    return summarise(df, keys, counted, value, "median", kind).select(*keys, "median")
+        return totals
+    ranks = middle_ranks(kind)
+    found = ranked(df, cells(df, keys, median_of), keys, {"all": View(keys)}, median_of, ranks)
+    return _with_median(totals, found, keys, median_name or f"median_{median_of}")
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, kind: str = "lower") -> DataFrame:
+    ranks = middle_ranks(kind)
+    made = cells(df, keys, value)
+    found = ranked(df, made, keys, {"all": View(keys)}, value, ranks)
+    return _with_median(made.select(*keys).distinct(), found, keys, "median")

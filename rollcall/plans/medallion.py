@@ -62,7 +62,9 @@ def mart_order() -> dict[str, list[Column]]:
 
 
 def build_marts(silver: DataFrame) -> dict[str, DataFrame]:
-    return {name: build(silver) for name, build in MARTS.items()}
+    """All marts; those with a median share their two scans."""
+    medians = marts.median_marts(silver)
+    return {name: medians[name] if name in medians else build(silver) for name, build in MARTS.items()}
 
 
 # Published section names and the marts they hold.
