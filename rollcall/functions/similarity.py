@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
 from . import lookups
+from .blocks import block_scorer
 
 
 def levenshtein_ratio(a: Column, b: Column) -> Column:
@@ -18,33 +18,26 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
 
 
 def _scorers() -> tuple[Callable[..., Column], Callable[..., Column]]:
-    """UDFs for one pair and for the best of several pairs per row.
+    """UDFs for one pair and for the best of several pairs per row; all pairs of a batch are scored together.
 
     Being local functions they travel to the executors whole; the package need not be there.
     """
+    score = block_scorer()
 
     def one(a: pd.Series, b: pd.Series) -> pd.Series:
-        # what a matcher learns of its second text is kept while that stays the same
-        matcher, last, scores = SequenceMatcher(None, "", ""), "", []
-        for x, y in zip(a, b):
-            if x is None or y is None:
-                scores.append(None)
-                continue
-            if y != last:
-                matcher.set_seq2(y)
-                last = y
-            matcher.set_seq1(x)
-            scores.append(matcher.ratio())
-        return pd.Series(scores, dtype="float64")
+        known = (a.notna() & b.notna()).to_numpy()
+        out = pd.Series([None] * len(a), dtype="float64")
+        out[known] = score(a[known].tolist(), b[known].tolist())
+        return out
 
     def best(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if x is None else max(SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y))
-                for x, y in zip(a, b)
-            ],
-            dtype="float64",
-        )
+        pairs = [(i, p, q) for i, (x, y) in enumerate(zip(a, b)) if x is not None for p, q in zip(x, y)]
+        out = pd.Series([None] * len(a), dtype="float64")
+        if pairs:
+            row, left, right = map(list, zip(*pairs))
+            scores = pd.Series(score(left, right)).groupby(row).max()
+            out[scores.index] = scores
+        return out
 
     return F.pandas_udf(one, DoubleType()), F.pandas_udf(best, DoubleType())
 

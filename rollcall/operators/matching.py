@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lookups, similarity, text
 from ..functions.values import ratio
+from ..session import stage
 from .dedupe import keep_best
 
 MIN_RATIO = 0.88
@@ -139,6 +140,49 @@ def candidate_pairs(left: DataFrame, right: DataFrame, floor: float, metric: str
     )
 
 
+def _tokens(keys: DataFrame, name: str) -> DataFrame:
+    """block, key and one row per letter: the letter and how often it has come so far, so that a key is a set."""
+    letters = F.filter(F.split("key", ""), lambda c: c != "")
+    numbered = F.transform("_letters", lambda c, i: F.concat(c, F.size(F.filter(F.slice("_letters", 1, i + 1), lambda x: x == c)).cast("string")))
+    return keys.withColumn("_letters", letters).select("block", F.col("key").alias(name), F.explode(numbered).alias("token"))
+
+
+def _needed(metric: str, floor: float, a: Column, b: Column) -> Column:
+    """Letters that keys of lengths `a` and `b` must share, whatever their order, at ratio >= floor."""
+    room = (a + b) / 2 if metric == "ratcliff" else F.greatest(a, b)
+    return F.greatest(F.ceil(room * floor - _SLACK), F.lit(1)).cast("int")
+
+
+def pairs_by_letters(left: DataFrame, right: DataFrame, floor: float, metric: str) -> DataFrame:
+    """Distinct pairs (block, lkey, rkey) that can reach any `floor` above 0; none is missed.
+
+    A key is the set of its numbered letters, in the order of their frequency in the block, rarest first. Two sets of a and b
+    letters that share o of them share one among the first a - o + 1 of one and the first b - o + 1 of the other. Those are
+    indexed by block and letter, joined, and held to the lengths' own bound; then all letters of a pair are compared.
+    """
+    sides = {"lkey": _tokens(left, "lkey"), "rkey": _tokens(right, "rkey")}
+    seen = sides["lkey"].select("block", "token").union(sides["rkey"].select("block", "token"))
+    often = stage(seen.groupBy("block", "token").agg(F.count(F.lit(1)).alias("often")), "letters")
+
+    def index(name: str, length: str, at: str) -> DataFrame:
+        ranked = F.sort_array(F.collect_list(F.struct("often", "token")))  # one key's letters
+        keys = sides[name].join(often, ["block", "token"]).groupBy("block", name).agg(ranked.alias("_tokens"))
+        size = F.size("_tokens")
+        shortest = F.ceil(size * (floor / (2 - floor) if metric == "ratcliff" else floor) - _SLACK).cast("int")
+        # the least that any partner in reach can share: one of the shortest length
+        first = size - _needed(metric, floor, size, F.greatest(shortest, F.lit(1))) + 1
+        cut = keys.select("block", name, size.alias(length), F.posexplode(F.slice("_tokens", 1, first)).alias(at, "_token"))
+        return cut.select("block", name, length, at, F.col("_token.token").alias("token"))
+
+    both = index("lkey", "llen", "lat").join(index("rkey", "rlen", "rat").hint("merge"), ["block", "token"])
+    share = _needed(metric, floor, F.col("llen"), F.col("rlen"))
+    near = both.filter((share <= F.least("llen", "rlen")) & (F.col("lat") <= F.col("llen") - share) & (F.col("rat") <= F.col("rlen") - share))
+    pairs = near.select("block", "lkey", "rkey").distinct()
+    letters = F.col("lkey"), F.col("rkey")
+    all_shared = _letters_shared(*letters) * (F.length("lkey") + F.length("rkey")) / 2
+    return pairs.filter(all_shared >= _needed(metric, floor, F.length("lkey"), F.length("rkey")) - _SLACK)
+
+
 def fuzzy_join(
     left: DataFrame,
     right: DataFrame,
@@ -152,19 +196,16 @@ def fuzzy_join(
     below `min_ratio`, so candidates are generated down to `min_ratio - min_margin`. Keys are made
     distinct first: copies of a key cost nothing more. Nothing is capped.
 
-    A limit of the operator: `min_ratio - min_margin` must be above 2/3. Below that, keys need share no
-    piece of useful length, and candidates would be whole blocks.
+    Above 2/3, keys share a piece, which is looked up; below that they need only share letters, and the rarest of those
+    are looked up. At or below 0 every pair would do, which is refused.
     """
     floor = min_ratio - min_margin
-    if not 2 / 3 < floor <= 1:
-        raise ValueError("min_ratio - min_margin must be above 2/3")
+    if not 0 < floor <= 1:
+        raise ValueError("min_ratio - min_margin must be above 0 and at most 1")
     right_keys = right.select("block", "key").distinct()
     left_keys = left.select("block", "key").distinct().join(right_keys, ["block", "key"], "left_anti")
-    pairs = candidate_pairs(left_keys, right_keys, floor, metric)
-    # pairs of one right key follow each other, so that its matcher is set up once
-    scored = pairs.sortWithinPartitions("rkey").withColumn(
-        "score", similarity.RATIOS[metric](F.col("lkey"), F.col("rkey"))
-    )
+    pairs = (candidate_pairs if floor > 2 / 3 else pairs_by_letters)(left_keys, right_keys, floor, metric)
+    scored = pairs.withColumn("score", similarity.RATIOS[metric](F.col("lkey"), F.col("rkey")))
     by_score = Window.partitionBy("block", "lkey").orderBy(F.col("score").desc(), "rkey")
     two_best = scored.withColumn("place", F.row_number().over(by_score)).filter("place <= 2")
     return (

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions import lookups, similarity
+from rollcall.functions.blocks import block_scorer
 from rollcall.operators import matching
 
 
@@ -55,7 +56,7 @@ def bend(rng, word):
 
 
 @pytest.mark.parametrize("metric", ["levenshtein", "ratcliff"])
-@pytest.mark.parametrize("min_ratio,min_margin", [(0.88, 0.04), (0.75, 0.05), (0.9, 0.0)])
+@pytest.mark.parametrize("min_ratio,min_margin", [(0.88, 0.04), (0.75, 0.05), (0.9, 0.0), (0.7, 0.04), (0.55, 0.05), (0.3, 0.1)])
 def test_fuzzy_join_misses_nothing(spark, metric, min_ratio, min_margin):
     rng = random.Random(f"{metric}{min_ratio}")
     right_words = names(rng, 120, ["PUR", "NAG", "A", "BAD", "GANJ", "E"], (1, 8)) + names(rng, 60, list("AB"), (1, 12))
@@ -77,7 +78,30 @@ def test_fuzzy_join_misses_nothing(spark, metric, min_ratio, min_margin):
 def test_fuzzy_join_refuses_loose_limits(spark):
     rows = spark.createDataFrame([("a", "b")], "block string, key string")
     with pytest.raises(ValueError):
-        matching.fuzzy_join(rows, rows, 0.6, 0.1)
+        matching.fuzzy_join(rows, rows, 0.1, 0.1)
+
+
+@pytest.mark.parametrize("metric", ["levenshtein", "ratcliff"])
+def test_loose_limits_do_not_pair_whole_blocks(spark, metric):
+    """Keys of two alphabets in one block: at a floor of 0.5 only those of one alphabet meet, and none is missed."""
+    rng = random.Random(5)
+    words = sorted({w for part in ("ABCDEFGHIJKLM", "NOPQRSTUVWXYZ") for w in names(rng, 60, list(part), (3, 14))})
+    rows = spark.createDataFrame([("x", w) for w in words], "block string, key string")
+    pairs = matching.pairs_by_letters(rows, rows, 0.5, metric)
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    got = {(r.lkey, r.rkey) for r in pairs.collect()}
+    assert {(a, b) for a in words for b in words if BRUTE[metric](a, b) >= 0.5} <= got
+    assert len(got) < 0.4 * len(words) ** 2
+
+
+def test_block_scorer_against_the_plain_matcher():
+    rng = random.Random(11)
+    score = block_scorer()
+    texts = names(rng, 400, ["A", "B", "AB", "CAB", "é"], (0, 12)) + names(rng, 60, list("ABCDEFGH"), (0, 60)) + names(rng, 12, list("ABC "), (195, 240)) + ["", "", "x\x00y", "x"]
+    a, b = [rng.choice(texts) for _ in range(5000)], [rng.choice(texts) for _ in range(5000)]
+    assert score(a, b, at_once=700).tolist() == [matched_ratio(x, y) for x, y in zip(a, b)]
+    assert score([], []).tolist() == []
 
 
 def test_pairs_come_from_an_equi_join(spark):
