@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import lookups
+from ..plans import funds as fund_plan
 from . import samples
 from .queries import FIRST, LATEST, LIST_BLOCK, NEEDLE, RECONCILED, SCARCE_BLOCK, STATE
 
@@ -545,19 +546,27 @@ def payload() -> str:
 
 
 def changes_sql() -> str:
-    """Sections whose rows differ once the latest winners have no cases; parties go by a flag that stays as it was."""
-    same = {
-        "summary/education_dist", "summary/age_dist", "summary/party_summary", "states/education_by_state", "states/age_by_state",
-        "states/party_by_state",
-    }
-    rows = ", ".join(f"({quoted(n)}, 'new', {quoted('unchanged' if n in same else 'updated')})" for n in SECTIONS)
-    return f"SELECT * FROM (VALUES {rows}) AS v(section, first_run, second_run)"
+    """The two sections that list people differ once the latest winners have no cases."""
+    same = set(SECTIONS) - {"winners/winners", "leaderboards/entries"}
+    parts = [
+        f"SELECT {quoted(name)} AS section, 'new' AS first_run, {quoted('unchanged' if name in same else 'updated')} AS second_run, "
+        f"(SELECT count(*) FROM ({rows})) AS n_rows"
+        for name, (rows, _, _) in SECTIONS.items()
+    ]
+    flat = f"(WITH {CONFORMED} SELECT count(*) FROM (SELECT 1 FROM conformed QUALIFY {_BEST}))"
+    parts.append(f"SELECT 'candidates', 'new', 'unchanged', {flat}")
+    return f"WITH {TRENDS}, {REPEATS.removeprefix(SILVER + ',')} {' UNION ALL '.join(parts)}"
+
+
+def notes() -> str:
+    return " ".join(f"WHEN {quoted(metric)} THEN {quoted(note)}" for metric, (_, _, note) in fund_plan.AUDIT_TOTALS.items())
 
 
 CROSSCHECK = f"""WITH {KEYED}, {CROSS},
 t AS (SELECT *, house = 'Lok Sabha' AS mine, coalesce("completedWorksCount", 0) > coalesce("recommendedWorksCount", 0) AS wrong FROM theirs),
 a AS (
-  SELECT count(*) FILTER (WHERE wrong) AS records, {ratio('100 * count(*) FILTER (WHERE wrong)', 'count(*)', 1)} AS pct,
+  SELECT count(*) AS total, count(*) FILTER (WHERE mine) AS mine, count(*) FILTER (WHERE wrong) AS records,
+         {ratio('100 * count(*) FILTER (WHERE wrong)', 'count(*)', 1)} AS pct,
          CAST(round(sum("allocatedAmount") FILTER (WHERE mine)) AS BIGINT) AS m0,
          CAST(round(sum("totalExpenditure") FILTER (WHERE mine)) AS BIGINT) AS m1,
          CAST(sum("completedWorksCount") FILTER (WHERE mine) AS BIGINT) AS m2,
@@ -570,8 +579,9 @@ both_ AS (
   UNION ALL SELECT 'Expenditure', (SELECT m1 FROM o), (SELECT m1 FROM a)
   UNION ALL SELECT 'Works completed', (SELECT m2 FROM o), (SELECT m2 FROM a)
   UNION ALL SELECT 'Works recommended', (SELECT m3 FROM o), (SELECT m3 FROM a))
-SELECT metric, ours, theirs, '2024-08-01' AS their_last_updated, 'daily' AS their_update_frequency,
-       (SELECT records FROM a) AS inconsistent_records, (SELECT pct FROM a) AS inconsistent_pct,
+SELECT metric, ours, theirs, CASE metric {notes()} END AS note, '2024-08-01' AS their_last_updated, 'daily' AS their_update_frequency,
+       'as published' AS their_quality_claim, (SELECT total FROM a) AS records_total, (SELECT mine FROM a) AS records_lok_sabha,
+       (SELECT total - mine FROM a) AS records_rajya_sabha, (SELECT records FROM a) AS inconsistent_records, (SELECT pct FROM a) AS inconsistent_pct,
        ours - theirs AS delta, {ratio('100 * (ours - theirs)', 'theirs', 2)} AS pct_delta
 FROM both_ WHERE ours <> 0 AND theirs <> 0"""
 
@@ -593,7 +603,15 @@ FROM raw WHERE {_READABLE}""",
 FROM (SELECT DISTINCT election_year, constituency_id, state, constituency, is_bye_election FROM raw) WHERE NOT ({_READABLE})""",
     "seats_not_named": f"""WITH {RAW} SELECT {_SOURCE} AS source_url, {collapse('constituency')} AS constituency, {collapse('name')} AS name
 FROM raw WHERE {_READABLE} AND {_SEAT} % 7 = 0""",
-    "schema_tables": "SELECT * FROM (VALUES ('gold_years', false), ('gold_states', false)) AS v(mart, temporary)",
+    "schema_tables": on_silver(
+        f"""SELECT 'gold_winners' AS mart, (SELECT count(*) FROM ({WINNERS})) AS n_rows
+UNION ALL SELECT 'gold_education_state', (SELECT count(*) FROM ({dist("education_group", True)}))
+UNION ALL SELECT 'gold_age_dist', (SELECT count(*) FROM ({dist("age_band")}))"""
+    ),
+    "typed_rows": """WITH given(state, mp_id, allocated, pct_spent, works_completed) AS (VALUES
+  ('Goa', 1, CAST(500 AS BIGINT), CAST(12.5 AS DOUBLE), CAST(NULL AS INTEGER)), ('Kerala', 2, NULL, NULL, 7), (NULL, 4, NULL, NULL, NULL), ('Goa', -1, NULL, NULL, NULL)),
+held AS (SELECT o_custkey, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY o_custkey)
+SELECT state, mp_id, allocated, pct_spent, works_completed, n_orders, cents FROM given LEFT JOIN held ON o_custkey = mp_id""",
     "publish_changes": changes_sql(),
     "published_comparisons": reconcile_sql(),
     "crosscheck_payload": CROSSCHECK,

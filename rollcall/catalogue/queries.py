@@ -15,7 +15,7 @@ from ..operators.ranks import exact_quantiles
 from ..operators.summary import exact_median, summarise
 from ..plans import funds as fund_plan, medallion, pages as pages_plan
 from ..session import stage
-from ..sources import exports, files, tables
+from ..sources import commits, exports, files, schemas, tables
 from ..streaming import ingest, merge
 from . import samples
 from .samples import candidates, silver, table, wide_table
@@ -63,15 +63,32 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def schema_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """The marts of a schema of its own, by name."""
+    """Marts made from silver in a schema of its own, listed by name with their rows; a table that is no mart is not listed."""
     before = spark.catalog.currentDatabase()
     schema = "rollcall_" + samples.written(spark, "schema").rsplit("-", 1)[1]
     tables.ensure_schema(spark, schema)
-    for name in ("gold_years", "gold_states", "silver_rows"):
-        tables.save_table(table(spark, folder, "region"), name)
-    found = tables.list_marts(spark, schema=schema).select(F.col("tableName").alias("mart"), F.col("isTemporary").alias("temporary"))
+    rows = silver(spark, folder)
+    made = {"gold_winners": marts.winners_view, "gold_education_state": marts.education_by_state, "gold_age_dist": marts.age_dist, "silver_years": lambda df: df.select("election_year").distinct()}
+    for name, build in made.items():
+        tables.save_table(build(rows), name)
+    listed = [r["tableName"] for r in tables.list_marts(spark, schema=schema).collect()]  # names
+    counts = [tables.read_table(spark, f"{schema}.{n}").agg(F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n_rows")) for n in listed]
     spark.sql(f"USE {before}")
-    return found
+    return functools.reduce(DataFrame.union, counts)
+
+
+def typed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Fund rows given as literals, with a fixed schema, beside what the orders of their seat numbers came to."""
+    literal = [
+        {"state": "Goa", "constituency": "one", "mp_id": 1, "allocated": 500, "pct_spent": 12.5},
+        {"state": "Kerala", "constituency": "two", "mp_id": 2, "works_completed": 7},
+        {"constituency": None, "mp_id": 4},
+        {"state": "Goa", "mp_id": -1},
+    ]
+    given = tables.from_rows(spark, literal, schemas.FUND).select("state", "mp_id", "allocated", "pct_spent", "works_completed")
+    orders = table(spark, folder, "orders").groupBy(F.col("o_custkey").cast("int").alias("mp_id"))
+    held = orders.agg(F.count(F.lit(1)).alias("n_orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    return given.join(held, "mp_id", "left")
 
 
 def document_read(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,20 +146,32 @@ def export_payload(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs of the publishing plan; between them one year's winners lose their cases."""
-    path = samples.written(spark, "published")
+    """Two runs of the publishing plan over tables of a schema of their own; between them one year's winners lose their cases
+    in the two marts that list people. Also the rows that the second payload has of each section, read back.
+    """
+    path, schema = samples.written(spark, "published"), "rollcall_" + samples.written(spark, "schema").rsplit("-", 1)[1]
+    before = spark.catalog.currentDatabase()
     rows = silver(spark, folder)
     fewer = rows.withColumn(
         "criminal_cases", F.when((F.col("election_year") == LATEST) & F.col("is_winner"), 0).otherwise(F.col("criminal_cases"))
     )
+    tables.ensure_schema(spark, schema)
+    tables.save_table(candidates(spark, folder), "bronze_candidates")
 
-    def publish(silver_rows: DataFrame) -> DataFrame:
-        built = medallion.build_marts(silver_rows)
-        sections = {f"{p}/{n}": x for p in medallion.PAYLOADS for n, x in medallion.payload_sections(p, built).items()}
-        return exports.publish_changed(sections, path)
+    def publish(built: dict[str, DataFrame], at: str) -> DataFrame:
+        for name, df in built.items():
+            tables.save_table(df, name)
+        return medallion.publish(spark, path, at, "orders")
 
-    first = publish(rows).withColumnRenamed("status", "first_run")
-    return first.join(publish(fewer).withColumnRenamed("status", "second_run"), "section")
+    first = publish(medallion.build_marts(rows), "2024-08-01T00:00:00Z").withColumnRenamed("status", "first_run")
+    listing = {n: medallion.MARTS[n](fewer) for n in ("gold_winners", "gold_leaderboards")}
+    second = publish(listing, "2024-08-02T00:00:00Z").withColumnRenamed("status", "second_run")
+    spark.sql(f"USE {before}")
+    parts = commits.newest(spark, path).parts
+    counted = [spark.read.text(exports.section_path(spark, path, n)).agg(F.lit(n).alias("section"), F.count("value").alias("n_rows")) for n in sorted(parts) if n not in ("meta", "candidates")]
+    flat = exports.read_csv(spark, exports.section_path(spark, path, "candidates"), exports.flat_export(rows).schema)
+    counted.append(flat.agg(F.lit("candidates").alias("section"), F.count(F.lit(1)).alias("n_rows")))
+    return first.join(second, "section").join(functools.reduce(DataFrame.union, counted), "section")
 
 
 def export_flat(spark: SparkSession, folder: str) -> DataFrame:
@@ -455,24 +484,44 @@ def published_comparisons(spark: SparkSession, folder: str) -> DataFrame:
     theirs = samples.run_sql(spark, folder, samples.CROSS_CHECK)
     fund_plan.publish_funds(samples.funds(spark, folder), silver(spark, folder), theirs, RECONCILED, path)
     schema = "metric string, ours long, theirs long, delta long, pct_delta double"
-    return exports.read_section(spark, f"{path}/comparisons").select(F.from_json("body", schema).alias("c")).select("c.*")
+    return exports.read_section(spark, exports.section_path(spark, path, "comparisons")).select(F.from_json("body", schema).alias("c")).select("c.*")
 
 
-def crosscheck_payload(spark: SparkSession, folder: str, wrapped: bool = True) -> DataFrame:
-    """Our totals against a document of the other source, its parts in envelopes or plain."""
-    ours = dedupe.dedupe_funded(fund_plan.conform_funds(samples.funds(spark, folder)))
+def _crosscheck_document(spark: SparkSession, folder: str, wrapped: bool) -> DataFrame:
+    """A document of the other source, its parts in envelopes or plain."""
     audit = reconcile.consistency_audit(samples.run_sql(spark, folder, samples.CROSS_CHECK))
     renamed = audit.withColumnsRenamed(
         {f"subset_{n}": f"ls_{n}" for n in ("allocated", "expenditure", "works_completed", "works_recommended")}
+        | {"records_subset": "records_lok_sabha", "records_other": "records_rajya_sabha"}
     )
     body = exports.json_rows(renamed)
-    sync = F.lit('{"lastUpdated":"2024-08-01","updateFrequency":"daily"}')
+    sync = F.lit('{"lastUpdated":"2024-08-01","updateFrequency":"daily","dataQuality":"as published"}')
     if wrapped:
         body = F.concat(F.lit('{"success":true,"data":'), body, F.lit(',"cached":false}'))
         sync = F.concat(F.lit('{"data":'), sync, F.lit("}"))
     path = samples.written(spark, "crosscheck")
     renamed.select(F.concat(F.lit('{"audit":'), body, F.lit(',"sync":'), sync, F.lit("}")).alias("value")).write.text(path)
-    return fund_plan.crosscheck(ours, spark.read.text(path, wholetext=True))
+    return spark.read.text(path, wholetext=True)
+
+
+def crosscheck_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Our totals beside the other source's document, and what that says of itself, as the fund plan has published them."""
+    path = samples.written(spark, "funds")
+    theirs = samples.run_sql(spark, folder, samples.CROSS_CHECK)
+    document = _crosscheck_document(spark, folder, wrapped=True)
+    fund_plan.publish_funds(samples.funds(spark, folder), silver(spark, folder), theirs, RECONCILED, path, document)
+    kinds = {
+        "reconciliation": "metric string, ours long, note string, theirs long, delta long, pct_delta double",
+        "reconciliation_about": ", ".join(f"{n} {kind}" for n, (_, _, kind) in fund_plan.ABOUT.items()),
+    }
+    read = [exports.read_section(spark, exports.section_path(spark, path, n)).select(F.from_json("body", kind).alias("c")).select("c.*") for n, kind in kinds.items()]
+    return read[0].join(read[1], F.lit(True), "left")  # one row about the document
+
+
+def crosscheck_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a document without envelopes, unpublished."""
+    ours = dedupe.dedupe_funded(fund_plan.conform_funds(samples.funds(spark, folder)))
+    return fund_plan.crosscheck(ours, _crosscheck_document(spark, folder, wrapped=False))
 
 
 # ---- slices
@@ -657,10 +706,11 @@ QUERIES = {
     "bronze_rejects": bronze_rejects,
     "seats_not_named": seats_not_named,
     "schema_tables": schema_tables,
+    "typed_rows": typed_rows,
     "publish_changes": publish_changes,
     "published_comparisons": published_comparisons,
     "crosscheck_payload": crosscheck_payload,
-    "crosscheck_plain": lambda spark, folder: crosscheck_payload(spark, folder, wrapped=False),
+    "crosscheck_plain": crosscheck_plain,
     "ordered_marts": ordered_marts,
     "jsonl_roundtrip": jsonl_roundtrip,
     "scan_pages": scan_pages,

@@ -121,20 +121,12 @@ def refresh(spark: SparkSession, schema: str) -> None:
 def publish(spark: SparkSession, folder: str, generated_at: str, source: str) -> DataFrame:
     """JSON rows per section, the meta row and the flat CSV out of the tables; (section, status) of this run.
 
-    Only what changed since the last run is written. The meta row is part of the payload; its time of generation does not
-    count as a change, as it stands beside the sections.
+    One payload: readers see all of it change at once, and find its sections by `exports.section_path`. The time of
+    generation in the meta row does not count as a change.
     """
     built = {name: tables.read_table(spark, name) for name in MARTS}
     sections = {f"{payload}/{name}": section for payload in PAYLOADS for name, section in payload_sections(payload, built).items()}
     with scratch_scope(spark):
         everything = stage(build_silver(tables.read_table(spark, "bronze_candidates"), keep_special=True), "everything")
-        flat = {"candidates": (exports.flat_export(everything), [F.lit(1)])}
-
-        def write(changed: dict[str, exports.Section], path: str) -> None:
-            for name, (df, _) in changed.items():
-                exports.write_csv(df, f"{path}/{name}")
-
-        status = exports.publish_changed(sections, folder).union(exports.publish_changed(flat, f"{folder}/flat", write))
-        if not status.filter("status <> 'unchanged'").isEmpty():
-            exports.run_meta(everything, generated_at, source).write.mode("overwrite").json(f"{folder}/meta")
-    return status
+        sections["candidates"] = (exports.flat_export(everything), [])
+        return exports.publish_changed(sections, folder, ["candidates"], {"meta": exports.run_meta(everything, generated_at, source)})

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..operators.slices import SLICE_COLUMNS
+from . import commits
 
+# Columns and order of the flat file.
 FLAT_COLUMNS = [
     "election_year", "state", "constituency", "seat_category", "name", "party", "party_group",
     "criminal_cases", "education", "age", "assets", "liabilities", "net_worth", "is_winner",
@@ -48,47 +50,69 @@ def write_payload(sections: dict[str, Section], path: str) -> None:
         safe.select(json_rows(safe).alias("body")).write.mode("overwrite").text(f"{path}/{name}")
 
 
-DIGESTS = "section string, n long, h1 decimal(38,0), h2 decimal(38,0)"
+def _digest(body: Column) -> list[Column]:
+    """Rows counted and hashed, without regard to order, which follows from the content."""
+    hashes = [F.coalesce(F.sum(F.xxhash64(F.lit(k), body).cast("decimal(38,0)")), F.lit(0)).cast("string").alias(f"h{k}") for k in (1, 2)]
+    return [F.count(body).alias("rows"), *hashes]
 
 
-def digests(sections: dict[str, Section]) -> DataFrame:
-    """One row per section: its rows counted and hashed, without regard to order, which follows from the content."""
-    found = []
-    for name, (df, _) in sections.items():
-        safe = json_safe(df)
-        body = safe.select(json_rows(safe).alias("body"))
-        found.append(
-            body.agg(
-                F.count("body").alias("n"),
-                F.coalesce(F.sum(F.xxhash64(F.lit(1), "body").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h1"),
-                F.coalesce(F.sum(F.xxhash64(F.lit(2), "body").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h2"),
-            ).select(F.lit(name).alias("section"), "n", "h1", "h2")
-        )
-    return reduce(DataFrame.unionByName, found)
+def _write_section(df: DataFrame, order: list[Column], path: str, as_csv: bool) -> dict:
+    """Writes one section and returns its digest, taken from the rows as they are written: it is computed once."""
+    told = Observation()
+    safe = json_safe(df.orderBy(*order) if order else df)
+    seen = safe.observe(told, *_digest(json_rows(safe)))
+    if as_csv:
+        write_csv(seen, path)
+    else:
+        seen.select(json_rows(safe).alias("body")).write.text(path)
+    return told.get
 
 
 def publish_changed(
-    sections: dict[str, Section], path: str, write: Callable[[dict[str, Section], str], None] = write_payload
+    sections: dict[str, Section], path: str, csv: Iterable[str] = (), beside: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Writes the sections that differ from the last run's and returns (section, status): new, updated, unchanged, removed.
+    """Publishes the sections as one payload and returns (section, status): new, updated, unchanged, removed.
 
-    Each run leaves the digests of its sections beside them; the next run compares with those. A run that stops half-way
-    leaves the old digests, so what it wrote is written again.
+    Every section is computed once, into a folder of this run's own. Then one commit (`commits`) names the folder of every
+    section: the new one where the digest differs from the last run's, else the old one. So a reader has the old payload or
+    the new one, also if a run stops anywhere. Folders that the new payload does not name, of removed and replaced sections and of
+    runs that stopped, are then deleted; one run publishes at a time.
+
+    Sections named in `csv` are written as CSV. Those of `beside` are small rows about the run, written if any other changed.
     """
     spark = next(iter(sections.values()))[0].sparkSession
-    spark.createDataFrame([], DIGESTS).write.mode("append").json(f"{path}/_digests")
-    before = spark.read.schema(DIGESTS).json(f"{path}/_digests").collect()  # one row per section
-    now = digests(sections).collect()
-    old = {r["section"]: tuple(r)[1:] for r in before}
-    status = {
-        r["section"]: "new" if r["section"] not in old else "unchanged" if old[r["section"]] == tuple(r)[1:] else "updated" for r in now
-    }
-    write({name: sections[name] for name, what in status.items() if what != "unchanged"}, path)
-    spark.createDataFrame(now, DIGESTS).coalesce(1).write.mode("overwrite").json(f"{path}/_digests")
-    status |= {name: "removed" for name in old if name not in status}
+    run, before = uuid.uuid4().hex, commits.newest(spark, path)
+    now: dict[str, dict] = {}
+    for name, (df, order) in sections.items():
+        folder = f"{run}.{name.replace('/', '.')}"
+        now[name] = {"folder": folder, **_write_section(df, order, f"{path}/data/{folder}", name in csv)}
+    status, parts = {}, {}
+    for name, part in now.items():
+        old = before.parts.get(name)
+        same = old is not None and all(old[k] == part[k] for k in ("rows", "h1", "h2"))
+        status[name] = "unchanged" if same else "new" if old is None else "updated"
+        parts[name] = old if same else part
+    about = set(beside or {})
+    status |= {name: "removed" for name in before.parts if name not in now and name not in about}
+    changed = any(what != "unchanged" for what in status.values())
+    for name, df in (beside or {}).items():
+        if changed or name not in before.parts:
+            folder = f"{run}.{name}"
+            parts[name] = {"folder": folder, **_write_section(df, [], f"{path}/data/{folder}", False)}
+        else:
+            parts[name] = before.parts[name]
+    if changed or parts != before.parts:
+        if not commits.commit(spark, path, commits.Snapshot(before.number + 1, parts)):
+            raise RuntimeError("another run has published meanwhile")
+    commits.tidy(spark, path, keep=1, min_age_s=-60)
     return spark.createDataFrame(sorted(status.items()), "section string, status string")
 
 
+def section_path(spark: SparkSession, path: str, name: str) -> str:
+    """Where the payload has a section; KeyError if it has none of that name."""
+    return f"{path}/data/{commits.newest(spark, path).parts[name]['folder']}"
+
+
 def read_section(spark: SparkSession, path: str) -> DataFrame:
     """(position, body) of one published section; positions count from 0 in published order.
 

@@ -180,15 +180,24 @@ def test_fund_states(spark):
 def test_published_funds(spark, tables, tmp_path):
     from rollcall.catalogue import queries, samples
     from rollcall.plans import funds
+    from rollcall.sources import exports
 
     theirs = samples.run_sql(spark, tables, samples.CROSS_CHECK)
     raw, silver = samples.funds(spark, tables), samples.silver(spark, tables)
-    funds.publish_funds(raw, silver, theirs, queries.RECONCILED, str(tmp_path))
-    meta = spark.read.json(f"{tmp_path}/meta").first()
-    first = {r.metric: r for r in spark.read.json(f"{tmp_path}/comparisons").collect()}
+    document = spark.createDataFrame([('{"audit":{"records_total":10,"ls_expenditure":5},"sync":{"data":{"dataQuality":"good"}}}',)], "value string")
+    funds.publish_funds(raw, silver, theirs, queries.RECONCILED, str(tmp_path), document)
+    at = lambda name: exports.section_path(spark, str(tmp_path), name)
+    meta = spark.read.json(at("meta")).first()
+    first = {r.metric: r for r in spark.read.json(at("comparisons")).collect()}
     mine = theirs.filter("house = 'Lok Sabha'").agg({"totalExpenditure": "sum"}).first()[0]
     assert first["Expenditure"].theirs == round(mine)
-    count = lambda name: spark.read.text(f"{tmp_path}/{name}").count()
+    count = lambda name: spark.read.text(at(name)).count()
     assert count("mps") == meta.seats and count("unmatched") == meta.unmatched and count("fuzzy_joins") == meta.fuzzy
     assert count("comparisons") == 4
-    assert spark.read.json(f"{tmp_path}/audit").first().records_total == 10
+    assert spark.read.json(at("audit")).first().records_total == 10
+    about = spark.read.json(at("reconciliation_about")).first()
+    assert (about.their_quality_claim, about.records_total, about.records_lok_sabha) == ("good", 10, None)
+    assert [r.metric for r in spark.read.json(at("reconciliation")).collect()] == ["Expenditure"]
+    funds.publish_funds(raw, silver, theirs, queries.RECONCILED, str(tmp_path))
+    with pytest.raises(KeyError):
+        at("reconciliation")

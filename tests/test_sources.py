@@ -10,7 +10,7 @@ from rollcall.operators import marts
 from rollcall.plans import medallion
 from rollcall.catalogue import samples
 from rollcall.session import scratch_root, scratch_scope, stage
-from rollcall.sources import exports, files, schemas, tables as named
+from rollcall.sources import commits, exports, files, schemas, tables as named
 
 
 def test_jsonl_skips_blank_lines_and_keeps_bad_ones(spark, tmp_path):
@@ -84,13 +84,48 @@ def test_only_changed_sections_are_written(spark, tmp_path):
     path, order = str(tmp_path), [F.col("k")]
     run = lambda **sections: dict(map(tuple, exports.publish_changed({n: (d, order) for n, d in sections.items()}, path).collect()))
     assert run(rows=rows, none=rows.limit(0)) == {"rows": "new", "none": "new"}
-    assert [r.body for r in exports.read_section(spark, f"{path}/rows").orderBy("position").collect()] == [
+    at = lambda name: exports.section_path(spark, path, name)
+    assert [r.body for r in exports.read_section(spark, at("rows")).orderBy("position").collect()] == [
         '{"k":1,"s":"a","v":null}', '{"k":2,"s":"b","v":0.12}',
     ]
-    before = sorted(p.name for p in (tmp_path / "rows").iterdir())
+    before = at("rows")
     assert run(rows=rows.orderBy("k"), none=rows.limit(1)) == {"rows": "unchanged", "none": "updated"}
-    assert sorted(p.name for p in (tmp_path / "rows").iterdir()) == before
+    assert at("rows") == before
+    number = commits.newest(spark, path).number
+    assert run(rows=rows, none=rows.limit(1)) == {"rows": "unchanged", "none": "unchanged"}
+    assert commits.newest(spark, path).number == number
     assert run(rows=rows) == {"rows": "unchanged", "none": "removed"}
+    # what is removed or replaced is off the disk
+    assert [p.name for p in (tmp_path / "data").iterdir()] == [before.rsplit("/", 1)[1]]
+    with pytest.raises(KeyError):
+        at("none")
+
+
+def test_a_stopped_run_leaves_the_old_payload(spark, tmp_path):
+    path, order = str(tmp_path), [F.col("k")]
+    rows = spark.range(5).select(F.col("id").alias("k"))
+    publish = lambda **sections: exports.publish_changed({n: (d, order) for n, d in sections.items()}, path)
+    publish(a=rows, b=rows)
+    bad = rows.select(F.when(F.col("k") < 9, F.raise_error(F.lit("lost"))).cast("long").alias("k"))
+    with pytest.raises(Exception, match="lost"):
+        publish(a=rows.limit(2), b=bad)
+    read = lambda name: exports.read_section(spark, exports.section_path(spark, path, name)).count()
+    assert (read("a"), read("b")) == (5, 5)
+    assert {r.section: r.status for r in publish(a=rows.limit(2), b=rows).collect()} == {"a": "updated", "b": "unchanged"}
+    assert (read("a"), read("b"), len(list((tmp_path / "data").iterdir()))) == (2, 5, 2)
+
+
+def test_sections_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+
+    rows = spark.createDataFrame(spark.range(7).rdd.mapPartitions(counted), "id long")
+    exports.publish_changed({"rows": (rows, [])}, str(tmp_path))
+    assert seen.value == 7
 
 
 def test_payload_files_are_ordered(spark, tmp_path):
@@ -131,11 +166,12 @@ def test_whole_run(spark, tables, tmp_path):
     assert {r.status for r in first.collect()} == {"new"}
     again = medallion.publish(spark, str(tmp_path), "2024-08-02T00:00:00Z", "orders")
     assert {r.status for r in again.collect()} == {"unchanged"} and again.count() == 13
-    meta = spark.read.json(f"{tmp_path}/meta").first()
-    assert meta.total_candidates == silver.count() and meta.election_years == sorted(meta.election_years)
-    repeats = spark.read.text(f"{tmp_path}/repeat_candidates/candidates")
+    at = lambda name: exports.section_path(spark, str(tmp_path), name)
+    meta = spark.read.json(at("meta")).first()
+    assert meta.generated_at == "2024-08-01T00:00:00Z" and meta.total_candidates == silver.count() and meta.election_years == sorted(meta.election_years)
+    repeats = spark.read.text(at("repeat_candidates/candidates"))
     assert repeats.count() == min(500, marts.repeat_entities(silver).count())
-    flat = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/flat/candidates")
+    flat = spark.read.option("header", True).option("escape", '"').csv(at("candidates"))
     assert flat.columns == exports.FLAT_COLUMNS and flat.count() == meta.total_candidates + meta.bye_election_rows_excluded
 
 
