@@ -169,17 +169,42 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     )
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, nth, record): the records of CSV files, also those that hold line breaks; `nth` counts from 1 in each file.
+
+    Files are read in splits, by many tasks. A line begins a record if the quotes before it in its file are even in number.
+    Each split counts its quotes, and its beginnings for either parity; the counts of the splits (one row each) tell the parity and the
+    number of records that a split begins with. Lines of a broken record are then put together, in order; others are records as they are.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("number"), quotes.alias("quotes"),
+    )
+    split = Window.partitionBy("file", "block").orderBy("number")
+    local = F.coalesce(F.sum("quotes").over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    lines = lines.withColumn("parity", local.cast("int"))
+    begun = [F.count_if(F.col("parity") == k).over(split.rowsBetween(Window.unboundedPreceding, 0)).alias(f"begun{k}") for k in (0, 1)]
+    lines = lines.select("*", *begun)
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("q"), *(F.count_if(F.col("parity") == k).alias(f"n{k}") for k in (0, 1)))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("odd", (F.coalesce(F.sum("q").over(before), F.lit(0)) % 2).cast("int"))
+    starts = F.coalesce(F.sum(F.when(F.col("odd") == 0, F.col("n0")).otherwise(F.col("n1"))).over(before), F.lit(0))
+    known = lines.join(splits.select("file", "block", "odd", starts.alias("starts")), ["file", "block"])
+    nth = F.col("starts") + F.when(F.col("odd") == 0, F.col("begun0")).otherwise(F.col("begun1"))
+    opened = (F.col("parity") + F.col("odd")) % 2
+    known = known.select("file", "block", "number", "value", nth.alias("nth"), ((opened == 0) & (F.col("quotes") % 2 == 0)).alias("whole"))
+    parts = F.sort_array(F.collect_list(F.struct("block", "number", "value")))  # the lines of one record
+    broken = known.filter("not whole").groupBy("file", "nth").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("record"))
+    return known.filter("whole").select("file", "nth", F.col("value").alias("record")).unionByName(broken)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Reads what `write_csv` wrote, empty text and null kept apart."""
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", True)
-        .option("nullValue", "\u0000")
-        .option("escape", '"')
-        .option("multiLine", True)
-        .schema(schema)
-        .csv(path)
-    )
+    """Reads what `write_csv` wrote, empty text and null kept apart; a file of any size is read by many tasks."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    row = F.from_csv("record", ddl, {"nullValue": "\u0000", "escape": '"'})
+    # the first record of a file names the columns
+    return csv_records(spark, path).filter("nth > 1").select(row.alias("row")).select("row.*")
 
 
 def slice_csv(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -79,6 +80,27 @@ def test_csv_keeps_quotes_and_nulls(spark, tmp_path):
     assert '"say ""hi"", x"' in "".join(p.read_text() for p in (tmp_path / "csvFalse").glob("*.csv"))
 
 
+@pytest.mark.parametrize("split", [37, 200, 1 << 20])
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path, split):
+    """Line breaks, quotes and empty lines inside fields, wherever the splits fall."""
+    rng = random.Random(split)
+    texts = ["plain", 'say "hi"', "two\nlines", '"\n"\n\n"', "", None, " pad ", "a,b", "\n", "é\nü,\"x\""]
+    rows = [(i, rng.choice(texts), rng.choice(texts), rng.choice([None, i * 7])) for i in range(120)]
+    df = spark.createDataFrame(rows, "i int, a string, b string, n long")
+    path = str(tmp_path / "csv")
+    exports.write_csv(df.coalesce(1), path, bom=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        back = exports.read_csv(spark, path, df.schema)
+        assert sorted(map(tuple, back.collect())) == sorted(rows)
+        if split == 37:
+            assert spark.read.text(path).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_only_changed_sections_are_written(spark, tmp_path):
     rows = spark.createDataFrame([(2, "b", 0.123), (1, "a", None)], "k int, s string, v double")
     path, order = str(tmp_path), [F.col("k")]
