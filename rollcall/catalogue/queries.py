@@ -515,7 +515,8 @@ def crosscheck_payload(spark: SparkSession, folder: str) -> DataFrame:
         "reconciliation_about": ", ".join(f"{n} {kind}" for n, (_, _, kind) in fund_plan.ABOUT.items()),
     }
     read = [exports.read_section(spark, exports.section_path(spark, path, n)).select(F.from_json("body", kind).alias("c")).select("c.*") for n, kind in kinds.items()]
-    return read[0].join(read[1], F.lit(True), "left")  # one row about the document
+    about = read[1].select(F.struct("*").alias("about")).scalar()  # one row about the document
+    return read[0].select("*", about.alias("about")).select(*read[0].columns, "about.*")
 
 
 def crosscheck_plain(spark: SparkSession, folder: str) -> DataFrame:
