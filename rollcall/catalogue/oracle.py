@@ -884,6 +884,9 @@ SELECT o_orderkey, {short_money('figure')} AS short, {grouped('figure')} AS grou
   CASE WHEN figure IS NULL THEN '—' ELSE CAST((figure % 1000) // 10 AS VARCHAR) || '.' ||
        CAST(figure % 10 AS VARCHAR) || '%' END AS percent FROM f""",
     "stream_ingest": f"WITH {RAW} SELECT * FROM raw",
+    "restated_pages": """WITH p AS (SELECT page_id, page_id || chr(10) || html AS body FROM pages)
+SELECT page_id, CAST(1 AS BIGINT) AS version, md5(body) AS digest FROM p
+UNION ALL SELECT page_id, 2, md5(body || '<!-- restated -->') FROM p WHERE page_id % 5 = 0""",
     "stream_merge": """WITH all_ AS (
   SELECT user_id, event_type, event_id, value FROM events
   UNION ALL SELECT user_id, event_type, event_id, value + 5 FROM events WHERE event_id % 10 = 3)

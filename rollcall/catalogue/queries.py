@@ -16,7 +16,7 @@ from ..operators.summary import exact_median, summarise
 from ..plans import funds as fund_plan, medallion, pages as pages_plan
 from ..session import stage
 from ..sources import commits, exports, files, schemas, tables
-from ..streaming import ingest, merge
+from ..streaming import ingest, ledger, merge
 from . import samples
 from .samples import candidates, silver, table, wide_table
 
@@ -698,6 +698,20 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     return merge.read_best(spark, target, events.schema).select("user_id", "event_type", "event_id", "value")
 
 
+def restated_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of pages taken in as files: then some come again unchanged under new names, and some with another text."""
+    source, target = samples.written(spark, "page-files"), samples.written(spark, "page-ledger")
+    pages = table(spark, folder, "pages").select("page_id", F.concat_ws("\n", F.col("page_id").cast("string"), "html").alias("value"))
+    again = pages.filter("page_id % 3 = 0")
+    restated = pages.filter("page_id % 5 = 0").withColumn("value", F.concat("value", F.lit("<!-- restated -->")))
+    key = F.nullif(F.regexp_extract("body", r"^(\d+)\n", 1), F.lit(""))
+    for wave in (pages, again, restated):
+        wave.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(source)
+        ledger.take_in(spark, source, target, key, "part-*")
+    body = F.regexp_replace("body", r"\n$", "")
+    return ledger.versions(spark, target).select(F.col("key").cast("bigint").alias("page_id"), "version", F.md5(body.cast("binary")).alias("digest"))
+
+
 def _on_silver(build):
     return lambda spark, folder: build(silver(spark, folder))
 
@@ -825,4 +839,5 @@ QUERIES = {
     "format_money": format_money,
     "stream_ingest": stream_ingest,
     "stream_merge": stream_merge,
+    "restated_pages": restated_pages,
 }
