@@ -36,6 +36,10 @@ def _share(name: str, seen: str | None = None) -> Column:
     return ratio(F.sum(name), F.sum(seen or f"{name}_seen"), 1, times=100)
 
 
+def _pairs(*names: str) -> tuple[str, ...]:
+    return tuple(n for name in names for n in (name, f"{name}_seen"))
+
+
 def _mean(name: str, digits: int = 1) -> Column:
     return ratio(F.sum(name), F.sum(f"{name}_seen"), digits)
 
@@ -52,7 +56,8 @@ def trend_mart(scope: list[str] | None = None, null_as_false: bool = False) -> M
         "avg_cases": _mean("_cases", 2),
     }
     view = with_cohorts if not scope else lambda cells: with_cohorts(named_states(cells))
-    return Mart([*(scope or []), "election_year", "cohort"], view, measures, "median_assets")
+    uses = ("_n", *_pairs("_case", "_multi", "_crore", "_age", "_graduate", "_cases"))
+    return Mart([*(scope or []), "election_year", "cohort"], view, measures, "median_assets", uses)
 
 
 def party_mart(min_n: int = 5) -> Mart:
@@ -68,7 +73,8 @@ def party_mart(min_n: int = 5) -> Mart:
     def then(grouped: DataFrame) -> DataFrame:
         return grouped.withColumn("strike_rate", strike).filter(F.col("candidates") >= min_n)
 
-    return Mart(["election_year", "party_group"], measures=measures, median_name="median_assets", then=then)
+    uses = ("_n", "_won", *_pairs("_case", "_crore", "_age"))
+    return Mart(["election_year", "party_group"], measures=measures, median_name="median_assets", uses=uses, then=then)
 
 
 def state_mart() -> Mart:
@@ -80,7 +86,8 @@ def state_mart() -> Mart:
         "avg_age": _mean("_age"),
         "total_cases": F.sum("_cases"),
     }
-    return Mart(["election_year", "state"], lambda cells: named_states(cells.filter("is_winner")), measures, "median_assets")
+    uses = ("_n", "_cases", *_pairs("_case", "_crore", "_age"))
+    return Mart(["election_year", "state"], lambda cells: named_states(cells.filter("is_winner")), measures, "median_assets", uses)
 
 
 def party_state_mart(min_n: int = 5) -> Mart:
@@ -90,7 +97,7 @@ def party_state_mart(min_n: int = 5) -> Mart:
     def then(grouped: DataFrame) -> DataFrame:
         return grouped.filter((F.col("candidates") >= min_n) | (F.col("seats_won") > 0))
 
-    return Mart(["election_year", "state", "party_group"], named_states, measures, "median_assets", then)
+    return Mart(["election_year", "state", "party_group"], named_states, measures, "median_assets", ("_n", "_won", *_pairs("_case")), then)
 
 
 def median_marts(df: DataFrame, marts: dict[str, Mart] | None = None, kind: str = "lower") -> dict[str, DataFrame]:

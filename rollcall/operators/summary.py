@@ -13,10 +13,12 @@ from .ranks import View, cells, halfway, middle_ranks, ranked, same
 
 @dataclass
 class Mart(View):
-    """A grouping with measures over the sums of its cells, its median's name, and what is done with the result."""
+    """A grouping with measures over the sums of its cells, its median's name, the sums it needs, and what is done with the result."""
 
     measures: dict[str, Column] | None = None
     median_name: str = "median"
+    #: Names of the sums that the measures are made of; all if none are named.
+    uses: tuple[str, ...] = ()
     then: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
 
@@ -33,6 +35,8 @@ def lattice(
     `sums` are aggregates that add up (counts, sums) over rows with one set of base keys; a mart's measures are aggregates over
     those. Marts are one table each, and share what is written down: the cells and the values at the middle ranks.
     """
+    if all(m.uses for m in marts.values()):
+        sums = {n: c for n, c in sums.items() if any(n in m.uses for m in marts.values())}
     made = cells(df, base, value, sums)
     found = ranked(df, made, base, {n: View(m.keys, m.of) for n, m in marts.items()}, value, middle_ranks(kind))
     if len(marts) > 1:
