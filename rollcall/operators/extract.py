@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import lookups, parsing
-from ..functions.text import clean_html
+from ..functions.text import clean_html, let
 from ..functions.values import ratio
 
 
 def page_header(page: Column) -> Column:
     """Struct of seat and state text of a page header, '' where there is none."""
 
-    def part(group: int) -> Column:
-        main = F.nullif(F.regexp_extract(page, lookups.HEADER, group), F.lit(""))
-        other = F.regexp_extract(page, lookups.HEADER_ALTERNATE, group)
-        return clean_html(F.coalesce(main, other))
+    def found(header: Column) -> Column:
+        """Both groups, read from the header alone: the page itself is searched once for each pattern."""
 
-    state = F.trim(F.regexp_replace(part(2), lookups.HEADER_TAIL, ""))
-    return F.struct(part(1).alias("constituency"), state.alias("state"))
+        def part(group: int) -> Column:
+            main = F.regexp_extract(header["main"], lookups.HEADER, group)
+            other = F.regexp_extract(header["other"], lookups.HEADER_ALTERNATE, group)
+            return clean_html(F.when(header["main"] != "", main).otherwise(other))
+
+        state = F.trim(F.regexp_replace(part(2), lookups.HEADER_TAIL, ""))
+        return F.struct(part(1).alias("constituency"), state.alias("state"))
+
+    def other(main: Column) -> Column:
+        rest = F.when(main == "", F.regexp_extract(page, lookups.HEADER_ALTERNATE, 0)).otherwise("")
+        return F.struct(main.alias("main"), rest.alias("other"))
+
+    return let(let(F.regexp_extract(page, lookups.HEADER, 0), other), found)
 
 
 def special_contest(state: Column) -> Column:
@@ -67,13 +76,12 @@ def best_table(page: Column, width: int = 8) -> Column:
     return _largest(F.transform(tables, rows_of), "array<array<string>>")
 
 
-def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
-    """One record per candidate row of every page; other columns of `pages` are kept.
+#: Columns that `parse_pages` puts in the place of the page.
+PARSED = ("_header", "_contest", "_rows", "_empty")
 
-    Header and cells are read once per page; the page text does not go through the explode. The
-    explode is an outer one because Catalyst guards an inner one with a filter that reads the
-    cells a second time; pages without rows drop out with the rows that have no name.
-    """
+
+def parse_pages(pages: DataFrame, page: str = "html") -> DataFrame:
+    """Each page read once: `_header`, `_contest`, `_rows` (cell texts of the candidate table) and `_empty` in its place."""
     kept = [c for c in pages.columns if c != page]
 
     def read_cells(cells: Column) -> Column:
@@ -81,19 +89,41 @@ def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
             F.get(cells, F.lit(1)).alias("name_cell"), F.transform(cells, clean_html).alias("text")
         )
 
+    read = pages.select(
+        *kept,
+        page_header(F.col(page)).alias("_header"),
+        F.transform(best_table(F.col(page)), read_cells).alias("_rows"),
+        (F.coalesce(F.trim(page), F.lit("")) == "").alias("_empty"),
+    )
+    return read.withColumn("_contest", special_contest(F.col("_header.state")))
+
+
+def rejected_parsed(parsed: DataFrame) -> DataFrame:
+    """Parsed pages without candidate rows, with the reason. `parsed` should be written down."""
+    reason = F.when(F.col("_empty"), "empty page").otherwise("no rows")
+    return parsed.filter(F.size("_rows") <= 0).withColumn("reason", reason).drop(*PARSED)
+
+
+def explode_rows(pages: DataFrame, page: str = "html") -> DataFrame:
+    """One record per candidate row of every page; other columns of `pages` are kept."""
+    return explode_parsed(parse_pages(pages, page))
+
+
+def explode_parsed(parsed: DataFrame) -> DataFrame:
+    """One record per candidate row of pages read by `parse_pages`.
+
+    The explode is an outer one because Catalyst guards an inner one with a filter that reads the
+    cells a second time; pages without rows drop out with the rows that have no name.
+    """
+    kept = [c for c in parsed.columns if c not in PARSED]
+
     def cell(position: int) -> Column:
         return F.get(F.col("_row.text"), F.lit(position))
 
     name_cell = F.col("_row.name_cell")
     name = F.trim(F.regexp_replace(cell(1), lookups.WINNER_MARK, ""))
     return (
-        pages.select(
-            *kept,
-            page_header(F.col(page)).alias("_header"),
-            F.transform(best_table(F.col(page)), read_cells).alias("_rows"),
-        )
-        .withColumn("_contest", special_contest(F.col("_header.state")))
-        .select(*kept, "_header", "_contest", F.explode_outer("_rows").alias("_row"))
+        parsed.select(*kept, "_header", "_contest", F.explode_outer("_rows").alias("_row"))
         .select(
             *kept,
             F.col("_contest.state").alias("state"),

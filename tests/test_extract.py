@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rollcall.operators import extract, quality
+from rollcall.plans.pages import rows_of_pages
 
 
 def row(n, name, party="ABC", cases="0", education="Graduate", age="50", assets="Rs 10,00,000 ~", debts="Nil", link=True):
@@ -82,3 +83,12 @@ def test_hierarchy(spark):
     assert (first.works_recommended, first.works_recommended_amt) == (12, 3000)
     assert (first.works_completed, first.works_completed_amt, first.works_sanctioned) == (4, None, None)
     assert second.allocated is None and second.pct_spent is None
+
+
+def test_pages_are_parsed_once_for_rows_and_rejects(spark):
+    columns = ["page AS constituency_id", "2004 AS election_year", "'u' AS source_url", "html"]
+    rows, rejects = rows_of_pages(pages(spark).selectExpr(*columns))
+    assert sorted({r.constituency_id for r in rows.collect()}) == [1, 2, 3, 4]
+    assert {r.constituency_id: r.reason for r in rejects.collect()} == {5: "no rows", 6: "empty page", 7: "empty page"}
+    for df in (rows, rejects):  # both read what was written of the pages, without their text
+        assert "html" not in df._jdf.queryExecution().executedPlan().toString()
