@@ -592,6 +592,13 @@ _SOURCE = f"'page ' || CAST({_SEAT} AS VARCHAR) || '#' || {_SEAT_NAME}"
 
 _PAGE_FIELDS = f"""candidate_id AS entry_id, {collapse('state')} AS state, {collapse('constituency')} AS constituency"""
 
+KPI_DELTA = f"""WITH {TRENDS}
+SELECT state, cohort, election_year, lag(election_year) OVER s AS previous_year, n, pct_criminal,
+  round(pct_criminal - lag(pct_criminal) OVER s, 1) AS pct_criminal_change, pct_crorepati,
+  round(pct_crorepati - lag(pct_crorepati) OVER s, 1) AS pct_crorepati_change, median_assets,
+  lag(median_assets) OVER s AS previous_median_assets, avg_age, pct_graduate_plus
+FROM by_state WINDOW s AS (PARTITION BY state, cohort ORDER BY election_year)"""
+
 ORACLES = {
     "bronze_from_pages": f"""WITH {RAW} SELECT election_year, {collapse('state')} AS state, {collapse('constituency')} AS constituency,
   CAST(constituency_id AS INT) AS constituency_id, CAST(candidate_id AS INT) AS candidate_id, {collapse('name')} AS name,
@@ -799,12 +806,8 @@ FROM p WHERE winners < 160 OR candidates < 2240""",
         """SELECT page_id, CAST(coalesce(len(rows), 0) AS INT) AS n_rows, 'no rows' AS reason
 FROM pages LEFT JOIN best USING (page_id) WHERE coalesce(len(rows), 0) = 0""",
     ),
-    "kpi_delta": f"""WITH {TRENDS}
-SELECT state, cohort, election_year, lag(election_year) OVER s AS previous_year, n, pct_criminal,
-  round(pct_criminal - lag(pct_criminal) OVER s, 1) AS pct_criminal_change, pct_crorepati,
-  round(pct_crorepati - lag(pct_crorepati) OVER s, 1) AS pct_crorepati_change, median_assets,
-  lag(median_assets) OVER s AS previous_median_assets, avg_age, pct_graduate_plus
-FROM by_state WINDOW s AS (PARTITION BY state, cohort ORDER BY election_year)""",
+    "kpi_delta": KPI_DELTA,
+    "refreshed_changes": KPI_DELTA,
     "trend_insights": f"""WITH {TRENDS},
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY state, cohort ORDER BY election_year) AS i,
