@@ -142,38 +142,81 @@ def test_inserted_characters_still_match():
     assert "^idiot" in toxicity.sentence_words("you i d i o t now")
 
 
-def test_licence_families():
+def shares_of(text):
     m = licenses.model()
-
-    def family(text):
-        z = sum((m.weights[m.index[g]] for g in licenses.grams(text) if g in m.index), np.zeros(len(m.classes))) + m.bias
-        return m.classes[int(z.argmax())]
-
-    assert family("Licensed under the Apache License, Version 2.0") == "apache"
-    assert family("Copyright 2019 Example Corp. All rights reserved.") == "proprietary"
-    assert family("Released under the BSD 3-Clause License") == "bsd"
-    assert family("permission to land was refused by the tower") == licenses.UNKNOWN
+    z = (sum((m.weights[m.index[g]] for g in sorted(licenses.grams(text)) if g in m.index), np.zeros(len(m.classes))) + m.bias) / m.temperature
+    p = np.exp(z - z.max())
+    return p / p.sum()
+
+
+def family_of(text):
+    m, p = licenses.model(), shares_of(text)
+    if 1 - p[-1] < 0.5:
+        return licenses.NONE
+    return m.classes[int(p[:-1].argmax())] if p[:-1].max() >= 0.5 else licenses.UNKNOWN
+
+
+@pytest.mark.parametrize(
+    ("text", "family"),
+    [
+        ("Licensed under the Apache License, Version 2.0", "apache"), ("Copyright 2019 Example Corp. All rights reserved.", "proprietary"),
+        ("Released under the BSD 3-Clause License", "bsd"), ("CC-BY-SA 4.0", "cc-by-sa"), ("MPL-2.0", "mpl"), ("GPL v3 or later", "gpl"),
+        ("Unauthorized copying of this file is strictly prohibited", "proprietary"), ("Distributed under GPLv3.", "gpl"),
+        ("BSD-3-Clause", "bsd"), ("Released under the MIT terms", "mit"), ("Alle Rechte vorbehalten", "proprietary"),
+        ("Tous droits réservés", "proprietary"), ("Todos los derechos reservados", "proprietary"),
+        ("to deal in the Software without restriction, including without limitation the rights", "mit"),
+        ("Licensed under the EUPL", "unknown"), ("Published under the Eclipse Public License 2.0", "unknown"),
+        ("permission to land was refused by the tower", "none"), ("He came mit dem Zug und mit den Kindern", "none"), ("", "none"),
+        ("Version 4.0 of the map was sold in the library", "none"),
+    ],
+)
+def test_licence_families(text, family):
+    assert family_of(text) == family
+
+
+def units_of(text):
+    """Lines that are not blank, and the lines between blank ones put together where they are several."""
+    blank = lambda x: not x.strip(" \t\r\f\v")
+    lines, run = text.split("\n"), []
+    out = [(i, 1, x.lower()) for i, x in enumerate(lines) if not blank(x)]
+    for i, x in enumerate([*lines, ""]):
+        if not blank(x):
+            run.append((i, x))
+        elif run:
+            if len(run) > 1:
+                out.append((run[0][0], len(run), " ".join(x for _, x in run).lower()))
+            run = []
+    return out
 
 
 def test_licence_query_against_plain_model(spark, tables, texts_of):
-    m = licenses.model()
-    got = {(r.doc_id, r.paragraph): r for r in queries.op2_license_paragraphs(spark, tables).collect()}
-    found = 0
+    """The bound on gains must lose nothing that the whole model, run over every line and paragraph, finds."""
+    got = {(r.doc_id, r.paragraph, r.n_lines): r for r in queries.op2_license_paragraphs(spark, tables).collect()}
+    gains, need = licenses.model().gains(0.5)
+    want, dropped = {}, 0
     for doc_id, text in texts_of:
-        for k, line in enumerate(text.split("\n")):
-            low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
-            if any(a in low for a in licenses.ANCHORS):
-                found += 1
-                own = licenses.grams(low)
-                z = (sum((m.weights[m.index[g]] for g in own if g in m.index), np.zeros(len(m.classes))) + m.bias) / m.temperature
-                p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-                r = got[doc_id, k]
-                assert r.probability == pytest.approx(p.max(), abs=1e-5)
-                family = m.classes[int(p.argmax())] if p.max() >= 0.5 else licenses.UNKNOWN
-                alike = [len(own & licenses.grams(t)) / min(len(own), len(licenses.grams(t))) for t in licenses.TEMPLATES.get(family, [])]
-                assert r.family == family and r.similarity == pytest.approx(max(alike, default=0), abs=1e-5)
-                assert r.confirmed == (family != licenses.UNKNOWN and r.similarity >= 0.6)
-    assert found == len(got) > 0
+        for first, n, body in units_of(text):
+            own, family = licenses.grams(body), family_of(body)
+            can = sum(gains.get(g, 0.0) for g in own) >= need
+            dropped += not can
+            if family != licenses.NONE:
+                assert can
+                want[doc_id, first, n] = (family, own, shares_of(body)[:-1].max())
+    assert got.keys() == want.keys() and len(got) > 0 and dropped > 0
+    for key, (family, own, share) in want.items():
+        r = got[key]
+        alike = [len(own & licenses.grams(t)) / min(len(own), len(licenses.grams(t))) for t in licenses.TEMPLATES.get(family, [])]
+        assert r.probability == pytest.approx(share, abs=1e-5)
+        assert r.family == family and r.similarity == pytest.approx(max(alike, default=0), abs=1e-5)
+        assert r.confirmed == (family != licenses.UNKNOWN and r.similarity >= 0.6)
+
+
+def test_wrapped_and_unknown_licences(spark):
+    wrapped = "Some project\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files\n \t\nEnd"
+    rows = [(1, wrapped), (2, "MPL-2.0"), (3, "Licensed under the EUPL"), (4, "a tale of the sea"), (5, "x\n" * 3000 + "Alle Rechte vorbehalten\n" + "y " * 9000)]
+    got = {(r.doc_id, r.paragraph, r.n_lines): (r.family, r.confirmed) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1, 2, 2] == ("mit", True) and got[2, 0, 1] == ("mpl", True) and got[3, 0, 1] == ("unknown", False)
+    assert got[5, 3000, 1] == ("proprietary", True) and not [k for k in got if k[0] == 4]
 
 
 def test_licence_plan_has_no_python(spark, tables):
@@ -183,6 +226,6 @@ def test_licence_plan_has_no_python(spark, tables):
 
 def test_licence_odd_documents(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == 0 and licenses.scan(no_docs).count() == 0
-    rows = spark.createDataFrame([(1, "x\nReleased under the MIT License."), (1, "x\nReleased under the MIT License."), (None, "!! licen")], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, "x\n\nReleased under the MIT License."), (1, "x\n\nReleased under the MIT License."), (None, "!! All rights reserved")], "doc_id long, text string")
     found = sorted(((r.doc_id or 0, r.paragraph, r.family) for r in licenses.scan(rows).collect()))
-    assert found == [(0, 0, "unknown"), (1, 1, "mit"), (1, 1, "mit")]
+    assert found == [(0, 0, "proprietary"), (1, 2, "mit"), (1, 2, "mit")]
