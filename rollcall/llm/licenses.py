@@ -10,8 +10,8 @@ is confirmed if a template of it and the paragraph share at least `least_similar
 Most text is told to be none from a bound alone. For an n-gram, the gain is the most that any class has over "none"
 in weight. The sum of a paragraph's gains, rounded up to steps of GAIN_STEP, and the largest difference of intercepts is
 at least what any class has over "none"; where it is too small for the share asked for, the model would say "none". So the bound
-drops nothing that the model would keep. What is left is made distinct, so a notice that a third of all documents carry is
-classified once, and joined with the weights.
+drops nothing that the model would keep. Of what is left only n-grams with weights are written down, row by row, so a notice
+that a third of all documents carry is as many small rows; a row's n-grams are summed before any shuffle.
 
 The regression is fitted on TEMPLATES and NOTICES, with words dropped and other words around them, against the sentences in
 OTHERS and bags of their words. It sees no table, so its size is fixed: a few thousand weights, which are broadcast.
@@ -29,6 +29,7 @@ import numpy as np
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.text import let
 from ..session import stage
 
 #: Notices of each licence family.
@@ -252,7 +253,7 @@ class Model:
         self.classes, self.none_share = [*TEMPLATES, UNKNOWN, NONE], none_share
         known = [(t, k) for k, ts in enumerate(TEMPLATES.values()) for t in ts]
         known += [(t, len(self.classes) - 2) for t in NOTICES] + [(t, len(self.classes) - 1) for t in OTHERS]
-        names = sorted({g for t, _ in known for g in grams(t)} - {"name"})
+        names = sorted({g for t, _ in known for g in grams(t.replace("NAME", " "))})
         self.index = {g: i for i, g in enumerate(names)}
         made = [self._variants(t, k, variants, random.Random(f"{seed} {i}")) for i, (t, k) in enumerate(known)]
         made += [self._bag(random.Random(f"{seed} bag {i}")) for i in range(bags)]
@@ -350,13 +351,15 @@ def model() -> Model:
 
 
 def _gram_array(text: Column) -> Column:
-    words = F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1)
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.concat(words, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))))
+    def of(words: Column) -> Column:
+        pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+        return F.array_distinct(F.filter(F.concat(words, pairs), lambda g: g.isNotNull()))
+
+    return let(F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1), of)
 
 
 def possible(units: DataFrame, least_licence: float = 0.5) -> DataFrame:
-    """`units` (with `body`) without those that the model is sure to call "none"."""
+    """`units` without those that the model is sure to call "none"; in the place of `body`, the number of its n-grams and those with weights."""
     gains, need = model().gains(least_licence)
 
     def listed(names: list[str]) -> str:
@@ -364,9 +367,18 @@ def possible(units: DataFrame, least_licence: float = 0.5) -> DataFrame:
 
     steps = sorted({*gains.values()}, reverse=True)
     cases = " ".join(f"WHEN g IN ({listed([n for n, x in gains.items() if x == step])}) THEN {step}D" for step in steps)
-    total = F.expr(f"aggregate(filter(_grams, g -> g IN ({listed(list(gains))})), 0D, (s, g) -> s + CASE {cases} END)")
-    kept = units.withColumn("_grams", _gram_array(F.col("body"))).filter(total >= need)
-    return kept.drop("_grams")
+    pairs = [n.split(" ") for n in gains if " " in n]
+    heads, tails = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs})
+    # words are cut once; only pairs of words that listed pairs begin and end with are put together
+    total = f"""get(transform(array(regexp_extract_all(body, r'({TOKEN})', 1)), w -> aggregate(concat(
+        array_distinct(filter(w, x -> x IN ({listed([n for n in gains if " " not in n])}))),
+        array_distinct(filter(
+            zip_with(w, slice(w, 2, size(w)), (a, b) -> CASE WHEN a IN ({listed(heads)}) AND b IN ({listed(tails)}) THEN concat(a, ' ', b) END),
+            x -> x IN ({listed([n for n in gains if " " in n])})))
+    ), 0D, (s, g) -> s + CASE {cases} END)), 0)"""
+    kept = units.filter(F.expr(total) >= need).withColumn("_grams", _gram_array(F.col("body")))
+    known = F.expr(f"filter(_grams, g -> g IN ({listed(list(model().index))}))")
+    return kept.select(*(c for c in units.columns if c != "body"), F.size("_grams").alias("n_grams"), known.alias("grams"))
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -395,41 +407,42 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return placed.select("doc_id", F.explode(F.concat(single, several)).alias("unit")).select("doc_id", "unit.*")
 
 
-def classify(bodies: DataFrame, least_similarity: float = 0.6, least_share: float = 0.5, least_licence: float = 0.5) -> DataFrame:
-    """body, family, probability, similarity, confirmed of the distinct (body) that are licences."""
-    spark: SparkSession = bodies.sparkSession
+def classify(units: DataFrame, least_similarity: float = 0.6, least_share: float = 0.5, least_licence: float = 0.5) -> DataFrame:
+    """unit, family, probability, similarity, confirmed of the rows of (unit, n_grams, grams) that are licences; `unit` is unique."""
+    spark: SparkSession = units.sparkSession
     m, k = model(), len(model().classes)
     # as many rows as the templates and OTHERS have n-grams
     weights = F.broadcast(spark.createDataFrame([(g, *map(float, m.weights[i])) for g, i in m.index.items()], "gram string, " + ", ".join(f"w{c} double" for c in range(k))))
     templates = F.broadcast(spark.createDataFrame([(f, sorted(grams(t))) for f, ts in TEMPLATES.items() for t in ts], "family string, its array<string>"))
-    own = bodies.select("body", _gram_array(F.col("body")).alias("grams"))
-    found = own.select("body", F.explode_outer("grams").alias("gram")).join(weights, "gram", "left")
-    sums = found.groupBy("body").agg(*(F.round(F.coalesce(F.sum(f"w{c}"), F.lit(0.0)), 6).alias(f"w{c}") for c in range(k)))
+    found = units.select("unit", F.explode_outer("grams").alias("gram")).join(weights, "gram", "left")
+    sums = found.groupBy("unit").agg(*(F.round(F.coalesce(F.sum(f"w{c}"), F.lit(0.0)), 6).alias(f"w{c}") for c in range(k)))
     logits = F.array(*((F.col(f"w{c}") + float(m.bias[c])) / m.temperature for c in range(k)))
-    shares = sums.select("body", logits.alias("z")).select("body", "z", F.array_max("z").alias("top"))
+    shares = sums.select("unit", logits.alias("z")).select("unit", "z", F.array_max("z").alias("top"))
     total = F.aggregate("z", F.lit(0.0), lambda s, z: s + F.exp(z - F.col("top")))
     named = F.element_at(F.array(*map(F.lit, m.classes)), F.array_position("licence", F.col("best")).cast("int"))
     best = (
-        shares.select("body", F.transform("z", lambda x: F.exp(x - F.col("top")) / total).alias("p"))
+        shares.select("unit", F.transform("z", lambda x: F.exp(x - F.col("top")) / total).alias("p"))
         .filter(1 - F.element_at("p", -1) >= least_licence)
-        .select("body", F.slice("p", 1, k - 1).alias("licence"))
+        .select("unit", F.slice("p", 1, k - 1).alias("licence"))
         .withColumn("best", F.array_max("licence"))
-        .select("body", F.round("best", 6).alias("probability"), named.alias("named"))
+        .select("unit", F.round("best", 6).alias("probability"), named.alias("named"))
     )
     best = best.withColumn("family", F.when(F.col("probability") >= least_share, F.col("named")).otherwise(UNKNOWN)).drop("named")
     shared = F.size(F.array_intersect("grams", "its"))
-    overlap = shared / F.least(F.size("grams"), F.size("its"))
+    overlap = shared / F.least(F.col("n_grams"), F.size("its"))
     alike = (
-        best.join(bodies.select("body", _gram_array(F.col("body")).alias("grams")), "body")
+        best.join(units, "unit")
         .join(templates, "family", "left")
-        .groupBy("body", "family", "probability")
-        .agg(F.round(F.coalesce(F.max(F.when(F.size("grams") > 0, overlap)), F.lit(0.0)), 6).alias("similarity"))
+        .groupBy("unit", "family", "probability")
+        .agg(F.round(F.coalesce(F.max(F.when(F.col("n_grams") > 0, overlap)), F.lit(0.0)), 6).alias("similarity"))
     )
     return alike.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= least_similarity))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_licence: float = 0.5, **limits) -> DataFrame:
     """doc_id, paragraph, n_lines, family, probability, similarity, confirmed of every line or paragraph that is a licence."""
-    units = stage(possible(paragraphs(docs, id_col, text_col), least_licence), "licence-paragraphs")  # texts are read once
-    judged = classify(units.select("body").distinct(), least_licence=least_licence, **limits)
-    return units.join(judged, "body").select("doc_id", "paragraph", "n_lines", "family", "probability", "similarity", "confirmed")
+    found = possible(paragraphs(docs, id_col, text_col), least_licence)
+    # texts are read once, and rows are numbered as they are written
+    units = stage(found.withColumn("unit", F.monotonically_increasing_id()), "licence-paragraphs")
+    judged = classify(units.select("unit", "n_grams", "grams"), least_licence=least_licence, **limits)
+    return units.join(judged, "unit").select("doc_id", "paragraph", "n_lines", "family", "probability", "similarity", "confirmed")
