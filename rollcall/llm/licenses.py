@@ -10,11 +10,12 @@ is confirmed if a template of it and the paragraph share at least `least_similar
 Most text is told to be none from a bound alone. For an n-gram, the gain is the most that any class has over "none"
 in weight. The sum of a paragraph's gains, rounded up to steps of GAIN_STEP, and the largest difference of intercepts is
 at least what any class has over "none"; where it is too small for the share asked for, the model would say "none". So the bound
-drops nothing that the model would keep. Of what is left only n-grams with weights are written down, row by row, so a notice
-that a third of all documents carry is as many small rows; a row's n-grams are summed before any shuffle.
+drops nothing that the model would keep. The rest is judged by the whole model within its row: nothing is shuffled or
+written, so a notice that a third of all documents carry is as many small rows.
 
 The regression is fitted on TEMPLATES and NOTICES, with words dropped and other words around them, against the sentences in
-OTHERS and bags of their words. It sees no table, so its size is fixed: a few thousand weights, which are broadcast.
+OTHERS and bags of their words. Weights that tell little are 0 (`sparsity` is the price of their size), and n-grams without
+weights are left out. It sees no table, so its size is fixed: about a thousand n-grams, constants of the plan.
 
 Null text: no paragraphs. Paragraphs are never cut. Null ids and repeated rows each get rows. Shares that tie go to the class listed first.
 Empty table: no rows. Other columns of the table are not read.
@@ -24,13 +25,14 @@ from __future__ import annotations
 
 import functools
 import random
+import zlib
+from collections.abc import Callable
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import let
-from ..session import stage
 
 #: Notices of each licence family.
 TEMPLATES = {
@@ -234,6 +236,8 @@ TOKEN = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
 UNKNOWN, NONE = "unknown", "none"
 #: Gains of n-grams are rounded up to a multiple of this in the bound.
 GAIN_STEP = 0.125
+#: Weights are looked up in so many maps, by CRC-32 of the n-gram.
+MAPS = 256
 _BLANK = " \t\r\f\v"
 
 
@@ -249,8 +253,8 @@ def _made_up(rng: random.Random) -> str:
 class Model:
     """Weights by n-gram and class, the classes' intercepts and the temperature."""
 
-    def __init__(self, variants: int = 16, seed: int = 7, folds: int = 4, none_share: float = 0.8, bags: int = 400):
-        self.classes, self.none_share = [*TEMPLATES, UNKNOWN, NONE], none_share
+    def __init__(self, variants: int = 16, seed: int = 7, folds: int = 4, none_share: float = 0.8, bags: int = 400, sparsity: float = 2e-4):
+        self.classes, self.none_share, self.sparsity = [*TEMPLATES, UNKNOWN, NONE], none_share, sparsity
         known = [(t, k) for k, ts in enumerate(TEMPLATES.values()) for t in ts]
         known += [(t, len(self.classes) - 2) for t in NOTICES] + [(t, len(self.classes) - 1) for t in OTHERS]
         names = sorted({g for t, _ in known for g in grams(t.replace("NAME", " "))})
@@ -276,7 +280,9 @@ class Model:
         losses = [(self._loss(z / t, y, self._row_share(y)), t) for t in np.linspace(0.3, 3.0, 28).tolist()]
         self.temperature = round(min(losses)[1], 3)
         w, b = self._softmax(*rows(list(range(len(made)))))
-        self.weights, self.bias = np.round(w.astype(float), 6), np.round(b.astype(float), 6)
+        told = np.flatnonzero(np.abs(w).max(axis=1) >= 1e-6)
+        self.index = {names[i]: k for k, i in enumerate(told.tolist())}
+        self.weights, self.bias = np.round(w[told], 6), np.round(b, 6)
 
     def _variants(self, text: str, k: int, variants: int, rng: random.Random) -> list[tuple[str, int]]:
         """The text, and copies of it with words dropped, words of OTHERS around them and made-up names, and lines of it."""
@@ -315,8 +321,8 @@ class Model:
         # a little less, as sums are rounded to six digits before shares are taken
         return {g: float(gain[i]) for g, i in self.index.items() if gain[i]}, need - 1e-4
 
-    def _softmax(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 250) -> tuple[np.ndarray, np.ndarray]:
-        """Multinomial logistic regression by accelerated gradient steps; `none_share` for "none", the others alike."""
+    def _softmax(self, x: np.ndarray, y: np.ndarray, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
+        """Sparse multinomial logistic regression by accelerated proximal steps; `none_share` for "none", the others alike."""
         n, k = len(y), len(self.classes)
         target = np.eye(k)[y]
         share = self._row_share(y)
@@ -327,7 +333,8 @@ class Model:
             z = a @ v
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            new = v - rate * (a.T @ (share[:, None] * (p - target)) + ridge * v)
+            new = v - rate * (a.T @ (share[:, None] * (p - target)))
+            new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * self.sparsity, 0)
             v = new + (step - 1) / (step + 2) * (new - w)
             w = new
         return w[:-1], w[-1]
@@ -350,99 +357,98 @@ def model() -> Model:
     return Model()
 
 
-def _gram_array(text: Column) -> Column:
-    def of(words: Column) -> Column:
-        pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-        return F.array_distinct(F.filter(F.concat(words, pairs), lambda g: g.isNotNull()))
+def _pairs(words: Column, pair: Callable[[Column, Column], Column]) -> Column:
+    """`pair` of every two words that follow each other (null for the last word), where it is not null."""
+    return F.filter(F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), pair), lambda g: g.isNotNull())
 
-    return let(F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1), of)
 
+def _all_grams(words: Column) -> Column:
+    return F.array_distinct(F.concat(words, _pairs(words, lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))))
 
-def possible(units: DataFrame, least_licence: float = 0.5) -> DataFrame:
-    """`units` without those that the model is sure to call "none"; in the place of `body`, the number of its n-grams and those with weights."""
-    gains, need = model().gains(least_licence)
 
-    def listed(names: list[str]) -> str:
-        return ", ".join(f"'{n}'" for n in names)  # n-grams are letters, digits, points and spaces
+def _listed_pair(a: Column, b: Column) -> Column:
+    """The pair of two words, or null where it has no weights."""
+    listed = [g for g in model().index if " " in g]
+    heads, tails = (sorted({g.split(" ")[i] for g in listed}) for i in (0, 1))
+    # only words that listed pairs begin and end with are put together
+    return let(F.when(a.isin(heads) & b.isin(tails), F.concat(a, F.lit(" "), b)), lambda g: F.when(g.isin(listed), g))
 
-    steps = sorted({*gains.values()}, reverse=True)
-    cases = " ".join(f"WHEN g IN ({listed([n for n, x in gains.items() if x == step])}) THEN {step}D" for step in steps)
-    pairs = [n.split(" ") for n in gains if " " in n]
-    heads, tails = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs})
-    # words are cut once; only pairs of words that listed pairs begin and end with are put together
-    total = f"""get(transform(array(regexp_extract_all(body, r'({TOKEN})', 1)), w -> aggregate(concat(
-        array_distinct(filter(w, x -> x IN ({listed([n for n in gains if " " not in n])}))),
-        array_distinct(filter(
-            zip_with(w, slice(w, 2, size(w)), (a, b) -> CASE WHEN a IN ({listed(heads)}) AND b IN ({listed(tails)}) THEN concat(a, ' ', b) END),
-            x -> x IN ({listed([n for n in gains if " " in n])})))
-    ), 0D, (s, g) -> s + CASE {cases} END)), 0)"""
-    kept = units.filter(F.expr(total) >= need).withColumn("_grams", _gram_array(F.col("body")))
-    known = F.expr(f"filter(_grams, g -> g IN ({listed(list(model().index))}))")
-    return kept.select(*(c for c in units.columns if c != "body"), F.size("_grams").alias("n_grams"), known.alias("grams"))
 
+def _known(words: Column) -> Column:
+    """The n-grams of a line that have weights."""
+    single = [g for g in model().index if " " not in g]
+    return F.array_distinct(F.concat(F.filter(words, lambda w: w.isin(single)), _pairs(words, _listed_pair)))
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, n_lines, body) of every line, and of all lines between blank ones where they are several, in lower case.
 
-    `paragraph` is the number of the first line, from 0.
+def _shares(known: Column, least_licence: float) -> Column:
+    """The share of every class, given the n-grams that have weights; null where the bound tells that it is none."""
+    m = model()
+    gains, need = m.gains(least_licence)
+    # the gain and the weights; a map is searched entry by entry, so they are dealt over small ones
+    numbers = {g: [gains.get(g, 0.0), *m.weights[i].tolist()] for g, i in m.index.items()}
+    dealt = [[g for g in numbers if zlib.crc32(g.encode()) % MAPS == n] for n in range(MAPS)]
+    maps = F.array(*(F.create_map(*(x for g in gs for x in (F.lit(g), F.lit(numbers[g])))) if gs else F.lit(None) for gs in dealt))
+    of = lambda g: F.element_at(F.get(maps, F.pmod(F.crc32(g.cast("binary")), F.lit(MAPS)).cast("int")), g)
+    most = F.aggregate(known, F.lit(0.0), lambda s, g: s + F.element_at(of(g), 1))
+    sums = F.aggregate(known, F.lit([0.0] * (len(m.classes) + 1)), lambda s, g: F.zip_with(s, of(g), lambda x, y: x + y))
+    logits = F.zip_with(F.slice(sums, 2, len(m.classes)), F.lit(m.bias.tolist()), lambda x, b: (F.round(x, 6) + b) / m.temperature)
+    powers = let(logits, lambda z: let(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp(x - top))))
+    shares = let(powers, lambda p: let(F.aggregate(p, F.lit(0.0), lambda s, x: s + x), lambda total: F.transform(p, lambda x: x / total)))
+    return F.when(most >= need, shares)
+
+
+def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_licence: float = 0.5) -> DataFrame:
+    """(doc_id, paragraph, n_lines, shares, grams) of lines and paragraphs that are licences, in lower case.
+
+    Units are every line that is not blank, and all lines between blank ones where they are several; `paragraph` is the number of
+    the first line, from 0. A line's words are cut and looked up once: its paragraph adds only pairs across lines.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col).cast("string"), "\n", -1).alias("lines"))
-    full = lambda i: F.btrim(F.coalesce(F.get("lines", i), F.lit("")), F.lit(_BLANK)) != ""
-    each = F.sequence(F.lit(0), F.size("lines") - 1)
-    firsts = F.filter(each, lambda i: full(i) & ~full(i - 1))
-    lasts = F.filter(each, lambda i: full(i) & ~full(i + 1))
-    placed = rows.filter("lines IS NOT NULL").select("doc_id", "lines", F.arrays_zip(firsts.alias("first"), lasts.alias("last")).alias("blocks"))
-    single = F.filter(
-        F.transform("lines", lambda x, i: F.struct(i.alias("paragraph"), F.lit(1).alias("n_lines"), F.lower(x).alias("body"))),
-        lambda u: F.btrim(u["body"], F.lit(_BLANK)) != "",
-    )
-    several = F.transform(
-        F.filter("blocks", lambda b: b["last"] > b["first"]),
-        lambda b: F.struct(
-            b["first"].alias("paragraph"),
-            (b["last"] - b["first"] + 1).alias("n_lines"),
-            F.lower(F.array_join(F.slice(F.col("lines"), b["first"] + 1, b["last"] - b["first"] + 1), " ")).alias("body"),
-        ),
-    )
-    return placed.select("doc_id", F.explode(F.concat(single, several)).alias("unit")).select("doc_id", "unit.*")
-
-
-def classify(units: DataFrame, least_similarity: float = 0.6, least_share: float = 0.5, least_licence: float = 0.5) -> DataFrame:
-    """unit, family, probability, similarity, confirmed of the rows of (unit, n_grams, grams) that are licences; `unit` is unique."""
-    spark: SparkSession = units.sparkSession
-    m, k = model(), len(model().classes)
-    # as many rows as the templates and OTHERS have n-grams
-    weights = F.broadcast(spark.createDataFrame([(g, *map(float, m.weights[i])) for g, i in m.index.items()], "gram string, " + ", ".join(f"w{c} double" for c in range(k))))
-    templates = F.broadcast(spark.createDataFrame([(f, sorted(grams(t))) for f, ts in TEMPLATES.items() for t in ts], "family string, its array<string>"))
-    found = units.select("unit", F.explode_outer("grams").alias("gram")).join(weights, "gram", "left")
-    sums = found.groupBy("unit").agg(*(F.round(F.coalesce(F.sum(f"w{c}"), F.lit(0.0)), 6).alias(f"w{c}") for c in range(k)))
-    logits = F.array(*((F.col(f"w{c}") + float(m.bias[c])) / m.temperature for c in range(k)))
-    shares = sums.select("unit", logits.alias("z")).select("unit", "z", F.array_max("z").alias("top"))
-    total = F.aggregate("z", F.lit(0.0), lambda s, z: s + F.exp(z - F.col("top")))
-    named = F.element_at(F.array(*map(F.lit, m.classes)), F.array_position("licence", F.col("best")).cast("int"))
-    best = (
-        shares.select("unit", F.transform("z", lambda x: F.exp(x - F.col("top")) / total).alias("p"))
-        .filter(1 - F.element_at("p", -1) >= least_licence)
-        .select("unit", F.slice("p", 1, k - 1).alias("licence"))
-        .withColumn("best", F.array_max("licence"))
-        .select("unit", F.round("best", 6).alias("probability"), named.alias("named"))
-    )
-    best = best.withColumn("family", F.when(F.col("probability") >= least_share, F.col("named")).otherwise(UNKNOWN)).drop("named")
-    shared = F.size(F.array_intersect("grams", "its"))
-    overlap = shared / F.least(F.col("n_grams"), F.size("its"))
-    alike = (
-        best.join(units, "unit")
-        .join(templates, "family", "left")
-        .groupBy("unit", "family", "probability")
-        .agg(F.round(F.coalesce(F.max(F.when(F.col("n_grams") > 0, overlap)), F.lit(0.0)), 6).alias("similarity"))
-    )
-    return alike.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= least_similarity))
-
-
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_licence: float = 0.5, **limits) -> DataFrame:
+    lines = F.split(F.col(text_col).cast("string"), "\n", -1)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), lines.alias("lines")).filter("lines IS NOT NULL")
+
+    def line(x: Column) -> Column:
+        full = F.btrim(x, F.lit(_BLANK)) != ""
+        words = F.regexp_extract_all(F.lower(x), F.lit(f"({TOKEN})"), 1)
+        return let(words, lambda w: F.struct(full.alias("full"), w.alias("words"), _known(w).alias("known")))
+
+    def found(cut: Column) -> Column:
+        has = lambda i: F.coalesce(F.get(cut, i)["full"], F.lit(False))
+        of = lambda unit: F.slice(cut, unit["paragraph"] + 1, unit["n_lines"])
+        each = F.sequence(F.lit(0), F.size(cut) - 1)
+        single = F.transform(F.filter(each, has), lambda i: F.struct(i.alias("paragraph"), F.lit(1).alias("n_lines")))
+        ends = F.arrays_zip(F.filter(each, lambda i: has(i) & ~has(i - 1)).alias("first"), F.filter(each, lambda i: has(i) & ~has(i + 1)).alias("last"))
+        blocks = F.transform(ends, lambda b: F.struct(b["first"].alias("paragraph"), (b["last"] - b["first"] + 1).alias("n_lines")))
+
+        def known(own: Column) -> Column:
+            across = _pairs(F.filter(own, lambda x: F.size(x["words"]) > 0), lambda a, b: _listed_pair(F.element_at(a["words"], -1), F.get(b["words"], 0)))
+            return F.array_distinct(F.concat(F.flatten(F.transform(own, lambda x: x["known"])), across))
+
+        def judged(unit: Column) -> Column:
+            own = F.when(unit["n_lines"] == 1, F.get(cut, unit["paragraph"])["known"]).otherwise(let(of(unit), known))
+            return F.struct(unit["paragraph"].alias("paragraph"), unit["n_lines"].alias("n_lines"), let(own, lambda k: _shares(k, least_licence)).alias("shares"))
+
+        units = F.concat(single, F.filter(blocks, lambda b: b["n_lines"] > 1))
+        kept = F.filter(F.transform(units, judged), lambda u: 1 - F.element_at(u["shares"], -1) >= least_licence)
+        words = lambda u: F.flatten(F.transform(of(u), lambda x: x["words"]))
+        return F.transform(kept, lambda u: F.struct(u["paragraph"].alias("paragraph"), u["n_lines"].alias("n_lines"), u["shares"].alias("shares"), let(words(u), _all_grams).alias("grams")))
+
+    return rows.select("doc_id", F.explode(let(F.transform("lines", line), found)).alias("unit")).select("doc_id", "unit.*")
+
+
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_licence: float = 0.5, least_similarity: float = 0.6, least_share: float = 0.5
+) -> DataFrame:
     """doc_id, paragraph, n_lines, family, probability, similarity, confirmed of every line or paragraph that is a licence."""
-    found = possible(paragraphs(docs, id_col, text_col), least_licence)
-    # texts are read once, and rows are numbered as they are written
-    units = stage(found.withColumn("unit", F.monotonically_increasing_id()), "licence-paragraphs")
-    judged = classify(units.select("unit", "n_grams", "grams"), least_licence=least_licence, **limits)
-    return units.join(judged, "unit").select("doc_id", "paragraph", "n_lines", "family", "probability", "similarity", "confirmed")
+    classes = model().classes[:-1]
+    found = licences(docs, id_col, text_col, least_licence).withColumn("shares", F.slice("shares", 1, len(classes)))
+    found = found.withColumn("probability", F.round(F.array_max("shares"), 6))
+    named = F.element_at(F.lit(classes), F.array_position("shares", F.array_max("shares")).cast("int"))
+    found = found.withColumn("family", F.when(F.col("probability") >= least_share, named).otherwise(UNKNOWN))
+    alike = F.lit(0.0)
+    for family, texts in TEMPLATES.items():
+        its = F.array(*(F.lit(sorted(grams(t))) for t in texts))
+        overlap = lambda t: F.size(F.array_intersect("grams", t)) / F.least(F.size("grams"), F.size(t))
+        alike = F.when((F.col("family") == family) & (F.size("grams") > 0), F.array_max(F.transform(its, overlap))).otherwise(alike)
+    found = found.withColumn("similarity", F.round(alike, 6))
+    confirmed = (F.col("family") != UNKNOWN) & (F.col("similarity") >= least_similarity)
+    return found.select("doc_id", "paragraph", "n_lines", "family", "probability", "similarity", confirmed.alias("confirmed"))
