@@ -8,15 +8,19 @@ group of queries. Groups of queries are cells put together, or parts of a cell,
 are dealt out in blocks of about `block_rows` vectors by hash, so a crowded cell is many tasks. Each pair of a group and a
 block is solved by one matrix product in whole numbers, and gives at most k rows for each query.
 
-Pivots are at most `pivots` vectors picked by hash of their id; results do not depend on them.
+Pivots are `pivots` vectors picked by hash of their id (by default the square root of the number of rows, at least 64 and
+at most 2048, so that cells do not outgrow the bounds); results do not depend on them.
 
-Vectors that are null or hold a null or non-finite component take no part, nor do those with a null id, nor those of
-another length than most vectors (the longer of equally common lengths). A query's own id is not among its results.
+Vectors that are null or empty or hold a null or non-finite component take no part, nor do those with a null id. Vectors
+of several lengths are answered length by length, as a product needs two of the same: a query's results have its length. A query's own id is not among its results.
+A score beyond 64 bits ends the query with an error.
 Rows repeated with id and vector are one query, and as many candidates as rows. Ties go to the smaller id. Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -50,21 +54,22 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     most = float(np.abs(left.astype(float)).max()) * float(np.abs(right.astype(float)).max()) * left.shape[1]
     if most < 2.0**53:
         return (left.astype(float) @ right.T.astype(float)).astype(np.int64)
-    exact = left.astype(object) @ right.T.astype(object)
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return (left.astype(object) @ right.T.astype(object)).astype(np.int64)  # an OverflowError beyond 64 bits
 
 
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = 10, pivots: int = 64, group_rows: int = 4096, block_rows: int = 8192
+    vectors: DataFrame, is_query: Column, k: int = 10, pivots: int | None = None, group_rows: int = 4096, block_rows: int = 8192
 ) -> DataFrame:
     """query_id, rank, vec_id, score; `is_query` is a condition on vec_id."""
-    spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
-    lengths = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if lengths is None or not lengths["n"]:
-        return spark.createDataFrame([], schema)
-    width = lengths["n"]
-    same = vectors.filter(F.size("v") == width)
+    # one row for each length
+    lengths = sorted((r["n"], r["count"]) for r in vectors.filter(F.size("v") > 0).groupBy(F.size("v").alias("n")).count().collect())
+    found = [_of_length(vectors.filter(F.size("v") == n), n, is_query, k, pivots or min(2048, max(64, math.isqrt(rows))), group_rows, block_rows) for n, rows in lengths]
+    return functools.reduce(DataFrame.unionByName, found) if found else vectors.sparkSession.createDataFrame([], schema)
+
+
+def _of_length(same: DataFrame, width: int, is_query: Column, k: int, pivots: int, group_rows: int, block_rows: int) -> DataFrame:
+    """`top_k` of vectors that all have `width` components."""
     chosen = same.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).collect()
     centre = np.unique(np.array([r["v"] for r in chosen], float), axis=0)
 
@@ -107,8 +112,8 @@ def top_k(
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each query with its group, the score it must reach, and the cells that can."""
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 q = _matrix(part.column("v").to_pylist(), width).astype(float)
                 middle = q @ centre.T
                 reach = np.sqrt((q**2).sum(axis=1))[:, None] * radius[None, :] + 1e-9 * np.abs(middle) + 1

@@ -45,6 +45,14 @@ def test_ids_that_repeat(spark, own):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(plain_top_k(rows, 10))
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-9, 10, (2, 3, 3, 5)[i % 4]).tolist()) for i in range(90)] + [(200, []), (210, [4] * 7), (0, [1, 1, 1])]
+    got = knn.top_k(spark.createDataFrame(rows, "vec_id long, v array<long>"), F.col("vec_id") % 10 == 0, k=4).collect()
+    want = [x for n in (2, 3, 5, 7) for x in plain_top_k([(i, v) for i, v in rows if len(v) == n], 4)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want) and {r.query_id for r in got} == set(range(0, 90, 10))
+
+
 def test_far_cells_are_not_sent(spark):
     """Two clusters far apart: the bounds leave each query's own cell only."""
     rows = [(i, [1000 + i % 3, 0, 0] if i % 2 else [-1000 - i % 3, 0, 0]) for i in range(60)]
@@ -54,7 +62,8 @@ def test_far_cells_are_not_sent(spark):
 
 def test_products_beyond_floating_point():
     a = np.array([[2**40 + 1, 3]])
-    assert knn._products(a, a)[0, 0] == np.iinfo(np.int64).max  # 2**80 does not fit
+    with pytest.raises(OverflowError):  # 2**80 does not fit
+        knn._products(a, a)
     b = np.array([[2**30 + 1, 1]])
     assert knn._products(b, b)[0, 0] == (2**30 + 1) ** 2 + 1
 
