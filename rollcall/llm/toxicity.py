@@ -3,13 +3,14 @@
 The kernel of two strings is the sum over common subsequences of `ORDER` characters, each weighted by DECAY to the power of
 the length it spans in either string, so inserted characters weaken a match instead of breaking it. Landmarks are word
 beginnings and words picked greedily from labelled training sentences: each next one covers the most toxic documents,
-covered ones counting half for each time, with forms that clean ones rarely have. A word's similarity to a landmark is its kernel with it over the landmark's
-kernel with itself; it counts as 0 below FLOOR, and unless the word has all but two (three at least) of the landmark's neighbouring
+covered ones counting half for each time, with forms that are ten times as frequent there as in clean ones. They end at `landmarks` or where the next
+one adds less than LEAST_COVERED documents, a count and not a share, so that more labels bring rarer insults. A word's similarity to a landmark is
+its kernel with it over the landmark's kernel with itself, and the Nyström matrix is that of landmarks scaled alike; it counts as 0 below FLOOR, and unless the word has all but two (three at least) of the landmark's neighbouring
 character pairs, with at most two characters inserted in each. A sentence takes the highest similarity of its words to each landmark, mapped by the
 Nyström matrix (inverse root of the landmarks' kernel). A linear support vector machine is trained on such sentences; a
 text's margin is that of its worst sentence, and a logistic regression on other training documents makes it a probability.
 
-Single characters in a row ("i d i o t") are also read as one word. Words longer than 48 characters are read in
+Single characters in a row with any number of spaces, points, dashes or stars between them ("i d i o t", "i..d..i..o..t") are also read as one word. Words longer than 48 characters are read in
 overlapping windows. The whole text counts. Fitted on at most `per_class` documents of each class; the logistic
 regression counts each as the number of labels it stands for, so that the probability does not depend on the cap. With labels of one
 class only, or none, every text gets the smoothed share of toxic labels. Null and empty texts have the margin of a
@@ -31,10 +32,12 @@ from .training import labelled_sample, logistic, sigmoid, squared_hinge
 
 ORDER, DECAY = 3, 0.6
 LONGEST, OVERLAP, GAPS, MISSING, FLOOR = 48, 16, 3, 2, 0.25
+#: A landmark must add so many toxic documents, one covered already counting half for each time.
+LEAST_COVERED = 1.5
 #: Bound of the table of known words in one worker; it is emptied when full. Results do not depend on it.
 REMEMBERED = 400_000
 
-_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*]\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)[^\s.\-_*](?:[ .\-_*]+[^\s.\-_*]){3,}(?!\S)")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
@@ -118,7 +121,7 @@ class Landmarks:
                     word = some[i][0]
                     if word not in found:
                         found[word] = np.zeros(len(self.own))
-                    found[word][k] = max(found[word][k], min(v, 1.0))
+                    found[word][k] = max(found[word][k], v)
         return found
 
 
@@ -130,9 +133,9 @@ def pick_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int) -> l
         return {w[: n + 1] for w in plain for n in range(4, 9) if len(w) > n} | {w for w in plain if 5 <= len(w) <= 17}
 
     seen = Counter(f for words in toxic for f in forms(words))
-    seen = Counter({f: n for f, n in seen.items() if n >= max(2, len(toxic) // 300)})
+    seen = Counter({f: n for f, n in seen.items() if n >= 2})
     against = Counter(f for words in clean for f in forms(words) if f in seen)
-    good = {f for f, n in seen.items() if n / max(len(toxic), 1) >= 10 * (against[f] + 0.1) / max(len(clean), 1)}
+    good = {f for f, n in seen.items() if n / max(len(toxic), 1) >= 10 * (against[f] + 0.5) / max(len(clean), 1)}
     holds: dict[str, set[int]] = {f: set() for f in good}
     for k, words in enumerate(toxic):
         for f in forms(words) & good:
@@ -143,7 +146,7 @@ def pick_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int) -> l
     while len(chosen) < most and at:
         # a document counts half as much each time it is covered; of forms that cover as much, the longest is the most particular
         best = max(at, key=lambda f: ((0.5 ** covered[at[f]]).sum() - 3 * rate[f] * len(toxic), len(f), f))
-        if (0.5 ** covered[at[best]]).sum() < max(1.5, len(toxic) / 100):
+        if (0.5 ** covered[at[best]]).sum() < LEAST_COVERED:
             break
         chosen.append(best)
         covered[at[best]] += 1
@@ -188,7 +191,7 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, per_class: int = 2000, landmarks: int = 48) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, per_class: int = 2000, landmarks: int = 256) -> Model:
     """Fits on documents outside the held-out fold; half of the sample trains and the other half calibrates."""
     sample, stands_for = labelled_sample(docs, labels, label, folds, held_out, 2 * per_class)
     half = F.pmod(F.xxhash64("doc_id", "label"), F.lit(2))
@@ -214,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
             features += own
             target += [k] * len(own)
     among = kernel(np.repeat(marks.codes, len(strings), axis=0), np.tile(marks.codes, (len(strings), 1))).reshape(len(strings), -1)
-    among = among / np.sqrt(np.outer(marks.own, marks.own))
+    among = among / np.outer(marks.own, marks.own)  # landmarks are scaled as they are in similarities
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     nystrom = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     weights, bias = squared_hinge(np.array(features) @ nystrom, np.array(target))

@@ -140,6 +140,18 @@ def test_inserted_characters_still_match():
     assert similar("idiot")[0] == 1 and similar("id-iot")[0] > 0.5 and similar("worth*less")[1] > 0.5
     assert similar("patriot")[0] < 0.5 and not similar("ocean").any()
     assert "^idiot" in toxicity.sentence_words("you i d i o t now")
+    for spelled in ("i..d..i..o..t", "i  d  i  o  t", "I - d - i * o _ t", "i.d i...o   t"):
+        assert "^idiot" in toxicity.sentence_words(f"you {spelled}")
+    assert len(toxicity.sentence_words("-" * 5000 + "a ...... b" + " ." * 5000 + "x")) > 0  # runs of separators take no more than their length
+
+
+def test_landmarks_by_count_not_by_share():
+    """A form of three documents is a landmark however many others are toxic, one that clean documents hold as often is not."""
+    for others in (50, 2000):
+        toxic = [{"^grimbler", f"^word{i}x"} for i in range(others)] + [{"^snortle", "^common"}] * 3
+        clean = [{"^common", f"^plain{i}"} for i in range(20 * others)]
+        chosen = toxicity.pick_landmarks(toxic, clean, 256)
+        assert {"^grimbler", "^snortle"} <= set(chosen) and not any(x.startswith("^comm") for x in chosen)
 
 
 def shares_of(text):
