@@ -165,8 +165,15 @@ def run_sql(spark: SparkSession, folder: str, sql: str, **given: DataFrame) -> D
     return spark.sql(for_spark(sql), **used, **given)
 
 
+#: Bytes of the customer table beyond which Spark, as it is set by default, joins by a shuffle.
+SHUFFLED_BYTES = 10 << 20
+
+
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return run_sql(spark, folder, CANDIDATES, orders=wide_table(spark, folder, "orders"))
+    """Orders are dealt out where the customers are few enough for a broadcast; otherwise the join shuffles them anyway."""
+    length, _ = _fingerprint(spark, f"{folder}/customer.parquet")
+    given = {"orders": wide_table(spark, folder, "orders")} if length <= SHUFFLED_BYTES else {}
+    return run_sql(spark, folder, CANDIDATES, **given)
 
 
 def funds(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,11 +21,20 @@ def collapse(text: Column) -> Column:
 
 
 def clean_html(fragment: Column) -> Column:
-    """Text of an HTML fragment; null gives ''."""
-    text = F.regexp_replace(F.coalesce(fragment, F.lit("")), lookups.HTML_TAG, " ")
-    for entity, plain in lookups.ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return collapse(F.regexp_replace(text, lookups.NUMERIC_ENTITY, " "))
+    """Text of an HTML fragment; null gives ''. Only what has tags or entities is searched for them."""
+
+    def plain(text: Column) -> Column:
+        for entity, character in lookups.ENTITIES:
+            text = F.replace(text, F.lit(entity), F.lit(character))
+        return F.regexp_replace(text, lookups.NUMERIC_ENTITY, " ")
+
+    def no_tags(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, lookups.HTML_TAG, " ")).otherwise(text)
+
+    def no_entities(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("&")), plain(text)).otherwise(text)
+
+    return collapse(let(no_tags(F.coalesce(fragment, F.lit(""))), no_entities))
 
 
 def spaced_ampersand(text: Column) -> Column:
@@ -33,12 +42,21 @@ def spaced_ampersand(text: Column) -> Column:
 
 
 def tidy(text: Column) -> Column:
-    """Single spaces, ` & ` and `. ` spacing."""
-    return F.trim(F.regexp_replace(spaced_ampersand(collapse(text)), lookups.FULL_STOP, ". "))
+    """Single spaces, ` & ` and `. ` spacing; text with neither mark is not searched for them."""
+    marks = F.contains(text, F.lit("&")) | F.contains(text, F.lit("."))
+    spaced = F.trim(F.regexp_replace(spaced_ampersand(collapse(text)), lookups.FULL_STOP, ". "))
+    return F.when(marks, spaced).otherwise(collapse(text))
+
+
+#: Not in printable ASCII; the space makes `initcap` begin a word.
+_CUT = "\x01 "
 
 
 def title_case(text: Column) -> Column:
-    """Upper case after every non-letter, so `10th` gives `10Th` and `(nct)` gives `(Nct)`."""
+    """Upper case after every non-letter, so `10th` gives `10Th` and `(nct)` gives `(Nct)`.
+
+    Plain ASCII needs no list of runs: `initcap` capitalises after spaces, which are put before the letters behind other marks.
+    """
 
     def capital(run: Column) -> Column:
         head = F.upper(F.substring(run, 1, 1))
@@ -47,7 +65,13 @@ def title_case(text: Column) -> Column:
         )
 
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, capital), "")
+    any_text = F.array_join(F.transform(runs, capital), "")
+    marked = F.initcap(F.regexp_replace(text, r"(?<=[^A-Za-z ])(?=[A-Za-z])", _CUT))
+    return (
+        F.when(text.rlike(r"^[A-Za-z ]*\z"), F.initcap(text))
+        .when(text.rlike(r"^[ -~]*\z"), F.replace(marked, F.lit(_CUT), F.lit("")))
+        .otherwise(any_text)
+    )
 
 
 def and_to_ampersand(text: Column) -> Column:

@@ -15,13 +15,19 @@ def general_only(df: DataFrame, flag: str = "is_bye_election") -> DataFrame:
 
 def conform_text(df: DataFrame) -> DataFrame:
     """State, seat, seat category, name and party in one spelling."""
+    return _conform_places(_conform_labels(df))
+
+
+def _conform_labels(df: DataFrame) -> DataFrame:
+    return df.withColumns({"name": text.tidy(F.col("name")), "party": text.label(F.col("party"))})
+
+
+def _conform_places(df: DataFrame) -> DataFrame:
     seat = F.col("constituency")
     return df.withColumns(
         {
             "state": text.conform_state(F.coalesce(F.col("state"), F.lit(""))),
             "constituency": text.tidy(seat),
-            "name": text.tidy(F.col("name")),
-            "party": text.label(F.col("party")),
         }
     ).withColumns(
         {
@@ -43,15 +49,22 @@ def rank_education(df: DataFrame) -> DataFrame:
 
 def derive_measures(df: DataFrame) -> DataFrame:
     """Amounts, flags and the age band. Missing stays missing, except cases and liabilities."""
-    assets, cases, age = F.col("assets"), F.col("criminal_cases"), F.col("age")
+    return _derive_flags(_clean_amounts(df))
+
+
+def _clean_amounts(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "assets": values.non_negative(assets),
+            "assets": values.non_negative(F.col("assets")),
             "liabilities": values.non_negative(F.col("liabilities")),
-            "criminal_cases": F.coalesce(cases, F.lit(0)),
-            "age": values.null_outside(age, 21, 100),
+            "criminal_cases": F.coalesce(F.col("criminal_cases"), F.lit(0)),
         }
-    ).withColumns(
+    )
+
+
+def _derive_flags(df: DataFrame) -> DataFrame:
+    assets, cases, age = F.col("assets"), F.col("criminal_cases"), F.col("age")
+    return df.withColumns({"age": values.null_outside(age, 21, 100)}).withColumns(
         {
             "net_worth": assets - F.coalesce(F.col("liabilities"), F.lit(0)),
             "is_crorepati": values.threshold_flag(assets, lookups.CRORE),
@@ -61,9 +74,19 @@ def derive_measures(df: DataFrame) -> DataFrame:
     )
 
 
+def conform_judged(df: DataFrame) -> DataFrame:
+    """Names, parties and amounts: what one row per key is chosen by."""
+    return _clean_amounts(_conform_labels(df))
+
+
+def conform_rest(df: DataFrame) -> DataFrame:
+    """All that nothing is chosen by, of rows out of `conform_judged`."""
+    return _derive_flags(rank_education(_conform_places(df)))
+
+
 def conform(df: DataFrame) -> DataFrame:
     """All row-level steps; no shuffle."""
-    return derive_measures(rank_education(conform_text(df)))
+    return conform_rest(conform_judged(df))
 
 
 def qualifying_labels(df: DataFrame, min_wins: int = lookups.MAJOR_PARTY_WINS) -> DataFrame:

@@ -16,8 +16,11 @@ def conformed_rows(raw: DataFrame, keep_special: bool = False) -> DataFrame:
 
 
 def build_silver(raw: DataFrame, keep_special: bool = False) -> DataFrame:
-    """One conformed row per candidate, seat and year."""
-    return dedupe.dedupe_candidates(conformed_rows(raw, keep_special))
+    """One conformed row per candidate, seat and year. Columns that no row is chosen by are made of the chosen rows alone, so
+    that they are neither sorted nor shuffled."""
+    judged = conform.conform_judged(raw if keep_special else conform.general_only(raw))
+    rows = conform.conform_rest(dedupe.dedupe_candidates(judged))
+    return conform.party_group(rows, conform.qualifying_labels(conform.general_only(judged)))
 
 
 MARTS = {
