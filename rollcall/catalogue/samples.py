@@ -234,8 +234,16 @@ FROM {{entries}}
 """
 
 
+#: Bytes of the orders table whose pages one task builds and reads.
+PAGE_TASK_BYTES = 2 << 20
+
+
 def candidate_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(CANDIDATE_PAGES, entries=candidates(spark, folder))
+    """The entries are dealt out behind their join, whose few compact partitions hold far more pages than one task should
+    parse; into more parts as the table grows."""
+    length, _ = _fingerprint(spark, f"{folder}/orders.parquet")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), length // PAGE_TASK_BYTES)
+    return spark.sql(CANDIDATE_PAGES, entries=run_sql(spark, folder, CANDIDATES).repartition(n))
 
 
 def seat_pages(spark: SparkSession, folder: str) -> DataFrame:
